@@ -90,3 +90,171 @@ def q_rollup_chunks(spark, sf_dir):
 def q_rollup_merge(spark, sf_dir):
     merged = R.rollup(FX.fx_review_objects(spark, sf_dir), CHUNK_SIZE)
     return merged.select("chunk_id", "is_bad", "object_key", "object_pos", "verdict")
+
+
+# --------------------------------------------------------------------------- documents
+
+from reviewlake import schemas as S  # noqa: E402
+from reviewlake import sinks as K  # noqa: E402
+from reviewlake.functions import expr as E  # noqa: E402
+from reviewlake.operators import documents as D  # noqa: E402
+from reviewlake.sources import readers as SRC  # noqa: E402
+from reviewlake.session import scratch_path  # noqa: E402
+
+FX_REVIEW_FIELDS = ["id_user", "review_date", "review_language", "review_text", "review_response"]
+FX_HOTEL_FIELDS = ["id_hotel", "name_hotel", "total_rating"]
+N_SITEMAP_FILES = 4   # documents are filed under file_id = doc_id mod 4 (a sitemap file id)
+
+_REVIEW_KEY_SQL = """concat_ws('-', CASE WHEN coalesce(length(review_response), 0) > 0 THEN 'Y' ELSE 'N' END,
+                              coalesce(review_date, 'None'), coalesce(id_user, 'None'))"""
+_DEDUP_SQL = f"""
+    rk AS (SELECT *, {_REVIEW_KEY_SQL} AS review_key FROM fx_reviews),
+    dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, review_key
+                                                       ORDER BY page_no DESC, pos DESC) AS rn FROM rk)
+           WHERE rn = 1)"""
+_META_SQL = """
+    mt AS (SELECT doc_id, min(hotel_key) AS hotel_key, min(name_hotel) AS name_hotel,
+                  min(total_rating) AS total_rating
+           FROM fx_hotels WHERE starts_with(hotel_key, 'g') GROUP BY doc_id HAVING count(*) = 1)"""
+_SPLIT_SQL = f"""{_DEDUP_SQL}, {_META_SQL},
+    sp AS (SELECT concat_ws('-', mt.hotel_key, dd.review_key) AS object_key,
+                  CASE WHEN left(review_key, 1) = 'Y' THEN 'response' ELSE 'no_response' END AS response_status,
+                  coalesce(nullif(review_language, ''), 'null') AS lang,
+                  mt.hotel_key, mt.name_hotel, dd.review_key, dd.id_user, dd.review_date,
+                  dd.review_text, dd.review_response
+           FROM dd JOIN mt USING (doc_id))"""
+_SPLIT_COLS = ["object_key", "response_status", "lang", "hotel_key", "name_hotel", "review_key",
+               "id_user", "review_date", "review_text", "review_response"]
+
+
+def _fx_hotels_typed(spark, sf_dir):
+    return FX.fx_hotels(spark, sf_dir).withColumn("id_hotel", F.col("hotel_key"))
+
+
+def _fx_documents(spark, sf_dir):
+    """A1 over the fixtures, with the sitemap file id each document is filed under."""
+    docs = D.hotel_documents(_fx_hotels_typed(spark, sf_dir), FX.fx_reviews(spark, sf_dir),
+                             FX_HOTEL_FIELDS, FX_REVIEW_FIELDS)
+    return docs.withColumn("file_id", (F.col("doc_id") % N_SITEMAP_FILES).cast("string"))
+
+
+def _split_select(split):
+    return split.select("object_key", "response_status", "lang", "hotel_key",
+                        F.col("meta_data.name_hotel").alias("name_hotel"), "review_key",
+                        "review.id_user", "review.review_date", "review.review_text",
+                        "review.review_response")
+
+
+def _split_docs(docs):
+    return D.split_documents(D.parse_documents(docs, "document"), S.REVIEW, S.HOTEL)
+
+
+def _written_documents(spark, sf_dir):
+    path = K.write_hotel_documents(_fx_documents(spark, sf_dir), scratch_path(spark, "hotel_docs"))
+    return path
+
+
+@register("review_dedup", with_views(
+    f"WITH {_DEDUP_SQL} SELECT doc_id, review_key, page_no, pos FROM dd", "fx_reviews"))
+def q_review_dedup(spark, sf_dir):
+    return D.dedup_reviews(FX.fx_reviews(spark, sf_dir)).select("doc_id", "review_key", "page_no", "pos")
+
+
+@register("document_meta_rule", with_views(
+    f"WITH {_META_SQL} SELECT doc_id, hotel_key FROM mt", "fx_hotels"))
+def q_document_meta_rule(spark, sf_dir):
+    return D.meta_documents(FX.fx_hotels(spark, sf_dir)).select("doc_id", "hotel_key")
+
+
+@register("response_status_filter", with_views(
+    f"""WITH {_DEDUP_SQL},
+        k AS (SELECT doc_id, hotel_key AS key FROM fx_hotels UNION ALL SELECT doc_id, review_key FROM dd)
+        SELECT doc_id, key, CASE left(key, 1) WHEN 'Y' THEN 'response' WHEN 'N' THEN 'no_response' END
+               AS response_status
+        FROM k WHERE left(key, 1) IN ('Y', 'N')""", "fx_hotels", "fx_reviews"))
+def q_response_status_filter(spark, sf_dir):
+    keys = (FX.fx_hotels(spark, sf_dir).select("doc_id", F.col("hotel_key").alias("key"))
+            .unionByName(D.dedup_reviews(FX.fx_reviews(spark, sf_dir))
+                         .select("doc_id", F.col("review_key").alias("key"))))
+    return (keys.withColumn("response_status", D.response_status("key"))
+            .where(F.col("response_status").isNotNull()))
+
+
+@register("review_repack", with_views(
+    f"""WITH {_DEDUP_SQL}, {_META_SQL}
+        SELECT doc_id, hotel_key, name_hotel, total_rating, review_key, page_no, pos
+        FROM dd JOIN mt USING (doc_id)""", "fx_hotels", "fx_reviews"))
+def q_review_repack(spark, sf_dir):
+    d = D.dedup_reviews(FX.fx_reviews(spark, sf_dir))
+    m = D.meta_documents(FX.fx_hotels(spark, sf_dir))
+    return D.repack(d, m).select("doc_id", "hotel_key", "name_hotel", "total_rating", "review_key",
+                                 "page_no", "pos")
+
+
+@register("hotel_document", with_views(
+    f"""WITH {_DEDUP_SQL},
+        e AS (SELECT doc_id, review_key AS key FROM dd UNION ALL SELECT doc_id, hotel_key FROM fx_hotels)
+        SELECT doc_id, CAST(0 AS INTEGER) AS part, count(*) AS n_keys,
+               CAST(count(*) FILTER (WHERE starts_with(key, 'g')) AS INTEGER) AS n_meta
+        FROM e GROUP BY doc_id""", "fx_hotels", "fx_reviews"))
+def q_hotel_document(spark, sf_dir):
+    docs = D.parse_documents(_fx_documents(spark, sf_dir), "document")
+    n_meta = F.size(F.map_filter("entries", lambda k, v: F.left(k, F.lit(1)) == "g"))
+    return docs.select("doc_id", "part", "n_keys", n_meta.alias("n_meta"))
+
+
+@register("split_job", with_views(f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
+def q_split_job(spark, sf_dir):
+    return _split_select(_split_docs(_fx_documents(spark, sf_dir)))
+
+
+@register("hotel_document_sink", with_views(
+    f"""WITH {_DEDUP_SQL},
+        e AS (SELECT doc_id, review_key AS key FROM dd UNION ALL SELECT doc_id, hotel_key FROM fx_hotels)
+        SELECT CAST(doc_id % {N_SITEMAP_FILES} AS VARCHAR) AS file_id, count(DISTINCT doc_id) AS n_docs,
+               count(*) AS n_keys
+        FROM e GROUP BY ALL""", "fx_hotels", "fx_reviews"))
+def q_hotel_document_sink(spark, sf_dir):
+    docs = SRC.read_hotel_documents(spark, _written_documents(spark, sf_dir))
+    return docs.groupBy(F.col("file_id").cast("string").alias("file_id")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("entries")).alias("n_keys"))
+
+
+@register("scan_hotel_documents", with_views(
+    f"""WITH {_DEDUP_SQL},
+        e AS (SELECT doc_id, review_key AS key FROM dd UNION ALL SELECT doc_id, hotel_key FROM fx_hotels)
+        SELECT CAST(doc_id % {N_SITEMAP_FILES} AS VARCHAR) AS file_id, key AS entry_key, count(*) AS n
+        FROM e GROUP BY ALL""", "fx_hotels", "fx_reviews"))
+def q_scan_hotel_documents(spark, sf_dir):
+    docs = SRC.read_hotel_documents(spark, _written_documents(spark, sf_dir))
+    e = docs.select(F.col("file_id").cast("string").alias("file_id"),
+                    F.explode(F.map_keys("entries")).alias("entry_key"))
+    return e.groupBy("file_id", "entry_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("backfill_resplit", with_views(f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
+def q_backfill_resplit(spark, sf_dir):
+    from reviewlake.plans.jobs import backfill_resplit
+    return _split_select(backfill_resplit(spark, _written_documents(spark, sf_dir)))
+
+
+def _written_split(spark, sf_dir):
+    split = _split_docs(_fx_documents(spark, sf_dir)).drop("doc_id", "part", "n_keys", "document",
+                                                           "file_id")
+    return K.write_split_reviews(split, scratch_path(spark, "split"))
+
+
+@register("review_split_sink", with_views(
+    f"WITH {_SPLIT_SQL} SELECT response_status, lang, count(*) AS n FROM sp GROUP BY ALL",
+    "fx_hotels", "fx_reviews"))
+def q_review_split_sink(spark, sf_dir):
+    objs = SRC.read_review_objects(spark, _written_split(spark, sf_dir))
+    return objs.groupBy("response_status", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("scan_review_objects", with_views(
+    f"""WITH {_SPLIT_SQL} SELECT object_key, hotel_key, review_key, review_text
+        FROM sp WHERE response_status = 'response' AND lang = 'en'""", "fx_hotels", "fx_reviews"))
+def q_scan_review_objects(spark, sf_dir):
+    objs = SRC.read_review_objects(spark, _written_split(spark, sf_dir), "response", "en")
+    return objs.select("object_key", "hotel_key", "review_key", "review.review_text")
