@@ -122,6 +122,28 @@ def fx_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.join(n, "page_id", "left")
 
 
+def fx_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Robots lines, one per page: sitemap lines (some naming the CA index),
+    disallow lines and user-agent lines. ``pos`` = line position."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    sitemap = F.concat(F.lit("Sitemap: "), F.col("url"),
+                       F.when(F.col("page_id") % 7 == 5, F.lit("/sitemap_en_CA_index.xml"))
+                       .otherwise(F.lit("/sitemap.xml")))
+    line = (F.when(F.col("page_id") % 3 == 0, sitemap)
+            .when(F.col("page_id") % 3 == 1, F.concat(F.lit("Disallow: /p"), _s("page_id")))
+            .otherwise(F.lit("User-agent: *")))
+    return p.select(F.col("page_id").alias("pos"), line.alias("line"))
+
+
+def fx_sitemap_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``<loc>`` list of a sitemap index: half hotel review sitemaps."""
+    p = table(spark, sf_dir, "pages").select("page_id")
+    kind = F.when(F.col("page_id") % 2 == 0, "hotel_review").otherwise("attraction_review")
+    return p.select(F.col("page_id").alias("pos"), F.concat(
+        F.lit("https://h.example/sitemaps/sitemap-en_CA-"), kind, F.lit("-"), _s("page_id"),
+        F.lit(".xml.gz")).alias("url"))
+
+
 # --------------------------------------------------------------------------- DuckDB
 
 VIEW_SQL = {
@@ -171,6 +193,20 @@ VIEW_SQL = {
                r.text AS review_response,
                r.lang AS response_lang
         FROM documents d LEFT JOIN documents r ON r.doc_id = d.doc_id + 1""",
+    "fx_robots": """
+        SELECT page_id AS pos,
+               CASE page_id % 3
+                    WHEN 0 THEN concat('Sitemap: ', url, CASE WHEN page_id % 7 = 5 THEN '/sitemap_en_CA_index.xml'
+                                                              ELSE '/sitemap.xml' END)
+                    WHEN 1 THEN concat('Disallow: /p', CAST(page_id AS VARCHAR))
+                    ELSE 'User-agent: *' END AS line
+        FROM pages""",
+    "fx_sitemap_index": """
+        SELECT page_id AS pos,
+               concat('https://h.example/sitemaps/sitemap-en_CA-',
+                      CASE WHEN page_id % 2 = 0 THEN 'hotel_review' ELSE 'attraction_review' END, '-',
+                      CAST(page_id AS VARCHAR), '.xml.gz') AS url
+        FROM pages""",
     "fx_page_links": """
         SELECT p.page_id, p.url, n.url AS next_url
         FROM pages p LEFT JOIN pages n ON n.page_id = p.page_id + 1 AND n.page_id % 5 <> 0""",

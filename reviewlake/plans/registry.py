@@ -258,3 +258,186 @@ def q_review_split_sink(spark, sf_dir):
 def q_scan_review_objects(spark, sf_dir):
     objs = SRC.read_review_objects(spark, _written_split(spark, sf_dir), "response", "en")
     return objs.select("object_key", "hotel_key", "review_key", "review.review_text")
+
+
+# --------------------------------------------------------------------------- roll-up jobs
+
+from reviewlake.plans import jobs as J  # noqa: E402
+
+
+def _read_rollup(spark, good: str, bad: str):
+    keep = spark.read.json(good).select("chunk_id", "object_key", "object_pos",
+                                        F.lit("keep").alias("kind"))
+    rej = spark.read.json(bad).select("chunk_id", "object_key", F.lit(None).cast("bigint").alias("object_pos"),
+                                      F.col("reason").alias("kind"))
+    return keep.unionByName(rej)
+
+
+@register("rollup_job", with_views(
+    f"""WITH {_GATE_SQL}, {_CHUNK_SQL}, {_MERGE_SQL}
+        SELECT chunk_id, object_key, CASE WHEN is_bad THEN NULL ELSE object_pos END AS object_pos,
+               CASE WHEN is_bad THEN verdict ELSE 'keep' END AS kind FROM m""", "fx_review_objects"))
+def q_rollup_job(spark, sf_dir):
+    good, bad = J.rollup_job(FX.fx_review_objects(spark, sf_dir), scratch_path(spark, "rollup"), CHUNK_SIZE)
+    return _read_rollup(spark, good, bad)
+
+
+@register("rollup_sink", with_views(
+    f"""WITH {_GATE_SQL}, {_CHUNK_SQL}, {_MERGE_SQL}
+        SELECT chunk_id, concat('en_reviews_', CAST(chunk_id AS VARCHAR), '.json') AS file_name,
+               count(*) FILTER (WHERE NOT is_bad) AS n_kept, count(*) FILTER (WHERE is_bad) AS n_rejected
+        FROM m GROUP BY chunk_id""", "fx_review_objects"))
+def q_rollup_sink(spark, sf_dir):
+    good, bad = J.rollup_job(FX.fx_review_objects(spark, sf_dir), scratch_path(spark, "rollup"), CHUNK_SIZE)
+    rows = _read_rollup(spark, good, bad)
+    return rows.groupBy("chunk_id").agg(
+        E.chunk_file_name(F.col("chunk_id")).alias("file_name"),
+        F.count_if(F.col("kind") == "keep").alias("n_kept"),
+        F.count_if(F.col("kind") != "keep").alias("n_rejected"))
+
+
+@register("daily_rollup", with_views(
+    f"""WITH {_GATE_SQL}, c AS (SELECT g.*, 0 AS chunk_id FROM g), {_MERGE_SQL}
+        SELECT 'en_reviews-{RUN_DATE[8:10]}-{RUN_DATE[5:7]}-{RUN_DATE[0:4]}.json' AS file_name,
+               CASE WHEN is_bad THEN verdict ELSE 'keep' END AS kind, count(*) AS n
+        FROM m GROUP BY ALL""", "fx_review_objects"))
+def q_daily_rollup(spark, sf_dir):
+    good, bad = J.rollup_job(FX.fx_review_objects(spark, sf_dir), scratch_path(spark, "daily"), None)
+    rows = _read_rollup(spark, good, bad)
+    return rows.groupBy(J.daily_name(RUN_DATE).alias("file_name"), "kind").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------- URLs and shards
+
+from reviewlake.operators import shards as SH  # noqa: E402
+from reviewlake.operators import sitemaps as SM  # noqa: E402
+
+_RANGES_SQL = """
+    nu AS (SELECT file, count(*) AS n_urls FROM fx_urls GROUP BY file),
+    rg AS (SELECT m.file, m.start, m.marker,
+                  CAST(coalesce(lead(m.start) OVER (PARTITION BY m.file ORDER BY m.start) - 1, nu.n_urls - 1)
+                       AS BIGINT) AS stop
+           FROM fx_markers m LEFT JOIN nu USING (file)),
+    asg AS (SELECT u.file, u.idx, u.url, rg.start, rg.stop, rg.marker
+            FROM fx_urls u JOIN rg ON u.file = rg.file AND u.idx BETWEEN rg.start AND rg.stop)"""
+
+
+def _fx_ranges(spark, sf_dir):
+    return SH.shard_ranges(FX.fx_markers(spark, sf_dir), FX.fx_urls(spark, sf_dir))
+
+
+def _fx_urls(spark, sf_dir):
+    return FX.fx_urls(spark, sf_dir).select("file", "idx", "url")
+
+
+@register("shard_ranges", with_views(
+    f"WITH {_RANGES_SQL} SELECT file, start, marker, stop FROM rg", "fx_markers"))
+def q_shard_ranges(spark, sf_dir):
+    return _fx_ranges(spark, sf_dir)
+
+
+@register("shard_assignment", with_views(
+    f"WITH {_RANGES_SQL} SELECT file, idx, url, start, stop FROM asg", "fx_markers"))
+def q_shard_assignment(spark, sf_dir):
+    a = SH.shard_assignment(_fx_urls(spark, sf_dir), _fx_ranges(spark, sf_dir))
+    return a.select("file", "idx", "url", "start", "stop")
+
+
+@register("crawl_pending", with_views(
+    f"""WITH {_RANGES_SQL} SELECT file, start, idx, url FROM asg
+        WHERE idx BETWEEN coalesce(marker, start) AND stop""", "fx_markers"))
+def q_crawl_pending(spark, sf_dir):
+    a = SH.shard_assignment(_fx_urls(spark, sf_dir), _fx_ranges(spark, sf_dir))
+    return SH.crawl_pending(a).select("file", "start", "idx", "url")
+
+
+@register("crawl_progress", with_views(
+    """SELECT count(marker) AS n_markers, CAST(sum(marker - start) AS BIGINT) AS total_progress,
+              CAST(round_even(sum(marker - start) / nullif(count(marker), 0), 0) AS BIGINT) AS avg_progress,
+              count(*) FILTER (WHERE marker IS NULL) AS n_unreadable
+       FROM fx_markers""", "fx_markers"))
+def q_crawl_progress(spark, sf_dir):
+    return SH.crawl_progress(FX.fx_markers(spark, sf_dir))
+
+
+@register("scan_markers", with_views("SELECT file, start, marker FROM fx_markers", "fx_markers"))
+def q_scan_markers(spark, sf_dir):
+    m = FX.fx_markers(spark, sf_dir)
+    name = E.marker_name(F.concat(F.lit("sitemap-en_CA-hotel_review-"), F.col("file"), F.lit(".xml.gz")),
+                         F.col("start"))
+    path = scratch_path(spark, "markers")
+    (m.select(name.alias("name"), F.coalesce(F.col("marker").cast("string"), F.lit("")).alias("value"))
+     .write.partitionBy("name").text(path))
+    return SRC.read_markers(spark, path).select("file", "start", "marker")
+
+
+@register("url_index", with_views(
+    """WITH nu AS (SELECT file, count(*) AS n_urls FROM fx_urls GROUP BY file)
+       SELECT m.file, m.start, m.marker, u.url, nu.n_urls
+       FROM fx_markers m LEFT JOIN fx_urls u ON u.file = m.file AND u.idx = m.marker
+       LEFT JOIN nu ON nu.file = m.file
+       WHERE m.marker IS NOT NULL""", "fx_markers"))
+def q_url_index(spark, sf_dir):
+    urls = _fx_urls(spark, sf_dir)
+    pos = (FX.fx_markers(spark, sf_dir).where(F.col("marker").isNotNull())
+           .withColumn("idx", F.col("marker").cast("bigint")))
+    looked = SRC.url_at(urls, pos)
+    return (looked.join(SRC.url_counts(urls), "file", "left")
+            .select("file", "start", "marker", "url", "n_urls"))
+
+
+@register("hotel_url_filter", with_views(
+    r"""SELECT file, idx, url, regexp_extract(url, 'g\d{4,}-d\d{5,}', 0) AS hotel_id FROM fx_urls
+        WHERE regexp_extract(url, 'g\d{4,}-d\d{5,}', 0) <> ''""", "fx_urls"))
+def q_hotel_url_filter(spark, sf_dir):
+    return SH.hotel_urls(_fx_urls(spark, sf_dir))
+
+
+@register("object_counts", with_views(
+    "SELECT file, count(*) AS n_urls FROM fx_urls GROUP BY file", "fx_urls"))
+def q_object_counts(spark, sf_dir):
+    return SRC.url_counts(_fx_urls(spark, sf_dir))
+
+
+@register("sitemap_urls", with_views("SELECT file, idx, url FROM fx_urls", "fx_urls"))
+def q_sitemap_urls(spark, sf_dir):
+    docs = SM.sitemap_documents(_fx_urls(spark, sf_dir))
+    parsed = SRC.parse_sitemaps(docs.select(F.concat_ws(":", "file", "part").alias("fp"), "value"),
+                                file="fp")
+    fp = F.split("fp", ":")
+    return parsed.select(F.get(fp, 0).alias("file"),
+                         (F.get(fp, 1).cast("bigint") * SM.SITEMAP_MAX_URLS + F.col("idx")).alias("idx"),
+                         "url")
+
+
+@register("url_list_sink", with_views(
+    "SELECT file, count(*) AS n_urls, min(idx) AS min_idx, max(idx) AS max_idx FROM fx_urls GROUP BY file",
+    "fx_urls"))
+def q_url_list_sink(spark, sf_dir):
+    path = K.write_url_lists(q_sitemap_urls(spark, sf_dir), scratch_path(spark, "url_lists"))
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("file").cast("string").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_urls"), F.min("idx").alias("min_idx"), F.max("idx").alias("max_idx"))
+
+
+@register("robots_sitemaps", with_views(
+    "SELECT pos, replace(line, 'Sitemap: ', '') AS sitemap_url FROM fx_robots WHERE contains(line, 'Sitemap')",
+    "fx_robots"))
+def q_robots_sitemaps(spark, sf_dir):
+    return SRC.parse_robots(FX.fx_robots(spark, sf_dir)).select("pos", "sitemap_url")
+
+
+@register("sitemap_index_select", with_views(
+    """SELECT arg_min(replace(line, 'Sitemap: ', ''), pos)
+                  FILTER (WHERE contains(replace(line, 'Sitemap: ', ''), 'CA_index')) AS index_url
+       FROM fx_robots WHERE contains(line, 'Sitemap')""", "fx_robots"))
+def q_sitemap_index_select(spark, sf_dir):
+    return SM.index_select(SRC.parse_robots(FX.fx_robots(spark, sf_dir)))
+
+
+@register("sitemap_file_filter", with_views(
+    """SELECT pos, url, string_split(url, '/')[-1] AS file_name FROM fx_sitemap_index
+       WHERE contains(url, '-hotel_review-')""", "fx_sitemap_index"))
+def q_sitemap_file_filter(spark, sf_dir):
+    return SM.hotel_sitemap_files(FX.fx_sitemap_index(spark, sf_dir))
