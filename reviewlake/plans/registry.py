@@ -441,3 +441,202 @@ def q_sitemap_index_select(spark, sf_dir):
        WHERE contains(url, '-hotel_review-')""", "fx_sitemap_index"))
 def q_sitemap_file_filter(spark, sf_dir):
     return SM.hotel_sitemap_files(FX.fx_sitemap_index(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- pages
+
+from reviewlake.operators import extract as X  # noqa: E402
+from reviewlake.operators.documents import first_page  # noqa: E402
+from reviewlake.operators.pagination import pagination_chain  # noqa: E402
+from reviewlake.operators.runlog import run_log  # noqa: E402
+from reviewlake.plans import render as RD  # noqa: E402
+
+_PAGES_SQL = f"""
+    np AS (SELECT doc_id, max(page_no) AS n_pages FROM fx_reviews GROUP BY doc_id),
+    pg AS (SELECT doc_id, n_pages, unnest(range(1, n_pages + 1)) AS page_no FROM np),
+    pgs AS (SELECT doc_id, page_no, n_pages, {RD.PAGE_URL_SQL.format(d='doc_id', p='page_no')} AS url,
+                   {RD.PAGE_STATUS_SQL.format(d='doc_id', p='page_no')} AS status FROM pg)"""
+
+
+def _rendered(spark, sf_dir):
+    return RD.render_hotel_pages(spark, sf_dir).withColumn("status", X.page_gate("html"))
+
+
+def _ok_pages(spark, sf_dir):
+    return _rendered(spark, sf_dir).where(F.col("status") == "ok")
+
+
+def _joined(c):
+    return F.array_join(F.col(c), "|").alias(c)
+
+
+@register("page_gate", with_views(f"WITH {_PAGES_SQL} SELECT url, status FROM pgs", "fx_reviews"))
+def q_page_gate(spark, sf_dir):
+    return _rendered(spark, sf_dir).select("url", "status")
+
+
+@register("scan_pages", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+def q_scan_pages(spark, sf_dir):
+    return SRC.read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet").select(
+        "page_id", "url", F.length("html").alias("n_chars"))
+
+
+@register("extract_links", with_views(
+    f"""WITH {_PAGES_SQL}
+        SELECT url, page_no = n_pages AS next_disabled,
+               CASE WHEN page_no < n_pages THEN {RD.PAGE_URL_SQL.format(d='doc_id', p='page_no + 1')} END
+               AS next_url
+        FROM pgs WHERE status = 'ok'""", "fx_reviews"))
+def q_extract_links(spark, sf_dir):
+    return X.extract_links(_ok_pages(spark, sf_dir)).select("url", "next_disabled", "next_url")
+
+
+_REVIEWS_OUT_SQL = f"""
+    rvt AS (SELECT *, doc_id * 1000 + pos AS rid FROM fx_reviews),
+    lg AS ({language_tag_sql("rvt", "rid", "review_text", "rid")}),
+    xr AS (SELECT p.url, CAST(row_number() OVER (PARTITION BY r.doc_id, r.page_no ORDER BY r.pos) - 1 AS INTEGER)
+                  AS block_pos,
+                  r.id_user, r.id_user AS name_user, r.review_date,
+                  concat(CAST(r.pos % 5 + 1 AS VARCHAR), '.0') AS review_rating,
+                  lg.lang_detected AS review_language,
+                  CASE r.pos % 3 WHEN 0 THEN 'Trip type: Traveled as a couple'
+                                 WHEN 1 THEN 'Trip type: Traveled solo' END AS trip_type,
+                  CASE WHEN r.pos % 4 = 1 THEN concat(CAST(r.pos % 7 + 1 AS VARCHAR), ' Helpful votes') END
+                  AS helpful_votes,
+                  concat('City ', CAST(r.doc_id % 9 AS VARCHAR)) AS reviewer_location,
+                  concat('Stay ', CAST(r.pos AS VARCHAR)) AS review_title,
+                  r.review_text,
+                  nullif(r.review_response, '') AS review_response,
+                  CASE WHEN coalesce(length(r.review_response), 0) = 0 THEN NULL
+                       WHEN r.doc_id % 3 = 0 THEN concat('Owner ', CAST(r.doc_id AS VARCHAR))
+                       WHEN r.doc_id % 3 = 1 THEN 'Response from Front desk'
+                       ELSE 'Response from A, B, C' END AS responder,
+                  CASE WHEN coalesce(length(r.review_response), 0) > 0 AND r.doc_id % 3 = 0
+                       THEN ' General Manager' END AS responder_title,
+                  r.doc_id, r.page_no, r.pos
+           FROM rvt r JOIN pgs p USING (doc_id, page_no) JOIN lg USING (rid)
+           WHERE p.status = 'ok')"""
+_REVIEW_OUT_COLS = ["url", "block_pos", "id_user", "name_user", "review_date", "review_rating",
+                    "review_language", "trip_type", "helpful_votes", "reviewer_location", "review_title",
+                    "review_text", "review_response", "responder", "responder_title"]
+
+
+@register("extract_reviews", with_views(
+    f"WITH {_PAGES_SQL}, {_REVIEWS_OUT_SQL} SELECT {', '.join(_REVIEW_OUT_COLS)} FROM xr", "fx_reviews"))
+def q_extract_reviews(spark, sf_dir):
+    r = X.extract_reviews(_ok_pages(spark, sf_dir))
+    return r.select(*_REVIEW_OUT_COLS)
+
+
+_RATING_SQL = "CASE WHEN doc_id % 8 = 7 THEN NULL ELSE concat(CAST((doc_id + ({c} - doc_id % 4 + 4) % 4) % 5 + 1 AS VARCHAR), '.0') END"
+_HOTEL_OUT_SQL = f"""
+    xh AS (SELECT url, page_no, doc_id,
+                  concat('g', CAST(100000 + doc_id AS VARCHAR), '-d', CAST(1000000 + doc_id AS VARCHAR)) AS id_hotel,
+                  concat('Hotel ', CAST(doc_id AS VARCHAR)) AS name_hotel,
+                  concat(CAST(doc_id AS VARCHAR), ' Main Street') AS address_hotel,
+                  concat('#', CAST(doc_id % 50 + 1 AS VARCHAR), ' of 50 hotels') AS ranking_hotel,
+                  concat(CAST(doc_id * 3 % 1000 AS VARCHAR), ' reviews') AS number_of_reviews,
+                  CASE doc_id % 3 WHEN 0 THEN 'Free WiFi|Pool' WHEN 1 THEN 'Parking' ELSE '' END AS amenities,
+                  concat(CAST(doc_id % 5 AS VARCHAR), '.5') AS total_rating,
+                  {_RATING_SQL.format(c=0)} AS location_rating,
+                  {_RATING_SQL.format(c=1)} AS cleanliness_rating,
+                  {_RATING_SQL.format(c=2)} AS service_rating,
+                  {_RATING_SQL.format(c=3)} AS value_rating,
+                  CASE WHEN doc_id % 2 = 0 THEN 'Languages Spoken|English' ELSE '' END AS good_to_know,
+                  CASE WHEN doc_id % 7 = 6 THEN NULL ELSE concat(CAST(doc_id % 5 + 1 AS VARCHAR), '.0') END
+                  AS class_rating,
+                  CASE WHEN doc_id % 2 = 0 THEN 'breakfast|staff' ELSE '' END AS popular_mention_tags,
+                  CASE WHEN doc_id % 4 = 3 THEN NULL
+                       ELSE concat('Line one of ', CAST(doc_id AS VARCHAR), chr(10), 'Line two') END AS description,
+                  CASE WHEN doc_id % 5 = 4 THEN NULL ELSE CAST(doc_id % 100 AS VARCHAR) END AS location_grade,
+                  CASE WHEN doc_id % 5 = 4 THEN NULL ELSE CAST(doc_id % 30 AS VARCHAR) END AS surrounding_restaurants,
+                  CASE WHEN doc_id % 5 = 4 THEN NULL ELSE CAST(doc_id % 20 AS VARCHAR) END AS surrounding_attractions
+           FROM pgs WHERE status = 'ok')"""
+_HOTEL_OUT_COLS = ["url", "id_hotel", "name_hotel", "address_hotel", "ranking_hotel", "number_of_reviews",
+                   "amenities", "total_rating", "location_rating", "cleanliness_rating", "service_rating",
+                   "value_rating", "good_to_know", "class_rating", "popular_mention_tags", "description",
+                   "location_grade", "surrounding_restaurants", "surrounding_attractions"]
+_ARRAY_COLS = {"amenities", "good_to_know", "popular_mention_tags"}
+
+
+def _extracted_hotels(spark, sf_dir):
+    h = X.extract_hotels(_ok_pages(spark, sf_dir))
+    return h.select("doc_id", "page_no", *[_joined(c) if c in _ARRAY_COLS else c for c in _HOTEL_OUT_COLS])
+
+
+@register("extract_hotels", with_views(
+    f"WITH {_PAGES_SQL}, {_HOTEL_OUT_SQL} SELECT {', '.join(_HOTEL_OUT_COLS)} FROM xh", "fx_reviews"))
+def q_extract_hotels(spark, sf_dir):
+    return _extracted_hotels(spark, sf_dir).select(*_HOTEL_OUT_COLS)
+
+
+@register("subrating_align", with_views(
+    f"""WITH {_PAGES_SQL}, {_HOTEL_OUT_SQL}
+        SELECT url, location_rating, cleanliness_rating, service_rating, value_rating FROM xh""", "fx_reviews"))
+def q_subrating_align(spark, sf_dir):
+    p = _ok_pages(spark, sf_dir)
+    return p.select("url", *X.subratings(F.col("html")))
+
+
+@register("hotel_first_page", with_views(
+    f"""WITH {_PAGES_SQL}, {_HOTEL_OUT_SQL}
+        SELECT id_hotel, page_no, url, name_hotel FROM (
+            SELECT *, row_number() OVER (PARTITION BY id_hotel ORDER BY page_no) AS rn FROM xh) WHERE rn = 1""",
+    "fx_reviews"))
+def q_hotel_first_page(spark, sf_dir):
+    h = _extracted_hotels(spark, sf_dir).select("id_hotel", "page_no", "url", "name_hotel")
+    return first_page(h, "id_hotel")
+
+
+_RUN_LOG_SQL = r"""
+    st AS (SELECT doc_id, min(page_no) FILTER (WHERE status <> 'ok') AS stop_page,
+                  arg_min(status, page_no) FILTER (WHERE status <> 'ok') AS stop_status,
+                  arg_min(url, page_no) AS url
+           FROM pgs GROUP BY doc_id),
+    nr AS (SELECT r.doc_id, count(*) AS n FROM fx_reviews r JOIN st USING (doc_id)
+           WHERE r.page_no < coalesce(st.stop_page, 2147483647) GROUP BY r.doc_id),
+    ft AS (SELECT p.doc_id, CAST(round(sum(CAST(e.value AS DECIMAL(18, 3))), 3) AS DOUBLE) AS runtime_s,
+                  max(e.ts) AS finish_time
+           FROM pgs p JOIN st USING (doc_id) JOIN events e ON e.event_id = p.doc_id * 8 + p.page_no
+           WHERE p.page_no <= coalesce(st.stop_page, 2147483647) GROUP BY p.doc_id),
+    rl AS (SELECT regexp_extract(st.url, 'g\d{4,}-d\d{5,}', 0) AS hotel_id,
+                  CASE WHEN stop_page IS NULL THEN 'Success' ELSE 'Empty' END AS status,
+                  CAST(coalesce(nr.n, 0) AS INTEGER) AS n_reviews, ft.runtime_s, st.url,
+                  CASE stop_status WHEN 'fetch_failed' THEN 'Readmore Element not Found'
+                                   WHEN 'banned' THEN 'banned' ELSE 'finished' END AS reason,
+                  strftime(ft.finish_time, '%Y-%m-%d %H:%M:%S') AS finish_time
+           FROM st LEFT JOIN nr USING (doc_id) LEFT JOIN ft USING (doc_id))"""
+
+
+def _run_log(spark, sf_dir):
+    pages = _rendered(spark, sf_dir)
+    reviews = X.review_blocks(pages.where(F.col("status") == "ok")).select("doc_id", "page_no")
+    fetches = RD.fetch_log(spark, sf_dir, pages.select("doc_id", "page_no"))
+    return run_log(pages.select("doc_id", "page_no", "url", "status"), reviews, fetches)
+
+
+def _fmt_finish(df):
+    return df.withColumn("finish_time", F.date_format("finish_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("run_log", with_views(f"WITH {_PAGES_SQL}, {_RUN_LOG_SQL} SELECT * FROM rl", "fx_reviews"))
+def q_run_log(spark, sf_dir):
+    return _fmt_finish(_run_log(spark, sf_dir))
+
+
+@register("run_log_sink", with_views(f"WITH {_PAGES_SQL}, {_RUN_LOG_SQL} SELECT * FROM rl", "fx_reviews"))
+def q_run_log_sink(spark, sf_dir):
+    path = K.append_run_log(_run_log(spark, sf_dir), scratch_path(spark, "run_log"))
+    back = spark.read.schema(S.RUN_LOG).option("header", "false").csv(path)
+    return _fmt_finish(back)
+
+
+@register("pagination_chain", with_views(
+    """WITH RECURSIVE ch(root_url, url, next_url, page_no) AS (
+           SELECT url, url, next_url, 1 FROM fx_page_links WHERE page_id % 5 = 0
+           UNION ALL
+           SELECT ch.root_url, l.url, l.next_url, ch.page_no + 1
+           FROM ch JOIN fx_page_links l ON l.url = ch.next_url)
+       SELECT root_url, url, CAST(page_no AS INTEGER) AS page_no FROM ch""", "fx_page_links"))
+def q_pagination_chain(spark, sf_dir):
+    return pagination_chain(FX.fx_page_links(spark, sf_dir))
