@@ -7,7 +7,8 @@ profile word gets NULL ("undetectable").
 
 Everything is one JVM expression over the token array: no Python per row, no
 explode, no join and no shuffle, so it runs inside the scan stage at any
-scale. The profile is a literal of 48 entries, shipped with the plan.
+scale and the tag stays on its row (no join back of whole texts). The
+profile is a literal of 48 entries, shipped with the plan.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reviewlake.functions.common import let
+
 # Stop-word profile, 12 frequent function words per language.
 PROFILE_WORDS = {
     "de": "der die und in den von zu das mit sich auf des",
@@ -38,35 +41,49 @@ def profile_rows() -> list[tuple[str, str, int]]:
             for lang in sorted(PROFILE_WORDS) for w in PROFILE_WORDS[lang].split()]
 
 
-def _weight_map(lang: str) -> Column:
-    pairs = [x for (l, w, wt) in profile_rows() if l == lang for x in (F.lit(w), F.lit(wt))]
-    return F.create_map(*pairs)
-
-
-def _add_weight(weights: Column):
-    def step(acc: Column, tok: Column) -> Column:
-        return acc + F.coalesce(F.try_element_at(weights, tok), F.lit(0))
-    return step
+def _member(words: list[str]):
+    def test(tok: Column) -> Column:
+        return tok.isin(words)   # a hashed InSet once the list is long
+    return test
 
 
 def tokens(text: Column) -> Column:
     return F.split(F.lower(text), TOKEN_SPLIT)
 
 
-def language_scores(text: Column) -> Column:
-    """array<struct<neg_score:int, lang:string>>, one element per profile language."""
-    toks = tokens(text)
+def profile_hits(text: Column) -> Column:
+    """The tokens of ``text`` that are profile words (one hashed test each)."""
+    return F.filter(tokens(text), _member(sorted({w for _, w, _ in profile_rows()})))
+
+
+def scores_of_hits(hits: Column) -> Column:
+    """array<struct<neg_score:int, lang:string>> from the profile-word tokens.
+
+    Each language counts its words per weight class over the short ``hits``
+    array. No map lookups (a Spark map literal is searched linearly)."""
+    rows = profile_rows()
     scored = []
     for lang in sorted(PROFILE_WORDS):
-        s = F.aggregate(toks, F.lit(0), _add_weight(_weight_map(lang)))
-        scored.append(F.struct((-s).alias("neg_score"), F.lit(lang).alias("lang")))
+        score = F.lit(0)
+        for wt in sorted({x for (l, _, x) in rows if l == lang}):
+            words = [w for (l, w, x) in rows if l == lang and x == wt]
+            score = score + F.size(F.filter(hits, _member(words))) * wt
+        scored.append(F.struct((-score).alias("neg_score"), F.lit(lang).alias("lang")))
     return F.array(*scored)
 
 
+def language_scores(text: Column) -> Column:
+    """array<struct<neg_score:int, lang:string>>, one element per profile language."""
+    return let(profile_hits(text), scores_of_hits)
+
+
 def language_tag(text: Column) -> Column:
-    """Language code of ``text`` or NULL when no profile word occurs."""
-    best = F.array_min(language_scores(text))
-    return F.when(best["neg_score"] < 0, best["lang"])
+    """Language code of ``text`` or NULL when no profile word occurs.
+
+    The tokens are computed once and bound with :func:`let`; zero scores are
+    filtered out before ``array_min``, so nothing is evaluated twice."""
+    return let(profile_hits(text), lambda h: F.array_min(
+        F.filter(scores_of_hits(h), lambda s: s["neg_score"] < 0))["lang"])
 
 
 def profile_sql_values() -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import expr as E
 from reviewlake.functions import html as H
+from reviewlake.functions.common import let
 from reviewlake.functions.language import language_tag
 
 # Failure marks of a fetched page.
@@ -83,37 +84,47 @@ def _names(texts: Column, cat: str):
     return test
 
 
-def subratings(html: Column) -> list[Column]:
-    """One column per category. For the i-th sub-rating text naming a
-    category, the class at ``SUBRATING_CLASS_POS[i]``; a later text wins; a text
-    past the fourth has no position and is ignored (SURVEY D9)."""
-    inner = H.inner_html(html, SUBRATING_SELECTOR)
-    classes = F.flatten(F.transform(inner, lambda x: F.regexp_extract_all(
-        x, F.lit(r'<[a-zA-Z][^>]*\bclass="([^"]*)"'), F.lit(1))))
-    texts = F.flatten(F.transform(inner, H.text_fragments))
+_CLASS_ATTR = r'<[a-zA-Z][^>]*\bclass="([^"]*)"'
+
+
+def subratings(html: Column) -> Column:
+    """Struct of one rating per category. For the i-th sub-rating text
+    naming a category, the class at ``SUBRATING_CLASS_POS[i]``; a later text
+    wins; a text past the fourth has no position and is ignored (SURVEY D9).
+
+    Select the struct once and expand it (``s.*``): the regex work is bound
+    with :func:`let` and runs once per page."""
     pos = F.array(*[F.lit(p) for p in SUBRATING_CLASS_POS])
     n = len(SUBRATING_CLASS_POS)
-    out = []
-    idx = F.when(F.size(texts) > 0, F.sequence(F.lit(0), F.least(F.size(texts), F.lit(n)) - 1))
-    for cat in SUBRATING_CATEGORIES:
-        hits = F.filter(idx, _names(texts, cat))
-        last = F.array_max(hits)
-        cls = F.when(F.size(texts) > 0, F.get(classes, F.get(pos, last)))
-        out.append(E.bubble_rating(cls).alias(f"{cat}_rating"))
-    return out
+
+    def gather(inner: Column) -> Column:
+        return F.struct(
+            F.flatten(F.transform(inner, lambda x: F.regexp_extract_all(x, F.lit(_CLASS_ATTR), F.lit(1))))
+            .alias("classes"),
+            F.flatten(F.transform(inner, H.text_fragments)).alias("texts"))
+
+    def pick(ct: Column) -> Column:
+        cls, txt = ct["classes"], ct["texts"]
+        idx = F.when(F.size(txt) > 0, F.sequence(F.lit(0), F.least(F.size(txt), F.lit(n)) - 1))
+        return F.struct(*[
+            E.bubble_rating(F.get(cls, F.get(pos, F.array_max(F.filter(idx, _names(txt, cat))))))
+            .alias(f"{cat}_rating")
+            for cat in SUBRATING_CATEGORIES])
+
+    return let(let(H.inner_html(html, SUBRATING_SELECTOR), gather), pick)
 
 
 def extract_hotels(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """One HOTEL record per page (the caller keeps the first page, A3)."""
     h = F.col(html)
     raw = pages.select("*", *[_select(h, sel, mode).alias(f"_{f}") for f, sel, mode in HOTEL_SELECTORS],
-                       *subratings(h))
+                       subratings(h).alias("_sub"))
     return raw.select(
         *[c for c in pages.columns if c != html],
         E.hotel_id(F.col(url)).alias("id_hotel"),
         "_name_hotel", "_address_hotel", "_ranking_hotel", "_number_of_reviews",
         F.col("_amenities").alias("amenities"), "_total_rating",
-        "location_rating", "cleanliness_rating", "service_rating", "value_rating",
+        *[F.col(f"_sub.{c}_rating").alias(f"{c}_rating") for c in SUBRATING_CATEGORIES],
         F.col("_good_to_know").alias("good_to_know"),
         E.class_rating("_class_title").alias("class_rating"),
         E.all_but_first("_mentions").alias("popular_mention_tags"),

@@ -575,7 +575,7 @@ def q_extract_hotels(spark, sf_dir):
         SELECT url, location_rating, cleanliness_rating, service_rating, value_rating FROM xh""", "fx_reviews"))
 def q_subrating_align(spark, sf_dir):
     p = _ok_pages(spark, sf_dir)
-    return p.select("url", *X.subratings(F.col("html")))
+    return p.select("url", X.subratings(F.col("html")).alias("s")).select("url", "s.*")
 
 
 @register("hotel_first_page", with_views(
@@ -640,3 +640,20 @@ def q_run_log_sink(spark, sf_dir):
        SELECT root_url, url, CAST(page_no AS INTEGER) AS page_no FROM ch""", "fx_page_links"))
 def q_pagination_chain(spark, sf_dir):
     return pagination_chain(FX.fx_page_links(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- streaming
+
+from reviewlake.streaming.split_stream import read_split_output, start_split_stream  # noqa: E402
+
+
+@register("stream_split", with_views(f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
+def q_stream_split(spark, sf_dir):
+    docs = _written_documents(spark, sf_dir)
+    out = scratch_path(spark, "stream_out")
+    q = start_split_stream(spark, f"{docs}/*", out, scratch_path(spark, "stream_ckpt"))
+    q.awaitTermination()
+    objs = read_split_output(spark, out)
+    return objs.select("object_key", "response_status", "lang", "hotel_key",
+                       F.col("meta_data.name_hotel").alias("name_hotel"), "review_key",
+                       "review.id_user", "review.review_date", "review.review_text", "review.review_response")

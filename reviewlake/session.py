@@ -39,9 +39,35 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+# Inputs smaller than this (local files only) are spread over the session's
+# cores by a round-robin repartition: a small file written as one parquet row
+# group is otherwise read by a single task. Large inputs - every input at
+# cluster scale - are read as they are, with no extra shuffle.
+SPREAD_BELOW_BYTES = 256 * 1024 * 1024
+
+
+def _local_size(path: str) -> int | None:
+    if "://" in path and not path.startswith("file:"):
+        return None
+    p = path.replace("file:", "", 1)
+    if os.path.isfile(p):
+        return os.path.getsize(p)
+    if os.path.isdir(p):
+        return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(p) for f in fs)
+    return None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    size = _local_size(path)
+    if size is not None and size < SPREAD_BELOW_BYTES:
+        sc = getattr(spark, "sparkContext", None)
+        n = sc.defaultParallelism if sc is not None else 8
+        if n > 1:
+            df = df.repartition(n)
+    return df
 
 
 def checkpoint_root(spark: SparkSession) -> str:
