@@ -369,7 +369,7 @@ def q_scan_markers(spark, sf_dir):
     path = scratch_path(spark, "markers")
     (m.select(name.alias("name"), F.coalesce(F.col("marker").cast("string"), F.lit("")).alias("value"))
      .write.partitionBy("name").text(path))
-    return SRC.read_markers(spark, path).select("file", "start", "marker")
+    return SRC.read_markers(spark, path, "*_marker_*.txt/part-*").select("file", "start", "marker")
 
 
 @register("url_index", with_views(

@@ -90,17 +90,36 @@ def read_review_objects(spark: SparkSession, path: str, response_status: str | N
     return df
 
 
-def read_markers(spark: SparkSession, path: str) -> DataFrame:
+def _list_files(spark: SparkSession, path: str, glob: str) -> list[tuple[str, int]]:
+    """(path, length) of the files matching ``path/glob`` through the Hadoop
+    FileSystem API: metadata only, the same listing any file read does."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")
+    statuses = pattern.getFileSystem(conf).globStatus(pattern) or []
+    return [(st.getPath().toString(), st.getLen()) for st in statuses if st.isFile()]
+
+
+def read_markers(spark: SparkSession, path: str, glob: str = "*_marker_*.txt") -> DataFrame:
     """``(name, file, start, marker)``; ``marker`` NULL when the content is
-    empty or not a number (an unreadable marker). ``binaryFile`` lists empty
-    files too, which a text reader would skip."""
-    raw = spark.read.format("binaryFile").load(path)
-    content = F.trim(F.decode(F.col("content"), "UTF-8"))
-    return raw.select(
+    empty or not a number (an unreadable marker).
+
+    File readers give no row for an empty file, so the marker files are listed
+    (one per worker range: a small control set) and their contents, read by
+    ``binaryFile``, are joined on."""
+    files = _list_files(spark, path, glob)
+    listed = spark.createDataFrame(files, "path string, length long")
+    if any(n > 0 for _, n in files):
+        content = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{glob}").select(
+            "path", F.trim(F.decode(F.col("content"), "UTF-8")).alias("text"))
+        m = listed.join(content, "path", "left")
+    else:
+        m = listed.withColumn("text", F.lit(None).cast("string"))
+    return m.select(
         F.col("path").alias("name"),
         F.regexp_extract("path", r"-([^-/]*)_marker_", 1).alias("file"),
         E.marker_start("path").try_cast("int").alias("start"),
-        content.try_cast("int").alias("marker"))
+        F.col("text").try_cast("int").alias("marker"))
 
 
 def url_counts(urls: DataFrame) -> DataFrame:
