@@ -73,8 +73,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only where it is unset (local tests) a fresh
-    folder under /tmp is made and set, so ``DataFrame.checkpoint`` works too.
+    Read from the session. Only a local-mode session (tests, bench) without
+    one gets a fresh folder under /tmp; a cluster session without one is an
+    error, since a machine-local folder is not shared by the executors.
     """
     sc = getattr(spark, "sparkContext", None)
     current = sc.getCheckpointDir() if sc is not None else None
@@ -82,6 +83,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if sc is not None:
         sc.setCheckpointDir(conf)
