@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.session import at_most
+from reviewlake.session import fits_broadcast
 
-# Largest side broadcast without question (rows). Above it the join shuffles
-# and AQE (skew join on) splits hot keys of the large side.
+# Largest side broadcast (rows and bytes, both checked). Above either the join
+# shuffles, and AQE (skew join on) splits hot keys of the large side.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only if its row count
-    is checked to be within ``max_rows``; otherwise a shuffle join."""
-    if at_most(small, max_rows):
+               max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join ``big`` with ``small``, broadcasting ``small`` only if it is checked
+    to hold at most ``max_rows`` rows and ``max_bytes`` bytes; otherwise a
+    shuffle join."""
+    if fits_broadcast(small, max_rows, max_bytes):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
 
 def range_join(points: DataFrame, ranges: DataFrame, key: str, point: str, lo: str, hi: str,
-               bucket_width: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               bucket_width: int, max_rows: int = BROADCAST_MAX_ROWS,
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Inner join ``points`` to ``ranges`` on ``key`` equality and ``lo <= point <= hi``.
 
     Small ``ranges`` (checked) are broadcast: the equi-key keeps it a hash join
@@ -31,7 +34,7 @@ def range_join(points: DataFrame, ranges: DataFrame, key: str, point: str, lo: s
     the join runs on (key, bucket): a hot key spreads over many buckets.
     """
     cond = [key]
-    if at_most(ranges, max_rows):
+    if fits_broadcast(ranges, max_rows, max_bytes):
         j = points.join(F.broadcast(ranges), cond)
         return j.where(F.col(point).between(F.col(lo), F.col(hi)))
     b = "_bucket"

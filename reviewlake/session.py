@@ -99,8 +99,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast: True if ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n+1).count()`` stops scanning once the bound is exceeded.
-    """
+    """True if ``df`` has at most ``max_rows`` rows (``limit(n+1)`` stops early)."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Size check before a broadcast: at most ``max_rows`` rows and at most
+    ``max_bytes`` of data, measured in one pass over at most ``max_rows + 1``
+    rows (the value bytes of every column, 8 for a NULL or a number)."""
+    from pyspark.sql import functions as F
+    width = None
+    for c in df.columns:
+        w = F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(8))
+        width = w if width is None else width + w
+    width = width if width is not None else F.lit(0)
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).collect()[0]
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
