@@ -71,8 +71,8 @@ def response_status(key: Column | str) -> Column:
 def repack(reviews: DataFrame, metas: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Attach the hotel record to each review of the same document.
 
-    Many-to-one equi-join; the hotel side is broadcast only after a row-count
-    check, else a shuffle join where AQE splits a hot document.
+    Many-to-one equi-join; the hotel side is broadcast only after a size
+    check (rows and bytes), else a shuffle join where AQE splits a hot document.
     """
     return join_small(reviews, metas, doc)
 
@@ -137,6 +137,24 @@ def parse_documents(text: DataFrame, value: str = "value") -> DataFrame:
     return text.withColumn("entries", F.get(parsed, 0))
 
 
+def rejected_documents(docs: DataFrame, entries: str = "entries") -> DataFrame:
+    """SURVEY D15 and F5: documents the split leaves out, with a reason —
+    ``unparsable`` (empty array, broken JSON), ``no hotel key`` or
+    ``several hotel keys``. Row-local, like the split."""
+    m = F.col(entries)
+    n_meta = F.size(F.map_filter(m, lambda k, v: F.left(k, F.lit(1)) == HOTEL_META))
+    reason = (F.when(m.isNull(), F.lit("unparsable"))
+              .when(n_meta == 0, F.lit("no hotel key"))
+              .when(n_meta > 1, F.lit("several hotel keys")))
+    return docs.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def rejected_reviews(reviews: DataFrame) -> DataFrame:
+    """SURVEY D8: extracted reviews without a user id (no link in the block)
+    are kept apart instead of ending the page."""
+    return reviews.where(F.col("id_user").isNull()).withColumn("reason", F.lit("no user link"))
+
+
 def split_documents(docs: DataFrame, review_schema: str, hotel_schema: str,
                     entries: str = "entries") -> DataFrame:
     """P1 on documents, row-local: F5 keeps documents with exactly one ``g`` key,

@@ -84,6 +84,16 @@ def test_extract_reviews(spark):
     assert b.review_response is None and b.responder is None and b.trip_type is None
 
 
+def test_review_without_user_link_is_rejected(spark):
+    from reviewlake.operators.documents import rejected_reviews
+    block = BLOCK_PLAIN.replace('<a href="/Profile/bob">Bob</a>', "<b>Bob</b>")
+    df = spark.createDataFrame([(1, 1, URL1, f"<html>{block}{LAST}</html>")],
+                               "doc_id long, page_no int, url string, html string")
+    r = X.extract_reviews(df)
+    assert r.count() == 1 and r.collect()[0].id_user is None
+    assert [x.reason for x in rejected_reviews(r).collect()] == ["no user link"]
+
+
 def test_extract_links(spark):
     got = {(r.doc_id, r.page_no): (r.next_disabled, r.next_url)
            for r in X.extract_links(_pages(spark)).collect()}

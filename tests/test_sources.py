@@ -112,6 +112,9 @@ def test_hotel_documents_reference_layout(spark, scratch):
     got = sorted((r.object_key, r.response_status, r.lang) for r in split)
     assert got == [("g1234-d12345-N-02-2020-bob", "no_response", "null"),
                    ("g1234-d12345-Y-01-2020-ann", "response", "en")]
+    from reviewlake.operators.documents import rejected_documents
+    rej = sorted(r.reason for r in rejected_documents(docs).collect())
+    assert rej == ["no hotel key", "several hotel keys", "unparsable", "unparsable"]
     one = [r for r in split if r.response_status == "response"][0]
     assert one.meta_data.amenities == ["Pool", "Bar"] and one.review.review_response == "Thanks"
     # P2 with the K2 sink: directories by status and language
