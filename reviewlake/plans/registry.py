@@ -657,3 +657,58 @@ def q_stream_split(spark, sf_dir):
     return objs.select("object_key", "response_status", "lang", "hotel_key",
                        F.col("meta_data.name_hotel").alias("name_hotel"), "review_key",
                        "review.id_user", "review.review_date", "review.review_text", "review.review_response")
+
+
+# --------------------------------------------------------------------------- scalar expressions
+
+def _event_fields(spark, sf_dir):
+    """Review-page field texts derived from ``events`` (FIXTURES: month text of E3)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    t = F.col("ts").cast("timestamp")
+    when_text = (F.when(F.col("event_type") == "view", F.date_format(t, "MMMM yyyy"))
+                 .when(F.col("event_type") == "signup", F.date_format(t, "MMM yyyy"))
+                 .when(F.col("event_type") == "purchase", F.date_format(t, "MMM d, yyyy"))
+                 .otherwise(F.lit("nonsense")))
+    raw = F.concat(F.lit(E.REVIEW_PREFIX), when_text)
+    user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    header = F.when(F.col("event_type") == "error", F.array(user)).otherwise(F.array(user, raw))
+    u = F.col("user_id")
+    bubble = F.concat(F.lit("ui_bubble_rating bubble_"), (u % 5 + 1).cast("string"), ((u % 2) * 5).cast("string"))
+    resp = (F.when(u % 3 == 0, F.concat(F.lit("Response from U"), u.cast("string"), F.lit(", Owner at Inn")))
+            .when(u % 3 == 1, F.lit("Response from Desk")))
+    eid = F.col("event_id")
+    url = F.when(eid % 7 == 3, F.lit("https://h.example/other")).otherwise(F.concat(
+        F.lit("https://h.example/Hotel_Review-g"), (eid + 1000).cast("string"), F.lit("-d"),
+        (eid * 3 + 10000).cast("string"), F.lit("-R.html")))
+    href = F.concat(F.lit("/Hotel_Review-or"), (u * 5).cast("string"), F.lit(".html"))
+    return ev.select("event_id", header.alias("header"), raw.alias("raw"), bubble.alias("bubble"),
+                     resp.alias("resp"), url.alias("url"), href.alias("href"), user.alias("user"))
+
+
+@register("scalar_expressions", r"""
+    SELECT event_id,
+           CASE WHEN event_type IN ('view', 'signup', 'purchase') THEN strftime(ts, '%m-%Y') ELSE '00-0000' END
+           AS review_date,
+           CASE WHEN event_type IN ('view', 'signup', 'purchase') THEN strftime(ts, '%m-%Y')
+                ELSE ' wrote a review nonsense' END AS processed,
+           concat(CAST(user_id % 5 + 1 AS VARCHAR), '.', CAST((user_id % 2) * 5 AS VARCHAR)) AS review_rating,
+           CASE user_id % 3 WHEN 0 THEN concat('U', CAST(user_id AS VARCHAR))
+                            WHEN 1 THEN 'Response from Desk' END AS responder,
+           CASE WHEN user_id % 3 = 0 THEN ' Owner' END AS responder_title,
+           CASE WHEN event_id % 7 = 3 THEN NULL
+                ELSE concat('g', CAST(event_id + 1000 AS VARCHAR), '-d', CAST(event_id * 3 + 10000 AS VARCHAR)) END
+           AS hotel_id,
+           concat('https://www.tripadvisor.ca/Hotel_Review-or', CAST(user_id * 5 AS VARCHAR), '.html') AS next_url,
+           concat(CASE WHEN user_id % 3 = 2 THEN 'N' ELSE 'Y' END, '-',
+                  CASE WHEN event_type IN ('view', 'signup', 'purchase') THEN strftime(ts, '%m-%Y') ELSE '00-0000' END,
+                  '-u', CAST(user_id AS VARCHAR)) AS review_key
+    FROM events""")
+def q_scalar_expressions(spark, sf_dir):
+    f = _event_fields(spark, sf_dir)
+    name, title = E.responder("resp")
+    date = E.review_month("header")
+    return f.select(
+        "event_id", date.alias("review_date"), E.process_date("raw").alias("processed"),
+        E.bubble_rating("bubble").alias("review_rating"), name.alias("responder"), title.alias("responder_title"),
+        E.hotel_id("url").alias("hotel_id"), E.next_page_url("href").alias("next_url"),
+        E.review_key("resp", date, "user").alias("review_key"))
