@@ -117,3 +117,21 @@ def test_stream_restart_adds_nothing(spark, scratch):
         f.write(extra + "\n")
     start_split_stream(spark, f"{docs}/*", out, ckpt).awaitTermination()
     assert read_split_output(spark, out).count() == first + 1
+
+
+def test_split_then_rebuild_gives_same_documents(spark):
+    from reviewlake import schemas as S
+    from reviewlake.operators import documents as D
+    from reviewlake.plans.registry import FX_HOTEL_FIELDS, FX_REVIEW_FIELDS, _fx_documents
+    docs = D.parse_documents(_fx_documents(spark, SF_CHECK), "document")
+    kept = docs.where(F.size(F.map_filter("entries", lambda k, v: F.left(k, F.lit(1)) == "g")) == 1)
+    split = D.split_documents(kept, S.REVIEW, S.HOTEL)
+    hotels = split.select("doc_id", "hotel_key", F.col("meta_data.*")).dropDuplicates(["doc_id"])
+    reviews = split.select("doc_id", F.lit(1).alias("page_no"), F.lit(0).alias("pos"), F.col("review.*"))
+    rebuilt = D.parse_documents(D.hotel_documents(hotels, reviews, FX_HOTEL_FIELDS, FX_REVIEW_FIELDS),
+                                "document")
+
+    def keyed(df):
+        return {r.doc_id: (sorted(r.entries.keys()), sorted(r.entries.values()))
+                for r in df.select("doc_id", "entries").collect()}
+    assert keyed(rebuilt) == keyed(kept)
