@@ -136,6 +136,12 @@ def extract_hotels(pages: DataFrame, html: str = "html", url: str = "url") -> Da
                                                 "number_of_reviews", "total_rating")})
 
 
+def count_blocks(html: Column | str) -> Column:
+    """Number of review blocks on a page (no explode)."""
+    h = F.col(html) if isinstance(html, str) else html
+    return F.greatest(F.size(F.split(h, H.open_tag_regex(REVIEW_BLOCK))) - 1, F.lit(0))
+
+
 def review_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
     """X2 split: one row per review block (``block_pos`` 0-based in the page).
     The last block is cut where the pagination starts."""

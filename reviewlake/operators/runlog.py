@@ -19,12 +19,14 @@ from reviewlake.operators.joins import join_small
 REASON_OF_STATUS = {"fetch_failed": S.RUN_REASON_FAILED, "banned": "banned"}
 
 
-def run_log(pages: DataFrame, reviews: DataFrame, fetches: DataFrame | None = None,
+def run_log(pages: DataFrame, reviews: DataFrame | None = None, fetches: DataFrame | None = None,
             hotel: str = "doc_id") -> DataFrame:
     """``pages(hotel, page_no, url, status)``, ``reviews(hotel, page_no, ...)``,
     optional ``fetches(hotel, page_no, fetched_at, elapsed_s)`` ->
     ``RUN_LOG`` rows: hotel_id, status, n_reviews, runtime_s, url, reason, finish_time.
 
+    With ``reviews=None`` the pages carry ``n_reviews``, the reviews found on
+    each page, so the page table is the only input read for the counts.
     Every step is a per-hotel aggregate with map-side partial aggregation; the
     per-hotel table (one row per hotel) is joined back by a checked join.
     """
@@ -34,9 +36,13 @@ def run_log(pages: DataFrame, reviews: DataFrame, fetches: DataFrame | None = No
         F.min_by(F.col("status"), F.when(bad, F.col("page_no"))).alias("stop_status"),
         F.min_by(F.col("url"), F.col("page_no")).alias("url"))
     limit = F.coalesce(F.col("stop_page"), F.lit(2**31 - 1))
-    counted = (join_small(reviews.select(hotel, "page_no"), per_hotel.select(hotel, "stop_page"), hotel)
+    if reviews is None:
+        found = pages.select(hotel, "page_no", F.col("n_reviews").alias("_n"))
+    else:
+        found = reviews.select(hotel, "page_no", F.lit(1).alias("_n"))
+    counted = (join_small(found, per_hotel.select(hotel, "stop_page"), hotel)
                .where(F.col("page_no") < limit)
-               .groupBy(hotel).agg(F.count(F.lit(1)).alias("n_reviews")))
+               .groupBy(hotel).agg(F.sum("_n").alias("n_reviews")))
     out = per_hotel.join(counted, hotel, "left")
     if fetches is not None:
         f = (join_small(fetches, per_hotel.select(hotel, "stop_page"), hotel)

@@ -99,7 +99,7 @@ from reviewlake import sinks as K  # noqa: E402
 from reviewlake.functions import expr as E  # noqa: E402
 from reviewlake.operators import documents as D  # noqa: E402
 from reviewlake.sources import readers as SRC  # noqa: E402
-from reviewlake.session import scratch_path  # noqa: E402
+from reviewlake.session import checkpoint_root, scratch_path  # noqa: E402
 
 FX_REVIEW_FIELDS = ["id_user", "review_date", "review_language", "review_text", "review_response"]
 FX_HOTEL_FIELDS = ["id_hotel", "name_hotel", "total_rating"]
@@ -609,10 +609,15 @@ _RUN_LOG_SQL = r"""
 
 
 def _run_log(spark, sf_dir):
-    pages = _rendered(spark, sf_dir)
-    reviews = X.review_blocks(pages.where(F.col("status") == "ok")).select("doc_id", "page_no")
+    # one pass over the page HTML gives a narrow page table; it is checkpointed
+    # so the three uses below do not render and gate the pages three times
+    pages = _rendered(spark, sf_dir).select(
+        "doc_id", "page_no", "url", "status",
+        F.when(F.col("status") == "ok", X.count_blocks("html")).otherwise(F.lit(0)).alias("n_reviews"))
+    checkpoint_root(spark)
+    pages = pages.checkpoint(eager=True)
     fetches = RD.fetch_log(spark, sf_dir, pages.select("doc_id", "page_no"))
-    return run_log(pages.select("doc_id", "page_no", "url", "status"), reviews, fetches)
+    return run_log(pages, None, fetches)
 
 
 def _fmt_finish(df):
