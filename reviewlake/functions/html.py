@@ -72,15 +72,46 @@ def text_fragments(inner: Column) -> Column:
     return F.transform(nodes, decode_entities)
 
 
-def texts(html: Column, selector: str) -> Column:
-    """array<string>: text fragments of all elements matching ``selector``, in order
-    (Scrapy's ``selector *::text`` / ``selector::text`` on these pages)."""
-    return F.flatten(F.transform(inner_html(html, selector), text_fragments))
-
-
-def first_text(html: Column, selector: str) -> Column:
-    """``extract_first()`` of the text fragments, NULL if none."""
-    return F.get(texts(html, selector), 0)
+# HTML void elements (no closing tag, no content).
+VOID_ELEMENTS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+                 "source", "track", "wbr"]
+_TOKEN = r"(?s)(<!--.*?-->|<[^>]*>|[^<]+)"
+
+
+def texts_by_depth(inner: Column) -> Column:
+    """struct<own: array<string>, desc: array<string>>: the element's own text
+    nodes (``X::text``) and its descendants' text nodes (``X *::text``), in
+    document order. One pass over the tag/text tokens keeps the depth."""
+    toks = F.regexp_extract_all(inner, F.lit(_TOKEN), F.lit(1))
+    empty = F.array().cast("array<string>")
+    init = F.struct(F.lit(0).alias("d"), empty.alias("own"), empty.alias("desc"))
+
+    def step(acc: Column, t: Column) -> Column:
+        is_tag = t.startswith("<")
+        is_close = t.startswith("</")
+        name = F.lower(F.regexp_extract(t, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
+        is_open = (is_tag & ~is_close & ~t.startswith("<!") & ~t.endswith("/>")
+                   & (name != "") & ~name.isin(VOID_ELEMENTS))
+        d = acc["d"]
+        text = decode_entities(t)
+        return F.struct(
+            F.when(is_close, d - 1).when(is_open, d + 1).otherwise(d).alias("d"),
+            F.when(~is_tag & (d <= 0), F.array_append(acc["own"], text)).otherwise(acc["own"]).alias("own"),
+            F.when(~is_tag & (d > 0), F.array_append(acc["desc"], text)).otherwise(acc["desc"]).alias("desc"))
+
+    return F.aggregate(toks, init, step)
+
+
+def texts(html: Column, selector: str, descendants: bool = True) -> Column:
+    """array<string>: text nodes of all elements matching ``selector``, in order:
+    descendants' text (``selector *::text``) or own text (``selector::text``)."""
+    part = "desc" if descendants else "own"
+    return F.flatten(F.transform(inner_html(html, selector), lambda x: texts_by_depth(x)[part]))
+
+
+def first_text(html: Column, selector: str, descendants: bool = True) -> Column:
+    """``extract_first()`` of :func:`texts`, NULL if none."""
+    return F.get(texts(html, selector, descendants), 0)
 
 
 def has_element(html: Column, selector: str) -> Column:

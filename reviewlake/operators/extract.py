@@ -22,37 +22,38 @@ FAILED_BODY = "Emergency"
 BANNED_MARK = "banned"
 
 # CSS selectors of the review pages. (field, selector, mode)
-# mode: "first" = first text fragment, "texts" = all fragments,
+# mode: "own_first" / "own_all" = the element's own text (``X::text``),
+# "desc_first" / "desc_all" = its descendants' text (``X *::text``),
 # "attr:<name>" = attribute of the first match.
 HOTEL_SELECTORS = [
-    ("grades", "span.oPMurIUj", "texts"),
-    ("name_hotel", "h1._1mTlpMC3", "first"),
-    ("address_hotel", "span._3ErVArsu", "first"),
-    ("ranking_hotel", "span._28eYYeHH", "first"),
-    ("number_of_reviews", "span._3jEYFo-z", "first"),
-    ("amenities", "div._2rdvbNSg", "texts"),
-    ("total_rating", "span._3cjYfwwQ", "first"),
-    ("good_to_know", "div._2dtF3ueh", "texts"),
+    ("grades", "span.oPMurIUj", "own_all"),
+    ("name_hotel", "h1._1mTlpMC3", "own_first"),
+    ("address_hotel", "span._3ErVArsu", "own_first"),
+    ("ranking_hotel", "span._28eYYeHH", "own_first"),
+    ("number_of_reviews", "span._3jEYFo-z", "own_first"),
+    ("amenities", "div._2rdvbNSg", "own_all"),
+    ("total_rating", "span._3cjYfwwQ", "own_first"),
+    ("good_to_know", "div._2dtF3ueh", "own_all"),
     ("class_title", "svg._2aZlo29m", "attr:title"),
-    ("mentions", "div._3oYukhTK", "texts"),
-    ("description", "div._2f_ruteS._1bona3Pu._2-hMril5", "texts"),
+    ("mentions", "div._3oYukhTK", "desc_all"),
+    ("description", "div._2f_ruteS._1bona3Pu._2-hMril5", "desc_all"),
 ]
 SUBRATING_SELECTOR = "div._1krg1t5y"
 SUBRATING_CATEGORIES = ["location", "cleanliness", "service", "value"]
 SUBRATING_CLASS_POS = [1, 4, 7, 10]   # class position for the i-th sub-rating text
 REVIEW_BLOCK = "div._2wrUUKlw"
 REVIEW_SELECTORS = [
-    ("responder_raw", "div._204cKjWJ", "first"),
+    ("responder_raw", "div._204cKjWJ", "own_first"),
     ("bubble_class", "span.ui_bubble_rating", "attr:class"),
     ("user_href", "a", "attr:href"),
-    ("header", "div._2fxQ4TOx", "texts"),
-    ("stay", "span._34Xs-BQm", "texts"),
-    ("trip_type", "span._2bVY3aT5", "first"),
-    ("helpful_votes", "span._3kbymg8R._3kbymg8R", "first"),
-    ("reviewer_location", "span._1TuWwpYf", "first"),
-    ("review_title", "div.glasR4aX", "first"),
-    ("text_fragments", "q.IRsGHoPm", "texts"),
-    ("response_fragments", "span.sT5TMxg3", "texts"),
+    ("header", "div._2fxQ4TOx", "desc_all"),
+    ("stay", "span._34Xs-BQm", "desc_all"),
+    ("trip_type", "span._2bVY3aT5", "own_first"),
+    ("helpful_votes", "span._3kbymg8R._3kbymg8R", "own_first"),
+    ("reviewer_location", "span._1TuWwpYf", "desc_first"),
+    ("review_title", "div.glasR4aX", "desc_first"),
+    ("text_fragments", "q.IRsGHoPm", "desc_all"),
+    ("response_fragments", "span.sT5TMxg3", "desc_all"),
 ]
 NEXT_LINK = "a.ui_button.nav.next.primary"
 NEXT_DISABLED = "span.ui_button.nav.next.primary.disabled"
@@ -60,10 +61,10 @@ PAGINATION_START = r'(?s)<div class="ui_pagination.*$'
 
 
 def _select(html: Column, selector: str, mode: str) -> Column:
-    if mode == "first":
-        return H.first_text(html, selector)
-    if mode == "texts":
-        return H.texts(html, selector)
+    if mode in ("own_first", "desc_first"):
+        return H.first_text(html, selector, descendants=mode.startswith("desc"))
+    if mode in ("own_all", "desc_all"):
+        return H.texts(html, selector, descendants=mode.startswith("desc"))
     if mode.startswith("attr:"):
         return F.get(H.attr_values(html, selector, mode[5:]), 0)
     raise ValueError(mode)
@@ -101,7 +102,7 @@ def subratings(html: Column) -> Column:
         return F.struct(
             F.flatten(F.transform(inner, lambda x: F.regexp_extract_all(x, F.lit(_CLASS_ATTR), F.lit(1))))
             .alias("classes"),
-            F.flatten(F.transform(inner, H.text_fragments)).alias("texts"))
+            F.flatten(F.transform(inner, lambda x: H.texts_by_depth(x)["desc"])).alias("texts"))
 
     def pick(ct: Column) -> Column:
         cls, txt = ct["classes"], ct["texts"]
