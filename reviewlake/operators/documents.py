@@ -155,6 +155,20 @@ def rejected_reviews(reviews: DataFrame) -> DataFrame:
     return reviews.where(F.col("id_user").isNull()).withColumn("reason", F.lit("no user link"))
 
 
+def pseudonymise(split: DataFrame) -> DataFrame:
+    """SURVEY 7.4: replace ``id_user`` and ``name_user`` of split review objects
+    by their SHA-256 and rebuild the review and object keys from the hashed id.
+    The hash is deterministic, so keys stay stable from run to run and the
+    last-wins merges still see one key per review; no raw id is left in a key."""
+    hid = F.sha2(F.col("review.id_user"), 256)
+    review = F.col("review").withField("id_user", hid).withField(
+        "name_user", F.sha2(F.col("review.name_user"), 256))
+    key = E.review_key(F.col("review.review_response"), F.col("review.review_date"), hid)
+    return (split.withColumn("review", review)
+            .withColumn("review_key", key)
+            .withColumn("object_key", E.object_key("hotel_key", key)))
+
+
 def split_documents(docs: DataFrame, review_schema: str, hotel_schema: str,
                     entries: str = "entries") -> DataFrame:
     """P1 on documents, row-local: F5 keeps documents with exactly one ``g`` key,

@@ -26,9 +26,12 @@ def backfill_resplit(spark: SparkSession, prefix: str, whole_file: bool = False)
     return split_job(SRC.read_hotel_documents(spark, prefix, whole_file))
 
 
-def split_to_sink(spark: SparkSession, prefix: str, out: str, whole_file: bool = False) -> str:
-    """P1/P2 with the K2 sink."""
+def split_to_sink(spark: SparkSession, prefix: str, out: str, whole_file: bool = False,
+                  pseudonymise: bool = False) -> str:
+    """P1/P2 with the K2 sink; ``pseudonymise`` hashes the user fields first."""
     split = backfill_resplit(spark, prefix, whole_file).drop("entries", "value", "source")
+    if pseudonymise:
+        split = D.pseudonymise(split)
     return K.write_split_reviews(split, out)
 
 

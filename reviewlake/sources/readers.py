@@ -35,16 +35,18 @@ def parse_sitemaps(docs: DataFrame, value: str = "value", file: str = "file") ->
         file, F.col("idx").cast("bigint").alias("idx"), decode_entities(F.trim(F.col("url"))).alias("url"))
 
 
-def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
+def read_sitemaps(spark: SparkSession, path: str, num_partitions: int | None = None) -> DataFrame:
     """``(file, idx, url)`` from ``.xml`` or ``.xml.gz`` files under ``path``.
 
-    ``file`` is the file id (E13): text after the last ``-`` of the name.
+    ``file`` is the file id (E13): text after the last ``-`` of the name. A
+    gzip file is one task; ``num_partitions`` spreads the URLs afterwards.
     """
     name = F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1)
     stem = F.regexp_replace(name, r"\.xml(\.gz)?$", "")
     raw = spark.read.text(path, wholetext=True).select(
         "value", E.sitemap_file_id(F.concat(stem, F.lit(".xml.gz"))).alias("file"))
-    return parse_sitemaps(raw)
+    urls = parse_sitemaps(raw)
+    return urls.repartition(num_partitions) if num_partitions else urls
 
 
 def parse_robots(lines: DataFrame, line: str = "line") -> DataFrame:

@@ -123,3 +123,11 @@ def test_hotel_documents_reference_layout(spark, scratch):
     assert sorted((r.response_status, r.lang) for r in back.collect()) == [("no_response", "null"),
                                                                            ("response", "en")]
     assert len(S.HOTEL_FIELDS) == 19 and len(S.REVIEW_FIELDS) == 13
+    # pseudonymised export: no raw user id anywhere, keys stable across runs
+    p1 = spark.read.json(J.split_to_sink(spark, d, f"{scratch}/p1", whole_file=True, pseudonymise=True))
+    p2 = spark.read.json(J.split_to_sink(spark, d, f"{scratch}/p2", whole_file=True, pseudonymise=True))
+    keys1 = sorted(r.object_key for r in p1.collect())
+    assert keys1 == sorted(r.object_key for r in p2.collect())
+    assert not any("ann" in k or "bob" in k for k in keys1)
+    assert {r.review.id_user for r in p1.collect()} == {
+        __import__("hashlib").sha256(b"ann").hexdigest(), __import__("hashlib").sha256(b"bob").hexdigest()}
