@@ -32,7 +32,7 @@ def _truncated(text: Column) -> Column:
 
 def with_verdict(objects: DataFrame, key: str = "object_key", text: str = "review_text",
                  response: str = "review_response") -> DataFrame:
-    """Add ``response_lang`` and ``verdict`` (first rule wins).
+    """Add ``detected_lang`` and ``verdict`` (first rule wins).
 
     The language tag is computed only for rows that reach rule (c): a CASE
     branch is evaluated lazily, so dropped and truncated rows skip tokenising.
@@ -40,10 +40,10 @@ def with_verdict(objects: DataFrame, key: str = "object_key", text: str = "revie
     k, t, r = F.col(key), F.col(text), F.col(response)
     early = F.when(_no_review(k, t), F.lit(VERDICT_DROPPED)).when(_truncated(t), F.lit(REASON_TRUNCATED))
     lang = F.when(early.isNull(), language_tag(r))
-    out = objects.withColumn("response_lang", lang)
+    out = objects.withColumn("detected_lang", lang)
     verdict = F.coalesce(
         early,
-        F.when(F.coalesce(F.col("response_lang"), F.lit("")) != KEEP_LANGUAGE, F.lit(REASON_NOT_ENGLISH)),
+        F.when(F.coalesce(F.col("detected_lang"), F.lit("")) != KEEP_LANGUAGE, F.lit(REASON_NOT_ENGLISH)),
         F.lit(VERDICT_KEEP))
     return out.withColumn("verdict", verdict)
 
@@ -73,11 +73,33 @@ def merge_last_wins(gated: DataFrame, key: str = "object_key", pos: str = "objec
     return best.select("chunk_id", "is_bad", key, "w.*")
 
 
-def rollup(objects: DataFrame, chunk_size: int | None = None) -> DataFrame:
-    """P3 body: gate, chunk, merge. ``chunk_size=None`` puts everything in chunk 0."""
-    gated = with_verdict(objects)
+def rollup_winners(objects: DataFrame, chunk_size: int | None = None, key: str = "object_key",
+                   pos: str = "object_pos") -> DataFrame:
+    """P3 body on narrow rows: gate (the only pass that reads the texts), chunk,
+    merge. ``chunk_size=None`` puts everything in chunk 0 (P4).
+
+    Output ``chunk_id, is_bad, object_key, object_pos, verdict, detected_lang``:
+    one kept and/or one rejected object per key and chunk. Numbering and merge
+    move only these narrow rows, never the texts."""
+    gated = with_verdict(objects, key).select(pos, key, "verdict", "detected_lang")
     if chunk_size is None:
         chunked = gated.withColumn("chunk_id", F.lit(0).cast("bigint"))
     else:
-        chunked = with_chunks(gated, chunk_size)
-    return merge_last_wins(chunked)
+        chunked = with_chunks(gated, chunk_size, key, pos).drop("list_no")
+    return merge_last_wins(chunked, key, pos)
+
+
+def rollup(objects: DataFrame, chunk_size: int | None = None, key: str = "object_key",
+           pos: str = "object_pos") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(winners, kept, rejects)``.
+
+    ``kept`` = the full objects that won as keeps, with their ``chunk_id``: the
+    one wide join of the job (``object_pos`` is unique), broadcast only when
+    the winners pass a size check. ``rejects`` = ``chunk_id, object_key,
+    reason``, narrow. Persist ``winners`` when both outputs are written."""
+    from reviewlake.operators.joins import join_small
+    winners = rollup_winners(objects, chunk_size, key, pos)
+    keep_pos = winners.where(~F.col("is_bad")).select(pos, "chunk_id", "detected_lang")
+    kept = join_small(objects, keep_pos, pos)
+    rejects = winners.where(F.col("is_bad")).select("chunk_id", key, F.col("verdict").alias("reason"))
+    return winners, kept, rejects

@@ -36,12 +36,16 @@ def split_to_sink(spark: SparkSession, prefix: str, out: str, whole_file: bool =
 
 
 def rollup_job(objects: DataFrame, out: str, chunk_size: int | None) -> tuple[str, str]:
-    """P3 (``chunk_size``) / P4 (``None``: one chunk): gate, chunk, merge, write."""
-    merged = R.rollup(objects, chunk_size).persist()
+    """P3 (``chunk_size``) / P4 (``None``: one chunk): gate, chunk, merge, write.
+
+    The narrow winners table is persisted: both writes read it, and the gate
+    (language tagging) runs once."""
+    winners, kept, rejects = R.rollup(objects, chunk_size)
+    winners.persist()
     try:
-        return K.write_rollup(merged, out)
+        return K.write_rollup(kept, rejects, out)
     finally:
-        merged.unpersist()
+        winners.unpersist()
 
 
 def review_objects_for_rollup(spark: SparkSession, split_prefix: str, response_status: str = "response",

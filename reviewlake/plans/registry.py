@@ -88,8 +88,8 @@ def q_rollup_chunks(spark, sf_dir):
     f"""WITH {_GATE_SQL}, {_CHUNK_SQL}, {_MERGE_SQL}
         SELECT chunk_id, is_bad, object_key, object_pos, verdict FROM m""", "fx_review_objects"))
 def q_rollup_merge(spark, sf_dir):
-    merged = R.rollup(FX.fx_review_objects(spark, sf_dir), CHUNK_SIZE)
-    return merged.select("chunk_id", "is_bad", "object_key", "object_pos", "verdict")
+    winners = R.rollup_winners(FX.fx_review_objects(spark, sf_dir), CHUNK_SIZE)
+    return winners.select("chunk_id", "is_bad", "object_key", "object_pos", "verdict")
 
 
 # --------------------------------------------------------------------------- documents

@@ -13,7 +13,6 @@ become columns and partition directories:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_hotel_documents(docs: DataFrame, path: str) -> str:
@@ -39,18 +38,14 @@ def write_split_reviews(split: DataFrame, path: str) -> str:
     return path
 
 
-def write_rollup(merged: DataFrame, path: str) -> tuple[str, str]:
+def write_rollup(kept: DataFrame, rejects: DataFrame, path: str) -> tuple[str, str]:
     """K3: kept objects to ``compiled/``, rejects (key, reason) to ``bad/``, by chunk.
 
-    ``merged`` should be persisted by the caller: both writes read it.
+    Both usually derive from one persisted winners table (see ``jobs.rollup_job``).
     """
     good, bad = f"{path}/compiled", f"{path}/bad"
-    keep_cols = [c for c in merged.columns if c not in ("is_bad", "verdict")]
-    (merged.where(~F.col("is_bad")).select(*keep_cols)
-     .write.mode("overwrite").partitionBy("chunk_id").json(good))
-    (merged.where(F.col("is_bad"))
-     .select("chunk_id", "object_key", F.col("verdict").alias("reason"))
-     .write.mode("overwrite").partitionBy("chunk_id").json(bad))
+    kept.write.mode("overwrite").partitionBy("chunk_id").json(good)
+    rejects.write.mode("overwrite").partitionBy("chunk_id").json(bad)
     return good, bad
 
 

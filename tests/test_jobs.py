@@ -37,9 +37,12 @@ def test_gate_totals_and_merge(spark):
     gated = R.with_verdict(o)
     counts = {r.verdict: r.n for r in R.verdict_counts(gated).collect()}
     assert sum(counts.values()) == o.count()
-    merged = R.rollup(o, 100)
-    # one row per (chunk, keep/reject, key)
-    assert merged.groupBy("chunk_id", "is_bad", "object_key").count().where("count > 1").count() == 0
+    winners, kept, rejects = R.rollup(o, 100)
+    # one row per (chunk, keep/reject, key); kept rows are whole objects
+    assert winners.groupBy("chunk_id", "is_bad", "object_key").count().where("count > 1").count() == 0
+    assert kept.count() == winners.where("not is_bad").count()
+    assert rejects.count() == winners.where("is_bad").count()
+    assert "review_text" in kept.columns
 
 
 def test_global_row_number_matches_window(spark):
