@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import expr as E
 from reviewlake.operators.joins import join_small
+from reviewlake.session import checkpoint_root
 
 # Largest number of reviews put into one exported document. A hotel with more
 # is exported as several documents, each carrying the hotel record, so no
@@ -107,11 +108,16 @@ def hotel_documents(hotels: DataFrame, reviews: DataFrame, hotel_fields: list[st
     key; every part repeats the hotel entry. Groups stay bounded.
     Output: ``doc, part, n_keys, document``.
     """
-    r = dedup_reviews(reviews, doc)
-    counts = r.groupBy(doc).agg(F.count(F.lit(1)).alias("_n"))
+    # parts per hotel from the raw review count (an upper bound of the count
+    # after dedup, so parts stay within max_reviews): a partial aggregate with
+    # no dedup shuffle. The table (hotels above the bound only) is checkpointed
+    # once; the size check and both joins read it.
+    counts = reviews.groupBy(doc).agg(F.count(F.lit(1)).alias("_n"))
     big = counts.where(F.col("_n") > max_reviews).select(
         doc, F.ceil(F.col("_n") / max_reviews).cast("int").alias("_parts"))
-    r = join_small(r, big, doc, "left")
+    checkpoint_root(reviews.sparkSession)
+    big = big.checkpoint(eager=True)
+    r = join_small(dedup_reviews(reviews, doc), big, doc, "left")
     r = r.withColumn("part", F.pmod(F.xxhash64("review_key"), F.coalesce(F.col("_parts"), F.lit(1)))
                      .cast("int"))
     rev_entries = r.select(doc, "part", F.col("review_key").alias("key"),
