@@ -96,9 +96,11 @@ def rollup(objects: DataFrame, chunk_size: int | None = None, key: str = "object
     ``kept`` = the full objects that won as keeps, with their ``chunk_id``: the
     one wide join of the job (``object_pos`` is unique), broadcast only when
     the winners pass a size check. ``rejects`` = ``chunk_id, object_key,
-    reason``, narrow. Persist ``winners`` when both outputs are written."""
+    reason``, narrow. ``winners`` comes back persisted (the size check of the
+    join and both outputs read it, and the gate must run once); the caller
+    unpersists it when done."""
     from reviewlake.operators.joins import join_small
-    winners = rollup_winners(objects, chunk_size, key, pos)
+    winners = rollup_winners(objects, chunk_size, key, pos).persist()
     keep_pos = winners.where(~F.col("is_bad")).select(pos, "chunk_id", "detected_lang")
     kept = join_small(objects, keep_pos, pos)
     rejects = winners.where(F.col("is_bad")).select("chunk_id", key, F.col("verdict").alias("reason"))

@@ -41,7 +41,6 @@ def rollup_job(objects: DataFrame, out: str, chunk_size: int | None) -> tuple[st
     The narrow winners table is persisted: both writes read it, and the gate
     (language tagging) runs once."""
     winners, kept, rejects = R.rollup(objects, chunk_size)
-    winners.persist()
     try:
         return K.write_rollup(kept, rejects, out)
     finally:

@@ -266,10 +266,11 @@ from reviewlake.plans import jobs as J  # noqa: E402
 
 
 def _read_rollup(spark, good: str, bad: str):
-    keep = spark.read.json(good).select("chunk_id", "object_key", "object_pos",
-                                        F.lit("keep").alias("kind"))
-    rej = spark.read.json(bad).select("chunk_id", "object_key", F.lit(None).cast("bigint").alias("object_pos"),
-                                      F.col("reason").alias("kind"))
+    keep = (spark.read.schema("object_key string, object_pos bigint, chunk_id bigint").json(good)
+            .select("chunk_id", "object_key", "object_pos", F.lit("keep").alias("kind")))
+    rej = (spark.read.schema("object_key string, reason string, chunk_id bigint").json(bad)
+           .select("chunk_id", "object_key", F.lit(None).cast("bigint").alias("object_pos"),
+                   F.col("reason").alias("kind")))
     return keep.unionByName(rej)
 
 

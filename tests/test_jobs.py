@@ -43,6 +43,7 @@ def test_gate_totals_and_merge(spark):
     assert kept.count() == winners.where("not is_bad").count()
     assert rejects.count() == winners.where("is_bad").count()
     assert "review_text" in kept.columns
+    winners.unpersist()
 
 
 def test_global_row_number_matches_window(spark):
