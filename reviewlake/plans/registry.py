@@ -650,7 +650,7 @@ def q_pagination_chain(spark, sf_dir):
 
 # --------------------------------------------------------------------------- streaming
 
-from reviewlake.streaming.split_stream import read_split_output, start_split_stream  # noqa: E402
+from reviewlake.streaming.split_stream import read_stream_output, start_split_stream  # noqa: E402
 
 
 @register("stream_split", with_views(f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
@@ -659,7 +659,7 @@ def q_stream_split(spark, sf_dir):
     out = scratch_path(spark, "stream_out")
     q = start_split_stream(spark, f"{docs}/*", out, scratch_path(spark, "stream_ckpt"))
     q.awaitTermination()
-    objs = read_split_output(spark, out)
+    objs = read_stream_output(spark, out)
     return objs.select("object_key", "response_status", "lang", "hotel_key",
                        F.col("meta_data.name_hotel").alias("name_hotel"), "review_key",
                        "review.id_user", "review.review_date", "review.review_text", "review.review_response")

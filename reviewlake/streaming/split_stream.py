@@ -47,6 +47,6 @@ def start_split_stream(spark: SparkSession, docs_glob: str, out_path: str, check
     return writer.start()
 
 
-def read_split_output(spark: SparkSession, out_path: str) -> DataFrame:
+def read_stream_output(spark: SparkSession, out_path: str) -> DataFrame:
     """All objects the stream has written so far."""
     return spark.read.json(out_path)

@@ -105,14 +105,14 @@ def test_language_agreement(spark):
 def test_stream_restart_adds_nothing(spark, scratch):
     from reviewlake.plans.registry import _fx_documents
     from reviewlake import sinks as K
-    from reviewlake.streaming.split_stream import read_split_output, start_split_stream
+    from reviewlake.streaming.split_stream import read_stream_output, start_split_stream
     docs = K.write_hotel_documents(_fx_documents(spark, SF_SMALL), f"{scratch}/docs")
     out, ckpt = f"{scratch}/out", f"{scratch}/ckpt"
     start_split_stream(spark, f"{docs}/*", out, ckpt).awaitTermination()
-    first = read_split_output(spark, out).count()
+    first = read_stream_output(spark, out).count()
     assert first > 0
     start_split_stream(spark, f"{docs}/*", out, ckpt).awaitTermination()   # nothing new
-    assert read_split_output(spark, out).count() == first
+    assert read_stream_output(spark, out).count() == first
     # a new landed file is picked up, and only it
     extra = '[{"g9999-d99999": {"id_hotel": "g9999-d99999"}, "Y-01-2020-zed": {"id_user": "zed", "review_response": "ok"}}]'
     import os
@@ -120,7 +120,7 @@ def test_stream_restart_adds_nothing(spark, scratch):
     with open(f"{docs}/file_id=9/new.txt", "w") as f:
         f.write(extra + "\n")
     start_split_stream(spark, f"{docs}/*", out, ckpt).awaitTermination()
-    assert read_split_output(spark, out).count() == first + 1
+    assert read_stream_output(spark, out).count() == first + 1
 
 
 def test_split_then_rebuild_gives_same_documents(spark):
