@@ -286,6 +286,7 @@ def q_rollup_job(spark, sf_dir):
 @register("rollup_sink", with_views(
     f"""WITH {_GATE_SQL}, {_CHUNK_SQL}, {_MERGE_SQL}
         SELECT chunk_id, concat('en_reviews_', CAST(chunk_id AS VARCHAR), '.json') AS file_name,
+               concat('bad_reviews', CAST(chunk_id AS VARCHAR), '.json') AS reject_file_name,
                count(*) FILTER (WHERE NOT is_bad) AS n_kept, count(*) FILTER (WHERE is_bad) AS n_rejected
         FROM m GROUP BY chunk_id""", "fx_review_objects"))
 def q_rollup_sink(spark, sf_dir):
@@ -293,6 +294,7 @@ def q_rollup_sink(spark, sf_dir):
     rows = _read_rollup(spark, good, bad)
     return rows.groupBy("chunk_id").agg(
         E.chunk_file_name(F.col("chunk_id")).alias("file_name"),
+        E.reject_file_name(F.col("chunk_id")).alias("reject_file_name"),
         F.count_if(F.col("kind") == "keep").alias("n_kept"),
         F.count_if(F.col("kind") != "keep").alias("n_rejected"))
 

@@ -98,11 +98,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/reviewlake/{name}-{uuid.uuid4().hex}"
 
 
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (``limit(n+1)`` stops early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """Size check before a broadcast: at most ``max_rows`` rows and at most
     ``max_bytes`` of data, measured in one pass over at most ``max_rows + 1``

@@ -3,8 +3,6 @@ last page with a disabled next button."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from reviewlake.operators import extract as X
 from reviewlake.operators.runlog import run_log
 
