@@ -34,6 +34,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("REVIEWLAKE_DRIVER_MEMORY", "16g"))
     )
+    event_dir = os.environ.get("REVIEWLAKE_EVENT_LOG_DIR")
+    if event_dir:   # stage/task times without the UI: Spark's event log in a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
