@@ -40,9 +40,9 @@ def shard_ranges(markers: DataFrame, urls: DataFrame) -> DataFrame:
                     F.coalesce(F.col("_next") - 1, F.col("n_urls") - 1).cast("bigint").alias("stop"))
 
 
-def shard_assignment(urls: DataFrame, ranges: DataFrame) -> DataFrame:
+def shard_assignment(urls: DataFrame, ranges: DataFrame, bucket_width: int = RANGE_BUCKET) -> DataFrame:
     """The shard holding each URL: same file and ``start <= idx <= stop``."""
-    return range_join(urls, ranges, "file", "idx", "start", "stop", RANGE_BUCKET)
+    return range_join(urls, ranges, "file", "idx", "start", "stop", bucket_width)
 
 
 def crawl_pending(assigned: DataFrame) -> DataFrame:
