@@ -30,6 +30,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # small local shuffles of text-heavy rows: keep them spread over the
+        # cores instead of coalescing a few MB of pages into one CPU-bound task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("REVIEWLAKE_DRIVER_MEMORY", "16g"))
