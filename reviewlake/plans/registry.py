@@ -456,7 +456,8 @@ from reviewlake.plans import render as RD  # noqa: E402
 
 _PAGES_SQL = f"""
     np AS (SELECT doc_id, max(page_no) AS n_pages FROM fx_reviews GROUP BY doc_id),
-    pg AS (SELECT doc_id, n_pages, unnest(range(1, n_pages + 1)) AS page_no FROM np),
+    pg AS (SELECT doc_id, n_pages, CAST(p AS INTEGER) AS page_no
+           FROM (SELECT doc_id, n_pages, unnest(range(1, n_pages + 1)) AS p FROM np)),
     pgs AS (SELECT doc_id, page_no, n_pages, {RD.PAGE_URL_SQL.format(d='doc_id', p='page_no')} AS url,
                    {RD.PAGE_STATUS_SQL.format(d='doc_id', p='page_no')} AS status FROM pg)"""
 
@@ -481,7 +482,7 @@ def q_page_gate(spark, sf_dir):
 @register("scan_pages", "SELECT page_id, url, length(html) AS n_chars FROM pages")
 def q_scan_pages(spark, sf_dir):
     return SRC.read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet").select(
-        "page_id", "url", F.length("html").alias("n_chars"))
+        "page_id", "url", F.length("html").cast("bigint").alias("n_chars"))
 
 
 @register("extract_links", with_views(

@@ -46,3 +46,7 @@ def test_query_matches_oracle(spark, duck, name):
     want = sorted(tuple(_norm(r[i]) for i in oorder) for r in rel.fetchall())
     assert sorted(cols) == sorted(ocols)
     assert got == want
+    from tools.oracle_check import SPARK_TO_DUCK
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == dict(zip(ocols, [str(t) for t in rel.types]))
