@@ -2,9 +2,10 @@
 
 A selector ``tag.c1.c2`` matches an element whose ``class`` attribute holds
 every listed class as a whole token, in any order. The element's inner HTML
-runs to the first closing tag of the same name, so a selected element must
-not nest an element of its own tag name (true for every selector the review
-pages use). Text fragments are the non-empty text nodes; entities decoded.
+ends at its matching closing tag: a non-greedy match when the element holds
+no element of its own name, a walk by tag depth when it does. Text nodes
+are split into the element's own text and its descendants' text; entities
+are decoded.
 """
 
 from __future__ import annotations
@@ -14,11 +15,19 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reviewlake.functions.common import let
+
 # The five XML entities and the numeric forms used by pages.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", " "), ("&amp;", "&")]
 
 
+# HTML void elements (no closing tag, no content).
+VOID_ELEMENTS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+                 "source", "track", "wbr"]
+_TOKEN = r"(?s)(<!--.*?-->|<[^>]*>|[^<]+)"
+
+
 def decode_entities(c: Column) -> Column:
     """Decode the common named entities (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``)."""
     out = c
@@ -53,9 +62,50 @@ def element_regex(selector: str) -> str:
     return rf"(?s){open_tag_regex(selector)}(.*?){close}"
 
 
+def _is_open_tag(t: Column) -> Column:
+    name = F.lower(F.regexp_extract(t, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
+    return (t.startswith("<") & ~t.startswith("</") & ~t.startswith("<!") & ~t.endswith("/>")
+            & (name != "") & ~name.isin(VOID_ELEMENTS))
+
+
+def _inner_by_depth(after_open: Column) -> Column:
+    """Inner HTML of an element given the text after its opening tag: tokens up
+    to the closing tag at depth 0 (any tag name counts for the depth)."""
+    toks = F.regexp_extract_all(after_open, F.lit(_TOKEN), F.lit(1))
+    init = F.struct(F.lit(0).alias("d"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+
+    def step(acc: Column, t: Column) -> Column:
+        d, n, done = acc["d"], acc["n"], acc["done"]
+        closes = t.startswith("</")
+        end = ~done & closes & (d == 0)
+        return F.struct(
+            F.when(done | end, d).when(closes, d - 1).when(_is_open_tag(t), d + 1).otherwise(d).alias("d"),
+            F.when(done | end, n).otherwise(n + 1).alias("n"),
+            (done | end).alias("done"))
+
+    state = F.aggregate(toks, init, step)
+    return F.array_join(F.slice(toks, 1, state["n"]), "")
+
+
 def inner_html(html: Column, selector: str) -> Column:
-    """array<string>: inner HTML of every element matching ``selector``."""
-    return F.regexp_extract_all(html, F.lit(element_regex(selector)), F.lit(1))
+    """array<string>: inner HTML of every element matching ``selector``.
+
+    A non-greedy match to the first closing tag of the same name is exact
+    unless the element nests an element of its own name; only then (a lazy
+    CASE branch) each element's content is walked by tag depth."""
+    quick = F.regexp_extract_all(html, F.lit(element_regex(selector)), F.lit(1))
+    tag = selector.split(".")[0]
+    if not tag:
+        return quick
+    same_open = rf"<{re.escape(tag)}\b"
+
+    def pick(q: Column) -> Column:
+        nested = F.exists(q, lambda x: F.regexp_like(x, F.lit(same_open)))
+        parts = F.split(html, open_tag_regex(selector))
+        exact = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), _inner_by_depth)
+        return F.when(nested, exact).otherwise(q)
+
+    return let(quick, pick)
 
 
 def attr_values(html: Column, selector: str, attr: str) -> Column:
@@ -72,12 +122,6 @@ def text_fragments(inner: Column) -> Column:
     return F.transform(nodes, decode_entities)
 
 
-# HTML void elements (no closing tag, no content).
-VOID_ELEMENTS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
-                 "source", "track", "wbr"]
-_TOKEN = r"(?s)(<!--.*?-->|<[^>]*>|[^<]+)"
-
-
 def texts_by_depth(inner: Column) -> Column:
     """struct<own: array<string>, desc: array<string>>: the element's own text
     nodes (``X::text``) and its descendants' text nodes (``X *::text``), in
@@ -89,9 +133,7 @@ def texts_by_depth(inner: Column) -> Column:
     def step(acc: Column, t: Column) -> Column:
         is_tag = t.startswith("<")
         is_close = t.startswith("</")
-        name = F.lower(F.regexp_extract(t, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
-        is_open = (is_tag & ~is_close & ~t.startswith("<!") & ~t.endswith("/>")
-                   & (name != "") & ~name.isin(VOID_ELEMENTS))
+        is_open = _is_open_tag(t)
         d = acc["d"]
         text = decode_entities(t)
         return F.struct(

@@ -3,6 +3,8 @@ last page with a disabled next button."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from reviewlake.operators import extract as X
 from reviewlake.operators.runlog import run_log
 
@@ -92,6 +94,20 @@ def test_review_without_user_link_is_rejected(spark):
     assert [x.reason for x in rejected_reviews(r).collect()] == ["no user link"]
 
 
+def test_nested_same_tag_elements(spark):
+    html = ('<div class="_2f_ruteS _1bona3Pu _2-hMril5"><div class="a">Para one</div>'
+            '<div class="b"><br>Para <b>two</b></div><!-- c --></div><div class="_2rdvbNSg">Pool</div>'
+            '<span class="_1TuWwpYf">own <span>City</span> tail</span>')
+    df = spark.createDataFrame([(URL1, html)], "url string, html string")
+    h = X.extract_hotels(df).collect()[0]
+    assert h.description == "Para one\nPara \ntwo"
+    assert h.amenities == ["Pool"]
+    from reviewlake.functions import html as H
+    r = df.select(H.texts(F.col("html"), "span._1TuWwpYf", descendants=False).alias("own"),
+                  H.texts(F.col("html"), "span._1TuWwpYf", descendants=True).alias("desc")).collect()[0]
+    assert r.own == ["own ", " tail"] and r.desc == ["City"]
+
+
 def test_extract_links(spark):
     got = {(r.doc_id, r.page_no): (r.next_disabled, r.next_url)
            for r in X.extract_links(_pages(spark)).collect()}
