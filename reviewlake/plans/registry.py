@@ -25,6 +25,7 @@ ORACLE: dict[str, str] = {}
 # Fixed query parameters.
 CHUNK_SIZE = 100                  # objects per roll-up chunk in the fixtures
 RUN_DATE = "2020-12-31"           # run date stamped on the daily roll-up
+STREAM_FILES_PER_BATCH = 4        # landed files per micro-batch of the incremental split
 
 
 def register(name: str, sql: str | None = None):
@@ -660,7 +661,9 @@ from reviewlake.streaming.split_stream import read_stream_output, start_split_st
 def q_stream_split(spark, sf_dir):
     docs = _written_documents(spark, sf_dir)
     out = scratch_path(spark, "stream_out")
-    q = start_split_stream(spark, f"{docs}/*", out, scratch_path(spark, "stream_ckpt"))
+    # a few files per micro-batch: the landed documents arrive in several batches
+    q = start_split_stream(spark, f"{docs}/*", out, scratch_path(spark, "stream_ckpt"),
+                           max_files_per_trigger=STREAM_FILES_PER_BATCH)
     q.awaitTermination()
     objs = read_stream_output(spark, out)
     return objs.select("object_key", "response_status", "lang", "hotel_key",
