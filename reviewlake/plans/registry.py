@@ -12,11 +12,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake import schemas as S
+from reviewlake import sinks as K
+from reviewlake.functions import expr as E
 from reviewlake.functions.language import language_tag, language_tag_sql
+from reviewlake.operators import documents as D
+from reviewlake.operators import extract as X
 from reviewlake.operators import rollup as R
+from reviewlake.operators import shards as SH
+from reviewlake.operators import sitemaps as SM
+from reviewlake.operators.documents import first_page
+from reviewlake.operators.pagination import pagination_chain
+from reviewlake.operators.runlog import run_log
 from reviewlake.plans import fixtures as FX
+from reviewlake.plans import jobs as J
+from reviewlake.plans import render as RD
 from reviewlake.plans.fixtures import with_views
+from reviewlake.session import checkpoint_root, scratch_path
 from reviewlake.session import table
+from reviewlake.sources import readers as SRC
+from reviewlake.streaming.split_stream import read_stream_output, start_split_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,12 +110,6 @@ def q_rollup_merge(spark, sf_dir):
 
 # --------------------------------------------------------------------------- documents
 
-from reviewlake import schemas as S  # noqa: E402
-from reviewlake import sinks as K  # noqa: E402
-from reviewlake.functions import expr as E  # noqa: E402
-from reviewlake.operators import documents as D  # noqa: E402
-from reviewlake.sources import readers as SRC  # noqa: E402
-from reviewlake.session import checkpoint_root, scratch_path  # noqa: E402
 
 FX_REVIEW_FIELDS = ["id_user", "review_date", "review_language", "review_text", "review_response"]
 FX_HOTEL_FIELDS = ["id_hotel", "name_hotel", "total_rating"]
@@ -263,7 +272,6 @@ def q_scan_review_objects(spark, sf_dir):
 
 # --------------------------------------------------------------------------- roll-up jobs
 
-from reviewlake.plans import jobs as J  # noqa: E402
 
 
 def _read_rollup(spark, good: str, bad: str):
@@ -314,8 +322,6 @@ def q_daily_rollup(spark, sf_dir):
 
 # --------------------------------------------------------------------------- URLs and shards
 
-from reviewlake.operators import shards as SH  # noqa: E402
-from reviewlake.operators import sitemaps as SM  # noqa: E402
 
 _RANGES_SQL = """
     nu AS (SELECT file, count(*) AS n_urls FROM fx_urls GROUP BY file),
@@ -449,11 +455,6 @@ def q_sitemap_file_filter(spark, sf_dir):
 
 # --------------------------------------------------------------------------- pages
 
-from reviewlake.operators import extract as X  # noqa: E402
-from reviewlake.operators.documents import first_page  # noqa: E402
-from reviewlake.operators.pagination import pagination_chain  # noqa: E402
-from reviewlake.operators.runlog import run_log  # noqa: E402
-from reviewlake.plans import render as RD  # noqa: E402
 
 _PAGES_SQL = f"""
     np AS (SELECT doc_id, max(page_no) AS n_pages FROM fx_reviews GROUP BY doc_id),
@@ -654,7 +655,6 @@ def q_pagination_chain(spark, sf_dir):
 
 # --------------------------------------------------------------------------- streaming
 
-from reviewlake.streaming.split_stream import read_stream_output, start_split_stream  # noqa: E402
 
 
 @register("stream_split", with_views(f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
