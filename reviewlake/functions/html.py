@@ -148,7 +148,14 @@ def texts(html: Column, selector: str, descendants: bool = True) -> Column:
     """array<string>: text nodes of all elements matching ``selector``, in order:
     descendants' text (``selector *::text``) or own text (``selector::text``)."""
     part = "desc" if descendants else "own"
-    return F.flatten(F.transform(inner_html(html, selector), lambda x: texts_by_depth(x)[part]))
+    empty = F.array().cast("array<string>")
+
+    def of(x: Column) -> Column:
+        # plain text (no tag inside): it is all own text, no token walk needed
+        plain = empty if descendants else F.when(F.length(x) > 0, F.array(decode_entities(x))).otherwise(empty)
+        return F.when(x.contains("<"), texts_by_depth(x)[part]).otherwise(plain)
+
+    return F.flatten(F.transform(inner_html(html, selector), of))
 
 
 def first_text(html: Column, selector: str, descendants: bool = True) -> Column:
