@@ -40,7 +40,7 @@ ORACLE: dict[str, str] = {}
 # Fixed query parameters.
 CHUNK_SIZE = 100                  # objects per roll-up chunk in the fixtures
 RUN_DATE = "2020-12-31"           # run date stamped on the daily roll-up
-STREAM_FILES_PER_BATCH = 4        # landed files per micro-batch of the incremental split
+STREAM_FILES_PER_BATCH = 16       # landed files per micro-batch of the incremental split
 
 
 def register(name: str, sql: str | None = None):
