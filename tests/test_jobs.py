@@ -150,3 +150,23 @@ def test_typed_split_equals_document_split(spark):
     a = sorted((r.object_key, r.response_status, r.lang) for r in typed.collect())
     b = sorted((r.object_key, r.response_status, r.lang) for r in docs.collect())
     assert a == b and len(a) > 0
+
+
+def test_split_then_rollup_of_the_english_prefix(spark, scratch):
+    """The reference's flow: split documents into response/<lang>/ objects,
+    then roll up one prefix (S5 -> X5 -> F7 -> W2 -> A4 -> K3)."""
+    from reviewlake import sinks as K
+    from reviewlake.plans import jobs as J
+    from reviewlake.plans.registry import _fx_documents, _split_docs
+    split = _split_docs(_fx_documents(spark, SF_CHECK)).drop("doc_id", "part", "n_keys", "document", "file_id")
+    prefix = K.write_split_reviews(split, f"{scratch}/split")
+    objects = J.review_objects_for_rollup(spark, prefix, "response", "en")
+    n_in = objects.count()
+    good, bad = J.rollup_job(objects, f"{scratch}/rollup", chunk_size=10)
+    kept = spark.read.json(good).count()
+    rejected = spark.read.json(bad).count() if n_in else 0
+    gated = {r.verdict: r.n for r in R.verdict_counts(R.with_verdict(objects)).collect()}
+    assert n_in > 0 and sum(gated.values()) == n_in
+    # object keys are unique in a split prefix, so nothing merges away
+    assert kept == gated.get("keep", 0)
+    assert rejected == gated.get("truncated", 0) + gated.get("response not english", 0)
