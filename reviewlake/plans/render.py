@@ -4,8 +4,9 @@ The driver's ``pages`` are generic web pages without the review site's
 classes, so the extraction operators are checked on pages rendered here from
 ``fx_reviews`` (reviews, page numbers) and the conversation ids (hotel
 fields). Every field follows a rule of the document id or review position,
-stated once here and once in :data:`RENDER_SQL` for the oracle. Extraction
-must give back exactly what was rendered.
+stated once here and once as SQL in the oracles (``PAGE_URL_SQL``,
+``PAGE_STATUS_SQL`` and the registry's page views). Extraction must give
+back exactly what was rendered.
 
 Pages that fail (``Emergency`` body) or are banned are mixed in.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions.html import encode_entities
 from reviewlake.operators.joins import join_small
 from reviewlake.plans import fixtures as FX
+from reviewlake.session import table
 
 SITE = "https://www.tripadvisor.ca"
 BANNED_BODY = "<html><body>You have been banned</body></html>"
@@ -128,7 +130,11 @@ def render_hotel_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy("doc_id", "page_no")
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda x: x["b"]), "")
                    .alias("blocks")))
-    n_pages = r.groupBy("doc_id").agg(F.max("page_no").alias("n_pages"))
+    # last page per hotel straight from the user turns (the rows of fx_reviews),
+    # so the windowed fixture is computed once
+    turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    n_pages = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(
+        F.max(F.floor(F.col("turn") / 4).cast("int") + 1).alias("n_pages"))
     pages = n_pages.select("doc_id", "n_pages", F.explode(F.sequence(F.lit(1), F.col("n_pages"))).alias("page_no"))
     pages = pages.join(blocks, ["doc_id", "page_no"], "left")
     doc, p = F.col("doc_id"), F.col("page_no")
