@@ -263,11 +263,14 @@ def q_review_split_sink(spark, sf_dir):
 
 
 @register("scan_review_objects", with_views(
-    f"""WITH {_SPLIT_SQL} SELECT object_key, hotel_key, review_key, review_text
-        FROM sp WHERE response_status = 'response' AND lang = 'en'""", "fx_hotels", "fx_reviews"))
+    f"""WITH {_SPLIT_SQL} SELECT object_key, response_status, lang, hotel_key, review_key, review_text
+        FROM sp""", "fx_hotels", "fx_reviews"))
 def q_scan_review_objects(spark, sf_dir):
-    objs = SRC.read_review_objects(spark, _written_split(spark, sf_dir), "response", "en")
-    return objs.select("object_key", "hotel_key", "review_key", "review.review_text")
+    # the whole split output (the root prefix); a status/language prefix is the
+    # same reader with partition filters (tests/test_plans.py)
+    objs = SRC.read_review_objects(spark, _written_split(spark, sf_dir))
+    return objs.select("object_key", "response_status", "lang", "hotel_key", "review_key",
+                       "review.review_text")
 
 
 # --------------------------------------------------------------------------- roll-up jobs

@@ -59,7 +59,9 @@ def test_scans_are_pruned(plans):
 
 
 def test_partition_filters_reach_the_scan(spark):
-    q = E.queries()["scan_review_objects"](spark, SF_SMALL)
+    from reviewlake.plans.registry import _written_split
+    from reviewlake.sources.readers import read_review_objects
+    q = read_review_objects(spark, _written_split(spark, SF_SMALL), "response", "en")
     text = plan_text(q)
     assert re.search(r"PartitionFilters: \[.*response_status.*\]", text)
     assert re.search(r"PartitionFilters: \[.*lang.*\]", text)
