@@ -63,13 +63,21 @@ def _local_size(path: str) -> int | None:
     return None
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where there is none (Spark Connect raises)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - any "not available" error means no context
+        return None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the parquet scan."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
     size = _local_size(path)
     if size is not None and size < SPREAD_BELOW_BYTES:
-        sc = getattr(spark, "sparkContext", None)
+        sc = _context(spark)
         n = sc.defaultParallelism if sc is not None else 8
         if n > 1:
             df = df.repartition(n)
@@ -83,7 +91,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     one gets a fresh folder under /tmp; a cluster session without one is an
     error, since a machine-local folder is not shared by the executors.
     """
-    sc = getattr(spark, "sparkContext", None)
+    sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
