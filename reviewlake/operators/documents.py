@@ -182,6 +182,8 @@ def split_documents(docs: DataFrame, review_schema: str, hotel_schema: str,
     m = F.col(entries)
     metas = F.map_filter(m, lambda k, v: F.left(k, F.lit(1)) == HOTEL_META)
     revs = F.map_filter(m, lambda k, v: F.left(k, F.lit(1)).isin(WITH_RESPONSE, NO_RESPONSE))
+    # the hotel key comes from the document itself; an incoming column is replaced
+    docs = docs.drop("hotel_key", "review_key", "object_key")
     one = docs.where(F.size(metas) == 1).select(
         "*", F.map_keys(metas)[0].alias("hotel_key"), F.map_values(metas)[0].alias("_meta_json"),
         F.explode(revs).alias("review_key", "_review_json"))

@@ -58,3 +58,36 @@ def review_objects_for_rollup(spark: SparkSession, split_prefix: str, response_s
 
 def daily_name(run_date: str):
     return E.daily_file_name(F.to_date(F.lit(run_date)))
+
+
+def pages_to_documents(pages: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
+    """The crawl's parse stage as one job: landed pages -> hotel documents (A1).
+
+    ``pages(url, html)``. The next links (X4) chain each hotel's pages from its
+    start page (J3), which gives page numbers. The hotel record is read from
+    page 1 (A3). Reviews are read from ok pages before the first failed or
+    banned page (F4, SURVEY D1), then deduplicated, later page winning (A2).
+    Returns ``(documents, run_log)``; documents as ``hotel_documents`` makes
+    them, plus ``hotel_key``.
+    """
+    from reviewlake.operators import extract as X
+    from reviewlake.operators.pagination import pagination_chain
+    from reviewlake.operators.runlog import run_log
+
+    gated = pages.select("url", "html", X.page_gate("html").alias("status"))
+    links = X.extract_links(gated.select("url", "html"))
+    chain = pagination_chain(links.select("url", "next_url"))
+    paged = gated.join(chain, "url").withColumn("hotel_key", E.hotel_id("root_url"))
+    first = paged.where((F.col("page_no") == 1) & (F.col("status") == "ok"))
+    hotels = X.extract_hotels(first.select("hotel_key", "url", "html"))
+    stop = (paged.groupBy("hotel_key")
+            .agg(F.min(F.when(F.col("status") != "ok", F.col("page_no"))).alias("stop_page")))
+    readable = (paged.where(F.col("status") == "ok").join(stop, "hotel_key")
+                .where(F.col("page_no") < F.coalesce(F.col("stop_page"), F.lit(2**31 - 1))))
+    reviews = (X.extract_reviews(readable.select("hotel_key", "page_no", "html"), as_of=as_of)
+               .withColumnRenamed("block_pos", "pos"))
+    docs = D.hotel_documents(hotels.where(F.col("hotel_key").isNotNull()), reviews,
+                             S.HOTEL_FIELDS, S.REVIEW_FIELDS, doc="hotel_key")
+    log = run_log(paged.select("hotel_key", "page_no", "url", "status"),
+                  reviews.select("hotel_key", "page_no"), None, hotel="hotel_key")
+    return docs, log

@@ -170,3 +170,26 @@ def test_split_then_rollup_of_the_english_prefix(spark, scratch):
     # object keys are unique in a split prefix, so nothing merges away
     assert kept == gated.get("keep", 0)
     assert rejected == gated.get("truncated", 0) + gated.get("response not english", 0)
+
+
+def test_pages_to_documents(spark):
+    """Landed pages -> documents, page order from the next links alone."""
+    from reviewlake import schemas as S
+    from reviewlake.operators import documents as D
+    from reviewlake.plans import jobs as J
+    from reviewlake.plans import render as RD
+    pages = RD.render_hotel_pages(spark, SF_SMALL)
+    docs, log = J.pages_to_documents(pages.select("url", "html"))
+    split = D.split_documents(D.parse_documents(docs, "document"), S.REVIEW, S.HOTEL)
+    got = sorted((r.hotel_key, r.review_key) for r in split.collect())
+    # expected from the fixture: reviews of ok pages before the first bad page, deduplicated
+    r = FX.fx_reviews(spark, SF_SMALL)
+    bad = RD.failed(F.col("doc_id"), F.col("page_no")) | RD.banned(F.col("doc_id"), F.col("page_no"))
+    stop = r.select("doc_id", "page_no").withColumn("bad", bad)
+    first_bad = {row.doc_id: row.p for row in stop.where("bad").groupBy("doc_id").agg(F.min("page_no").alias("p")).collect()}
+    banned_first = {d for d, p in first_bad.items() if p == 1}
+    exp = D.dedup_reviews(r).collect()
+    want = sorted((f"g{100000 + e.doc_id}-d{1000000 + e.doc_id}", e.review_key) for e in exp
+                  if e.doc_id not in banned_first and e.page_no < first_bad.get(e.doc_id, 10**9))
+    assert got == want and len(got) > 0
+    assert log.count() == pages.select("doc_id").distinct().count()
