@@ -109,6 +109,16 @@ def read_markers(spark: SparkSession, path: str, glob: str = "*_marker_*.txt") -
     File readers give no row for an empty file, so the marker files are listed
     (one per worker range: a small control set) and their contents, read by
     ``binaryFile``, are joined on."""
+    from reviewlake.session import _context
+    if _context(spark) is None:
+        # no JVM gateway (Spark Connect): contents only; empty marker files are
+        # not seen, non-numeric ones still read as unreadable
+        content = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{glob}")
+        return content.select(
+            F.col("path").alias("name"),
+            F.regexp_extract("path", r"-([^-/]*)_marker_", 1).alias("file"),
+            E.marker_start("path").try_cast("int").alias("start"),
+            F.trim(F.decode(F.col("content"), "UTF-8")).try_cast("int").alias("marker"))
     files = _list_files(spark, path, glob)
     listed = spark.createDataFrame(files, "path string, length long")
     if any(n > 0 for _, n in files):
