@@ -36,6 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("REVIEWLAKE_DRIVER_MEMORY", "16g"))
+        .config(SPREAD_CONF, "true")
     )
     event_dir = os.environ.get("REVIEWLAKE_EVENT_LOG_DIR")
     if event_dir:   # stage/task times without the UI: Spark's event log in a scratch folder
@@ -45,10 +46,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-# Inputs smaller than this (local files only) are spread over the session's
-# cores by a round-robin repartition: a small file written as one parquet row
-# group is otherwise read by a single task. Large inputs - every input at
-# cluster scale - are read as they are, with no extra shuffle.
+# Opt-in (set by get_session for tests and the bench): local inputs smaller
+# than SPREAD_BELOW_BYTES are spread over the session's cores by a round-robin
+# repartition, since a small file written as one parquet row group is read by
+# a single task. Other sessions, and every input at cluster scale, read the
+# tables as they are, with no extra shuffle.
+SPREAD_CONF = "spark.reviewlake.spreadSmallLocalInputs"
 SPREAD_BELOW_BYTES = 256 * 1024 * 1024
 
 
@@ -75,6 +78,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the parquet scan."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
+    if spark.conf.get(SPREAD_CONF, "false") != "true":
+        return df
     size = _local_size(path)
     if size is not None and size < SPREAD_BELOW_BYTES:
         sc = _context(spark)
