@@ -68,7 +68,7 @@ def _is_open_tag(t: Column) -> Column:
             & (name != "") & ~name.isin(VOID_ELEMENTS))
 
 
-def _inner_by_depth(after_open: Column) -> Column:
+def inner_by_depth(after_open: Column) -> Column:
     """Inner HTML of an element given the text after its opening tag: tokens up
     to the closing tag at depth 0 (any tag name counts for the depth)."""
     toks = F.regexp_extract_all(after_open, F.lit(_TOKEN), F.lit(1))
@@ -102,7 +102,7 @@ def inner_html(html: Column, selector: str) -> Column:
     def pick(q: Column) -> Column:
         nested = F.exists(q, lambda x: F.regexp_like(x, F.lit(same_open)))
         parts = F.split(html, open_tag_regex(selector))
-        exact = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), _inner_by_depth)
+        exact = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), inner_by_depth)
         return F.when(nested, exact).otherwise(q)
 
     return let(quick, pick)

@@ -57,7 +57,6 @@ REVIEW_SELECTORS = [
 ]
 NEXT_LINK = "a.ui_button.nav.next.primary"
 NEXT_DISABLED = "span.ui_button.nav.next.primary.disabled"
-PAGINATION_START = r'(?s)<div class="ui_pagination.*$'
 
 
 def _select(html: Column, selector: str, mode: str) -> Column:
@@ -145,12 +144,15 @@ def count_blocks(html: Column | str) -> Column:
 
 def review_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
     """X2 split: one row per review block (``block_pos`` 0-based in the page).
-    The last block is cut where the pagination starts."""
+
+    The page is split at each block's opening tag; each piece is then cut at
+    the block's own closing tag (tag depth), so content between or after the
+    blocks (ads, pagination) never becomes part of a review."""
     parts = F.split(F.col(html), H.open_tag_regex(REVIEW_BLOCK))
     blocks = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
-    out = pages.select(*[c for c in pages.columns if c != html],
-                       F.posexplode(F.when(F.size(parts) > 1, blocks)).alias("block_pos", "block"))
-    return out.withColumn("block", F.regexp_replace("block", PAGINATION_START, ""))
+    return pages.select(*[c for c in pages.columns if c != html],
+                        F.posexplode(F.when(F.size(parts) > 1, blocks)).alias("block_pos", "block")
+                        ).withColumn("block", H.inner_by_depth(F.col("block")))
 
 
 def extract_reviews(pages: DataFrame, html: str = "html", as_of: Column | None = None,

@@ -94,6 +94,15 @@ def test_review_without_user_link_is_rejected(spark):
     assert [x.reason for x in rejected_reviews(r).collect()] == ["no user link"]
 
 
+def test_block_ends_at_its_closing_tag(spark):
+    ad = '<div class="ad"><span class="_2bVY3aT5">Sponsored</span><a href="/Profile/spam">x</a></div>'
+    html = f"<html><body>{BLOCK_PLAIN}{ad}{BLOCK_PLAIN.replace('bob', 'cat')}{LAST}</body></html>"
+    df = spark.createDataFrame([(1, 1, URL1, html)], "doc_id long, page_no int, url string, html string")
+    r = X.extract_reviews(df).orderBy("block_pos").collect()
+    assert [x.id_user for x in r] == ["bob", "cat"]
+    assert all(x.trip_type is None for x in r)      # the ad's span is outside every block
+
+
 def test_nested_same_tag_elements(spark):
     html = ('<div class="_2f_ruteS _1bona3Pu _2-hMril5"><div class="a">Para one</div>'
             '<div class="b"><br>Para <b>two</b></div><!-- c --></div><div class="_2rdvbNSg">Pool</div>'
