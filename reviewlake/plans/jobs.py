@@ -69,25 +69,40 @@ def pages_to_documents(pages: DataFrame, as_of=None) -> tuple[DataFrame, DataFra
     banned page (F4, SURVEY D1), then deduplicated, later page winning (A2).
     Returns ``(documents, run_log)``; documents as ``hotel_documents`` makes
     them, plus ``hotel_key``.
+
+    Page order, status and stop page form a narrow per-page table (no HTML),
+    checkpointed once; the run log needs nothing else. The HTML joins it only
+    for the two extraction inputs.
     """
     from reviewlake.operators import extract as X
+    from reviewlake.operators.joins import join_small
     from reviewlake.operators.pagination import pagination_chain
     from reviewlake.operators.runlog import run_log
-
-    gated = pages.select("url", "html", X.page_gate("html").alias("status"))
-    links = X.extract_links(gated.select("url", "html"))
-    chain = pagination_chain(links.select("url", "next_url"))
-    paged = gated.join(chain, "url").withColumn("hotel_key", E.hotel_id("root_url"))
-    first = paged.where((F.col("page_no") == 1) & (F.col("status") == "ok"))
-    hotels = X.extract_hotels(first.select("hotel_key", "url", "html"))
-    stop = (paged.groupBy("hotel_key")
+    from reviewlake.session import checkpoint_root
+
+    # one pass over the HTML for the narrow facts: status and review-block count
+    status = pages.select("url", X.page_gate("html").alias("status"),
+                          X.count_blocks("html").alias("n_blocks"))
+    chain = pagination_chain(X.extract_links(pages.select("url", "html")).select("url", "next_url"))
+    meta = (chain.join(status, "url")
+            .select("url", "page_no", "status", "n_blocks", E.hotel_id("root_url").alias("hotel_key")))
+    stop = (meta.groupBy("hotel_key")
             .agg(F.min(F.when(F.col("status") != "ok", F.col("page_no"))).alias("stop_page")))
-    readable = (paged.where(F.col("status") == "ok").join(stop, "hotel_key")
-                .where(F.col("page_no") < F.coalesce(F.col("stop_page"), F.lit(2**31 - 1))))
+    checkpoint_root(pages.sparkSession)
+    meta = join_small(meta, stop, "hotel_key").checkpoint(eager=True)
+
+    ok = F.col("status") == "ok"
+    first = join_small(pages.select("url", "html"), meta.where(ok & (F.col("page_no") == 1))
+                       .select("url", "hotel_key"), "url")
+    readable = join_small(pages.select("url", "html"), meta.where(
+        ok & (F.col("page_no") < F.coalesce(F.col("stop_page"), F.lit(2**31 - 1))))
+        .select("url", "hotel_key", "page_no"), "url")
+    hotels = X.extract_hotels(first.select("hotel_key", "url", "html"))
     reviews = (X.extract_reviews(readable.select("hotel_key", "page_no", "html"), as_of=as_of)
                .withColumnRenamed("block_pos", "pos"))
     docs = D.hotel_documents(hotels.where(F.col("hotel_key").isNotNull()), reviews,
                              S.HOTEL_FIELDS, S.REVIEW_FIELDS, doc="hotel_key")
-    log = run_log(paged.select("hotel_key", "page_no", "url", "status"),
-                  reviews.select("hotel_key", "page_no"), None, hotel="hotel_key")
+    pages_log = meta.select("hotel_key", "page_no", "url", "status",
+                            F.when(ok, F.col("n_blocks")).otherwise(F.lit(0)).alias("n_reviews"))
+    log = run_log(pages_log, None, None, hotel="hotel_key")
     return docs, log
