@@ -193,3 +193,12 @@ def test_pages_to_documents(spark):
                   if e.doc_id not in banned_first and e.page_no < first_bad.get(e.doc_id, 10**9))
     assert got == want and len(got) > 0
     assert log.count() == pages.select("doc_id").distinct().count()
+    # run log: reviews gathered before the first failed page, counted before dedup
+    raw = r.select("doc_id", "page_no").collect()
+    want_n = {}
+    for x in raw:
+        want_n.setdefault(x.doc_id, 0)
+        if x.page_no < first_bad.get(x.doc_id, 10**9):
+            want_n[x.doc_id] += 1
+    got_n = {int(row.hotel_id.split("-")[0][1:]) - 100000: row.n_reviews for row in log.collect()}
+    assert got_n == want_n
