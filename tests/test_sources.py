@@ -55,6 +55,9 @@ def test_sitemap_gzip_with_namespace(spark, scratch):
     _write(f"{scratch}/in/sitemap-en_CA-hotel_review-1.xml.gz", gzip.compress(xml.encode()), "wb")
     got = R.read_sitemaps(spark, f"{scratch}/in").orderBy("idx").collect()
     assert [(r.file, r.idx, r.url) for r in got] == [("1", i, u) for i, u in enumerate(urls)]
+    spread = R.read_sitemaps(spark, f"{scratch}/in", num_partitions=3)
+    assert spread.rdd.getNumPartitions() == 3
+    assert sorted((r.file, r.idx, r.url) for r in spread.collect()) == [("1", i, u) for i, u in enumerate(urls)]
     hotels = SH.hotel_urls(R.read_sitemaps(spark, f"{scratch}/in")).orderBy("idx").collect()
     assert [h.hotel_id for h in hotels] == ["g1234-d12345", "g5678-d56789"]
     # K5 keeps the list; reading it back gives the same rows
