@@ -1,4 +1,4 @@
-"""Composed batch jobs."""
+"""Composed batch jobs: P1-P4 and the crawl's parse stage (pages -> documents)."""
 
 from __future__ import annotations
 
@@ -49,7 +49,10 @@ def rollup_job(objects: DataFrame, out: str, chunk_size: int | None) -> tuple[st
 
 def review_objects_for_rollup(spark: SparkSession, split_prefix: str, response_status: str = "response",
                               lang: str = "en") -> DataFrame:
-    """S5 for the roll-up: one prefix of split objects as gate input rows."""
+    """S5 for the roll-up: one prefix of split objects as gate input rows.
+
+    Object keys are unique within a split prefix (one object per key path), so
+    ``object_pos`` only has to be unique; it never decides a tie."""
     o = SRC.read_review_objects(spark, split_prefix, response_status, lang)
     return o.select(F.monotonically_increasing_id().alias("object_pos"), "object_key",
                     F.col("review.review_text").alias("review_text"),
