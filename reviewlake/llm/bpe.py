@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from reviewlake.session import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE_ENTRIES = 1 << 19   # pre-tokens kept per Python worker
+CACHE_ENTRIES = 1 << 20   # pre-tokens kept per Python worker
 CACHE_CHARS = 128         # longer ones are not kept
 
 
@@ -119,22 +119,29 @@ class Merges:
         inner = np.flatnonzero(nxt >= 0)
         cur[inner] = self.rank_of(ids[inner], ids[inner + 1])
 
-        buckets: dict[int, list] = {}
+        many: dict[int, list[np.ndarray]] = {}  # buckets: runs of positions, and single ones
+        few: dict[int, list[int]] = {}
         queue = RankBitmap(self.size)
-        order = inner[cur[inner] >= 0]
-        order = order[np.argsort(cur[order], kind="stable")]
-        at, first = np.unique(cur[order], return_index=True)
-        for r, part in zip(at.tolist(), np.split(order, first[1:])):
-            buckets[r] = [part]
-            queue.add(r)
 
+        def put(ranks: np.ndarray, places: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            for q, a, b in zip(ranks[np.concatenate(([0], cuts))].tolist(), [0, *cuts.tolist()], [*cuts.tolist(), len(ranks)]):
+                many.setdefault(q, []).append(places[a:b])
+                queue.add(q)
+
+        paired = inner[cur[inner] >= 0]
+        if len(paired):
+            put(cur[paired], paired)
         while (r := queue.first()) >= 0:
             queue.drop(r)
-            parts = buckets.pop(r)
-            if len(parts) > 1:
-                pos = np.unique(np.concatenate([np.atleast_1d(p) for p in parts]))
-            else:
-                pos = np.atleast_1d(parts[0])
+            runs = many.pop(r, [])
+            if r in few:
+                runs.append(np.array(few.pop(r)))
+            pos = runs[0] if len(runs) == 1 else np.concatenate(runs)
+            if len(pos) > 1 and (len(runs) > 1 or (pos[1:] <= pos[:-1]).any()):
+                pos = np.unique(pos)
             if not self.rising[r] and owner[pos[0]] == owner[pos[-1]]:  # one pre-token: step to its first live place
                 k = 0
                 while k < len(pos) and cur[pos[k]] != r:
@@ -152,7 +159,7 @@ class Merges:
                     k = np.arange(len(pos))
                     pos = pos[(k - np.maximum.accumulate(np.where(starts, k, 0))) % 2 == 0]
             if len(rest):
-                buckets[r] = [rest]
+                many[r] = [rest]
                 queue.add(r)
             if not len(pos):
                 continue
@@ -165,12 +172,16 @@ class Merges:
             right = nxt[left]
             new = np.where(right >= 0, self.rank_of(ids[left], ids[right]), -1)
             cur[left] = new
+            if len(left) > 64:
+                if (new >= 0).any():
+                    put(new[new >= 0], left[new >= 0])
+                continue
             for q, p in zip(new.tolist(), left.tolist()):
                 if q >= 0:
-                    if q in buckets:
-                        buckets[q].append(p)
+                    if q in few:
+                        few[q].append(p)
                     else:
-                        buckets[q] = [p]
+                        few[q] = [p]
                         queue.add(q)
 
         kept = np.flatnonzero(~merged)
@@ -190,28 +201,17 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.split(t) for t in texts]
         known = self.kept
-        new = {p for pieces in cut for p in pieces if p not in known}
-        fresh: dict[str, bytes] = {}
-        todo = []
-        for piece in new:
-            r = self.merges.ranks.get(piece.encode())
-            if r is None:
-                todo.append(piece)
-            else:
-                fresh[piece] = r.to_bytes(4, "little")
+        new = list(set().union(*cut).difference(known))
+        ranks = [self.merges.ranks.get(p) for p in map(str.encode, new)]
+        known.update((p, r.to_bytes(4, "little")) for p, r in zip(new, ranks) if r is not None)
+        todo = [p for p, r in zip(new, ranks) if r is None]
         if todo:
-            fresh.update(zip(todo, self.merges.merge([p.encode() for p in todo])))
-        if len(known) + len(fresh) > CACHE_ENTRIES:
-            fresh |= {p: known[p] for pieces in cut for p in pieces if p in known}
-            known.clear()
-        if not fresh:
-            ids_of = known.__getitem__
-        else:
-            ids_of = lambda p: known.get(p) or fresh[p]
-        out = [b"".join(map(ids_of, pieces)) for pieces in cut]
-        for p, ids in fresh.items():
-            if len(p) <= CACHE_CHARS and len(known) < CACHE_ENTRIES:
-                known[p] = ids
+            known.update(zip(todo, self.merges.merge(list(map(str.encode, todo)))))
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        over = len(known) - CACHE_ENTRIES
+        for k, p in enumerate(reversed(new)):  # when full, the earlier ones stay: frequent pre-tokens come early
+            if k < over or len(p) > CACHE_CHARS:
+                del known[p]
         return out
 
     def decode(self, ids: bytes) -> bytes:
