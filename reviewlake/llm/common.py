@@ -12,6 +12,9 @@ functions that keep the caller's columns carry them in one struct
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +58,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def crc_of(doc_id: Column) -> Column:
     """crc32 of the decimal text of ``doc_id`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+def hash_fraction(*columns: Column) -> Column:
+    """A number in [0, 1) that depends on the values only: for seeded samples."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def fitted(sample: DataFrame, fit: Callable[[pd.DataFrame], bytes]) -> bytes:
+    """Fit a model in one task over a sample whose size the caller has bounded;
+    the rows hold bounded features, not texts. If the executor is lost, Spark
+    runs the task again. Only the model comes to the driver."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = list(parts)
+        if rows:
+            yield pd.DataFrame({"model": [fit(pd.concat(rows, ignore_index=True))]})
+
+    got = sample.repartition(1).mapInPandas(run, "model binary").collect()
+    return bytes(got[0].model) if got else b""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import line_dedup, mixing
+from reviewlake.llm import bpe, langid, line_dedup, mixing
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op4_mixing": mixing.op4_mixing,
+    "op7_langid": langid.op7_langid,
+    "op9_bpe": bpe.op9_bpe,
 }
 
 ORACLE = {
