@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import bpe, langid, line_dedup, mixing
+from reviewlake.llm import bpe, langid, line_dedup, mixing, quality, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_quality": quality.op2_quality,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
     "op7_langid": langid.op7_langid,
     "op9_bpe": bpe.op9_bpe,
