@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import bpe, langid, line_dedup, mixing, quality, toxicity
+from reviewlake.llm import bpe, embedding_dedup, langid, line_dedup, mixing, quality, toxicity, vector_search
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality": quality.op2_quality,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
+    "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
+    "op6_vector_search": vector_search.op6_vector_search,
     "op7_langid": langid.op7_langid,
     "op9_bpe": bpe.op9_bpe,
 }
@@ -16,4 +18,6 @@ QUERIES = {
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
+    "op5_embedding_dedup": embedding_dedup.ORACLE_SQL,
+    "op6_vector_search": vector_search.ORACLE_SQL,
 }
