@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -39,8 +40,9 @@ from pyspark.sql import functions as F
 from reviewlake.session import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE_ENTRIES = 1 << 20   # pre-tokens kept per Python worker
+CACHE_ENTRIES = 1 << 19   # pre-tokens kept per Python worker
 CACHE_CHARS = 128         # longer ones are not kept
+CHUNK = 4 << 20           # characters cut into pre-tokens at a time
 
 
 def read_ranks(path: str) -> bytes:
@@ -195,11 +197,30 @@ class Codec:
     def __init__(self, rank_file: bytes, pattern: str):
         import regex
         self.merges = Merges(rank_file)
-        self.split = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
         self.kept: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.split(t) for t in texts]
+        """Ids of each text; about ``CHUNK`` characters are cut at a time."""
+        out: list[bytes] = []
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            if len(text) > CHUNK:  # a very long text goes in runs of pre-tokens
+                out += self._ids_of(held)
+                held, size = [], 0
+                found = (m.group() for m in self.pattern.finditer(text))
+                runs = iter(lambda: list(islice(found, CHUNK // 4)), [])
+                out.append(b"".join(self._ids_of([run])[0] for run in runs))
+                continue
+            held.append(self.pattern.findall(text))
+            size += len(text)
+            if size > CHUNK:
+                out += self._ids_of(held)
+                held, size = [], 0
+        return out + self._ids_of(held)
+
+    def _ids_of(self, cut: list[list[str]]) -> list[bytes]:
         known = self.kept
         new = list(set().union(*cut).difference(known))
         ranks = [self.merges.ranks.get(p) for p in map(str.encode, new)]
@@ -253,11 +274,17 @@ def decoded(ids: Column, rank_file: bytes, pattern: str) -> Column:
     return decode(ids)
 
 
-def tokenized(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (binary), the decoded bytes and the number of tokens."""
-    with_ids = docs.withColumn("ids", encoded(F.col(f"`{text}`"), rank_file, pattern))
-    return (with_ids.withColumn("decoded", decoded(F.col("ids"), rank_file, pattern))
-            .withColumn("n_tokens", F.floor(F.octet_length("ids") / 4).cast("long")))
+def round_trip(text: Column, rank_file: bytes, pattern: str) -> Column:
+    """struct<ids, decoded>: the ids of ``text`` and the bytes they decode to, in one pass."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = codec(rank_file, pattern)
+        for texts in parts:
+            ids = own.encode(texts.fillna("").tolist())
+            yield pd.DataFrame({"ids": ids, "decoded": [own.decode(x) for x in ids]}, dtype=object)
+
+    return both.asNondeterministic()(text)
 
 
 def public_vocabulary(name: str = VOCABULARY) -> tuple[bytes, str]:
@@ -267,8 +294,9 @@ def public_vocabulary(name: str = VOCABULARY) -> tuple[bytes, str]:
 
 def digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded bytes."""
-    return tokenized(docs.select("doc_id", "text"), *public_vocabulary(vocabulary)).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    rows = docs.select("doc_id", round_trip(F.col("text"), *public_vocabulary(vocabulary)).alias("coded"))
+    return rows.select("doc_id", F.floor(F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("coded.ids", 256).alias("ids_sha256"), F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
