@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import bpe, embedding_dedup, langid, line_dedup, mixing, quality, toxicity, vector_search
+from reviewlake.llm import bpe, embedding_dedup, langid, line_dedup, mixing, ngram_join, quality, toxicity, vector_search
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_vector_search": vector_search.op6_vector_search,
     "op7_langid": langid.op7_langid,
     "op9_bpe": bpe.op9_bpe,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
 ORACLE = {
@@ -20,4 +21,5 @@ ORACLE = {
     "op4_mixing": mixing.ORACLE_SQL,
     "op5_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op6_vector_search": vector_search.ORACLE_SQL,
+    "op10_ngram_join": ngram_join.ORACLE_SQL,
 }
