@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from reviewlake.llm import bpe, embedding_dedup, langid, line_dedup, mixing, ngram_join, quality, toxicity, vector_search
+from reviewlake.llm import (
+    bpe,
+    embedding_dedup,
+    langid,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality,
+    secrets,
+    toxicity,
+    vector_search,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -12,6 +23,7 @@ QUERIES = {
     "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
     "op6_vector_search": vector_search.op6_vector_search,
     "op7_langid": langid.op7_langid,
+    "op8_secrets": secrets.op8_secrets,
     "op9_bpe": bpe.op9_bpe,
     "op10_ngram_join": ngram_join.op10_ngram_join,
 }
