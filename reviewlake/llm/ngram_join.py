@@ -76,7 +76,7 @@ def shingle_sets(hasher: Hasher, texts: list[str | None], n: int) -> Iterator[np
         w = _mixed(hasher.spans(hasher.running(_LOWER[chunk.raw]), starts, ends) + np.uint64(n))
         gram = np.zeros(max(0, len(w) - n + 1), np.uint64)
         for k in range(n):
-            gram = _mixed(gram * np.uint64(0x9E3779B97F4A7C15) + w[k:len(w) - n + 1 + k])
+            gram = _mixed(gram * np.uint64(0x9E3779B97F4A7C15) + w[k:k + len(gram)])
         first = np.searchsorted(starts, chunk.first)
         last = np.append(first[1:], len(starts))
         for a, b in zip(first.tolist(), last.tolist()):
