@@ -146,8 +146,9 @@ def _prefixes(n: int, num: int, den: int, rarity: bytes):
                 prefix.append(first.astype(np.int64))
                 ph.append(int(_mixed(first).sum(dtype=np.uint64).astype(np.int64)))
                 bits.append(_bitmap(first, WIDE if p > LONG_PREFIX else WORDS).tobytes())
-            yield pd.DataFrame({"id": rows["id"].to_numpy()[keep], "h": rows["h"].to_numpy()[keep],
-                                "n": sizes, "prefix": prefix, "ph": ph, "bits": bits})
+            if keep:
+                yield pd.DataFrame({"id": rows["id"].to_numpy()[keep], "h": rows["h"].to_numpy()[keep],
+                                    "n": sizes, "prefix": prefix, "ph": ph, "bits": bits})
     return run
 
 
@@ -155,8 +156,9 @@ def _sets(n: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for rows in parts:
-            yield pd.DataFrame({"id": rows["id"], "h": rows["h"],
-                                "grams": [s.astype(np.int64) for s in shingle_sets(hasher, rows["text"].tolist(), n)]})
+            if len(rows):
+                yield pd.DataFrame({"id": rows["id"], "h": rows["h"],
+                                    "grams": [s.astype(np.int64) for s in shingle_sets(hasher, rows["text"].tolist(), n)]})
     return run
 
 
@@ -286,15 +288,15 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     rows = written(rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
                    .withColumn("gid", F.xxhash64("ph", "n")), "prefixes")
     members = rows.select("node", "gid")
-    groups = rows.groupBy("gid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("size"))
+    groups = rows.groupBy("gid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("size"),
+                                     F.min("node").alias("head"))
     groups = written(groups, "groups")
-    firsts = rows.join(groups.where("size = 1").select("gid"), "gid", "left_semi").unionByName(
-        rows.join(groups.where("size > 1").select("gid"), "gid", "left_semi").dropDuplicates(["gid"]))
+    heads = groups.select("gid", "head")
+    firsts = rows.join(heads, "gid").where("node = head")
     grams = firsts.select("gid", F.explode("prefix").alias("gram"))
 
     # round one: each group's nearest, against the first member; and each member against its own first
     near = written(_candidates(grams, groups.select("gid", "n", "bits"), num, den, nearest=True), "near")
-    heads = members.groupBy("gid").agg(F.min("node").alias("head"))
     inside = members.join(heads, "gid").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     pairs = (near.join(members.select(F.col("gid").alias("a"), "node"), "a")
              .join(heads.select(F.col("gid").alias("b"), "head"), "b")
@@ -317,8 +319,8 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     more = grams.join(left.select("gid", "comp"), "gid")
     several = more.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high OR low = 0")
     open_ = more.join(several.select("gram"), "gram", "left_semi").select("gid", "gram")
-    rest = _candidates(open_, left, num, den, nearest=False)
-    mixed = state.where("comp = 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
+    rest = written(_candidates(open_, left, num, den, nearest=False), "rest")
+    mixed = left.where("comp = 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
     side = lambda s: now.select(F.col("gid").alias(s), F.col("node").alias(f"n{s}"), F.col("component").alias(f"c{s}"))
     expanded = rest.unionByName(mixed).join(side("a"), "a").join(side("b"), "b").where("ca != cb") \
         .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
