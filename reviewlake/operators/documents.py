@@ -15,13 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions import expr as E
-from reviewlake.operators.joins import join_small
-from reviewlake.session import checkpoint_root
-
-# Largest number of reviews put into one exported document. A hotel with more
-# is exported as several documents, each carrying the hotel record, so no
-# document (and no group) grows with the data.
-MAX_REVIEWS_PER_DOC = 1000
 
 HOTEL_META = "g"        # first letter of a hotel key
 WITH_RESPONSE = "Y"     # first letter of a review key with a response
@@ -72,66 +65,44 @@ def response_status(key: Column | str) -> Column:
 def repack(reviews: DataFrame, metas: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Attach the hotel record to each review of the same document.
 
-    Many-to-one equi-join; the hotel side is broadcast only after a size
-    check (rows and bytes), else a shuffle join where AQE splits a hot document.
+    Many-to-one equi-join: AQE broadcasts the hotel side if it is small and
+    splits a hot document otherwise.
     """
-    return join_small(reviews, metas, doc)
-
-
-def split_rows(reviews: DataFrame, metas: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """P1 on typed tables: dedup, meta rule, repack, status, language, object key."""
-    d = dedup_reviews(reviews, doc)
-    j = repack(d, metas, doc)
-    status = response_status("review_key")
-    return (j.withColumn("response_status", status)
-            .where(F.col("response_status").isNotNull())
-            .withColumn("lang", E.lang_or_null("review_language"))
-            .withColumn("object_key", E.object_key("hotel_key", "review_key")))
+    return reviews.join(metas, doc)
 
 
 # --------------------------------------------------------------------------- documents
 
 def _json_key(k: Column) -> Column:
-    """A key as a JSON string literal."""
-    esc = F.replace(F.replace(k, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    """A key as a JSON string literal, escaped as Spark's JSON writer does."""
+    quoted = F.to_json(F.array(k))
+    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
 
 
 def hotel_documents(hotels: DataFrame, reviews: DataFrame, hotel_fields: list[str],
-                    review_fields: list[str], doc: str = "doc_id",
-                    max_reviews: int = MAX_REVIEWS_PER_DOC) -> DataFrame:
+                    review_fields: list[str], doc: str = "doc_id") -> DataFrame:
     """A1 (+U1): one JSON document ``[{hotel_key: {...}, review_key: {...}, ...}]``
-    per (document, part).
+    per (document, page).
 
-    Reviews are deduplicated first (A2), so keys are unique. A document with
-    more than ``max_reviews`` reviews is cut into parts by a hash of the review
-    key; every part repeats the hotel entry. Groups stay bounded.
-    Output: ``doc, part, n_keys, document``.
+    Reviews are deduplicated first (A2), so keys are unique; a review belongs to
+    the page it won on, and every page's document repeats the hotel entry. A
+    hotel without reviews has one document, of page 1. A group holds the reviews
+    of one page, whatever the number of pages.
+    Output: ``doc, page_no, n_keys, document``.
     """
-    # parts per hotel from the raw review count (an upper bound of the count
-    # after dedup, so parts stay within max_reviews): a partial aggregate with
-    # no dedup shuffle. The table (hotels above the bound only) is checkpointed
-    # once; the size check and both joins read it.
-    counts = reviews.groupBy(doc).agg(F.count(F.lit(1)).alias("_n"))
-    big = counts.where(F.col("_n") > max_reviews).select(
-        doc, F.ceil(F.col("_n") / max_reviews).cast("int").alias("_parts"))
-    checkpoint_root(reviews.sparkSession)
-    big = big.checkpoint(eager=True)
-    r = join_small(dedup_reviews(reviews, doc), big, doc, "left")
-    r = r.withColumn("part", F.pmod(F.xxhash64("review_key"), F.coalesce(F.col("_parts"), F.lit(1)))
-                     .cast("int"))
-    rev_entries = r.select(doc, "part", F.col("review_key").alias("key"),
+    r = dedup_reviews(reviews, doc)
+    rev_entries = r.select(doc, "page_no", F.col("review_key").alias("key"),
                            F.to_json(F.struct(*review_fields)).alias("value"))
-    h = join_small(hotels, big, doc, "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
-    hotel_entries = h.select(doc, "part", F.col("hotel_key").alias("key"),
-                             F.to_json(F.struct(*hotel_fields)).alias("value"))
+    pages = rev_entries.select(doc, "page_no").distinct()
+    hotel_entries = (hotels.join(pages, doc, "left")
+                     .select(doc, F.coalesce("page_no", F.lit(1)).alias("page_no"), F.col("hotel_key").alias("key"),
+                             F.to_json(F.struct(*hotel_fields)).alias("value")))
     entries = rev_entries.unionByName(hotel_entries)
     pair = F.concat(_json_key(F.col("key")), F.lit(": "), F.col("value"))
-    return (entries.groupBy(doc, "part")
+    return (entries.groupBy(doc, "page_no")
             .agg(F.count(F.lit(1)).alias("n_keys"),
                  F.array_join(F.array_sort(F.collect_list(pair)), ", ").alias("_body"))
-            .select(doc, "part", "n_keys",
+            .select(doc, "page_no", "n_keys",
                     F.concat(F.lit("[{"), F.col("_body"), F.lit("}]")).alias("document")))
 
 
@@ -195,3 +166,13 @@ def split_documents(docs: DataFrame, review_schema: str, hotel_schema: str,
             .withColumn("lang", E.lang_or_null(F.col("review.review_language")))
             .withColumn("object_key", E.object_key("hotel_key", "review_key"))
             .drop(entries, "_meta_json", "_review_json"))
+
+
+def last_objects(split: DataFrame, *order: str, key: str = "object_key") -> DataFrame:
+    """The last object of each key by ``order`` (a later document replaces the
+    object that an earlier one left under the same key); equal orders are decided
+    by the object itself. ``max_by`` aggregates before the shuffle."""
+    payload = [c for c in split.columns if c not in (key, *order)]
+    when = F.struct(*order, F.xxhash64(*payload))
+    return (split.groupBy(key).agg(F.max_by(F.struct(*payload, *order), when).alias("w"))
+            .select(key, *[f"w.{c}" for c in payload]))

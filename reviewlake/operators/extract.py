@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake import schemas as S
 from reviewlake.functions import expr as E
 from reviewlake.functions import html as H
 from reviewlake.functions.common import let
@@ -190,3 +191,15 @@ def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
         *[c for c in pages.columns if c != html],
         href.alias("next_href"), disabled.alias("next_disabled"),
         F.when(~disabled, E.next_page_url(href)).alias("next_url"))
+
+
+def page_facts(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """``(url, status, n_reviews, next_url, hotel)`` per page. ``hotel`` is the
+    HOTEL record; a failed or banned page has neither record nor link. Row-local."""
+    source = pages.select(F.col(url).alias("url"), F.col(html).alias("html"), F.col(html).alias("page"))
+    linked = extract_links(source).select("url", F.col("page").alias("html"), "page", "next_url")
+    ok = page_gate("page") == "ok"
+    return extract_hotels(linked).select(
+        "url", page_gate("page").alias("status"), F.when(ok, count_blocks("page")).otherwise(0).alias("n_reviews"),
+        F.when(ok, F.col("next_url")).alias("next_url"),
+        F.when(ok, F.struct(*S.HOTEL_FIELDS)).alias("hotel"))

@@ -1,45 +1,25 @@
-"""Join helpers: broadcast only behind a size check, and a bucketed range join."""
+"""Bucketed range join. Plain equi-joins need no helper: AQE broadcasts a side
+that turns out small and splits hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.session import fits_broadcast
-
-# Largest side broadcast (rows and bytes, both checked). Above either the join
-# shuffles, and AQE (skew join on) splits hot keys of the large side.
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only if it is checked
-    to hold at most ``max_rows`` rows and ``max_bytes`` bytes; otherwise a
-    shuffle join."""
-    if fits_broadcast(small, max_rows, max_bytes):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
-
 
 def range_join(points: DataFrame, ranges: DataFrame, key: str, point: str, lo: str, hi: str,
-               bucket_width: int, max_rows: int = BROADCAST_MAX_ROWS,
-               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+               bucket_width: int) -> DataFrame:
     """Inner join ``points`` to ``ranges`` on ``key`` equality and ``lo <= point <= hi``.
 
-    Small ``ranges`` (checked) are broadcast: the equi-key keeps it a hash join
-    with the range as residual, and ``points`` is never shuffled. Otherwise each
-    range is exploded into the buckets of width ``bucket_width`` it covers and
-    the join runs on (key, bucket): a hot key spreads over many buckets.
+    Each range is exploded into the buckets of ``bucket_width`` positions that it
+    covers and the join runs on (key, bucket), so a hot key spreads over many
+    buckets and a point meets the ranges of its bucket only. A width near the
+    usual range length keeps both the copies of a range and the ranges per
+    bucket small.
     """
-    cond = [key]
-    if fits_broadcast(ranges, max_rows, max_bytes):
-        j = points.join(F.broadcast(ranges), cond)
-        return j.where(F.col(point).between(F.col(lo), F.col(hi)))
-    b = "_bucket"
-    r = ranges.withColumn(b, F.explode(F.sequence(
-        F.floor(F.col(lo) / bucket_width).cast("long"), F.floor(F.col(hi) / bucket_width).cast("long"))))
-    p = points.withColumn(b, F.floor(F.col(point) / bucket_width).cast("long"))
-    j = p.join(r, [key, b]).drop(b)
+    def bucket(c: str):
+        return F.floor(F.col(c) / bucket_width).cast("long")
+
+    r = ranges.withColumn("_bucket", F.explode(F.sequence(bucket(lo), bucket(hi))))
+    j = points.withColumn("_bucket", bucket(point)).join(r, [key, "_bucket"]).drop("_bucket")
     return j.where(F.col(point).between(F.col(lo), F.col(hi)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions.language import language_tag
 from reviewlake.operators.ordering import global_row_number
+from reviewlake.session import written
 
 # Fixed values of the gate.
 TRUNCATED_MIN_CHARS = 760        # "longer than 760 characters ..."
@@ -79,9 +80,10 @@ def rollup_winners(objects: DataFrame, chunk_size: int | None = None, key: str =
     merge. ``chunk_size=None`` puts everything in chunk 0 (P4).
 
     Output ``chunk_id, is_bad, object_key, object_pos, verdict, detected_lang``:
-    one kept and/or one rejected object per key and chunk. Numbering and merge
-    move only these narrow rows, never the texts."""
-    gated = with_verdict(objects, key).select(pos, key, "verdict", "detected_lang")
+    one kept and/or one rejected object per key and chunk. The narrow verdict
+    rows are written once, so range sampling, numbering and merge read them and
+    never the texts."""
+    gated = written(with_verdict(objects, key).select(pos, key, "verdict", "detected_lang"), "verdicts")
     if chunk_size is None:
         chunked = gated.withColumn("chunk_id", F.lit(0).cast("bigint"))
     else:
@@ -93,15 +95,18 @@ def rollup(objects: DataFrame, chunk_size: int | None = None, key: str = "object
            pos: str = "object_pos") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(winners, kept, rejects)``.
 
-    ``kept`` = the full objects that won as keeps, with their ``chunk_id``: the
-    one wide join of the job (``object_pos`` is unique), broadcast only when
-    the winners pass a size check. ``rejects`` = ``chunk_id, object_key,
-    reason``, narrow. ``winners`` comes back persisted (the size check of the
-    join and both outputs read it, and the gate must run once); the caller
-    unpersists it when done."""
-    from reviewlake.operators.joins import join_small
-    winners = rollup_winners(objects, chunk_size, key, pos).persist()
-    keep_pos = winners.where(~F.col("is_bad")).select(pos, "chunk_id", "detected_lang")
-    kept = join_small(objects, keep_pos, pos)
+    ``kept`` = the whole objects that won as keeps, every column of ``objects``,
+    with their ``chunk_id``: the one wide join of the job, on the key and the
+    position, which are columns of the data and unique together. ``rejects`` =
+    ``chunk_id, object_key, reason``. ``winners`` is a narrow written table."""
+    winners = written(rollup_winners(objects, chunk_size, key, pos), "winners")
+    keep = winners.where(~F.col("is_bad")).select(key, pos, "chunk_id", "detected_lang")
+    kept = objects.join(keep, [key, pos])
     rejects = winners.where(F.col("is_bad")).select("chunk_id", key, F.col("verdict").alias("reason"))
     return winners, kept, rejects
+
+
+def dropped(objects: DataFrame, key: str = "object_key", text: str = "review_text") -> DataFrame:
+    """One row ``(verdict, n)``: how many objects leave no record (rule (a))."""
+    out = objects.where(_no_review(F.col(key), F.col(text)))
+    return out.agg(F.count(F.lit(1)).alias("n")).select(F.lit(VERDICT_DROPPED).alias("verdict"), "n")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from reviewlake import schemas as S
 from reviewlake.functions import expr as E
-from reviewlake.operators.joins import join_small
 
 REASON_OF_STATUS = {"fetch_failed": S.RUN_REASON_FAILED, "banned": "banned"}
 
@@ -26,39 +25,40 @@ def run_log(pages: DataFrame, reviews: DataFrame | None = None, fetches: DataFra
     ``RUN_LOG`` rows: hotel_id, status, n_reviews, runtime_s, url, reason, finish_time.
 
     With ``reviews=None`` the pages carry ``n_reviews``, the reviews found on
-    each page, so the page table is the only input read for the counts.
-    Every step is a per-hotel aggregate with map-side partial aggregation; the
-    per-hotel table (one row per hotel) is joined back by a checked join.
+    each page. Reviews and fetches are summed per (hotel, page) and united with
+    the pages; one more aggregate gives one small struct per page of a hotel,
+    in page order, from which every column is read row-locally.
     """
-    bad = F.col("status") != "ok"
-    per_hotel = pages.groupBy(hotel).agg(
-        F.min(F.when(bad, F.col("page_no"))).alias("stop_page"),
-        F.min_by(F.col("status"), F.when(bad, F.col("page_no"))).alias("stop_status"),
-        F.min_by(F.col("url"), F.col("page_no")).alias("url"))
-    limit = F.coalesce(F.col("stop_page"), F.lit(2**31 - 1))
-    if reviews is None:
-        found = pages.select(hotel, "page_no", F.col("n_reviews").alias("_n"))
-    else:
-        found = reviews.select(hotel, "page_no", F.lit(1).alias("_n"))
-    counted = (join_small(found, per_hotel.select(hotel, "stop_page"), hotel)
-               .where(F.col("page_no") < limit)
-               .groupBy(hotel).agg(F.sum("_n").alias("n_reviews")))
-    out = per_hotel.join(counted, hotel, "left")
+    nothing = {"url": "string", "status": "string", "n": "long", "elapsed": "decimal(28,3)", "fetched_at": "timestamp"}
+
+    def facts(df: DataFrame, **known) -> DataFrame:
+        return df.select(hotel, "page_no", *[known.get(c, F.lit(None).cast(t)).alias(c) for c, t in nothing.items()])
+
+    found = F.col("n_reviews").cast("long") if reviews is None else F.lit(None).cast("long")
+    rows = facts(pages, url=F.col("url"), status=F.col("status"), n=found)
+    if reviews is not None:
+        rows = rows.unionByName(facts(reviews, n=F.lit(1).cast("long")))
     if fetches is not None:
-        f = (join_small(fetches, per_hotel.select(hotel, "stop_page"), hotel)
-             .where(F.col("page_no") <= limit)
-             .groupBy(hotel).agg(
-                 F.bround(F.sum(F.col("elapsed_s").cast("decimal(18,3)")), 3).cast("double").alias("runtime_s"),
-                 F.max("fetched_at").cast("timestamp").alias("finish_time")))
-        out = out.join(f, hotel, "left")
-    else:
-        out = (out.withColumn("runtime_s", F.lit(None).cast("double"))
-               .withColumn("finish_time", F.lit(None).cast("timestamp")))
-    reason = F.coalesce(*[F.when(F.col("stop_status") == k, F.lit(v)) for k, v in REASON_OF_STATUS.items()],
+        rows = rows.unionByName(facts(fetches, elapsed=F.col("elapsed_s").cast("decimal(28,3)"),
+                                      fetched_at=F.col("fetched_at").cast("timestamp")))
+    per_page = rows.groupBy(hotel, "page_no").agg(
+        F.max("url").alias("url"), F.max("status").alias("status"), F.sum("n").alias("n"),
+        F.sum("elapsed").alias("elapsed"), F.max("fetched_at").alias("fetched_at"))
+    one = per_page.groupBy(hotel).agg(F.array_sort(F.collect_list(
+        F.struct("page_no", "status", "url", "n", "elapsed", "fetched_at"))).alias("p"))
+    one = one.withColumn("stop", F.get(F.filter("p", lambda x: x["status"] != "ok"), 0))
+    before = F.coalesce(F.col("stop.page_no"), F.lit(2**31 - 1))
+    read = F.filter("p", lambda x: x["page_no"] < before)
+    fetched = F.filter("p", lambda x: x["page_no"] <= before)
+    reason = F.coalesce(*[F.when(F.col("stop.status") == k, F.lit(v)) for k, v in REASON_OF_STATUS.items()],
                         F.lit(S.RUN_REASON_FINISHED))
-    return out.select(
-        E.hotel_id("url").alias("hotel_id"),
-        F.when(F.col("stop_page").isNull(), F.lit(S.RUN_STATUS_SUCCESS)).otherwise(F.lit(S.RUN_STATUS_EMPTY))
-        .alias("status"),
-        F.coalesce(F.col("n_reviews"), F.lit(0)).cast("int").alias("n_reviews"),
-        "runtime_s", "url", reason.alias("reason"), "finish_time")
+    url = F.get(F.filter("p", lambda x: x["url"].isNotNull()), 0)["url"]
+    total = F.aggregate(F.filter(fetched, lambda x: x["elapsed"].isNotNull()), F.lit(0).cast("decimal(28,3)"),
+                        lambda a, x: (a + x["elapsed"]).cast("decimal(28,3)"))
+    seen = F.exists(fetched, lambda x: x["elapsed"].isNotNull())
+    return one.where(url.isNotNull()).select(
+        E.hotel_id(url).alias("hotel_id"),
+        F.when(F.col("stop").isNull(), F.lit(S.RUN_STATUS_SUCCESS)).otherwise(F.lit(S.RUN_STATUS_EMPTY)).alias("status"),
+        F.aggregate(read, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["n"], F.lit(0))).cast("int").alias("n_reviews"),
+        F.when(seen, total).cast("double").alias("runtime_s"), url.alias("url"), reason.alias("reason"),
+        F.array_max(F.transform(fetched, lambda x: x["fetched_at"])).alias("finish_time"))

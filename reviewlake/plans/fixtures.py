@@ -4,8 +4,8 @@ Every view exists twice: as a DataFrame built from the parquet tables (what
 the registered queries run on) and as DuckDB SQL (what the oracle runs on).
 Both are derived from the tables only, so their size grows with the data.
 
-Deviations from FIXTURES.md, all row-for-row equal on the driver tables
-(page ids are dense from 0):
+Deviations from FIXTURES.md, row-for-row equal on the driver tables (page ids
+are dense from 0) but for the page numbers:
 
 - ``fx_urls.idx`` is ``page_id div 4`` instead of a ``row_number`` per file:
   a window partitioned by four file ids would put a quarter of all URLs in
@@ -13,6 +13,8 @@ Deviations from FIXTURES.md, all row-for-row equal on the driver tables
 - ``fx_markers`` is derived from ``fx_urls`` (a shard starts every
   ``SHARD_EVERY`` URLs) instead of a fixed VALUES list, so it grows with
   the data.
+- ``fx_reviews.page_no`` is ``turn div 2 + 1`` (one review per page), so hotels
+  have enough pages for a failed page in the middle.
 - ``fx_hotels`` uses ``explode(array(0, 1))`` instead of a cross join.
 """
 
@@ -82,7 +84,7 @@ def fx_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.floor(F.col("turn") / 2).cast("int")
     return t.where(F.col("role") == "user").select(
         F.col("conv_id").alias("doc_id"),
-        (F.floor(F.col("turn") / 4).cast("int") + 1).alias("page_no"),
+        (F.floor(F.col("turn") / 2).cast("int") + 1).alias("page_no"),
         F.col("turn").alias("pos"),
         F.concat(F.lit("user"), _s((F.col("conv_id") + half) % 2)).alias("id_user"),
         F.when(F.col("conv_id") % 6 == 1, F.lit("00-0000"))
@@ -169,7 +171,7 @@ VIEW_SQL = {
         WHERE (k = 0 AND conv_id % 11 <> 3) OR (k = 1 AND conv_id % 13 = 5)""",
     "fx_reviews": """
         SELECT conv_id AS doc_id,
-               CAST(floor(turn / 4) AS INTEGER) + 1 AS page_no,
+               CAST(floor(turn / 2) AS INTEGER) + 1 AS page_no,
                turn AS pos,
                concat('user', CAST((conv_id + CAST(floor(turn / 2) AS INTEGER)) % 2 AS VARCHAR)) AS id_user,
                CASE WHEN conv_id % 6 = 1 THEN '00-0000'

@@ -20,41 +20,51 @@ def split_job(docs: DataFrame) -> DataFrame:
     return D.split_documents(docs, S.REVIEW, S.HOTEL)
 
 
+OBJECT_COLUMNS = ["object_key", "hotel_key", "review_key", "meta_data", "review", "response_status", "lang"]
+
+
 def backfill_resplit(spark: SparkSession, prefix: str, whole_file: bool = False) -> DataFrame:
     """Split every raw document under ``prefix`` (halves and workers vanish:
-    Spark splits the files into tasks)."""
-    return split_job(SRC.read_hotel_documents(spark, prefix, whole_file))
+    Spark splits the files into tasks). The last landed document decides an
+    object key that several documents hold."""
+    return _resplit(SRC.read_hotel_documents(spark, prefix, whole_file))
+
+
+def _resplit(docs: DataFrame) -> DataFrame:
+    return D.last_objects(split_job(docs).select(*OBJECT_COLUMNS, "landed", "source"), "landed", "source")
 
 
 def split_to_sink(spark: SparkSession, prefix: str, out: str, whole_file: bool = False,
                   pseudonymise: bool = False) -> str:
-    """P1/P2 with the K2 sink; ``pseudonymise`` hashes the user fields first."""
-    split = backfill_resplit(spark, prefix, whole_file).drop("entries", "value", "source")
+    """P1/P2 with the K2 sink; ``pseudonymise`` hashes the user fields first. The
+    documents left out go to ``<out>-rejected`` with their reason."""
+    docs = SRC.read_hotel_documents(spark, prefix, whole_file)
+    split = _resplit(docs)
     if pseudonymise:
         split = D.pseudonymise(split)
+    K.write_rejects(D.rejected_documents(docs).select("source", "value", "reason"), f"{out.rstrip('/')}-rejected")
     return K.write_split_reviews(split, out)
 
 
 def rollup_job(objects: DataFrame, out: str, chunk_size: int | None) -> tuple[str, str]:
     """P3 (``chunk_size``) / P4 (``None``: one chunk): gate, chunk, merge, write.
 
-    The narrow winners table is persisted: both writes read it, and the gate
-    (language tagging) runs once."""
-    winners, kept, rejects = R.rollup(objects, chunk_size)
-    try:
-        return K.write_rollup(kept, rejects, out)
-    finally:
-        winners.unpersist()
+    The gate (language tagging) reads the texts once; verdicts and winners are
+    narrow written tables that everything else reads. ``<out>/dropped`` holds the
+    number of rows that leave no record (SURVEY D10)."""
+    _, kept, rejects = R.rollup(objects, chunk_size)
+    R.dropped(objects).write.mode("overwrite").json(f"{out.rstrip('/')}/dropped")
+    return K.write_rollup(kept, rejects, out)
 
 
 def review_objects_for_rollup(spark: SparkSession, split_prefix: str, response_status: str = "response",
                               lang: str = "en") -> DataFrame:
-    """S5 for the roll-up: one prefix of split objects as gate input rows.
+    """S5 for the roll-up: the whole objects of one prefix, with the gate's fields.
 
-    Object keys are unique within a split prefix (one object per key path), so
-    ``object_pos`` only has to be unique; it never decides a tie."""
+    Object keys are unique within a split prefix (``documents.last_objects``);
+    ``object_pos`` is the hash of the object itself, the same in every read."""
     o = SRC.read_review_objects(spark, split_prefix, response_status, lang)
-    return o.select(F.monotonically_increasing_id().alias("object_pos"), "object_key",
+    return o.select(F.xxhash64("meta_data", "review").alias("object_pos"), "object_key", "meta_data", "review",
                     F.col("review.review_text").alias("review_text"),
                     F.col("review.review_response").alias("review_response"))
 
@@ -63,49 +73,35 @@ def daily_name(run_date: str):
     return E.daily_file_name(F.to_date(F.lit(run_date)))
 
 
-def pages_to_documents(pages: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
+def pages_to_documents(pages: DataFrame, as_of=None, starts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The crawl's parse stage as one job: landed pages -> hotel documents (A1).
 
-    ``pages(url, html)``. The next links (X4) chain each hotel's pages from its
-    start page (J3), which gives page numbers. The hotel record is read from
-    page 1 (A3). Reviews are read from ok pages before the first failed or
-    banned page (F4, SURVEY D1), then deduplicated, later page winning (A2).
-    Returns ``(documents, run_log)``; documents as ``hotel_documents`` makes
-    them, plus ``hotel_key``.
-
-    Page order, status and stop page form a narrow per-page table (no HTML),
-    checkpointed once; the run log needs nothing else. The HTML joins it only
-    for the two extraction inputs.
+    ``pages(url, html)`` and ``starts(url)``, the URL list the crawl began with
+    (without it: the pages that no link names). Two row-local passes write what
+    a page holds: status, next link (X4) and hotel record (X1), and the reviews
+    (X2); the HTML is never shuffled, and only these tables are joined by URL.
+    The next links chain each start's pages (J3). A chain ends at its first
+    failed or banned page (F4, SURVEY D1), since such a page has no next link;
+    what was read before it is kept. The hotel record comes from page 1 (A3),
+    reviews are deduplicated, the later page winning (A2). Returns
+    ``(documents, run_log)``; documents as ``hotel_documents`` makes them, by
+    ``hotel_key``.
     """
     from reviewlake.operators import extract as X
-    from reviewlake.operators.joins import join_small
     from reviewlake.operators.pagination import pagination_chain
     from reviewlake.operators.runlog import run_log
-    from reviewlake.session import checkpoint_root
-
-    # one pass over the HTML for the narrow facts: status and review-block count
-    status = pages.select("url", X.page_gate("html").alias("status"),
-                          X.count_blocks("html").alias("n_blocks"))
-    chain = pagination_chain(X.extract_links(pages.select("url", "html")).select("url", "next_url"))
-    meta = (chain.join(status, "url")
-            .select("url", "page_no", "status", "n_blocks", E.hotel_id("root_url").alias("hotel_key")))
-    stop = (meta.groupBy("hotel_key")
-            .agg(F.min(F.when(F.col("status") != "ok", F.col("page_no"))).alias("stop_page")))
-    checkpoint_root(pages.sparkSession)
-    meta = join_small(meta, stop, "hotel_key").checkpoint(eager=True)
-
-    ok = F.col("status") == "ok"
-    first = join_small(pages.select("url", "html"), meta.where(ok & (F.col("page_no") == 1))
-                       .select("url", "hotel_key"), "url")
-    readable = join_small(pages.select("url", "html"), meta.where(
-        ok & (F.col("page_no") < F.coalesce(F.col("stop_page"), F.lit(2**31 - 1))))
-        .select("url", "hotel_key", "page_no"), "url")
-    hotels = X.extract_hotels(first.select("hotel_key", "url", "html"))
-    reviews = (X.extract_reviews(readable.select("hotel_key", "page_no", "html"), as_of=as_of)
-               .withColumnRenamed("block_pos", "pos"))
-    docs = D.hotel_documents(hotels.where(F.col("hotel_key").isNotNull()), reviews,
-                             S.HOTEL_FIELDS, S.REVIEW_FIELDS, doc="hotel_key")
-    pages_log = meta.select("hotel_key", "page_no", "url", "status",
-                            F.when(ok, F.col("n_blocks")).otherwise(F.lit(0)).alias("n_reviews"))
-    log = run_log(pages_log, None, None, hotel="hotel_key")
-    return docs, log
+    from reviewlake.session import written
+
+    facts = written(X.page_facts(pages), "page-facts")
+    found = written(X.extract_reviews(pages.where(X.page_gate("html") == "ok").select("url", "html"), as_of=as_of)
+                    .withColumnRenamed("block_pos", "pos"), "page-reviews")
+    chain = pagination_chain(facts.select("url", "next_url"), starts)
+    meta = written(chain.join(facts.select("url", "status", "n_reviews"), "url").select(
+        "url", "page_no", "status", "n_reviews", E.hotel_id("root_url").alias("hotel_key"))
+        .where(F.col("hotel_key").isNotNull()), "crawled-pages")
+    ok = meta.where(F.col("status") == "ok").select("url", "hotel_key", "page_no")
+    hotels = facts.select("url", "hotel").join(ok.where("page_no = 1").select(F.col("url"), "hotel_key"), "url") \
+        .select("hotel_key", "hotel.*")
+    reviews = found.join(ok, "url").drop("url")
+    docs = D.hotel_documents(hotels, reviews, S.HOTEL_FIELDS, S.REVIEW_FIELDS, doc="hotel_key")
+    return docs, run_log(meta, None, None, hotel="hotel_key")

@@ -148,6 +148,25 @@ def _fx_documents(spark, sf_dir):
     return docs.withColumn("file_id", (F.col("doc_id") % N_SITEMAP_FILES).cast("string"))
 
 
+_ENTRY_SQL = f"""{_DEDUP_SQL},
+    pp AS (SELECT DISTINCT doc_id, page_no FROM dd),
+    en AS (SELECT doc_id, page_no, review_key AS entry_key, id_user, review_date, review_language, review_text,
+                  review_response, NULL AS name_hotel, NULL AS total_rating FROM dd
+           UNION ALL
+           SELECT h.doc_id, coalesce(pp.page_no, 1), h.hotel_key, NULL, NULL, NULL, NULL, NULL, h.name_hotel,
+                  h.total_rating
+           FROM fx_hotels h LEFT JOIN pp USING (doc_id))"""
+_ENTRY_FIELDS = ["id_user", "review_date", "review_language", "review_text", "review_response", "name_hotel",
+                 "total_rating"]
+
+
+def _entries(docs, *cols):
+    """One row per document entry, with the fields of its JSON value."""
+    fields = ", ".join(f"{c} string" for c in _ENTRY_FIELDS)
+    e = docs.select(*cols, F.explode("entries").alias("entry_key", "v"))
+    return e.select(*cols, "entry_key", F.from_json("v", fields).alias("f")).select(*cols, "entry_key", "f.*")
+
+
 def _split_select(split):
     return split.select("object_key", "response_status", "lang", "hotel_key",
                         F.col("meta_data.name_hotel").alias("name_hotel"), "review_key",
@@ -202,15 +221,11 @@ def q_review_repack(spark, sf_dir):
 
 
 @register("hotel_document", with_views(
-    f"""WITH {_DEDUP_SQL},
-        e AS (SELECT doc_id, review_key AS key FROM dd UNION ALL SELECT doc_id, hotel_key FROM fx_hotels)
-        SELECT doc_id, CAST(0 AS INTEGER) AS part, count(*) AS n_keys,
-               CAST(count(*) FILTER (WHERE starts_with(key, 'g')) AS INTEGER) AS n_meta
-        FROM e GROUP BY doc_id""", "fx_hotels", "fx_reviews"))
+    f"""WITH {_ENTRY_SQL}
+        SELECT doc_id, CAST(page_no AS INTEGER) AS page_no, count(*) OVER (PARTITION BY doc_id, page_no) AS n_keys,
+               entry_key, {', '.join(_ENTRY_FIELDS)} FROM en""", "fx_hotels", "fx_reviews"))
 def q_hotel_document(spark, sf_dir):
-    docs = D.parse_documents(_fx_documents(spark, sf_dir), "document")
-    n_meta = F.size(F.map_filter("entries", lambda k, v: F.left(k, F.lit(1)) == "g"))
-    return docs.select("doc_id", "part", "n_keys", n_meta.alias("n_meta"))
+    return _entries(D.parse_documents(_fx_documents(spark, sf_dir), "document"), "doc_id", "page_no", "n_keys")
 
 
 @register("split_job", with_views(f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
@@ -219,47 +234,44 @@ def q_split_job(spark, sf_dir):
 
 
 @register("hotel_document_sink", with_views(
-    f"""WITH {_DEDUP_SQL},
-        e AS (SELECT doc_id, review_key AS key FROM dd UNION ALL SELECT doc_id, hotel_key FROM fx_hotels)
-        SELECT CAST(doc_id % {N_SITEMAP_FILES} AS VARCHAR) AS file_id, count(DISTINCT doc_id) AS n_docs,
-               count(*) AS n_keys
-        FROM e GROUP BY ALL""", "fx_hotels", "fx_reviews"))
+    f"""WITH {_ENTRY_SQL}
+        SELECT file_id, entry_key, count(*) AS n, min(review_text) AS first_text, max(name_hotel) AS name_hotel
+        FROM (SELECT CAST(doc_id % {N_SITEMAP_FILES} AS VARCHAR) AS file_id, * FROM en) GROUP BY file_id, entry_key""",
+    "fx_hotels", "fx_reviews"))
 def q_hotel_document_sink(spark, sf_dir):
     docs = SRC.read_hotel_documents(spark, _written_documents(spark, sf_dir))
-    return docs.groupBy(F.col("file_id").cast("string").alias("file_id")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("entries")).alias("n_keys"))
+    e = _entries(docs.withColumn("file_id", F.col("file_id").cast("string")), "file_id")
+    return e.groupBy("file_id", "entry_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("review_text").alias("first_text"), F.max("name_hotel").alias("name_hotel"))
 
 
 @register("scan_hotel_documents", with_views(
-    f"""WITH {_DEDUP_SQL},
-        e AS (SELECT doc_id, review_key AS key FROM dd UNION ALL SELECT doc_id, hotel_key FROM fx_hotels)
-        SELECT CAST(doc_id % {N_SITEMAP_FILES} AS VARCHAR) AS file_id, key AS entry_key, count(*) AS n
-        FROM e GROUP BY ALL""", "fx_hotels", "fx_reviews"))
+    f"""WITH {_ENTRY_SQL}
+        SELECT CAST(doc_id % {N_SITEMAP_FILES} AS VARCHAR) AS file_id, entry_key, {', '.join(_ENTRY_FIELDS)} FROM en""",
+    "fx_hotels", "fx_reviews"))
 def q_scan_hotel_documents(spark, sf_dir):
     docs = SRC.read_hotel_documents(spark, _written_documents(spark, sf_dir))
-    e = docs.select(F.col("file_id").cast("string").alias("file_id"),
-                    F.explode(F.map_keys("entries")).alias("entry_key"))
-    return e.groupBy("file_id", "entry_key").agg(F.count(F.lit(1)).alias("n"))
+    return _entries(docs.withColumn("file_id", F.col("file_id").cast("string")), "file_id")
 
 
 @register("backfill_resplit", with_views(f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
 def q_backfill_resplit(spark, sf_dir):
-    from reviewlake.plans.jobs import backfill_resplit
-    return _split_select(backfill_resplit(spark, _written_documents(spark, sf_dir)))
+    # every document landed twice: the later one replaces the objects of the earlier one
+    path = _written_documents(spark, sf_dir)
+    docs = spark.read.text(path)
+    docs.write.mode("append").partitionBy("file_id").text(path)
+    return _split_select(J.backfill_resplit(spark, path))
 
 
 def _written_split(spark, sf_dir):
-    split = _split_docs(_fx_documents(spark, sf_dir)).drop("doc_id", "part", "n_keys", "document",
-                                                           "file_id")
+    split = _split_docs(_fx_documents(spark, sf_dir)).select(*J.OBJECT_COLUMNS)
     return K.write_split_reviews(split, scratch_path(spark, "split"))
 
 
 @register("review_split_sink", with_views(
-    f"WITH {_SPLIT_SQL} SELECT response_status, lang, count(*) AS n FROM sp GROUP BY ALL",
-    "fx_hotels", "fx_reviews"))
+    f"WITH {_SPLIT_SQL} SELECT * FROM sp", "fx_hotels", "fx_reviews"))
 def q_review_split_sink(spark, sf_dir):
-    objs = SRC.read_review_objects(spark, _written_split(spark, sf_dir))
-    return objs.groupBy("response_status", "lang").agg(F.count(F.lit(1)).alias("n"))
+    return _split_select(SRC.read_review_objects(spark, _written_split(spark, sf_dir)))
 
 
 @register("scan_review_objects", with_views(
@@ -278,18 +290,22 @@ def q_scan_review_objects(spark, sf_dir):
 
 
 def _read_rollup(spark, good: str, bad: str):
-    keep = (spark.read.schema("object_key string, object_pos bigint, chunk_id bigint").json(good)
-            .select("chunk_id", "object_key", "object_pos", F.lit("keep").alias("kind")))
+    keep = (spark.read.schema("object_key string, object_pos bigint, chunk_id bigint, review_text string, "
+                              "review_response string").json(good)
+            .select("chunk_id", "object_key", "object_pos", F.lit("keep").alias("kind"), "review_text", "review_response"))
     rej = (spark.read.schema("object_key string, reason string, chunk_id bigint").json(bad)
-           .select("chunk_id", "object_key", F.lit(None).cast("bigint").alias("object_pos"),
-                   F.col("reason").alias("kind")))
+           .select("chunk_id", "object_key", F.lit(None).cast("bigint").alias("object_pos"), F.col("reason").alias("kind"),
+                   F.lit(None).cast("string").alias("review_text"), F.lit(None).cast("string").alias("review_response")))
     return keep.unionByName(rej)
 
 
-@register("rollup_job", with_views(
-    f"""WITH {_GATE_SQL}, {_CHUNK_SQL}, {_MERGE_SQL}
-        SELECT chunk_id, object_key, CASE WHEN is_bad THEN NULL ELSE object_pos END AS object_pos,
-               CASE WHEN is_bad THEN verdict ELSE 'keep' END AS kind FROM m""", "fx_review_objects"))
+_ROLLUP_SQL = """SELECT chunk_id, object_key, CASE WHEN is_bad THEN NULL ELSE object_pos END AS object_pos,
+               CASE WHEN is_bad THEN verdict ELSE 'keep' END AS kind,
+               CASE WHEN is_bad THEN NULL ELSE review_text END AS review_text,
+               CASE WHEN is_bad THEN NULL ELSE review_response END AS review_response FROM m"""
+
+
+@register("rollup_job", with_views(f"WITH {_GATE_SQL}, {_CHUNK_SQL}, {_MERGE_SQL} {_ROLLUP_SQL}", "fx_review_objects"))
 def q_rollup_job(spark, sf_dir):
     good, bad = J.rollup_job(FX.fx_review_objects(spark, sf_dir), scratch_path(spark, "rollup"), CHUNK_SIZE)
     return _read_rollup(spark, good, bad)
@@ -313,14 +329,12 @@ def q_rollup_sink(spark, sf_dir):
 
 @register("daily_rollup", with_views(
     f"""WITH {_GATE_SQL}, c AS (SELECT g.*, 0 AS chunk_id FROM g), {_MERGE_SQL}
-        SELECT 'en_reviews-{RUN_DATE[8:10]}-{RUN_DATE[5:7]}-{RUN_DATE[0:4]}.json' AS file_name,
-               CASE WHEN is_bad THEN verdict ELSE 'keep' END AS kind, count(*) AS n
-        FROM m GROUP BY ALL""", "fx_review_objects"))
+        SELECT 'en_reviews-{RUN_DATE[8:10]}-{RUN_DATE[5:7]}-{RUN_DATE[0:4]}.json' AS file_name, r.* EXCLUDE (chunk_id)
+        FROM ({_ROLLUP_SQL}) r""", "fx_review_objects"))
 def q_daily_rollup(spark, sf_dir):
     good, bad = J.rollup_job(FX.fx_review_objects(spark, sf_dir), scratch_path(spark, "daily"), None)
     rows = _read_rollup(spark, good, bad)
-    return rows.groupBy(J.daily_name(RUN_DATE).alias("file_name"), "kind").agg(
-        F.count(F.lit(1)).alias("n"))
+    return rows.drop("chunk_id").withColumn("file_name", J.daily_name(RUN_DATE))
 
 
 # --------------------------------------------------------------------------- URLs and shards
@@ -353,7 +367,7 @@ def q_shard_ranges(spark, sf_dir):
 @register("shard_assignment", with_views(
     f"WITH {_RANGES_SQL} SELECT file, idx, url, start, stop FROM asg", "fx_markers"))
 def q_shard_assignment(spark, sf_dir):
-    a = SH.shard_assignment(_fx_urls(spark, sf_dir), _fx_ranges(spark, sf_dir))
+    a = SH.shard_assignment(_fx_urls(spark, sf_dir), _fx_ranges(spark, sf_dir), FX.SHARD_EVERY)
     return a.select("file", "idx", "url", "start", "stop")
 
 
@@ -361,7 +375,7 @@ def q_shard_assignment(spark, sf_dir):
     f"""WITH {_RANGES_SQL} SELECT file, start, idx, url FROM asg
         WHERE idx BETWEEN coalesce(marker, start) AND stop""", "fx_markers"))
 def q_crawl_pending(spark, sf_dir):
-    a = SH.shard_assignment(_fx_urls(spark, sf_dir), _fx_ranges(spark, sf_dir))
+    a = SH.shard_assignment(_fx_urls(spark, sf_dir), _fx_ranges(spark, sf_dir), FX.SHARD_EVERY)
     return SH.crawl_pending(a).select("file", "start", "idx", "url")
 
 
@@ -645,6 +659,41 @@ def q_run_log_sink(spark, sf_dir):
     return _fmt_finish(back)
 
 
+_PARSE_FIELDS = ["id_user", "review_date", "review_rating", "review_language", "trip_type", "review_title",
+                 "review_text", "review_response", "responder", "name_hotel", "address_hotel", "total_rating",
+                 "value_rating"]
+_PARSE_SQL = f"""
+    sp AS (SELECT doc_id, min(page_no) FILTER (WHERE status <> 'ok') AS stop FROM pgs GROUP BY doc_id),
+    rx AS (SELECT xr.*, {_REVIEW_KEY_SQL} AS entry_key FROM xr JOIN sp USING (doc_id)
+           WHERE xr.page_no < coalesce(sp.stop, 2147483647)),
+    rw AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, entry_key
+                                                       ORDER BY page_no DESC, pos DESC) AS rn FROM rx) WHERE rn = 1),
+    hw AS (SELECT xh.* FROM xh WHERE page_no = 1),
+    pw AS (SELECT DISTINCT doc_id, page_no FROM rw),
+    ent AS (SELECT doc_id, page_no, entry_key, id_user, review_date, review_rating, review_language, trip_type,
+                   review_title, review_text, review_response, responder, NULL AS name_hotel, NULL AS address_hotel,
+                   NULL AS total_rating, NULL AS value_rating FROM rw
+            UNION ALL
+            SELECT hw.doc_id, coalesce(pw.page_no, 1), hw.id_hotel, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+                   name_hotel, address_hotel, total_rating, value_rating
+            FROM hw LEFT JOIN pw USING (doc_id))"""
+
+
+@register("parse_job", with_views(
+    f"""WITH {_PAGES_SQL}, {_REVIEWS_OUT_SQL}, {_HOTEL_OUT_SQL}, {_PARSE_SQL}
+        SELECT concat('g', CAST(100000 + doc_id AS VARCHAR), '-d', CAST(1000000 + doc_id AS VARCHAR)) AS hotel_key,
+               CAST(page_no AS INTEGER) AS page_no, entry_key, {', '.join(_PARSE_FIELDS)} FROM ent""", "fx_reviews"))
+def q_parse_job(spark, sf_dir):
+    """The parse stage from landed pages and the URL list (page 1 of every hotel)."""
+    pages = RD.render_hotel_pages(spark, sf_dir)
+    docs, _ = J.pages_to_documents(pages.select("url", "html"), starts=pages.where("page_no = 1").select("url"))
+    parsed = D.parse_documents(docs, "document")
+    fields = ", ".join(f"{c} string" for c in _PARSE_FIELDS)
+    e = parsed.select("hotel_key", "page_no", F.explode("entries").alias("entry_key", "v"))
+    return (e.select("hotel_key", "page_no", "entry_key", F.from_json("v", fields).alias("f"))
+            .select("hotel_key", "page_no", "entry_key", "f.*"))
+
+
 @register("pagination_chain", with_views(
     """WITH RECURSIVE ch(root_url, url, next_url, page_no) AS (
            SELECT url, url, next_url, 1 FROM fx_page_links WHERE page_id % 5 = 0
@@ -653,7 +702,8 @@ def q_run_log_sink(spark, sf_dir):
            FROM ch JOIN fx_page_links l ON l.url = ch.next_url)
        SELECT root_url, url, CAST(page_no AS INTEGER) AS page_no FROM ch""", "fx_page_links"))
 def q_pagination_chain(spark, sf_dir):
-    return pagination_chain(FX.fx_page_links(spark, sf_dir))
+    links = FX.fx_page_links(spark, sf_dir)
+    return pagination_chain(links, links.where(F.col("page_id") % 5 == 0))
 
 
 # --------------------------------------------------------------------------- streaming

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions.html import encode_entities
-from reviewlake.operators.joins import join_small
 from reviewlake.plans import fixtures as FX
 from reviewlake.session import table
 
@@ -39,7 +38,7 @@ def page_path(doc: Column, page_no: Column) -> Column:
 
 
 def failed(doc: Column, page_no: Column) -> Column:
-    return (doc % 17 == 3) & (page_no == 2)
+    return ((doc % 17 == 3) & (page_no == 2)) | ((doc % 13 == 6) & (page_no == 3))
 
 
 def banned(doc: Column, page_no: Column) -> Column:
@@ -134,7 +133,7 @@ def render_hotel_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # so the windowed fixture is computed once
     turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
     n_pages = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(
-        F.max(F.floor(F.col("turn") / 4).cast("int") + 1).alias("n_pages"))
+        F.max(F.floor(F.col("turn") / 2).cast("int") + 1).alias("n_pages"))
     pages = n_pages.select("doc_id", "n_pages", F.explode(F.sequence(F.lit(1), F.col("n_pages"))).alias("page_no"))
     pages = pages.join(blocks, ["doc_id", "page_no"], "left")
     doc, p = F.col("doc_id"), F.col("page_no")
@@ -157,7 +156,7 @@ def fetch_log(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(
         F.col("event_id"), F.col("ts").alias("fetched_at"), F.col("value").alias("elapsed_s"))
     keyed = pages.select("doc_id", "page_no", (F.col("doc_id") * 8 + F.col("page_no")).alias("event_id"))
-    return join_small(keyed, ev, "event_id").drop("event_id")
+    return keyed.join(ev, "event_id").drop("event_id")
 
 
 # SQL of the same rendering rules, for the oracle (DuckDB).
@@ -165,5 +164,5 @@ PAGE_URL_SQL = """concat('https://www.tripadvisor.ca/Hotel_Review-g', CAST(10000
     CAST(1000000 + {d} AS VARCHAR), '-Reviews',
     CASE WHEN {p} > 1 THEN concat('-or', CAST(({p} - 1) * 5 AS VARCHAR)) ELSE '' END,
     '-Hotel_', CAST({d} AS VARCHAR), '-City.html')"""
-PAGE_STATUS_SQL = """CASE WHEN {d} % 17 = 3 AND {p} = 2 THEN 'fetch_failed'
+PAGE_STATUS_SQL = """CASE WHEN ({d} % 17 = 3 AND {p} = 2) OR ({d} % 13 = 6 AND {p} = 3) THEN 'fetch_failed'
     WHEN {d} % 19 = 4 AND {p} = 1 THEN 'banned' ELSE 'ok' END"""

@@ -18,6 +18,9 @@ REVIEW_FIELDS = [
 
 HOTEL = ", ".join(f"{f} {'ARRAY<STRING>' if f in HOTEL_ARRAYS else 'STRING'}" for f in HOTEL_FIELDS)
 REVIEW = ", ".join(f"{f} STRING" for f in REVIEW_FIELDS)
+#: One split object as the sinks write it, partition columns last.
+SPLIT_OBJECT = (f"object_key STRING, hotel_key STRING, review_key STRING, meta_data STRUCT<{HOTEL}>, "
+                f"review STRUCT<{REVIEW}>, response_status STRING, lang STRING")
 RUN_LOG = ("hotel_id STRING, status STRING, n_reviews INT, runtime_s DOUBLE, url STRING, "
            "reason STRING, finish_time TIMESTAMP")
 

@@ -36,7 +36,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("REVIEWLAKE_DRIVER_MEMORY", "16g"))
-        .config(SPREAD_CONF, "true")
     )
     event_dir = os.environ.get("REVIEWLAKE_EVENT_LOG_DIR")
     if event_dir:   # stage/task times without the UI: Spark's event log in a scratch folder
@@ -46,26 +45,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-# Opt-in (set by get_session for tests and the bench): local inputs smaller
-# than SPREAD_BELOW_BYTES are spread over the session's cores by a round-robin
-# repartition, since a small file written as one parquet row group is read by
-# a single task. Other sessions, and every input at cluster scale, read the
-# tables as they are, with no extra shuffle.
-SPREAD_CONF = "spark.reviewlake.spreadSmallLocalInputs"
-SPREAD_BELOW_BYTES = 256 * 1024 * 1024
-
-
-def _local_size(path: str) -> int | None:
-    if "://" in path and not path.startswith("file:"):
-        return None
-    p = path.replace("file:", "", 1)
-    if os.path.isfile(p):
-        return os.path.getsize(p)
-    if os.path.isdir(p):
-        return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(p) for f in fs)
-    return None
-
-
 def _context(spark: SparkSession):
     """The SparkContext, or None where there is none (Spark Connect raises)."""
     try:
@@ -76,17 +55,7 @@ def _context(spark: SparkSession):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the parquet scan."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spark.conf.get(SPREAD_CONF, "false") != "true":
-        return df
-    size = _local_size(path)
-    if size is not None and size < SPREAD_BELOW_BYTES:
-        sc = _context(spark)
-        n = sc.defaultParallelism if sc is not None else 8
-        if n > 1:
-            df = df.repartition(n)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -117,15 +86,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/reviewlake/{name}-{uuid.uuid4().hex}"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Size check before a broadcast: at most ``max_rows`` rows and at most
-    ``max_bytes`` of data, measured in one pass over at most ``max_rows + 1``
-    rows (the value bytes of every column, 8 for a NULL or a number)."""
-    from pyspark.sql import functions as F
-    width = None
-    for c in df.columns:
-        w = F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(8))
-        width = w if width is None else width + w
-    width = width if width is not None else F.lit(0)
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).collect()[0]
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table into the shared scratch folder and read
+    back: computed once, cut from its lineage, safe against lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 
 
 def write_hotel_documents(docs: DataFrame, path: str) -> str:
-    """K1: ``docs(file_id, hotel_key, part, document)`` -> text, one document per line.
+    """K1: ``docs(file_id, ..., document)`` -> text, one document per line.
 
     Overwrite mode replaces an earlier run, as the reference replaces the
     previous file of a hotel.
     """
-    (docs.select("file_id", "document")
+    (docs.select("file_id", "document").hint("rebalance", "file_id")
      .write.mode("overwrite").partitionBy("file_id").text(path))
     return path
 
@@ -30,10 +30,12 @@ def write_split_reviews(split: DataFrame, path: str) -> str:
     """K2: one JSON object per review, filed by response status and language.
 
     ``lang`` is already ``'null'`` for a missing language, so no row lands in
-    ``__HIVE_DEFAULT_PARTITION__``. Repartitioning on the partition columns
-    first gives few files per directory; AQE splits a hot directory.
+    ``__HIVE_DEFAULT_PARTITION__``. The ``rebalance`` hint brings the rows of a
+    directory together and lets AQE split a hot directory over several tasks
+    (it never splits a ``repartition`` by column). Object keys are unique in
+    ``split`` (``documents.last_objects``), so none is written twice.
     """
-    (split.repartition("response_status", "lang")
+    (split.hint("rebalance", "response_status", "lang")
      .write.mode("overwrite").partitionBy("response_status", "lang").json(path))
     return path
 
@@ -41,14 +43,21 @@ def write_split_reviews(split: DataFrame, path: str) -> str:
 def write_rollup(kept: DataFrame, rejects: DataFrame, path: str) -> tuple[str, str]:
     """K3: kept objects to ``compiled/``, rejects (key, reason) to ``bad/``, by chunk.
 
-    Both usually derive from one persisted winners table (see ``jobs.rollup_job``).
-    """
+    Rows are range-partitioned by (chunk, key) first: a task writes few chunks,
+    and a chunk larger than a task's share is written by several."""
     good, bad = f"{path}/compiled", f"{path}/bad"
-    kept.write.mode("overwrite").partitionBy("chunk_id").json(good)
-    rejects.write.mode("overwrite").partitionBy("chunk_id").json(bad)
+    for rows, to in ((kept, good), (rejects, bad)):
+        (rows.repartitionByRange("chunk_id", "object_key").sortWithinPartitions("chunk_id", "object_key")
+         .write.mode("overwrite").partitionBy("chunk_id").json(to))
     return good, bad
 
 
+def write_rejects(rejected: DataFrame, path: str) -> str:
+    """Documents or reviews left out, with their reason."""
+    rejected.write.mode("overwrite").partitionBy("reason").json(path)
+    return path
+
+
 def append_run_log(run_log: DataFrame, path: str) -> str:
     """K4: one CSV row per hotel run, no header, appended."""
     run_log.write.mode("append").option("header", "false").csv(path)

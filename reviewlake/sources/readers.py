@@ -17,9 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake import schemas as S
 from reviewlake.functions import expr as E
 from reviewlake.functions.html import decode_entities
-from reviewlake.operators.documents import parse_documents
+from reviewlake.operators.documents import parse_documents, response_status as response_status_of
 
 SITEMAP_LINE = "Sitemap"          # fixed: robots lines naming a sitemap contain this
 SITEMAP_PREFIX = "Sitemap: "      # fixed: removed from such a line
@@ -73,18 +74,34 @@ def read_hotel_documents(spark: SparkSession, path: str, whole_file: bool = Fals
 
     ``whole_file=True`` reads the reference layout (one indented JSON array per
     file); otherwise one document per line, as the K1 sink writes. ``source``
-    names the file; an empty file gives no row.
+    names the file and ``landed`` its time; an empty file gives no row.
     """
     raw = (spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
            if whole_file else spark.read.text(path))
-    raw = raw.withColumn("source", F.col("_metadata.file_path"))
+    raw = raw.select("*", F.col("_metadata.file_path").alias("source"),
+                     F.col("_metadata.file_modification_time").alias("landed"))
     return parse_documents(raw.where(F.length(F.trim("value")) > 0))
 
 
 def read_review_objects(spark: SparkSession, path: str, response_status: str | None = None,
-                        lang: str | None = None) -> DataFrame:
-    """Split review objects; the two filters prune directories."""
-    df = spark.read.json(path)
+                        lang: str | None = None, whole_file: bool = False) -> DataFrame:
+    """Split review objects; the two filters prune directories.
+
+    The schema is declared, so no file is read to infer it and a prefix whose
+    objects all lack a field reads like any other. ``whole_file=True`` reads the
+    reference layout, one JSON file ``{object_key: {meta_data, review}}`` per
+    object; status and language then come from the object."""
+    if whole_file:
+        raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+        of = f"map<string, struct<meta_data: struct<{S.HOTEL}>, review: struct<{S.REVIEW}>>>"
+        df = (raw.select(F.explode(F.from_json("value", of)).alias("object_key", "o"))
+              .select("object_key", F.regexp_extract("object_key", E.HOTEL_KEY_PATTERN, 0).alias("hotel_key"),
+                      F.regexp_extract("object_key", E.HOTEL_KEY_PATTERN + "-(.*)", 1).alias("review_key"),
+                      "o.meta_data", "o.review")
+              .withColumn("response_status", response_status_of("review_key"))
+              .withColumn("lang", E.lang_or_null(F.col("review.review_language"))))
+    else:
+        df = spark.read.schema(S.SPLIT_OBJECT).json(path)
     if response_status is not None:
         df = df.where(F.col("response_status") == response_status)
     if lang is not None:
@@ -92,46 +109,33 @@ def read_review_objects(spark: SparkSession, path: str, response_status: str | N
     return df
 
 
-def _list_files(spark: SparkSession, path: str, glob: str) -> list[tuple[str, int]]:
-    """(path, length) of the files matching ``path/glob`` through the Hadoop
-    FileSystem API: metadata only, the same listing any file read does."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")
-    statuses = pattern.getFileSystem(conf).globStatus(pattern) or []
-    return [(st.getPath().toString(), st.getLen()) for st in statuses if st.isFile()]
+MARKER_GLOB = "*_marker_*.txt"
+
 
+def parse_markers(landed: DataFrame) -> DataFrame:
+    """S6 on a landed table ``(name, value)``: ``(name, file, start, marker)``."""
+    return landed.select(
+        "name",
+        F.regexp_extract("name", r"-([^-/]*)_marker_", 1).alias("file"),
+        E.marker_start("name").try_cast("int").alias("start"),
+        F.trim("value").try_cast("int").alias("marker"))
 
-def read_markers(spark: SparkSession, path: str, glob: str = "*_marker_*.txt") -> DataFrame:
+
+def read_markers(spark: SparkSession, path: str, glob: str = MARKER_GLOB, names: DataFrame | None = None) -> DataFrame:
     """``(name, file, start, marker)``; ``marker`` NULL when the content is
-    empty or not a number (an unreadable marker).
-
-    File readers give no row for an empty file, so the marker files are listed
-    (one per worker range: a small control set) and their contents, read by
-    ``binaryFile``, are joined on."""
-    from reviewlake.session import _context
-    if _context(spark) is None:
-        # no JVM gateway (Spark Connect): contents only; empty marker files are
-        # not seen, non-numeric ones still read as unreadable
-        content = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{glob}")
-        return content.select(
-            F.col("path").alias("name"),
-            F.regexp_extract("path", r"-([^-/]*)_marker_", 1).alias("file"),
-            E.marker_start("path").try_cast("int").alias("start"),
-            F.trim(F.decode(F.col("content"), "UTF-8")).try_cast("int").alias("marker"))
-    files = _list_files(spark, path, glob)
-    listed = spark.createDataFrame(files, "path string, length long")
-    if any(n > 0 for _, n in files):
-        content = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{glob}").select(
-            "path", F.trim(F.decode(F.col("content"), "UTF-8")).alias("text"))
-        m = listed.join(content, "path", "left")
-    else:
-        m = listed.withColumn("text", F.lit(None).cast("string"))
-    return m.select(
-        F.col("path").alias("name"),
-        F.regexp_extract("path", r"-([^-/]*)_marker_", 1).alias("file"),
-        E.marker_start("path").try_cast("int").alias("start"),
-        F.col("text").try_cast("int").alias("marker"))
+    not a number (an unreadable marker).
+
+    One ``binaryFile`` source lists and reads the files, the same in every
+    session. A landed folder ``<marker name>/part-*`` counts as the marker of
+    that name. Spark's file sources never hand out files of zero bytes: give the
+    expected ``names(name)`` (W1 knows them, one per worker range), and a marker
+    that is empty or missing comes back with a NULL ``marker`` too."""
+    content = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{glob}").select(
+        F.regexp_extract("path", r"([^/]*_marker_[^/]*?\.txt)", 1).alias("name"),
+        F.decode(F.col("content"), "UTF-8").alias("value"))
+    if names is not None:
+        content = names.select("name").join(content, "name", "left")
+    return parse_markers(content)
 
 
 def url_counts(urls: DataFrame) -> DataFrame:

@@ -8,27 +8,38 @@ only new files. The body is the batch split job (P1), run in
 entries of one document, which the row-local document form does per row.
 
 A micro-batch may run again after a failure, so each batch overwrites a
-path that carries its batch id; a rerun replaces, never duplicates.
+path that carries its batch id; a rerun replaces, never duplicates. Within a
+batch the last landed document decides an object key; across batches the last
+batch does, when the output is read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reviewlake.plans.jobs import split_job
-from reviewlake.operators.documents import parse_documents
+from reviewlake import schemas as S
+from reviewlake import sinks as K
+from reviewlake.operators.documents import last_objects, parse_documents, rejected_documents
+from reviewlake.plans.jobs import OBJECT_COLUMNS, split_job
 
 
 def _writer(out_path: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         docs = parse_documents(batch)
-        split = split_job(docs).drop("entries", "value")
-        (split.write.mode("overwrite").partitionBy("response_status", "lang")
-         .json(f"{out_path}/batch_id={batch_id}"))
+        split = split_job(docs).select(*OBJECT_COLUMNS, "landed", "source")
+        K.write_split_reviews(last_objects(split, "landed", "source"), f"{out_path}/batch_id={batch_id}")
+        rejected = rejected_documents(docs).select("source", "value", "reason")
+        K.write_rejects(rejected, f"{rejects_path(out_path)}/batch_id={batch_id}")
     return write_batch
 
 
+def rejects_path(out_path: str) -> str:
+    """Where the documents that the split leaves out go."""
+    return f"{out_path.rstrip('/')}-rejected"
+
+
 def start_split_stream(spark: SparkSession, docs_glob: str, out_path: str, checkpoint: str,
                        max_files_per_trigger: int | None = None,
                        available_now: bool = True) -> StreamingQuery:
@@ -40,7 +51,8 @@ def start_split_stream(spark: SparkSession, docs_glob: str, out_path: str, check
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(docs_glob)
+    stream = reader.load(docs_glob).select(
+        "value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_modification_time").alias("landed"))
     writer = (stream.writeStream.foreachBatch(_writer(out_path))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -48,5 +60,6 @@ def start_split_stream(spark: SparkSession, docs_glob: str, out_path: str, check
 
 
 def read_stream_output(spark: SparkSession, out_path: str) -> DataFrame:
-    """All objects the stream has written so far."""
-    return spark.read.json(out_path)
+    """The objects the stream has written so far, the last batch's per key."""
+    rows = spark.read.schema(f"{S.SPLIT_OBJECT}, batch_id LONG").json(out_path)
+    return last_objects(rows, "batch_id")

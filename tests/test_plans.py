@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from reviewlake.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tools.plan_report import plan_text, summarize
 
@@ -27,7 +27,7 @@ SINGLE_PARTITION_OK = {
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_text(fn(spark, SF_SMALL)) for name, fn in E.queries().items()}
+    return {name: plan_text(fn(spark, SF_SMALL)) for name, fn in QUERIES.items()}
 
 
 def test_no_cartesian_nested_loop_or_python(plans):

@@ -23,10 +23,8 @@ def test_range_join_equals_brute_force(spark, ranges, points, width):
     want = sorted((k, p, lo, hi) for k, p in points for k2, lo, hi in r if k == k2 and lo <= p <= hi)
     pdf = spark.createDataFrame(points, "k string, p long")
     rdf = spark.createDataFrame(r, "k string, lo long, hi long")
-    for max_rows in (1_000, 0):          # broadcast path, bucketed path
-        got = sorted(tuple(x) for x in range_join(pdf, rdf, "k", "p", "lo", "hi", width, max_rows=max_rows)
-                     .select("k", "p", "lo", "hi").collect())
-        assert got == want
+    got = sorted(tuple(x) for x in range_join(pdf, rdf, "k", "p", "lo", "hi", width).select("k", "p", "lo", "hi").collect())
+    assert got == want
 
 
 @SETTINGS

@@ -16,21 +16,19 @@ def _reviews(spark, hot_n=2500, cold=50):
                                        "review_language string, review_text string, review_response string")
 
 
-def test_hot_hotel_documents_are_cut_into_bounded_parts(spark):
+def test_hot_hotel_has_one_document_per_page(spark):
     reviews = _reviews(spark)
     hotels = spark.range(1, 52).select(F.col("id").alias("doc_id"),
                                        F.concat(F.lit("g1000"), F.col("id").cast("string"),
                                                 F.lit("-d10000")).alias("hotel_key"),
                                        F.concat(F.lit("g1000"), F.col("id").cast("string"),
                                                 F.lit("-d10000")).alias("id_hotel"))
-    docs = D.parse_documents(D.hotel_documents(hotels, reviews, ["id_hotel"], ["id_user", "review_text"],
-                                               max_reviews=1000), "document").collect()
+    docs = D.parse_documents(D.hotel_documents(hotels, reviews, ["id_hotel"], ["id_user", "review_text"]), "document").collect()
     hot = [d for d in docs if d.doc_id == 1]
-    assert len(hot) == 3                                   # ceil(2500 / 1000)
-    assert all(d.n_keys <= 1200 for d in hot)              # bounded parts (hash split)
-    assert all("g10001-d10000" in d.entries for d in hot)  # every part carries the hotel
+    assert len(hot) == 500 and {d.n_keys for d in hot} == {6}   # five reviews a page and the hotel
+    assert all("g10001-d10000" in d.entries for d in hot)       # every page's document carries the hotel
     keys = [k for d in hot for k in d.entries if not k.startswith("g")]
-    assert len(keys) == len(set(keys)) == 2500             # whole: every review once
+    assert len(keys) == len(set(keys)) == 2500                  # whole: every review once
     assert sum(1 for d in docs if d.doc_id != 1) == 50
 
 
@@ -47,6 +45,6 @@ def test_range_join_hot_key_bucketed(spark):
         F.when(F.col("id") % 3 == 0, F.lit("other")).otherwise(F.lit("hot")).alias("k"), F.col("id").alias("p"))
     ranges = spark.createDataFrame([("hot", 0, 9999), ("hot", 10000, 19999), ("other", 0, 19999)],
                                    "k string, lo long, hi long")
-    j = range_join(points, ranges, "k", "p", "lo", "hi", 1000, max_rows=1)   # bucketed path
+    j = range_join(points, ranges, "k", "p", "lo", "hi", 1000)
     assert j.count() == 20000
     assert j.groupBy("k", "p").count().where("count > 1").count() == 0

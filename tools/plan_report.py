@@ -42,13 +42,13 @@ def summarize(text: str) -> dict[str, int]:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from reviewlake.plans.registry import QUERIES
     from reviewlake.session import get_session
     spark = get_session(shuffle_partitions=8)
     keys = list(PATTERNS)
     print("| query | " + " | ".join(keys) + " |")
     print("| --- " * (len(keys) + 1) + "|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         s = summarize(plan_text(fn(spark, sf_dir)))
         print(f"| {name} | " + " | ".join(str(s[k]) for k in keys) + " |")
 
