@@ -10,16 +10,19 @@ are decoded.
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewlake.functions.common import let
 
-# The five XML entities and the numeric forms used by pages.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+# Named references: the standard library's HTML 4 table and ``&apos;``.
+_NAMED = json.dumps({**{f"&{n};": chr(c) for n, c in name2codepoint.items()}, "&apos;": "'"}, ensure_ascii=True)
+_REFERENCE = r"(?s)(&#[xX][0-9a-fA-F]{1,6};|&#[0-9]{1,7};|&[A-Za-z][A-Za-z0-9]{1,31};|[^&]+|&)"
+_MAX_CODE_POINT = 0x10FFFF
 
 
 # HTML void elements (no closing tag, no content).
@@ -28,12 +31,25 @@ VOID_ELEMENTS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "li
 _TOKEN = r"(?s)(<!--.*?-->|<[^>]*>|[^<]+)"
 
 
+def _code_point(n: Column) -> Column:
+    """The character of a code point; U+FFFD for one that isn't a character."""
+    ok = n.between(1, _MAX_CODE_POINT) & ~n.between(0xD800, 0xDFFF)
+    return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
+def _reference(t: Column) -> Column:
+    number = (F.when(F.lower(t).startswith("&#x"), F.conv(F.regexp_extract(t, "([0-9a-fA-F]+);$", 1), 16, 10))
+              .otherwise(F.regexp_extract(t, "([0-9]+);$", 1))).cast("long")
+    return (F.when(t.startswith("&#") & (F.length(t) > 3), _code_point(number))
+            .when(t.startswith("&"), F.coalesce(F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), t), t))
+            .otherwise(t))
+
+
 def decode_entities(c: Column) -> Column:
-    """Decode the common named entities (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``)."""
-    out = c
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decode named, decimal and hexadecimal character references, each once
+    (``&amp;lt;`` becomes ``&lt;``); an unknown name stays as it is."""
+    return F.when(c.contains("&"), F.array_join(F.transform(
+        F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1)), _reference), "")).otherwise(c)
 
 
 def encode_entities(c: Column) -> Column:
@@ -44,15 +60,36 @@ def encode_entities(c: Column) -> Column:
     return out
 
 
+#: An attribute value: in double quotes, in single quotes, or bare.
+ATTRIBUTE_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def attribute_regex(name: str) -> str:
+    """Regex of the attribute ``name`` inside a tag, group 1 = its raw value. The
+    name follows white space, so ``data-href`` is not ``href``."""
+    return rf"\s{re.escape(name)}\s*=\s*{ATTRIBUTE_VALUE}"
+
+
+def unquoted(value: Column) -> Column:
+    return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
+
+
 def _class_test(cls: str) -> str:
-    return rf'(?=[^>]*\bclass="(?:[^"]*\s)?{re.escape(cls)}(?:\s[^"]*)?")'
+    c = re.escape(cls)
+    quoted = "|".join(rf"{q}(?:[^{q}]*\s)?{c}(?:\s[^{q}]*)?{q}" for q in "\"'")
+    return rf"(?=[^>]*\sclass\s*=\s*(?:{quoted}|{c}(?=[\s>])))"
+
+
+def _open_name(tag: str) -> str:
+    """The start of an opening tag, up to the end of its name."""
+    name = re.escape(tag) if tag else r"[a-zA-Z][a-zA-Z0-9]*"
+    return rf"<{name}(?=[\s/>])"
 
 
 def open_tag_regex(selector: str) -> str:
     """Regex of the opening tag of ``tag.c1.c2`` (tag may be empty = any)."""
     tag, *classes = selector.split(".")
-    t = re.escape(tag) if tag else r"[a-zA-Z][a-zA-Z0-9]*"
-    return rf"<{t}\b" + "".join(_class_test(c) for c in classes) + r"[^>]*>"
+    return _open_name(tag) + "".join(_class_test(c) for c in classes) + r"[^>]*>"
 
 
 def element_regex(selector: str) -> str:
@@ -97,7 +134,7 @@ def inner_html(html: Column, selector: str) -> Column:
     tag = selector.split(".")[0]
     if not tag:
         return quick
-    same_open = rf"<{re.escape(tag)}\b"
+    same_open = _open_name(tag)
 
     def pick(q: Column) -> Column:
         nested = F.exists(q, lambda x: F.regexp_like(x, F.lit(same_open)))
@@ -110,16 +147,9 @@ def inner_html(html: Column, selector: str) -> Column:
 
 def attr_values(html: Column, selector: str, attr: str) -> Column:
     """array<string>: value of ``attr`` on every opening tag matching ``selector``."""
-    rx = rf'(?s)<{re.escape(selector.split(".")[0]) or "[a-zA-Z][a-zA-Z0-9]*"}\b' + "".join(
-        _class_test(c) for c in selector.split(".")[1:]) + rf'[^>]*\b{re.escape(attr)}="([^"]*)"[^>]*>'
-    return F.transform(F.regexp_extract_all(html, F.lit(rx), F.lit(1)), decode_entities)
-
-
-def text_fragments(inner: Column) -> Column:
-    """array<string>: non-empty text nodes of an HTML fragment, decoded."""
-    nodes = F.regexp_extract_all(F.concat(F.lit(">"), inner, F.lit("<")), F.lit(r"(?s)>([^<]+)<"),
-                                 F.lit(1))
-    return F.transform(nodes, decode_entities)
+    tag, *classes = selector.split(".")
+    rx = "(?s)" + _open_name(tag) + "".join(_class_test(c) for c in classes) + "[^>]*?" + attribute_regex(attr)
+    return F.transform(F.regexp_extract_all(html, F.lit(rx), F.lit(1)), lambda v: decode_entities(unquoted(v)))
 
 
 def texts_by_depth(inner: Column) -> Column:

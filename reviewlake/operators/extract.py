@@ -85,7 +85,7 @@ def _names(texts: Column, cat: str):
     return test
 
 
-_CLASS_ATTR = r'<[a-zA-Z][^>]*\bclass="([^"]*)"'
+_CLASS_ATTR = "(?s)<[a-zA-Z][^>]*?" + H.attribute_regex("class")
 
 
 def subratings(html: Column) -> Column:
@@ -100,8 +100,8 @@ def subratings(html: Column) -> Column:
 
     def gather(inner: Column) -> Column:
         return F.struct(
-            F.flatten(F.transform(inner, lambda x: F.regexp_extract_all(x, F.lit(_CLASS_ATTR), F.lit(1))))
-            .alias("classes"),
+            F.flatten(F.transform(inner, lambda x: F.transform(
+                F.regexp_extract_all(x, F.lit(_CLASS_ATTR), F.lit(1)), H.unquoted))).alias("classes"),
             F.flatten(F.transform(inner, lambda x: H.texts_by_depth(x)["desc"])).alias("texts"))
 
     def pick(ct: Column) -> Column:

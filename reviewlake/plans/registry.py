@@ -527,7 +527,7 @@ _REVIEWS_OUT_SQL = f"""
                   CASE WHEN r.pos % 4 = 1 THEN concat(CAST(r.pos % 7 + 1 AS VARCHAR), ' Helpful votes') END
                   AS helpful_votes,
                   concat('City ', CAST(r.doc_id % 9 AS VARCHAR)) AS reviewer_location,
-                  concat('Stay ', CAST(r.pos AS VARCHAR)) AS review_title,
+                  concat('Stay é’……&lt; ', CAST(r.pos AS VARCHAR)) AS review_title,
                   r.review_text,
                   nullif(r.review_response, '') AS review_response,
                   CASE WHEN coalesce(length(r.review_response), 0) = 0 THEN NULL

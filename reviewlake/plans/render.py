@@ -67,7 +67,7 @@ def _review_block(r: DataFrame) -> Column:
         F.lit('<div class="_1EpRX7o3"><span class="_1TuWwpYf"><span>City '), _s(doc % 9),
         F.lit("</span></span></div>"),
         F.lit('<span class="ui_bubble_rating bubble_'), _s(pos % 5 + 1), F.lit('0"></span>'),
-        F.lit('<div class="glasR4aX"><a href="/ShowUserReviews-'), _s(pos), F.lit('"><span>Stay '), _s(pos),
+        F.lit('<div class="glasR4aX"><a href="/ShowUserReviews-'), _s(pos), F.lit('"><span>Stay &eacute;&#x2019;&#8230;&hellip;&amp;lt; '), _s(pos),
         F.lit("</span></a></div>"),
         F.lit('<q class="IRsGHoPm"><span>'), encode_entities(F.col("review_text")), F.lit("</span></q>"),
         F.coalesce(F.concat(F.lit('<span class="_2bVY3aT5">'), trip, F.lit("</span>")), F.lit("")),
@@ -138,8 +138,9 @@ def render_hotel_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = pages.join(blocks, ["doc_id", "page_no"], "left")
     doc, p = F.col("doc_id"), F.col("page_no")
     nav = F.when(p < F.col("n_pages"), F.concat(
-        F.lit('<div class="ui_pagination"><a class="ui_button nav next primary" href="'),
-        page_path(doc, p + 1), F.lit('">Next</a></div>'))).otherwise(F.lit(
+        F.lit("<div class='ui_pagination'><a-x class='ui_button nav next primary' href='/wrong'></a-x>"
+              "<a data-class='x' class='ui_button nav next primary' data-href='/wrong' href='"),
+        page_path(doc, p + 1), F.lit("' data-href=\"/wrong\">Next</a></div>"))).otherwise(F.lit(
             '<div class="ui_pagination"><span class="ui_button nav next primary disabled">Next</span></div>'))
     body = F.concat(F.lit("<!DOCTYPE html><html><body>"), _hotel_header(doc),
                     F.lit('<div class="reviews">'), F.coalesce(F.col("blocks"), F.lit("")), F.lit("</div>"),

@@ -138,3 +138,24 @@ def test_run_log_keeps_reviews_before_failure(spark):
     h2 = got["g5555-d55555"]
     assert (h2.status, h2.n_reviews) == ("Empty", 0)
     assert got["g6666-d66666"].reason == "banned"
+
+
+def test_attributes_by_exact_name_and_either_quote(spark):
+    from reviewlake.functions import html as H
+    cases = [('<a class="n" href="/x" data-href="/y">', "/x"), ('<a data-href="/y" class="n" href="/x">', "/x"),
+             ("<a class='n' href='/x'>", "/x"), ("<a class=n href=/x>", "/x"), ('<a-x class="n" href="/y"></a-x>', None),
+             ('<a data-class="n" href="/y">', None), ('<a class="m n o" href="/a&amp;b">', "/a&b"), ('<a class="nn" href="/y">', None)]
+    rows = spark.createDataFrame(cases, "h string, want string")
+    got = rows.select("h", "want", F.get(H.attr_values(F.col("h"), "a.n", "href"), 0).alias("got")).collect()
+    assert [(r.h, r.got) for r in got] == [(r.h, r.want) for r in got]
+
+
+def test_character_references(spark):
+    import html as std
+
+    from reviewlake.functions import html as H
+    texts = ["a &hellip; b", "caf&eacute;", "&#8217;&#x2019;&#X1F642;", "&amp;lt; &lt;", "R&D &unknown; &", "&nbsp;x", "&apos;&quot;",
+             "&#0;&#xD800;&#x110000;", "plain", "&Uuml;ber &euro;5 &mdash; &ldquo;x&rdquo;"]
+    got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "t string").select(H.decode_entities(F.col("t")).alias("t")).collect()]
+    want = [std.unescape(t) if "&unknown" not in t else t for t in texts]
+    assert got == want
