@@ -15,6 +15,9 @@ PROFILE_PREFIX = "/Profile/"                     # removed from the user link
 UNKNOWN_MONTH = "00-0000"                        # review date when none can be parsed
 NULL_LANG = "null"                               # path part for a missing language
 MONTH_FORMAT = "MM-yyyy"
+# Forms of a date that hold their year.
+DATE_FORMATS = ["MMM yyyy", "MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy-MM-dd",
+                "yyyy-MM", "MM/yyyy", "MM/dd/yyyy"]
 
 
 def _c(c: Column | str) -> Column:
@@ -34,20 +37,16 @@ def bubble_rating(cls: Column | str) -> Column:
 
 
 def _month_from_text(text: Column, as_of: Column | None) -> Column:
-    """Parse a month from header text: ``MMM yyyy``, ``MMMM yyyy``, ``MMM d``
-    (year of ``as_of``), ``today``/``yesterday``/``n days|weeks|months ago``
-    relative to ``as_of`` (SURVEY D11: an explicit date, never the clock)."""
+    """Parse a month from header text: one of ``DATE_FORMATS``, ``MMM d`` (year of
+    ``as_of``), ``today``/``yesterday``/``n days|weeks|months|years ago`` relative
+    to ``as_of`` (SURVEY D11: an explicit date, never the clock)."""
     t = F.trim(text)
     tl = F.lower(t)
-    absolute = F.coalesce(
-        F.try_to_timestamp(t, F.lit("MMM yyyy")),
-        F.try_to_timestamp(t, F.lit("MMMM yyyy")),
-        F.try_to_timestamp(t, F.lit("MMM d, yyyy")),
-    )
+    absolute = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATE_FORMATS])
     if as_of is None:
         return absolute
-    n = F.regexp_extract(tl, r"^(\d+) (day|week|month)s? ago$", 1)
-    unit = F.regexp_extract(tl, r"^(\d+) (day|week|month)s? ago$", 2)
+    n = F.regexp_extract(tl, r"^(\d+) (day|week|month|year)s? ago$", 1)
+    unit = F.regexp_extract(tl, r"^(\d+) (day|week|month|year)s? ago$", 2)
     ni = n.try_cast("int")
     relative = (
         F.when(tl == "today", as_of)
@@ -55,9 +54,10 @@ def _month_from_text(text: Column, as_of: Column | None) -> Column:
         .when(unit == "day", F.date_sub(as_of, ni))
         .when(unit == "week", F.date_sub(as_of, ni * 7))
         .when(unit == "month", F.add_months(as_of, -ni))
+        .when(unit == "year", F.add_months(as_of, ni * -12))
     )
-    month_day = F.try_to_timestamp(F.concat(t, F.lit(" "), F.year(as_of).cast("string")),
-                                   F.lit("MMM d yyyy"))
+    with_year = F.concat(t, F.lit(" "), F.year(as_of).cast("string"))
+    month_day = F.coalesce(*[F.try_to_timestamp(with_year, F.lit(f)) for f in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy")])
     return F.coalesce(absolute, relative.cast("timestamp"), month_day)
 
 

@@ -1,14 +1,16 @@
 """Language tag of a text (X5) as a column expression.
 
-The text is split into letter runs, lower-cased, and each token looks up its
-weight in a small per-language stop-word profile. The language with the
-highest total wins; ties go to the smaller language code; a text with no
-profile word gets NULL ("undetectable").
+A text written mostly in Cyrillic, kana or Han letters is tagged by its script
+(``ru``, ``ja``, ``zh``). Any other text is split into letter runs,
+lower-cased, and each token looks up its weight in a small per-language
+stop-word profile. The language with the highest total wins; ties go to the
+smaller language code; a text in which fewer than one token in ``MIN_SHARE``
+is a profile word gets NULL ("undetectable").
 
 Everything is one JVM expression over the token array: no Python per row, no
 explode, no join and no shuffle, so it runs inside the scan stage at any
-scale and the tag stays on its row (no join back of whole texts). The
-profile is a literal of 48 entries, shipped with the plan.
+scale and the tag stays on its row (no join back of whole texts). The profile
+is a literal, shipped with the plan.
 """
 
 from __future__ import annotations
@@ -18,16 +20,29 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions.common import let
 
-# Stop-word profile, 12 frequent function words per language.
+# Stop-word profile, frequent function words per language.
 PROFILE_WORDS = {
+    "da": "og det som på af med den ikke til har jeg vi",
     "de": "der die und in den von zu das mit sich auf des",
     "en": "the of and to a in is that it for was on",
     "es": "de la que el en y los se del las por un",
     "fr": "de la le et les des en un du une que pour",
+    "it": "di che il per non una con della è sono anche gli",
+    "nl": "het een van dat niet op te zijn met voor ook wij",
+    "pl": "w na nie się że jest to jak po ale był bardzo",
+    "pt": "de que não do da em para com uma os mas muito",
+    "sv": "och att det som är på av med den inte till har",
+    "tr": "ve bir bu için çok ile ama gibi daha var değil olan",
 }
-# A word used by n languages weighs WEIGHT_UNIT / n (12, 6, 4 or 3): words
-# that tell languages apart count more. Integers keep sums exact.
-WEIGHT_UNIT = 12
+# Scripts that stand for one language here, tested in this order
+# (Java name, RE2 name).
+SCRIPTS = [("ja", [("IsHiragana", "Hiragana"), ("IsKatakana", "Katakana")]), ("zh", [("IsHan", "Han")]),
+           ("ru", [("IsCyrillic", "Cyrillic")])]
+SCRIPT_SHARE = {"ja": 5, "zh": 2, "ru": 2}   # one letter in so many must be of the script
+MIN_SHARE = 25                               # one token in so many must be a profile word
+# A word used by n languages weighs WEIGHT_UNIT / n: words that tell languages
+# apart count more. Integers keep sums exact.
+WEIGHT_UNIT = 27720
 TOKEN_SPLIT = r"[^\p{L}]+"
 
 
@@ -51,11 +66,6 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), TOKEN_SPLIT)
 
 
-def profile_hits(text: Column) -> Column:
-    """The tokens of ``text`` that are profile words (one hashed test each)."""
-    return F.filter(tokens(text), _member(sorted({w for _, w, _ in profile_rows()})))
-
-
 def scores_of_hits(hits: Column) -> Column:
     """array<struct<neg_score:int, lang:string>> from the profile-word tokens.
 
@@ -72,18 +82,35 @@ def scores_of_hits(hits: Column) -> Column:
     return F.array(*scored)
 
 
-def language_scores(text: Column) -> Column:
-    """array<struct<neg_score:int, lang:string>>, one element per profile language."""
-    return let(profile_hits(text), scores_of_hits)
+def _script_tag(text: Column) -> Column:
+    """The language of the first script with its share of the letters, or NULL."""
+    letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
+    tag = F.lit(None).cast("string")
+    for lang, names in reversed(SCRIPTS):
+        kind = "".join(rf"\p{{{java}}}" for java, _ in names)
+        own = F.length(F.regexp_replace(text, f"[^{kind}]", ""))
+        tag = F.when(own * SCRIPT_SHARE[lang] >= F.greatest(letters, F.lit(1)), F.lit(lang)).otherwise(tag)
+    return tag
+
+
+_ANY_SCRIPT = "[" + "".join(rf"\p{{{java}}}" for _, names in SCRIPTS for java, _ in names) + "]"
 
 
 def language_tag(text: Column) -> Column:
-    """Language code of ``text`` or NULL when no profile word occurs.
+    """Language code of ``text`` or NULL when too few profile words occur.
 
     The tokens are computed once and bound with :func:`let`; zero scores are
-    filtered out before ``array_min``, so nothing is evaluated twice."""
-    return let(profile_hits(text), lambda h: F.array_min(
-        F.filter(scores_of_hits(h), lambda s: s["neg_score"] < 0))["lang"])
+    filtered out before ``array_min``, so nothing is evaluated twice. The script
+    test runs only on texts that hold such a letter."""
+    words = sorted({w for _, w, _ in profile_rows()})
+
+    def of_tokens(toks: Column) -> Column:
+        return let(F.filter(toks, _member(words)), lambda h: F.when(
+            F.size(h) * MIN_SHARE >= F.greatest(F.size(toks), F.lit(1)),
+            F.array_min(F.filter(scores_of_hits(h), lambda s: s["neg_score"] < 0))["lang"]))
+
+    by_words = let(F.array_remove(tokens(text), ""), of_tokens)
+    return F.when(text.rlike(_ANY_SCRIPT), F.coalesce(_script_tag(text), by_words)).otherwise(by_words)
 
 
 def profile_sql_values() -> str:
@@ -94,12 +121,19 @@ def profile_sql_values() -> str:
 
 def language_tag_sql(source: str, id_col: str, text_col: str, id_alias: str = "id") -> str:
     """DuckDB query giving (id_alias, lang_detected) for every row of ``source``."""
+    words = ", ".join(f"'{w}'" for w in sorted({w for _, w, _ in profile_rows()}))
+    script = "".join(
+        rf"""WHEN length(regexp_replace(s.{text_col}, '[^{''.join(rf'\p{{{re2}}}' for _, re2 in names)}]', '', 'g'))
+                 * {SCRIPT_SHARE[lang]} >= greatest(length(regexp_replace(s.{text_col}, '[^\p{{L}}]', '', 'g')), 1)
+            THEN '{lang}' """ for lang, names in SCRIPTS)
     return f"""
-        SELECT s.{id_col} AS {id_alias}, b.lang AS lang_detected FROM {source} s LEFT JOIN (
+        SELECT s.{id_col} AS {id_alias}, CASE {script} ELSE b.lang END AS lang_detected
+        FROM {source} s LEFT JOIN (
             SELECT id, lang FROM (
                 SELECT id, lang, row_number() OVER (PARTITION BY id ORDER BY sum(weight) DESC, lang) AS rn
-                FROM (SELECT {id_col} AS id,
-                             unnest(regexp_split_to_array(lower({text_col}), '{TOKEN_SPLIT}')) AS word
-                      FROM {source}) t
+                FROM (SELECT id, unnest(w) AS word FROM (
+                          SELECT {id_col} AS id, [x FOR x IN regexp_split_to_array(lower({text_col}), '{TOKEN_SPLIT}')
+                                                  IF x <> ''] AS w FROM {source})
+                      WHERE len([x FOR x IN w IF x IN ({words})]) * {MIN_SHARE} >= greatest(len(w), 1)) t
                 JOIN {profile_sql_values()} USING (word)
                 GROUP BY id, lang) WHERE rn = 1) b ON b.id = s.{id_col}"""

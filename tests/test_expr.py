@@ -73,3 +73,33 @@ def test_keys_and_names(spark):
     assert row.g == "ta-crawler" and row.h == "en_reviews-02-03-2021.json"
     assert row.i == "https://www.tripadvisor.ca/Hotel_Review-or5.html" and row.j == "4.0"
     assert row.k == "ann" and row.l == ["pool"] and row.m is None and row.n == "garbage"
+
+
+def test_language_tag_per_language(spark):
+    from reviewlake.functions.language import language_tag
+    cases = {
+        "da": "Værelset var rent og det var meget hyggeligt, jeg kommer ikke til at glemme det",
+        "de": "Das Zimmer war sauber und die Lage ist gut, mit dem Bus in den Ort",
+        "en": "The room was clean and the staff was kind to us in the evening",
+        "es": "La habitación estaba limpia y el personal era muy amable, cerca de las playas",
+        "fr": "La chambre est propre et le personnel des plus aimables, pour une nuit",
+        "it": "La camera era pulita e il personale gentile, non lontano dal centro della città, una bella vista",
+        "nl": "De kamer was schoon en het ontbijt is goed, met een mooi uitzicht op zee, niet duur",
+        "pl": "Pokój był czysty i bardzo ładny, ale śniadanie nie jest dobre, jak na tę cenę",
+        "pt": "O quarto estava limpo e os funcionários são simpáticos, mas não gostei do café da manhã",
+        "sv": "Rummet var rent och personalen är trevlig, det är inte långt till havet",
+        "tr": "Oda çok temiz ve personel çok iyi, ama kahvaltı için daha fazla seçenek gerekli",
+        "ru": "Номер был чистым, персонал очень вежливый", "ja": "部屋はとてもきれいで、スタッフも親切でした",
+        "zh": "房间很干净，服务员非常友好", None: "xyzzy plugh qwerty zzz foo"}
+    rows = spark.createDataFrame([(v, k) for k, v in cases.items()], "t string, want string")
+    got = {r.t: r.got for r in rows.select("t", language_tag(F.col("t")).alias("got")).collect()}
+    assert got == {v: k for k, v in cases.items()}
+
+
+def test_date_forms(spark):
+    cases = [("5 March 2020", "03-2020"), ("2020-03-05", "03-2020"), ("03/2020", "03-2020"), ("March 5, 2020", "03-2020"),
+             ("5 Mar 2020", "03-2020"), ("Mar 2020", "03-2020"), ("03/05/2020", "03-2020"), ("2020-03", "03-2020"), ("x 2020", "00-0000")]
+    header = F.array(F.lit("Ann"), F.concat(F.lit(E.REVIEW_PREFIX), F.col("x")))
+    assert _one(spark, E.review_month(header), [(c,) for c, _ in cases]) == [w for _, w in cases]
+    as_of = F.lit("2021-06-15").cast("date")
+    assert _one(spark, E.review_month(header, as_of=as_of), [("Mar 5",), ("2 years ago",), ("1 month ago",)]) == ["03-2021", "06-2019", "05-2021"]
