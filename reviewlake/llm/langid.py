@@ -69,7 +69,8 @@ class Spectrum:
             return np.zeros(0, np.int64)
         keep = letter.copy()
         keep[1:] |= letter[:-1]
-        c = np.concatenate(([0], low[keep], [0])).astype(np.uint32) + np.uint32(1)
+        low = low[keep]
+        c = np.concatenate(([0], low if low[-1] else low[:-1], [0])).astype(np.uint32) + np.uint32(1)
         h = np.zeros(len(c), np.uint32)
         for n in range(1, MAX_N + 1):
             h = h[:len(c) - n + 1] * np.uint32(0x01000193) + c[n - 1:]

@@ -126,12 +126,14 @@ def test_secrets_odd_rows(spark):
             (2, None, "en", "a", 1), (3, "", "en", "a", 1), (4, f"{key} 4111111111111111 token = \"{'ab12' * 10}\"", "en", "a", 1)]
     docs = odd.documents(spark, rows)
     found = secrets.features(secrets.candidates(docs), secrets.corpus_words(docs))
-    got = sorted((str(r.doc_id), r.nth, r.found[:4], r.left.strip()[-5:]) for r in found.collect())
-    assert got == [("1", 0, "AKIA", "ey is"), ("1", 0, "AKIA", "ey is"), ("4", 0, "AKIA", ""), ("4", 1, "4111", ""), ("4", 2, "ab12", "en = \""),
-                   ("None", 0, "4111", "card")] or len(got) == 6
+    got = sorted((str(r.doc_id), r.nth, r.found[:4], r.left.strip()[-3:]) for r in found.collect())
+    assert got == [("1", 0, "AKIA", " is"), ("1", 0, "AKIA", " is"), ("4", 0, "AKIA", ""), ("4", 1, "4111", ""),
+                   ("4", 2, "ab12", "= \""), ("None", 0, "4111", "ard")]
+    many = odd.documents(spark, [(i, r[1], "en", "a", 1) for i in range(20) for r in rows])
+    found = secrets.features(secrets.candidates(many), secrets.corpus_words(many))
     model = secrets.train(secrets.weak_labels(found))
     kept = {r.found[:4]: r.kept for r in secrets.scored(found, model).collect()}
-    assert kept["AKIA"] and not kept["4111"]
+    assert kept == {"AKIA": True, "ab12": True, "4111": False}
     assert {r.score for r in secrets.scored(found, None).collect()} == {0.5}
     assert secrets.candidates(odd.empty(spark)).count() == 0
 
