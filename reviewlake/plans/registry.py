@@ -429,23 +429,21 @@ def q_object_counts(spark, sf_dir):
 
 @register("sitemap_urls", with_views("SELECT file, idx, url FROM fx_urls", "fx_urls"))
 def q_sitemap_urls(spark, sf_dir):
+    # real gzip files: one per (file, part), read back by the sitemap reader
     docs = SM.sitemap_documents(_fx_urls(spark, sf_dir))
-    parsed = SRC.parse_sitemaps(docs.select(F.concat_ws(":", "file", "part").alias("fp"), "value"),
-                                file="fp")
-    fp = F.split("fp", ":")
-    return parsed.select(F.get(fp, 0).alias("file"),
-                         (F.get(fp, 1).cast("bigint") * SM.SITEMAP_MAX_URLS + F.col("idx")).alias("idx"),
-                         "url")
+    path = scratch_path(spark, "sitemaps")
+    name = F.concat(F.lit("sitemap-en_CA-hotel_review-"), "file", F.lit("_"), F.col("part").cast("string"), F.lit(".xml"))
+    docs.select(name.alias("name"), "value").write.partitionBy("name").option("compression", "gzip").text(path)
+    fp = F.split("file", "_")
+    return SRC.read_sitemaps(spark, path).select(
+        F.get(fp, 0).alias("file"), (F.get(fp, 1).cast("bigint") * SM.SITEMAP_MAX_URLS + F.col("idx")).alias("idx"), "url")
 
 
 @register("url_list_sink", with_views(
-    "SELECT file, count(*) AS n_urls, min(idx) AS min_idx, max(idx) AS max_idx FROM fx_urls GROUP BY file",
-    "fx_urls"))
+    "SELECT file, idx, url FROM fx_urls", "fx_urls"))
 def q_url_list_sink(spark, sf_dir):
     path = K.write_url_lists(q_sitemap_urls(spark, sf_dir), scratch_path(spark, "url_lists"))
-    back = spark.read.parquet(path)
-    return back.groupBy(F.col("file").cast("string").alias("file")).agg(
-        F.count(F.lit(1)).alias("n_urls"), F.min("idx").alias("min_idx"), F.max("idx").alias("max_idx"))
+    return spark.read.parquet(path).select(F.col("file").cast("string").alias("file"), "idx", "url")
 
 
 @register("robots_sitemaps", with_views(

@@ -40,9 +40,10 @@ def read_sitemaps(spark: SparkSession, path: str, num_partitions: int | None = N
     """``(file, idx, url)`` from ``.xml`` or ``.xml.gz`` files under ``path``.
 
     ``file`` is the file id (E13): text after the last ``-`` of the name. A
+    landed folder ``<name>.xml/part-*`` counts as the file of that name. A
     gzip file is one task; ``num_partitions`` spreads the URLs afterwards.
     """
-    name = F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]*\.xml(\.gz)?)(/part-[^/]*)?$", 1)
     stem = F.regexp_replace(name, r"\.xml(\.gz)?$", "")
     raw = spark.read.text(path, wholetext=True).select(
         "value", E.sitemap_file_id(F.concat(stem, F.lit(".xml.gz"))).alias("file"))

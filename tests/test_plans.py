@@ -54,7 +54,7 @@ def test_offsets_window_is_over_partition_counts(plans):
 
 def test_scans_are_pruned(plans):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plans["language_tag"]
-    assert "ReadSchema: struct<page_id:bigint,url:string>" in plans["sitemap_urls"]
+    assert "ReadSchema: struct<page_id:bigint,url:string>" in plans["hotel_url_filter"]
     assert "ReadSchema: struct<page_id:bigint>" in plans["sitemap_file_filter"]
 
 
