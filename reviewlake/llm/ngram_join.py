@@ -16,12 +16,16 @@ link when den * |x & y| >= num * |x | y|.
    the prefixes differ in at most 2 (|x| - o) + |P_y| - |P_x| n-grams. Parity
    bitmaps of the prefixes differ in no more bits than the prefixes do.
 4. Round one takes for each group and n-gram the nearest group that passes,
-   expands to members and verifies them on their whole sets. Round two takes
-   every passing group pair whose members aren't all connected by then,
-   expands it to all member pairs that aren't connected, and verifies those.
-   A pair left out is a link at most between documents that are connected
-   already, so components are exact and no large group is compared pair by
-   pair.
+   pairs its members with that group's first member (and members of one group
+   with their own first) and verifies these pairs on their whole sets. Round two
+   expands every passing group pair to those member pairs that aren't connected
+   by then and filters them by parity bitmaps of their whole sets, which differ
+   in no more bits than the sets differ in n-grams. Of what passes, a tile hands
+   on a spanning forest between components: if its edges verify, as nearly all
+   do, every other pair of the tile joins documents that are connected already.
+   If any edge fails, round three verifies all pairs that still pass and aren't
+   connected. So components are exact, and the pairs of one large group are
+   never emitted.
 
 An n-gram in the prefixes of more than ``BLOCK`` groups is split into blocks
 that meet pairwise, so no task holds more than about 2 * ``BLOCK`` groups of
@@ -45,15 +49,18 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.common import col, packed, row_key, unpacked, written
 from reviewlake.llm.components import components
+from reviewlake.llm.embedding_dedup import Forest
 from reviewlake.llm.hashed_text import Hasher, cells
 from reviewlake.session import table
 
 CELL_BITS = 21            # counters of the sketch: 2^21
 PARTS = 64                # the sketch travels in this many pieces
 BLOCK = 2048
-PAIRS = 1 << 18           # pairs looked at at once
+PAIRS = 1 << 16           # pairs looked at at once
 WORDS, WIDE = 8, 64       # 64-bit words of a prefix bitmap, and of a long prefix
 LONG_PREFIX = 128
+SET_WORDS = ((512, 64), (2048, 128))  # words of a set's bitmap up to so many n-grams; beyond them:
+MAX_SET_WORDS = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -124,8 +131,9 @@ def _summed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bitmap(grams: np.ndarray, words: int) -> np.ndarray:
-    """Parity of the n-grams in each of 64 * words bits."""
-    bit = (_mixed(grams + np.uint64(11)) >> np.uint64(64 - 12)).astype(np.int64) & (64 * words - 1)
+    """Parity of the n-grams in each of 64 * words bits; a wide bitmap folds into
+    a narrow one."""
+    bit = (_mixed(grams + np.uint64(11)) >> np.uint64(64 - 14)).astype(np.int64) & (64 * words - 1)
     odd = (np.bincount(bit, minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little")
 
@@ -153,77 +161,55 @@ def _prefixes(n: int, num: int, den: int, rarity: bytes):
 
 
 def _sets(n: int):
+    """Per row its whole set and the set's bitmap."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for rows in parts:
             if len(rows):
-                yield pd.DataFrame({"id": rows["id"], "h": rows["h"],
-                                    "grams": [s.astype(np.int64) for s in shingle_sets(hasher, rows["text"].tolist(), n)]})
+                sets = list(shingle_sets(hasher, rows["text"].tolist(), n))
+                words = [next((w for most, w in SET_WORDS if len(s) <= most), MAX_SET_WORDS) for s in sets]
+                yield pd.DataFrame({"id": rows["id"], "h": rows["h"], "grams": [s.astype(np.int64) for s in sets],
+                                    "all": [_bitmap(s, w).tobytes() for s, w in zip(sets, words)]})
     return run
 
 
-def _folded(bits: pd.Series) -> np.ndarray:
-    """All bitmaps at the short width (a wide one is folded by parity)."""
-    out = np.zeros((len(bits), WORDS), np.uint64)
+def _folded(bits: pd.Series, words: int = WORDS) -> np.ndarray:
+    """All bitmaps at ``words`` words (a wide one is folded by parity)."""
+    out = np.zeros((len(bits), words), np.uint64)
     for k, b in enumerate(bits):
-        out[k] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, WORDS), axis=0)
+        out[k] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, words), axis=0)
     return out
 
 
-def _meetings(num: int, den: int, nearest: bool):
-    """Rows of groups, sorted by (gram, i, j, n), to group pairs that may link:
-    for each group and n-gram the nearest one, or all not yet connected."""
-    def of(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.reset_index(drop=True)
-        run = (rows[["gram", "i", "j"]].diff().fillna(1) != 0).any(axis=1).to_numpy().cumsum()
-        n = rows["n"].to_numpy(np.int64)
-        big = np.int64(n.max()) * den // num + 2
-        spot = run * big + n
-        stop = np.searchsorted(spot, run * big + n * den // num, side="right")
-        bits, block = _folded(rows["bits"]), rows["block"].to_numpy()
-        across = rows["i"].to_numpy() != rows["j"].to_numpy()
-        comp = rows["comp"].to_numpy()
-        long = rows["bits"].str.len().to_numpy() > 8 * WORDS
-        wide = {k: np.frombuffer(rows["bits"].iat[k], np.uint64) for k in np.flatnonzero(long)}
-        p = n - -(-n * num // den) + 1
-        counts = np.maximum(0, stop - np.arange(len(rows)) - 1)
-        best = np.full(len(rows), np.iinfo(np.int64).max)
-        pairs = []
-        ends = np.cumsum(counts)
-        at = 0
-        while at < len(rows):
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
-            c = counts[at:to]
-            a = np.repeat(np.arange(at, to), c)
-            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
-            apart = (~across[a] | (block[a] != block[b])) & ((comp[a] != comp[b]) | (comp[a] == 0))
-            a, b = a[apart], b[apart]
-            need = -(-num * (n[a] + n[b]) // (num + den))
-            allowed = np.maximum(2 * (n[a] - need) + p[b] - p[a], 2 * (n[b] - need) + p[a] - p[b])
-            off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-            ok = off <= allowed
-            a, b, off, allowed = a[ok], b[ok], off[ok], allowed[ok]
-            both = long[a] & long[b]
-            if both.any():
-                for k in np.flatnonzero(both):
-                    off[k] = int(np.bitwise_count(wide[a[k]] ^ wide[b[k]]).sum())
-                ok = off <= allowed
-                a, b, off = a[ok], b[ok], off[ok]
-            if nearest:   # one partner per row: the nearest, then the first
-                rank = off * len(rows)
-                np.minimum.at(best, a, rank + b)
-                np.minimum.at(best, b, rank + a)
-            else:
-                pairs.append((a, b))
-            at = to
-        if nearest:
-            a = np.flatnonzero(best < np.iinfo(np.int64).max)
-            b = best[a] % len(rows)
-        else:
-            a, b = (np.concatenate([x[k] for x in pairs]) for k in (0, 1)) if pairs else (np.zeros(0, np.int64),) * 2
-        g = rows["gid"].to_numpy()
-        return pd.DataFrame({"a": np.minimum(g[a], g[b]), "b": np.maximum(g[a], g[b])}).drop_duplicates()
+def _needed(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The overlap that sets of these sizes need to link."""
+    return -(-num * (a + b) // (num + den))
+
+
+def _prefix_slack(na, nb, num: int, den: int) -> np.ndarray:
+    """In how many n-grams the prefixes of linked sets of these sizes may differ."""
+    need = _needed(na, nb, num, den)
+    pa, pb = (n - -(-n * num // den) + 1 for n in (na, nb))
+    return np.maximum(2 * (na - need) + pb - pa, 2 * (nb - need) + pa - pb)
+
+
+def _spans(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of positions whose counts sum to about ``PAIRS`` at most."""
+    ends, at = np.cumsum(counts), 0
+    while at < len(counts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
+        yield at, to
+        at = to
+
+
+def _paired(first: np.ndarray, counts: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): position at + k with each of the counts[k] positions from first[k]."""
+    a = np.repeat(np.arange(at, at + len(counts)), counts)
+    return a, np.repeat(first, counts) + np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts)
+
 
+def _by_tile(of):
+    """Calls ``of`` with the rows of whole tiles, which arrive sorted by (gram, i, j)."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for rows in parts:
@@ -231,27 +217,131 @@ def _meetings(num: int, den: int, nearest: bool):
             last = held[["gram", "i", "j"]].iloc[-1]
             open_ = (held["gram"] == last["gram"]) & (held["i"] == last["i"]) & (held["j"] == last["j"])
             if not open_.all():
-                yield of(held[~open_])
+                yield of(held[~open_].reset_index(drop=True))
                 held = held[open_]
         if held is not None and len(held):
-            yield of(held)
+            yield of(held.reset_index(drop=True))
     return run
 
 
-def _candidates(grams: DataFrame, groups: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
-    """Group pairs (a, b) from (gram, gid) rows and groups (gid, n, bits, comp)."""
+def _tiles_of(rows: pd.DataFrame) -> np.ndarray:
+    return (rows[["gram", "i", "j"]].diff().fillna(1) != 0).any(axis=1).to_numpy().cumsum()
+
+
+def _size_stop(tile: np.ndarray, n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Where the rows of the same tile end that aren't too large (sorted by tile, n)."""
+    big = np.int64(n.max()) * den // num + 2
+    return np.searchsorted(tile * big + n, tile * big + n * den // num, side="right")
+
+
+def _nearest(num: int, den: int):
+    """Rows of groups, sorted by (gram, i, j, n): each group's nearest in its tile."""
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        n, block = rows["n"].to_numpy(np.int64), rows["block"].to_numpy()
+        across = (rows["i"] != rows["j"]).to_numpy()
+        counts = np.maximum(0, _size_stop(_tiles_of(rows), n, num, den) - np.arange(len(rows)) - 1)
+        bits = _folded(rows["bits"])
+        long = rows["bits"].str.len().to_numpy() > 8 * WORDS
+        wide = {k: np.frombuffer(rows["bits"].iat[k], np.uint64) for k in np.flatnonzero(long)}
+        none = np.iinfo(np.int64).max
+        best = np.full(len(rows), none)
+        for at, to in _spans(counts):
+            a, b = _paired(np.arange(at + 1, to + 1), counts[at:to], at)
+            ok = ~across[a] | (block[a] != block[b])
+            a, b = a[ok], b[ok]
+            slack = _prefix_slack(n[a], n[b], num, den)
+            off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            a, b, off, slack = (x[off <= slack] for x in (a, b, off, slack))
+            for k in np.flatnonzero(long[a] & long[b]):
+                off[k] = int(np.bitwise_count(wide[a[k]] ^ wide[b[k]]).sum())
+            a, b, off = (x[off <= slack] for x in (a, b, off))
+            np.minimum.at(best, a, off * len(rows) + b)     # the nearest, then the first
+            np.minimum.at(best, b, off * len(rows) + a)
+        a = np.flatnonzero(best < none)
+        g = rows["gid"].to_numpy()
+        a, b = g[a], g[best[a] % len(rows)]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    return _by_tile(of)
+
+
+def _forest(x: np.ndarray, y: np.ndarray, comp: np.ndarray, forest: Forest) -> np.ndarray:
+    """Positions of pairs that connect what all pairs (x, y) connect, beyond what
+    ``forest`` over components has connected before."""
+    chosen, left = [], np.arange(len(x))
+    while True:
+        a, b = forest.root[comp[x[left]]], forest.root[comp[y[left]]]
+        left, a, b = left[a != b], a[a != b], b[a != b]
+        if not len(left):
+            return np.concatenate(chosen) if chosen else left
+        first = np.full(len(forest.root), len(x))      # one pair per component that is still apart
+        np.minimum.at(first, a, left)
+        np.minimum.at(first, b, left)
+        some = np.unique(first[first < len(x)])
+        chosen.append(some)
+        forest.link(comp[x[some]], comp[y[some]])
+
+
+def _unconnected(num: int, den: int, every: bool):
+    """Rows of members, sorted by (gram, i, j, n, gid): group pairs that pass,
+    expanded to the member pairs that may link and aren't connected; a spanning
+    forest of them, or ``every`` one."""
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        tile, gid, n = _tiles_of(rows), rows["gid"].to_numpy(), rows["n"].to_numpy(np.int64)
+        comp = np.unique(rows["comp"].to_numpy(), return_inverse=True)[1]
+        forest = Forest(len(rows))
+        heads = np.flatnonzero(np.concatenate(([True], (tile[1:] != tile[:-1]) | (gid[1:] != gid[:-1]))))
+        many = np.diff(np.append(heads, len(rows)))
+        gn, block = n[heads], rows["block"].to_numpy()[heads]
+        across = (rows["i"] != rows["j"]).to_numpy()[heads]
+        bits = _folded(rows["bits"].iloc[heads])
+        counts = np.maximum(1, _size_stop(tile[heads], gn, num, den) - np.arange(len(heads)))    # with itself
+        narrow = _folded(rows["all"], SET_WORDS[0][1])
+        width = rows["all"].str.len().to_numpy() // 8
+        whole = {k: np.frombuffer(rows["all"].iat[k], np.uint64) for k in np.flatnonzero(width > narrow.shape[1])}
+        out = []
+        for at, to in _spans(counts):
+            a, b = _paired(np.arange(at, to), counts[at:to], at)
+            ok = np.where(across[a], block[a] != block[b], (a != b) | (many[a] > 1))
+            a, b = a[ok], b[ok]
+            off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            ok = off <= _prefix_slack(gn[a], gn[b], num, den)
+            a, b = a[ok], b[ok]
+            k, left = _paired(heads[a], many[a], 0)         # a row per pair and member of a
+            right, size = heads[b[k]], many[b[k]]
+            for lo, hi in _spans(size):
+                x, y = _paired(right[lo:hi], size[lo:hi], 0)
+                x = left[lo:hi][x]
+                ok = (x != y) & (comp[x] != comp[y]) & ((gid[x] != gid[y]) | (x < y))
+                x, y = x[ok], y[ok]
+                slack = n[x] + n[y] - 2 * _needed(n[x], n[y], num, den)
+                ok = np.bitwise_count(narrow[x] ^ narrow[y]).sum(axis=1, dtype=np.int64) <= slack
+                x, y, slack = x[ok], y[ok], slack[ok]
+                both = np.minimum(width[x], width[y])
+                for p in np.flatnonzero(both > narrow.shape[1]):
+                    u, v = (np.bitwise_xor.reduce(whole[z].reshape(-1, both[p]), axis=0) for z in (x[p], y[p]))
+                    if np.bitwise_count(u ^ v).sum() > slack[p]:
+                        x[p] = y[p]                         # not a pair
+                x, y = x[x != y], y[x != y]
+                if not every:
+                    some = _forest(x, y, comp, forest)
+                    x, y = x[some], y[some]
+                out.append((x, y))
+        x, y = (np.concatenate([p[k] for p in out]) for k in (0, 1)) if out else (np.zeros(0, np.int64),) * 2
+        node = rows["nid"].to_numpy()
+        return pd.DataFrame({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])}).drop_duplicates()
+
+    return _by_tile(of)
+
+
+def _dealt(grams: DataFrame) -> DataFrame:
+    """(gram, gid) rows of n-grams that several groups share, dealt to tiles: one
+    tile per n-gram, or every pair (i, j) of its blocks."""
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     shared = grams.join(counts, "gram").withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
     shared = shared.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-    tiles = (shared.select("gram", "gid", "block", other.alias("k"))
-             .select("gram", "gid", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")))
-    rows = tiles.join(groups, "gid")
-    if "comp" not in groups.columns:
-        rows = rows.withColumn("comp", F.lit(0).cast("long"))
-    dealt = rows.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "gid")
-    return dealt.select("gram", "i", "j", "n", "gid", "block", "bits", "comp").mapInPandas(
-        _meetings(num, den, nearest), "a long, b long").distinct()
+    return (shared.select("gram", "gid", "block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("k"))
+            .select("gram", "gid", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -263,6 +353,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.where(common * F.lit(den) >= (F.size("x") + F.size("y") - common) * F.lit(num)).select("a", "b")
 
 
+def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: DataFrame, found: DataFrame,
+                num: int, den: int, every: bool) -> DataFrame:
+    """Pairs (a, b) of nodes that pass all filters and that ``found`` doesn't connect."""
+    now = touched.join(found, "node", "left").withColumn("comp", F.xxhash64(F.coalesce("component", "node")))
+    now = written(now.join(bits, "node").join(groups.select("gid", "n", "bits"), "gid")
+                  .select("gid", "node", F.xxhash64("node").alias("nid"), "comp", "n", "bits", "all"), "now")
+    span = now.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    near = written(grams.join(span, "gid").select("gram", "gid", "low", "high"), "open-grams")
+    several = near.groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high")
+    open_ = written(near.join(several.select("gram"), "gram", "left_semi"), "open")
+    # a group whose members differ meets itself: it counts as two
+    twice = F.explode(F.sequence(F.lit(1), F.when(F.col("low") != F.col("high"), 2).otherwise(1)))
+    tiles = _dealt(open_.select("gram", "gid", twice.alias("copy")).drop("copy")).distinct()
+    rows = tiles.join(now, "gid").repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "gid", "nid")
+    rest = written(rows.select("gram", "i", "j", "n", "gid", "nid", "block", "bits", "all", "comp").mapInPandas(
+        _unconnected(num, den, every), "a long, b long").distinct(), "rest")
+    named = now.select("nid", "node")
+    return (rest.join(named.toDF("a", "na"), "a").join(named.toDF("b", "nb"), "b")
+            .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")))
+
+
 def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text: str = "text",
                doc_id: str = "doc_id") -> DataFrame:
     """(id, h, n_shingles, node, component) of every distinct (doc_id, text);
@@ -296,7 +407,10 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     grams = firsts.select("gid", F.explode("prefix").alias("gram"))
 
     # round one: each group's nearest, against the first member; and each member against its own first
-    near = written(_candidates(grams, groups.select("gid", "n", "bits"), num, den, nearest=True), "near")
+    rows = _dealt(grams).join(groups.select("gid", "n", "bits"), "gid").repartition("gram", "i", "j") \
+        .sortWithinPartitions("gram", "i", "j", "n", "gid")
+    near = written(rows.select("gram", "i", "j", "n", "gid", "block", "bits").mapInPandas(
+        _nearest(num, den), "a long, b long").distinct(), "near")
     inside = members.join(heads, "gid").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     pairs = (near.join(members.select(F.col("gid").alias("a"), "node"), "a")
              .join(heads.select(F.col("gid").alias("b"), "head"), "b")
@@ -306,30 +420,30 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
         .union(groups.where("size > 1").select("gid")).distinct()
     touched = written(members.join(touched, "gid"), "touched")      # (gid, node): all that a pair can name from here on
     sets = texts.join(touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
-    sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>")
-                   .select(F.struct("id", "h").alias("node"), "grams"), "sets")
+    sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary")
+                   .select(F.struct("id", "h").alias("node"), "grams", "all"), "sets")
     links = written(_verified(pairs, sets, num, den), "links")
     found = written(components(links), "round-one")
 
-    # round two: what passes the filter and isn't connected
-    now = written(touched.join(found, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("component")), "now")
-    comp = F.when(F.min("component") == F.max("component"), F.xxhash64(F.min("component"))).otherwise(F.lit(0))
-    state = now.groupBy("gid").agg(comp.alias("comp"))              # 0: members not connected with each other
-    left = written(groups.select("gid", "n", "bits").join(state, "gid"), "left")
-    more = grams.join(left.select("gid", "comp"), "gid")
-    several = more.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high OR low = 0")
-    open_ = more.join(several.select("gram"), "gram", "left_semi").select("gid", "gram")
-    rest = written(_candidates(open_, left, num, den, nearest=False), "rest")
-    mixed = left.where("comp = 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    side = lambda s: now.select(F.col("gid").alias(s), F.col("node").alias(f"n{s}"), F.col("component").alias(f"c{s}"))
-    expanded = rest.unionByName(mixed).join(side("a"), "a").join(side("b"), "b").where("ca != cb") \
-        .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
+    # round two: a spanning forest of what passes the filters and isn't connected
+    bits = sets.select("node", "all")
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    last = written(_verified(expanded.join(tried, ["a", "b"], "left_anti"), sets, num, den), "last-links")
-    if last.isEmpty():
-        final = found
-    else:
-        final = written(components(links.unionByName(last)), "round-two")
+    spanning = written(_open_pairs(grams, touched, groups, bits, found, num, den, every=False), "spanning")
+    more = written(_verified(spanning.join(tried, ["a", "b"], "left_anti"), sets, num, den), "links-two")
+    final = found
+    if not more.isEmpty():
+        links = written(links.unionByName(more), "links")
+        final = written(components(links), "round-two")
+    # round three, if the forest isn't connected now: everything that still passes
+    comp_of = lambda s: final.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
+    apart = spanning.join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left") \
+        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    if not apart.isEmpty():
+        tried = written(tried.unionByName(spanning).distinct(), "tried")
+        rest = _open_pairs(grams, touched, groups, bits, final, num, den, every=True).join(tried, ["a", "b"], "left_anti")
+        more = written(_verified(rest, sets, num, den), "links-three")
+        if not more.isEmpty():
+            final = written(components(links.unionByName(more)), "round-three")
     by_set = nodes.join(final, "node", "left").select("n_shingles", "s1", "s2", "node", F.coalesce("component", "node").alias("component"))
     linked = linkable.join(by_set, ["n_shingles", "s1", "s2"], "left")
     alone = own.where("n_shingles = 0 OR key.id IS NULL").select(
