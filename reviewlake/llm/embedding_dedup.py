@@ -44,7 +44,7 @@ THRESHOLD = 0.9
 BLOCK = 4096
 MAX_PIVOTS = 128
 STRIP = 512
-SLACK = 1e-9     # rounding of the bound itself
+SLACK = 1e-4     # more than float32 products and the bound itself may be rounded by
 
 
 def usable(vector: Column) -> Column:
@@ -72,14 +72,18 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q, s, np.sqrt(((unit - q * s[:, None]) ** 2).sum(axis=1))
 
 
-def possible(left: tuple, right: tuple, threshold: float) -> np.ndarray:
-    """Pairs whose product may reach the threshold. Products of int8 are whole
-    numbers below 2^24 for up to 1024 components, so float32 holds them exactly;
-    longer vectors use float64."""
-    kind = np.float32 if left[0].shape[1] <= 1024 else np.float64
-    product = left[0].astype(kind) @ right[0].astype(kind).T
-    bound = left[2][:, None] * (1 + right[2]) + right[2]
-    return product * left[1][:, None] * right[1] + bound >= threshold - SLACK
+def possible(left: tuple, right: tuple, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i, j) of the pairs whose product may reach the threshold. One
+    matrix product of the int8 values, the right ones scaled; a row is compared
+    with one number, from its own error and the largest on the right, and what
+    passes with the errors of both. float32 rounding is far below ``SLACK``."""
+    (q, s, e), (r, t, f) = left, right
+    product = q.astype(np.float32) @ (r * t[:, None]).astype(np.float32).T
+    worst = f.max(initial=0)
+    reach = (threshold - SLACK - e * (1 + worst) - worst) / s
+    i, j = np.nonzero(product >= reach.astype(np.float32)[:, None])
+    near = product[i, j] * s[i] + e[i] * (1 + f[j]) + f[j] >= threshold - SLACK
+    return i[near], j[near]
 
 
 class Forest:
@@ -114,7 +118,7 @@ def _tile(rows: pd.DataFrame, threshold: float, width: int) -> pd.DataFrame:
     links, forest = np.zeros(len(rows), np.int64), Forest(len(rows))
     for at in range(0, len(first), STRIP):
         strip = first[at:at + STRIP]
-        i, j = np.nonzero(possible(tuple(y[strip] for y in q), tuple(y[second] for y in q), threshold))
+        i, j = possible(tuple(y[strip] for y in q), tuple(y[second] for y in q), threshold)
         a, b = strip[i], second[j]
         if same:
             a, b = a[a < b], b[a < b]
