@@ -35,6 +35,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def extended(known: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``known`` (node, component) with more ``edges`` between its nodes or new
+    ones: only the components that an edge touches are worked on again."""
+    of = lambda s: known.select(F.col("node").alias(s), F.col("component").alias(f"{s}_component"))
+    between = (edges.join(of(a), a, "left").join(of(b), b, "left")
+               .select(F.coalesce(f"{a}_component", a).alias("a"), F.coalesce(f"{b}_component", b).alias("b")))
+    moved = written(components(between).select(F.col("node").alias("component"), F.col("component").alias("lower")), "moved")
+    both = known.join(moved, "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
+    new = moved.select(F.col("component").alias("node"), F.col("lower").alias("component")).join(known.select("node"), "node", "left_anti")
+    return both.unionByName(new)
+
+
 def _state(edges: DataFrame) -> tuple:
     h = F.xxhash64("u", "v")
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 20)), F.bit_xor(h)).first())

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.llm.common import col, packed, row_key, unpacked, written
-from reviewlake.llm.components import components
+from reviewlake.llm.components import components, extended
 from reviewlake.llm.embedding_dedup import Forest
 from reviewlake.llm.hashed_text import Hasher, cells
 from reviewlake.session import table
@@ -432,8 +432,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     more = written(_verified(spanning.join(tried, ["a", "b"], "left_anti"), sets, num, den), "links-two")
     final = found
     if not more.isEmpty():
-        links = written(links.unionByName(more), "links")
-        final = written(components(links), "round-two")
+        final = written(extended(found, more), "round-two")
     # round three, if the forest isn't connected now: everything that still passes
     comp_of = lambda s: final.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
     apart = spanning.join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left") \
@@ -443,7 +442,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
         rest = _open_pairs(grams, touched, groups, bits, final, num, den, every=True).join(tried, ["a", "b"], "left_anti")
         more = written(_verified(rest, sets, num, den), "links-three")
         if not more.isEmpty():
-            final = written(components(links.unionByName(more)), "round-three")
+            final = written(extended(final, more), "round-three")
     by_set = nodes.join(final, "node", "left").select("n_shingles", "s1", "s2", "node", F.coalesce("component", "node").alias("component"))
     linked = linkable.join(by_set, ["n_shingles", "s1", "s2"], "left")
     alone = own.where("n_shingles = 0 OR key.id IS NULL").select(

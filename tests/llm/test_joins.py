@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from reviewlake.llm import embedding_dedup, ngram_join, vector_search
-from reviewlake.llm.components import components
+from reviewlake.llm.components import components, extended
 from pyspark.sql import functions as F
 from tests.llm import odd
 
@@ -36,6 +36,10 @@ def test_components(spark, seed):
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == smallest_reached(nodes, edges)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    # the same in two steps
+    half = components(spark.createDataFrame(edges[::2], "a long, b long"))
+    more = extended(half, spark.createDataFrame(edges[1::2], "a long, b long"))
+    assert {r.node: r.component for r in more.collect()} == got
 
 
 VECTORS = "vec_id long, embedding array<float>, label int, tile string, h long"
