@@ -169,7 +169,8 @@ def _sets(n: int):
                 sets = list(shingle_sets(hasher, rows["text"].tolist(), n))
                 words = [next((w for most, w in SET_WORDS if len(s) <= most), MAX_SET_WORDS) for s in sets]
                 yield pd.DataFrame({"id": rows["id"], "h": rows["h"], "grams": [s.astype(np.int64) for s in sets],
-                                    "all": [_bitmap(s, w).tobytes() for s, w in zip(sets, words)]})
+                                    "all": [_bitmap(s, w).tobytes() for s, w in zip(sets, words)],
+                                    "size": [len(s) for s in sets]})
     return run
 
 
@@ -344,13 +345,32 @@ def _dealt(grams: DataFrame) -> DataFrame:
             .select("gram", "gid", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")))
 
 
+def _may_link(num: int, den: int):
+    """Whether the bitmaps and sizes of two sets allow them to link."""
+    @F.pandas_udf("boolean")
+    def run(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        n, m = n.to_numpy(np.int64), m.to_numpy(np.int64)
+        off = np.zeros(len(x), np.int64)
+        for k, (u, v) in enumerate(zip(x, y)):
+            u, v = np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64)
+            words = min(len(u), len(v))
+            off[k] = np.bitwise_count(np.bitwise_xor.reduce(u.reshape(-1, words), axis=0)
+                                      ^ np.bitwise_xor.reduce(v.reshape(-1, words), axis=0)).sum()
+        return pd.Series(off <= n + m - 2 * _needed(n, m, num, den))
+    return run
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs of nodes (a, b) that link."""
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.where(common * F.lit(den) >= (F.size("x") + F.size("y") - common) * F.lit(num)).select("a", "b")
+    """The pairs of nodes (a, b) that link: bitmaps first, then the sets of the
+    pairs that their bitmaps allow."""
+    def side(s: str, *values: str) -> DataFrame:
+        return sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in values])
+
+    narrow = pairs.join(side("a", "all", "size"), "a").join(side("b", "all", "size"), "b")
+    pairs = written(narrow.where(_may_link(num, den)("all_a", "all_b", "size_a", "size_b")).select("a", "b"), "allowed")
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    both = pairs.join(side("a", "grams"), "a").join(side("b", "grams"), "b")
+    return both.where(common * F.lit(den) >= (F.size("grams_a") + F.size("grams_b") - common) * F.lit(num)).select("a", "b")
 
 
 def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: DataFrame, found: DataFrame,
@@ -420,8 +440,8 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
         .union(groups.where("size > 1").select("gid")).distinct()
     touched = written(members.join(touched, "gid"), "touched")      # (gid, node): all that a pair can name from here on
     sets = texts.join(touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
-    sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary")
-                   .select(F.struct("id", "h").alias("node"), "grams", "all"), "sets")
+    sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary, size int")
+                   .select(F.struct("id", "h").alias("node"), "grams", "all", "size"), "sets")
     links = written(_verified(pairs, sets, num, den), "links")
     found = written(components(links), "round-one")
 
