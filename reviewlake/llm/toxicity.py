@@ -2,13 +2,22 @@
 
 A document is a bag of sentences (ended by a line feed, ".", "!" or "?"). A
 sentence has z = bias + sum of the weights of its hashed words and word
-beginnings and the probability s = 1 / (1 + exp(-z)); the document has the
-noisy-or 1 - prod(1 - s). Only documents are labelled: the fit maximises the
+beginnings and the probability s = 1 / (1 + exp(-z)); a bag has the noisy-or
+1 - prod(1 - s). Only documents are labelled: the fit maximises the
 likelihood of their labels through the noisy-or, so it finds by itself which
 sentences make a document toxic, and the same s locates them.
 
-The fit uses at most about ``TRAIN_ROWS`` labelled rows of at most
-``TRAIN_CHARS`` characters, chosen by hash; every text is scored whole.
+A plain noisy-or of a long text would add up what clean sentences score too.
+A document's score therefore is 1 - exp(-E), with E the larger of
+
+- the evidence -log(1 - s) of its strongest sentence;
+- the sum of its distinct sentences' evidence over that of a sentence without
+  telling words, less what as many clean sentences have (mean and ``SPREAD``
+  standard deviations, from the clean documents of the fit).
+
+The fit uses labelled rows chosen by hash, at most about ``TRAIN_ROWS`` rows
+and ``TRAIN_CHARS`` characters in all; a text's length doesn't decide whether
+it is chosen, and none is cut. Every text is scored whole.
 
 Defined results: null and empty texts have no sentence and score 0; without
 toxic and other labels every text scores 0; a null label is no label; of
@@ -31,11 +40,12 @@ from reviewlake.llm.hashed_text import _STOP, BITS, Chunk, Hasher, cells
 from reviewlake.session import table
 
 TRAIN_ROWS = 8000
-TRAIN_CHARS = 20_000
+TRAIN_CHARS = 16_000_000  # of all rows of the fit together
 BEGINNINGS = (4, 5, 7)   # bytes of a word's beginning that are features of their own
 STEPS = 60
 LEARNING_RATE = 0.3
 PENALTY = 1e-4
+SPREAD = 2.0             # standard deviations that the evidence of clean sentences may reach by chance
 MIN_Z = 3.0              # standard deviations between a feature's toxic documents and those expected by chance
 
 
@@ -53,8 +63,19 @@ def _features(hasher: Hasher, chunk: Chunk) -> tuple[list[np.ndarray], np.ndarra
     return kinds, sentence, doc
 
 
+def _evidence(z: np.ndarray, doc: np.ndarray, docs: int, bias: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each distinct sentence (document and z) its document and its evidence
+    over that of a sentence without telling words; the number of sentences of
+    each of the ``docs`` documents."""
+    order = np.lexsort((level := np.round(z, 6), doc))
+    new = np.ones(len(z), bool)
+    new[1:] = (np.diff(level[order]) != 0) | (np.diff(doc[order]) != 0)
+    some = order[new]
+    return doc[some], np.maximum(0, np.logaddexp(0, z[some]) - np.logaddexp(0, bias)), np.bincount(doc, minlength=docs)
+
+
 def fit(rows: pd.DataFrame) -> bytes:
-    """Weights and bias from texts with labels."""
+    """Weights, bias and the evidence of a clean sentence, and bias from texts with labels."""
     rows = rows.sort_values(["order", "text", "toxic"], kind="stable").drop_duplicates("text", keep="last")
     label = rows["toxic"].to_numpy(np.float64)
     if not 0 < label.sum() < len(label):
@@ -90,24 +111,30 @@ def fit(rows: pd.DataFrame) -> bytes:
         rate = LEARNING_RATE * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
         w -= rate * m / (np.sqrt(v) + 1e-5)
         bias -= rate * mb / (np.sqrt(vb) + 1e-5)
+    z = bias + np.bincount(sentence, weights=w[feature], minlength=n_sentences)
+    of, over, n = _evidence(z, doc, len(label), bias)
+    over, n = over[label[of] == 0], max(1, n[label == 0].sum())
+    mean = over.sum() / n
     weights = np.zeros(1 << BITS, np.float32)
     weights[used] = w
     out = io.BytesIO()
-    np.savez_compressed(out, weights=weights, bias=bias)
+    np.savez_compressed(out, weights=weights, bias=bias, clean=[mean, np.sqrt(max(0.0, (over ** 2).sum() / n - mean ** 2))])
     return out.getvalue()
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> bytes:
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> bytes:
     """Model of the labelled rows of ``docs``; ids only join the labels."""
     marked = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = max(1, marked.count())
-    chosen = marked.where(hash_fraction(F.col("doc_id"), F.lit("toxicity")) * n < rows)
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS))
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL")
+    n, size = texts.select("doc_id", F.length("text").alias("size")).join(marked.select("doc_id"), "doc_id") \
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    share = min(1.0, rows / max(1, n), chars / max(1, size))
+    chosen = marked.where(hash_fraction(F.col("doc_id"), F.lit("toxicity")) < share)
     return fitted(texts.join(chosen, "doc_id").select(hash_fraction(F.col("text")).alias("order"), "text", "toxic"), fit)
 
 
 def scored(text: Column, model: bytes, locate: float | None = None) -> Column:
-    """struct<score, offending>: the noisy-or of each whole text and, if
+    """struct<score, offending>: the score of each whole text and, if
     ``locate`` is given, the sentences (character positions) of at least that
     probability."""
 
@@ -116,7 +143,7 @@ def scored(text: Column, model: bytes, locate: float | None = None) -> Column:
         hasher = Hasher()
         if model:
             got = np.load(io.BytesIO(model), allow_pickle=False)
-            weights, bias = got["weights"].astype(np.float64), float(got["bias"])
+            weights, bias, clean = got["weights"].astype(np.float64), float(got["bias"]), got["clean"]
         for texts in parts:
             out = np.zeros(len(texts))
             found: list[list[dict]] = [[] for _ in range(len(texts))]
@@ -125,8 +152,10 @@ def scored(text: Column, model: bytes, locate: float | None = None) -> Column:
                 if not len(doc):
                     continue
                 z = bias + np.bincount(sentence, weights=sum(weights[k] for k in kinds))
-                off = np.bincount(doc, weights=np.logaddexp(0, z), minlength=len(chunk.docs))
-                out[chunk.docs.start:chunk.docs.stop] = -np.expm1(-off)
+                of, over, n = _evidence(z, doc, len(chunk.docs), bias)
+                off = np.bincount(of, weights=over, minlength=len(n)) - clean[0] * n - SPREAD * clean[1] * np.sqrt(n)
+                np.maximum.at(off, doc, np.logaddexp(0, z))
+                out[chunk.docs.start:chunk.docs.stop] = -np.expm1(-np.where(n > 0, off, 0))
                 if locate is not None:
                     p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                     heads = np.flatnonzero(np.diff(sentence, prepend=-1))
