@@ -9,11 +9,19 @@ regression per language (one against the rest, targets -1 and 1) is fitted on
 phi. Scoring a batch is presence x (landmarks x coefficients): the second
 product is made once when fitting, so a batch costs one sparse product.
 
+Whether the language found claims a text is another question, as the outputs
+of all languages sum to a constant: it does if the text's n-grams are
+familiar. Familiarity is the share of G(x) seen in the training texts, plus
+``SHORT`` / sqrt(|G(x)|) for chance in short texts. A language's limit is
+``CLAIM`` times the lowest thousandth of its training texts' familiarity, each
+measured against the other texts only; it doesn't depend on the number of
+languages.
+
 The fit uses at most about ``TRAIN_ROWS`` rows (the parameter), equally from
 each language, chosen by hash; all texts are scored whole.
 
 Defined results: null texts and texts without a letter get ``und`` and score
-0; without any training row every text does; equal scores go to the smaller
+0 and aren't claimed; without any training row every text does; equal scores go to the smaller
 language by code point; rows are scored by their text alone, so repeated rows
 agree; an empty table gives an empty table.
 """
@@ -38,7 +46,8 @@ TRAIN_ROWS = 4000
 LANDMARKS = 256
 RIDGE = 1e-2
 UNKNOWN = "und"
-MIN_SCORE = 0.25    # of a document that the filtering stage keeps; texts of a word or two score low
+CLAIM = 0.8         # of the familiarity of the least familiar training texts
+SHORT = 0.5         # standard deviation of one n-gram's being seen
 
 _LETTERS: list[np.ndarray] = []
 
@@ -87,8 +96,13 @@ def _spectra(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "cells": [spectrum.of(t).astype("<u4").tobytes() for t in rows["text"]]})
 
 
+def _familiarity(shared: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return shared / size + SHORT / np.sqrt(size)
+
+
 def fit(rows: pd.DataFrame) -> bytes:
-    """(languages, weights per cell and language, bias) of a sample of spectra."""
+    """(languages, weights per cell and language, bias, cells seen, limit per
+    language) of a sample of spectra."""
     rows = rows[rows["cells"].str.len() > 0].sort_values(["order", "lang"], kind="stable").reset_index(drop=True)
     if rows.empty:
         return b""
@@ -109,8 +123,11 @@ def fit(rows: pd.DataFrame) -> bytes:
     penalty = RIDGE * len(cells) / 100 * np.eye(phi.shape[1])
     penalty[-1, -1] = 0
     ridge = np.linalg.solve(phi.T @ phi + penalty, phi.T @ target)
+    texts = np.bincount(np.concatenate(cells), minlength=CELLS)
+    familiar = _familiarity(np.array([(texts[c] > 1).sum() for c in cells]), np.array(list(map(len, cells))))
+    limits = [CLAIM * np.quantile(familiar[of == i], 0.001) for i in range(len(langs))]
     out = io.BytesIO()
-    np.savez(out, langs=np.array(langs, dtype=np.str_), bias=ridge[-1],
+    np.savez(out, langs=np.array(langs, dtype=np.str_), bias=ridge[-1], seen=texts > 0, limits=np.array(limits),
              weights=(base @ (root @ ridge[:-1]).astype(np.float32)))
     return out.getvalue()
 
@@ -127,28 +144,32 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", lang: str
 
 
 def predicted(text: Column, model: bytes) -> Column:
-    """struct<lang, score> of each whole text."""
+    """struct<lang, score, claimed> of each whole text."""
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, claimed boolean")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         spectrum = Spectrum()
         if model:
             got = np.load(io.BytesIO(model), allow_pickle=False)
-            langs, weights, bias = got["langs"], got["weights"], got["bias"]
+            langs, weights, bias, seen, limits = (got[k] for k in ("langs", "weights", "bias", "seen", "limits"))
         for texts in parts:
             lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            claimed = np.zeros(len(texts), bool)
             cells = [spectrum.of(t) if model else np.zeros(0, np.int64) for t in texts]
             sizes = np.array(list(map(len, cells)), dtype=np.int64)
             full = np.flatnonzero(sizes)
             for some in np.array_split(full, max(1, int(sizes.sum()) >> 20)):
                 if len(some):
                     starts = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
-                    f = np.add.reduceat(weights[np.concatenate([cells[i] for i in some])], starts, axis=0)
+                    all_cells = np.concatenate([cells[i] for i in some])
+                    f = np.add.reduceat(weights[all_cells], starts, axis=0)
                     f = f / np.sqrt(sizes[some])[:, None] + bias
                     best = f.argmax(1)
                     lang[some] = langs[best]
                     score[some] = np.clip((f[np.arange(len(some)), best] + 1) / 2, 0, 1)
-            yield pd.DataFrame({"lang": lang, "score": score})
+                    shared = np.add.reduceat(seen[all_cells], starts, dtype=np.int64)
+                    claimed[some] = _familiarity(shared, sizes[some]) >= limits[best]
+            yield pd.DataFrame({"lang": lang, "score": score, "claimed": claimed})
 
     return predict.asNondeterministic()(text)  # so that no filter repeats it
 
@@ -158,12 +179,11 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.where(crc_of(F.col("doc_id")) % 3 != 1)
 
 
-def known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+def known_language(docs: DataFrame) -> DataFrame:
     """``docs`` without those that no learned language claims."""
     model = train(learnable(docs))
     rows = packed(docs, found=predicted(col("text"), model))
-    return (rows.where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= min_score))
-            .select(*unpacked(docs.columns)))
+    return rows.where("found.claimed").select(*unpacked(docs.columns))
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

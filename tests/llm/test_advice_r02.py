@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewlake.llm import toxicity
+from reviewlake.llm import langid, toxicity
 from reviewlake.llm.common import crc_of
+from tests.conftest import SF_CHECK
 from tests.llm import odd
 
 SF_LARGE = "/root/testdata/sf0.1"
@@ -38,3 +39,20 @@ def test_toxicity_learns_from_long_texts(spark):
     model = toxicity.train(docs, spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(100)], "doc_id long, toxic int"))
     got = docs.select("doc_id", toxicity.scored(docs.text, model).alias("s")).collect()
     assert all((r.s.score >= 0.5) == (r.doc_id % 4 == 0) for r in got)
+
+
+def test_unlearned_languages_go(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    docs = docs.select("doc_id", "text", "lang")
+    foreign = ["我们今天去河边散步，然后回家吃晚饭。", "Мы сегодня гуляли у реки и потом вернулись домой ужинать", "河",
+               "xqzvk jwqpf zzkjx qvbnm wxkcq jhgfq pzxvq kkqzj bvcxq mnbvq", "आज हम नदी के किनारे घूमने गए",
+               "Dzisiaj poszliśmy na spacer nad rzekę, a potem wróciliśmy do domu na kolację z przyjaciółmi i rodziną"]
+    words = docs.where("length(text) > 40").orderBy("doc_id").limit(300).collect()
+    short = [" ".join(r.text.split()[:k % 3 + 1]) for k, r in enumerate(words)]
+    short = sorted({t for t in short if t.isascii() and t.replace(" ", "").isalpha()})
+    more = spark.createDataFrame([(10_000_000 + k, t, None) for k, t in enumerate(foreign + short)], docs.schema)
+    for rows in (docs, docs.where("lang IN ('en', 'de')")):
+        kept = {r.text for r in langid.known_language(rows.unionByName(more)).collect()}
+        assert not kept & set(foreign)
+        assert set(short) <= kept if rows is docs else len(kept & set(short)) > len(short) // 2
+        assert {r.text for r in rows.collect() if any(c.isalpha() for c in r.text or "")} <= kept
