@@ -1,7 +1,16 @@
 """Operator 8: secret scan with a random forest that removes false positives.
 
-Candidates are runs of at least ``MIN_LENGTH`` characters A-Z a-z 0-9 + / = _ -
-with a digit. Each gets features of
+Candidates are, in every document,
+
+- runs of at least ``MIN_LENGTH`` characters A-Z a-z 0-9 + / = _ - with a
+  digit, and the like that follow after a "." (at least six characters);
+- runs that begin as a known kind of key does, with or without a digit (the
+  parts of a JSON web token are one run);
+- what is assigned to a name with a word of ``SECRET_WORDS`` (=, : or =>):
+  at least ``MIN_VALUE`` characters up to a space, quote or separator, with or
+  without a digit; and runs of ``MIN_LENGTH`` after "bearer".
+
+Each gets features of
 
 - its length and character classes;
 - its character transitions: changes of class, and the mean log probability
@@ -45,8 +54,20 @@ TRAIN_ROWS = 20_000
 TREES = 24
 DEPTH = 6
 CONTEXT = 48             # characters looked at on either side
-CANDIDATE = rf"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/=_-]*[0-9])[A-Za-z0-9+/=_-]{{{MIN_LENGTH},}}"
+MIN_VALUE = 4            # characters of an assigned value
 SECRET_WORDS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential"
+_RUN = "[A-Za-z0-9+/=_-]"
+_VALUE = rf"[^\s\"'`<>,;&(){{}}\[\]]{{{MIN_VALUE - 1},}}[^\s\"'`<>,;&(){{}}\[\].!?:]"
+_NAME = rf"(?i:{SECRET_WORDS})[\w-]{{0,16}}"
+KNOWN = (rf"(?:AKIA|ASIA)[A-Z0-9]{{16}}(?!{_RUN})|(?:gh[oprsu]_|github_pat_|glpat-|xox[abeoprs]-|[prsw]k_live_|AIza|npm_|hf_){_RUN}{{16,}}"
+         rf"|(?:eyJ|SG\.){_RUN}{{8,}}(?:\.{_RUN}{{6,}})*")
+CANDIDATE = (rf"(?<!{_RUN})(?:"
+             rf"(?<=[:=>]\s{{0,2}}[\"'`]?)(?<={_NAME}[\"']?\s{{0,2}}[:=]{{1,2}}>?\s{{0,2}}[\"'`]?){_VALUE}"
+             rf"|[\w-]++={{1,2}}(?<={_NAME}={{1,2}}){_VALUE}"
+             rf"|{KNOWN}"
+             rf"|(?<=(?i:bearer)\s){_RUN}{{{MIN_LENGTH},}}"
+             rf"|(?={_RUN}*[0-9]){_RUN}{{{MIN_LENGTH},}}(?:\.(?={_RUN}*[0-9]){_RUN}{{6,}})*)")
+NAMED = rf"(?i)^[\w-]*(?:{SECRET_WORDS})[\w-]{{0,16}}={{1,2}}"
 NUMBERS = ["length", "upper", "lower", "digit", "other", "distinct", "changes", "pairs", "coverage",
            "in_path", "in_url", "assigned", "quoted", "keyword"]
 _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -59,8 +80,7 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path
     near = F.transform(hits, lambda c, i: F.struct(
         i.alias("nth"), c.alias("found"), F.right(F.get(pieces, i), F.lit(CONTEXT)).alias("left"),
         F.left(F.get(pieces, i + 1), F.lit(CONTEXT)).alias("right")))
-    return (docs.where(F.col(f"`{text}`").rlike("[0-9]"))
-            .select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{path}`").alias("path"), F.explode(near).alias("c"))
+    return (docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{path}`").alias("path"), F.explode(near).alias("c"))
             .select("doc_id", "path", "c.*"))
 
 
@@ -120,7 +140,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         F.col("left").rlike(r"://\S*$").cast("double").alias("in_url"),
         (F.col("left").rlike(r"[=:]\s*[\"']?$") | F.col("found").rlike("^[A-Za-z_-]+=")).cast("double").alias("assigned"),
         F.col("left").rlike(r"[\"']$").cast("double").alias("quoted"),
-        (F.col("left").rlike(rf"(?i)({SECRET_WORDS})\W{{0,6}}$") | F.col("found").rlike(rf"(?i)^({SECRET_WORDS})=")).cast("double").alias("keyword"),
+        (F.col("left").rlike(rf"(?i)({SECRET_WORDS})\W{{0,6}}$") | F.col("found").rlike(NAMED)).cast("double").alias("keyword"),
         _word_beside("left", r"(\p{L}+)[^\p{L}]*$").alias("left_word"),
         _word_beside("right", r"^[^\p{L}]*(\p{L}+)").alias("right_word"),
         F.lower("path").alias("path_word"))
@@ -129,10 +149,10 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 def weak_labels(found: DataFrame) -> DataFrame:
     """``found`` with ``label``: 1 known secret formats, 0 known harmless ones
     (digits only, dates, runs of words), null where no rule speaks."""
-    value = F.regexp_replace("found", rf"(?i)^({SECRET_WORDS})=", "")
+    value = F.regexp_replace("found", NAMED, "")
     named = F.col("keyword") == 1
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    secret = value.rlike("^(AKIA|ASIA)[A-Z0-9]{16}$") | (named & mixed & (F.length(value) >= 16))
+    secret = value.rlike(rf"^(?:{KNOWN})$") | (named & mixed & (F.length(value) >= 16))
     harmless = value.rlike(r"^[0-9_/+=-]+$") | value.rlike(r"^\d{4}-\d{2}-\d{2}") | (F.col("coverage") >= 0.6)
     return found.withColumn("label", F.when(secret, 1.0).when(harmless | (F.col("in_url") == 1), 0.0))
 

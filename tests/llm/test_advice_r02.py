@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewlake.llm import langid, toxicity
+from reviewlake.llm import langid, secrets, toxicity
 from reviewlake.llm.common import crc_of
 from tests.conftest import SF_CHECK
 from tests.llm import odd
@@ -56,3 +56,21 @@ def test_unlearned_languages_go(spark):
         assert not kept & set(foreign)
         assert set(short) <= kept if rows is docs else len(kept & set(short)) > len(short) // 2
         assert {r.text for r in rows.collect() if any(c.isalpha() for c in r.text or "")} <= kept
+
+
+def test_secrets_without_digits(spark):
+    key, token = "AKIA" + "QWERTZUI" * 2, "eyJhbGciOiJ.eyJzdWIiOiJhYmMi.c2lnbmF0dXJlLXg"
+    want = {1: [key], 2: ["password=hunterhunter"], 3: ["sesame"], 4: [token], 5: ["correcthorse"], 6: ["S!x$"], 7: ["abcdefabcdefabcd"],
+            8: ["DB_PASSWORD=geheim"], 9: [], 10: ["abc123abc123"]}
+    texts = {1: f"my key is {key} ok", 2: "use password=hunterhunter, please", 3: "pwd: sesame.", 4: f"sent {token} back",
+             5: '{"password": "correcthorse"}', 6: "Token = 'S!x$'", 7: "Bearer abcdefabcdefabcd", 8: "DB_PASSWORD=geheim\n",
+             9: "internationalisation of the token economy: a password-less story", 10: "abc123abc123.Then"}
+    docs = odd.documents(spark, [(i, t, "en", "a", 1) for i, t in texts.items()])
+    rows = secrets.candidates(docs).orderBy("doc_id", "nth").collect()
+    assert {i: [r.found for r in rows if r.doc_id == i] for i in texts} == want
+    many = [(100 * k + i, t, "en", "a", 1) for k in range(20) for i, t in enumerate(
+        ["key AKIA" + "Q7" * 8, "card 4111111111111111 paid", "at 2024-01-02T03:04:05-06", "token = '" + "ab12" * 10 + "'"])]
+    docs = odd.documents(spark, [*many, (9_999, texts[1], "en", "a", 1)])
+    found = secrets.features(secrets.candidates(docs), secrets.corpus_words(docs))
+    judged = secrets.scored(found, secrets.train(secrets.weak_labels(found).where("doc_id <> 9999"))).where("doc_id = 9999").collect()
+    assert [(r.found, r.kept) for r in judged] == [(key, True)]
