@@ -17,8 +17,8 @@ familiar. Familiarity is the share of G(x) seen in the training texts, plus
 measured against the other texts only; it doesn't depend on the number of
 languages.
 
-The fit uses at most about ``TRAIN_ROWS`` rows (the parameter), equally from
-each language, chosen by hash; all texts are scored whole.
+The fit uses at most about ``TRAIN_ROWS`` distinct texts (the parameter),
+equally from each language, chosen by hash; all texts are scored whole.
 
 Defined results: null texts and texts without a letter get ``und`` and score
 0 and aren't claimed; without any training row every text does; equal scores go to the smaller
@@ -135,11 +135,13 @@ def fit(rows: pd.DataFrame) -> bytes:
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", lang: str = "lang") -> bytes:
     """Model of the rows of ``docs`` that have a language, equally from each."""
     known = docs.where(col(lang).isNotNull() & col(text).isNotNull()).select(col(lang).alias("lang"), col(text).alias("text"))
-    counts = written(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-counts")
+    known = known.withColumn("h", F.xxhash64("text"))
+    counts = written(known.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-counts")
     each = rows / max(1, counts.count())
     order = hash_fraction(F.col("text"))
     chosen = (known.join(counts, "lang").withColumn("order", order)
-              .where(F.col("order") * F.col("n") < F.lit(each)).select("lang", "order", "text"))
+              .where(F.col("order") * F.col("n") < F.lit(each)).select("lang", "order", "text", "h")
+              .dropDuplicates(["lang", "h"]))
     return fitted(chosen.mapInPandas(_spectra, "lang string, order double, cells binary"), fit)
 
 

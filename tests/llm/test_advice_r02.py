@@ -74,3 +74,14 @@ def test_secrets_without_digits(spark):
     found = secrets.features(secrets.candidates(docs), secrets.corpus_words(docs))
     judged = secrets.scored(found, secrets.train(secrets.weak_labels(found).where("doc_id <> 9999"))).where("doc_id = 9999").collect()
     assert [(r.found, r.kept) for r in judged] == [(key, True)]
+
+
+def test_langid_counts_copies_once(spark, monkeypatch):
+    texts = [f"number {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]} of the {'uvwxyz'[k % 6]} lines" for k in range(60)]
+    rows = [(k, t, "en" if k % 2 else "de", "a", 1) for k, t in enumerate(texts)]
+    rows += [(1000 + k, texts[1], "en", "a", 1) for k in range(500)]
+    sizes = []
+    monkeypatch.setattr(langid, "fitted", lambda sample, fit: sizes.append(sample.count()) or b"")
+    langid.train(odd.documents(spark, rows))
+    langid.train(odd.documents(spark, rows[:60]))
+    assert sizes[0] == sizes[1] == 60
