@@ -9,6 +9,7 @@ from reviewlake.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    pieces,
     quality,
     secrets,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_bpe": bpe.op9_bpe,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 
 ORACLE = {
