@@ -19,9 +19,11 @@ The agendas of short cuts are the rows of a matrix, an entry per left position:
 a row's least number is its first entry, the leftmost of equals, and one step
 merges the first entries of all rows. A longer cut has a heap of its own.
 
-``encoded_pieces`` works on Arrow batches; with ``check`` the sentencepiece
-library encodes every whole text of the batch too and ``agrees`` says whether
-its ids are the same. The ids returned are always the agenda's.
+``encoded_pieces`` works on Arrow batches. With ``check`` the sentencepiece
+library encodes what a batch encodes anew, every cut as a text of its own, and
+``agrees`` says whether all cuts of a text got the library's ids; with ``check``
+"whole" it encodes every whole text of the batch again (about twice the work).
+The ids returned are always the agenda's.
 
 Limits: vocabularies of merge type with byte pieces, identity normalisation and
 kept white space; any other raises an error before the job starts. One cut of
@@ -58,8 +60,9 @@ SPACE = "▁"
 BASE = 1 << 20            # more than there are symbols
 SHORT = 64                # characters of a cut whose agenda is a row
 WIDTHS = (6, 8, 10, 12, 16, 24, 32, SHORT)    # of the matrices
-CACHE_ENTRIES = 1 << 19   # cuts kept per Python worker; longer ones than SHORT are not kept
-RUN = 1 << 22             # characters of text that are cut and encoded at a time
+WIDTH_OF = [next(w for w in WIDTHS if n <= w) for n in range(SHORT + 1)]
+CACHE_ENTRIES = 1 << 18   # cuts kept per Python worker; longer ones than SHORT are not kept
+RUN = 1 << 20             # characters of text that are cut and encoded at a time
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -111,9 +114,9 @@ class Pieces:
         self.pair = {self.symbol[p[:k]] * BASE + self.symbol[p[k:]]: i for p, i in ordinary
                      for k in range(1, len(p)) if p[:k] in self.symbol and p[k:] in self.symbol}
         both = np.array(sorted(self.pair.items()), np.int64).reshape(-1, 2)
-        self.keys, self.made = (np.append(both[:, k], -1) for k in (0, 1))      # the last one is for no pair
-        self.order = np.array(self.rank + [0], np.int64)
-        self.code = np.full(0x110000, -1, np.int64)
+        self.keys, self.made = np.append(both[:, 0], -1), np.append(both[:, 1], -1).astype(np.int32)  # the last one is for no pair
+        self.order = np.array(self.rank + [0], np.int32)
+        self.code = np.full(0x110000, -1, np.int32)
         for c in chars:
             self.code[ord(c)] = self.symbol[c]
         self.names = {i: p for p, i in self.symbol.items()}
@@ -122,11 +125,15 @@ class Pieces:
         by_space = all(SPACE not in p.lstrip(SPACE) for p, _ in ordinary)
         self.cuts = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if by_space else "(?s:.+)")
         self.kept: dict[str, bytes] = {}
-        self.surface = [b"" if lib.is_control(i) else lib.decode([i]).encode() if lib.is_unknown(i)
-                        else bytes([self.byte_id.index(i)]) if special[i]
-                        else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
-        self.control = [lib.is_control(i) for i in range(n)]
-        self.spaced = [p.startswith(SPACE) and not special[i] for i, p in enumerate(names)]
+        self.differing: set[str] = set()      # cuts whose ids aren't the library's
+        surface = [b"" if lib.is_control(i) else lib.decode([i]).encode() if lib.is_unknown(i)
+                   else bytes([self.byte_id.index(i)]) if special[i]
+                   else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
+        self.surface = np.frombuffer(b"".join(surface), np.uint8)
+        self.length = np.array([len(x) for x in surface], np.int32)
+        self.begin = np.cumsum(self.length, dtype=np.int32) - self.length
+        self.control = np.array([lib.is_control(i) for i in range(n)])
+        self.spaced = np.array([p.startswith(SPACE) and not special[i] for i, p in enumerate(names)])
 
     def _merged(self, text: str) -> list[int]:
         """Symbols of one cut after all merges; characters that are none are -1."""
@@ -183,19 +190,19 @@ class Pieces:
 
     def _paired(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that two symbols make, -1 for none."""
-        key = left * BASE + right
+        key = left.astype(np.int64) * BASE + right
         at = np.searchsorted(self.keys[:-1], key)
-        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.made[at], -1)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.made[at], np.int32(-1))
 
     def _rows(self, cuts: list[str], width: int) -> list[bytes]:
         """Ids of cuts of at most ``width`` characters: an agenda a row."""
-        none = np.int64(1) << 40
+        none = np.iinfo(np.int32).max
         code = np.frombuffer("".join(c.ljust(width, "\0") for c in cuts).encode("utf-32-le"), "<u4").reshape(-1, width)
         length = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        symbols = np.where(np.arange(width) < length[:, None], self.code[code], -1)
-        last = np.full((len(cuts), 1), -1)
+        symbols = np.where(np.arange(width) < length[:, None], self.code[code], np.int32(-1))
+        last = np.full((len(cuts), 1), -1, np.int32)
         made = np.hstack([self._paired(symbols[:, :-1], symbols[:, 1:]), last])
-        agenda = np.where(made >= 0, self.order[made], none)
+        agenda = np.where(made >= 0, self.order[made], np.int32(none))
         live = np.arange(len(cuts))
         done_symbols, done_length = np.empty_like(symbols), length.copy()
         place = np.arange(width)
@@ -219,7 +226,7 @@ class Pieces:
                 ok = (at >= 0) & (at < width - 1)
                 r, p = row[ok], at[ok]
                 made[r, p] = m = self._paired(symbols[r, p], symbols[r, p + 1])
-                agenda[r, p] = np.where(m >= 0, self.order[m], none)
+                agenda[r, p] = np.where(m >= 0, self.order[m], np.int32(none))
         used = place < done_length[:, None]
         packed = done_symbols[used].astype("<i4").tobytes()
         ends = (np.cumsum(done_length) * 4).tolist()
@@ -229,23 +236,20 @@ class Pieces:
         return out
 
     def _cut(self, text: str) -> list[str]:
-        cuts = self.cuts.findall(SPACE + text.replace(" ", SPACE)) if text else []
-        if all(len(c) <= SHORT for c in cuts):
-            return cuts
-        out = []
-        for cut in cuts:
-            if len(cut) <= SHORT:
-                out.append(cut)
-                continue
-            code = np.frombuffer(cut.encode("utf-32-le"), "<u4").astype(np.int64)
-            both = code[:-1] << 21 | code[1:]
-            at = np.searchsorted(self.beside[:-1], both)
-            bounds = [0, *(np.flatnonzero(self.beside[at] != both) + 1).tolist(), len(cut)]
-            out += [cut[a:b] for a, b in zip(bounds, bounds[1:])]
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
+        """Cuts of a text; each starts with U+2581."""
+        return self.cuts.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+    def _parts(self, cut: str) -> list[str]:
+        """A cut in parts, between characters that are neighbours in no piece."""
+        code = np.frombuffer(cut.encode("utf-32-le"), "<u4").astype(np.int64)
+        both = code[:-1] << 21 | code[1:]
+        at = np.searchsorted(self.beside[:-1], both)
+        bounds = [0, *(np.flatnonzero(self.beside[at] != both) + 1).tolist(), len(cut)]
+        return [cut[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode(self, texts: list[str], check: bool = False) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; with ``check`` new
+        cuts that the library encodes otherwise go to ``differing``."""
         out: list[bytes] = []
         held: list[list[str]] = []
         size = 0
@@ -253,38 +257,61 @@ class Pieces:
             held.append(self._cut(text))
             size += len(text)
             if size > RUN:
-                out += self._encoded(held)
+                out += self._encoded(held, check)
                 held, size = [], 0
-        return out + self._encoded(held)
+        return out + self._encoded(held, check)
 
-    def _encoded(self, held: list[list[str]]) -> list[bytes]:
+    def _check(self, cuts: list[str]) -> None:
+        """A cut is the text behind its first U+2581, which the library puts in front."""
+        for cut, ids in zip(cuts, self.lib.encode([c[1:] for c in cuts], num_threads=1)):
+            if array("i", ids).tobytes() != self.kept[cut]:
+                self.differing.add(cut)
+
+    def _encoded(self, held: list[list[str]], check: bool) -> list[bytes]:
         known = self.kept
         fresh = list(set().union(*held).difference(known))
+        parted = {c: self._parts(c) for c in fresh if len(c) > SHORT}
+        todo = set(fresh).difference(parted).union(*parted.values()).difference(known)
         by_width: dict[int, list[str]] = {}
-        for cut in fresh:
-            by_width.setdefault(next((w for w in WIDTHS if len(cut) <= w), 0), []).append(cut)
+        for cut in todo:
+            by_width.setdefault(WIDTH_OF[len(cut)] if len(cut) <= SHORT else 0, []).append(cut)
         for width, cuts in by_width.items():
             if width:
                 known.update(zip(cuts, self._rows(cuts, width)))
             else:
                 known.update((c, self._ids(c, self._merged(c))) for c in cuts)
+        known.update((c, b"".join(map(known.__getitem__, parts))) for c, parts in parted.items())
+        if check:
+            self._check([c for c in fresh if c != SPACE])
         out = [b"".join(map(known.__getitem__, cuts)) for cuts in held]
+        for cut in (*parted, *(c for c in todo if len(c) > SHORT)):
+            known.pop(cut, None)
         over = len(known) - CACHE_ENTRIES
-        for k, cut in enumerate(reversed(fresh)):     # when full, the earlier ones stay: frequent cuts come early
-            if k < over or len(cut) > SHORT:
+        if over > 0:                                  # the earlier ones stay: frequent cuts come early
+            for cut in list(known)[-over:]:
                 del known[cut]
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """As the library decodes: one U+2581 in front of the first piece goes."""
-        first = next((k for k, i in enumerate(ids) if not self.control[i]), len(ids))
-        data = b"".join([self.surface[i] for i in ids])
-        if first < len(ids) and self.spaced[ids[first]]:
-            data = data[1:]
-        return data.decode("utf-8", "reviewlake-each-byte")
-
-    def agrees(self, text: str, ids: bytes) -> bool:
-        return self.lib.encode(text, add_bos=False, add_eos=False, enable_sampling=False) == np.frombuffer(ids, "<i4").tolist()
+        out = []
+        for at in range(0, len(ids), RUN):
+            some = ids[at:at + RUN]
+            length = self.length[some]
+            ends = np.cumsum(length)
+            place = np.repeat(self.begin[some] - (ends - length), length)
+            place += np.arange(len(place))
+            out.append(self.surface[place].tobytes())
+        data = b"".join(out)
+        first = ids[:1] if len(ids) and not self.control[ids[0]] else ids[~self.control[ids]][:1]
+        return data[int(self.spaced[first].any()):].decode("utf-8", "reviewlake-each-byte")
+
+    def agrees(self, text: str, ids: bytes, check: bool | str) -> bool | None:
+        """Whether the library agrees: on all cuts of the text, on the whole text,
+        or null if it wasn't asked."""
+        if check == "whole":
+            return self.lib.encode(text) == np.frombuffer(ids, "<i4").tolist()
+        return self.differing.isdisjoint(self._cut(text) if self.differing else ()) if check else None
 
 
 _LOADED: dict[int, Pieces] = {}
@@ -302,7 +329,7 @@ def _lists(ids: list[bytes]) -> pd.Series:
     return pd.Series([np.frombuffer(x, "<i4") for x in ids], dtype=object)
 
 
-def encoded_pieces(text: Column, model: bytes, check: bool = False) -> Column:
+def encoded_pieces(text: Column, model: bytes, check: bool | str = False) -> Column:
     """struct<ids, decoded, agrees>: ids of ``text``, what they decode to and,
     with ``check``, whether the library gives the same ids (null without)."""
 
@@ -311,10 +338,10 @@ def encoded_pieces(text: Column, model: bytes, check: bool = False) -> Column:
         own = pieces_of(model)
         for rows in parts:
             texts = [t or "" for t in rows]
-            ids = own.encode(texts)
+            ids = own.encode(texts, bool(check))
             yield pd.DataFrame({
-                "ids": _lists(ids), "decoded": [own.decode(np.frombuffer(x, "<i4").tolist()) for x in ids],
-                "agrees": [own.agrees(t, x) for t, x in zip(texts, ids)] if check else None}, index=rows.index)
+                "ids": _lists(ids), "decoded": [own.decode(np.frombuffer(x, "<i4")) for x in ids],
+                "agrees": [own.agrees(t, x, check) for t, x in zip(texts, ids)]}, index=rows.index)
 
     return run.asNondeterministic()(text)
 
@@ -326,7 +353,7 @@ def decoded_pieces(ids: Column, model: bytes) -> Column:
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = pieces_of(model)
         for rows in parts:
-            yield pd.Series([None if x is None else own.decode(list(x)) for x in rows], dtype=object, index=rows.index)
+            yield pd.Series([None if x is None else own.decode(np.asarray(x, np.int64)) for x in rows], dtype=object, index=rows.index)
 
     return run(ids)
 
@@ -336,7 +363,7 @@ def public_model(name: str = VOCABULARY) -> bytes:
     return read_model(public_tokenizers.path(name))
 
 
-def piece_digests(docs: DataFrame, model: bytes, check: bool = True) -> DataFrame:
+def piece_digests(docs: DataFrame, model: bytes, check: bool | str = True) -> DataFrame:
     """doc_id, n_tokens, the digests of the ids and of the decoded text, and
     whether the library agrees."""
     rows = docs.select("doc_id", encoded_pieces(F.col("text"), model, check).alias("coded"))

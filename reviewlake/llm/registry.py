@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from reviewlake.llm import (
     bpe,
+    conversations,
     embedding_dedup,
+    hard_negatives,
     langid,
     line_dedup,
     mixing,
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_bpe": bpe.op9_bpe,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 
@@ -36,4 +40,5 @@ ORACLE = {
     "op5_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op6_vector_search": vector_search.ORACLE_SQL,
     "op10_ngram_join": ngram_join.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
 }
