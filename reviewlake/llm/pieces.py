@@ -49,7 +49,8 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -325,23 +326,31 @@ def pieces_of(model: bytes) -> Pieces:
     return _LOADED[key]
 
 
-def _lists(ids: list[bytes]) -> pd.Series:
-    return pd.Series([np.frombuffer(x, "<i4") for x in ids], dtype=object)
+def _slices(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts of a batch, about ``RUN`` bytes at a time."""
+    size = pc.coalesce(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + RUN)))
+        yield [t or "" for t in texts.slice(at, to - at).to_pylist()]
+        at = to
 
 
 def encoded_pieces(text: Column, model: bytes, check: bool | str = False) -> Column:
     """struct<ids, decoded, agrees>: ids of ``text``, what they decode to and,
     with ``check``, whether the library gives the same ids (null without)."""
 
-    @F.pandas_udf("ids array<int>, decoded string, agrees boolean")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("ids array<int>, decoded string, agrees boolean")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = pieces_of(model)
-        for rows in parts:
-            texts = [t or "" for t in rows]
-            ids = own.encode(texts, bool(check))
-            yield pd.DataFrame({
-                "ids": _lists(ids), "decoded": [own.decode(np.frombuffer(x, "<i4")) for x in ids],
-                "agrees": [own.agrees(t, x, check) for t, x in zip(texts, ids)]}, index=rows.index)
+        for batch in parts:
+            for texts in _slices(batch):
+                ids = own.encode(texts, bool(check))
+                ends = np.cumsum([0] + [len(x) // 4 for x in ids], dtype=np.int32)
+                yield pa.StructArray.from_arrays([
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4"))),
+                    pa.array([own.decode(np.frombuffer(x, "<i4")) for x in ids], pa.string()),
+                    pa.array([own.agrees(t, x, check) for t, x in zip(texts, ids)], pa.bool_())], ["ids", "decoded", "agrees"])
 
     return run.asNondeterministic()(text)
 
@@ -349,11 +358,11 @@ def encoded_pieces(text: Column, model: bytes, check: bool | str = False) -> Col
 def decoded_pieces(ids: Column, model: bytes) -> Column:
     """The text that an array of ids decodes to; null ids stay null."""
 
-    @F.pandas_udf("string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = pieces_of(model)
-        for rows in parts:
-            yield pd.Series([None if x is None else own.decode(np.asarray(x, np.int64)) for x in rows], dtype=object, index=rows.index)
+        for batch in parts:
+            yield pa.array([None if x is None else own.decode(np.asarray(x, np.int64)) for x in batch.to_pylist()], pa.string())
 
     return run(ids)
 
