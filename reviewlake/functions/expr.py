@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reviewlake.functions.common import let
+
 # Fixed values.
 HOTEL_KEY_PATTERN = r"g\d{4,}-d\d{5,}"          # first match in a URL is the hotel key
 SITE_ROOT = "https://www.tripadvisor.ca/"        # root the next-page href is appended to
@@ -15,9 +17,32 @@ PROFILE_PREFIX = "/Profile/"                     # removed from the user link
 UNKNOWN_MONTH = "00-0000"                        # review date when none can be parsed
 NULL_LANG = "null"                               # path part for a missing language
 MONTH_FORMAT = "MM-yyyy"
-# Forms of a date that hold their year.
-DATE_FORMATS = ["MMM yyyy", "MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy-MM-dd",
-                "yyyy-MM", "MM/yyyy", "MM/dd/yyyy"]
+# Month names; an unambiguous beginning of three letters or more counts too ("sept", "déc").
+MONTHS = {
+    "en": "january february march april may june july august september october november december",
+    "de": "januar februar märz april mai juni juli august september oktober november dezember",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    "it": "gennaio febbraio marzo aprile maggio giugno luglio agosto settembre ottobre novembre dicembre",
+    "pt": "janeiro fevereiro março abril maio junho julho agosto setembro outubro novembro dezembro",
+    "nl": "januari februari maart april mei juni juli augustus september oktober november december",
+    "sv": "januari februari mars april maj juni juli augusti september oktober november december",
+}
+# Words of a date without meaning for its month.
+DATE_FILLERS = ["de", "del", "of", "the", "le", "den", "der", "am", "on"]
+# Relative phrases: what makes one, numbers in words, units.
+AGO = ["ago", "vor", "hace", "fa", "há", "geleden", "sedan", "il y a"]
+ONE = ["a", "an", "one", "ein", "eine", "einem", "einer", "un", "une", "una", "uno", "um", "uma", "een", "en", "ett"]
+UNITS = {
+    "hour": "second seconds minute minutes hour hours sekunde sekunden minuten stunde stunden heure heures hora horas ora ore minuto minuti "
+            "minutos uur minut minuter timme timmar seconde secondes",
+    "day": "day days tag tage tagen jour jours día días giorno giorni dia dias dag dagen dagar",
+    "week": "week weeks woche wochen semaine semaines semana semanas settimana settimane weken vecka veckor",
+    "month": "month months monat monate monaten mois mes meses mese mesi mês maand maanden månad månader",
+    "year": "year years jahr jahre jahren an ans année années año años anno anni ano anos jaar jaren år",
+}
+NOW = ["today", "now", "just now", "heute", "aujourd'hui", "hoy", "oggi", "hoje", "vandaag", "idag"]
+YESTERDAY = ["yesterday", "gestern", "hier", "ayer", "ieri", "ontem", "gisteren", "igår"]
 
 
 def _c(c: Column | str) -> Column:
@@ -36,29 +61,77 @@ def bubble_rating(cls: Column | str) -> Column:
     return F.when(F.coalesce(F.length(c), F.lit(0)) > 0, val)
 
 
+def _month_words() -> dict[int, list[str]]:
+    """Month number -> its names and their beginnings of three letters or more that no other month shares."""
+    of: dict[str, set[int]] = {}
+    for names in MONTHS.values():
+        for number, name in enumerate(names.split(), 1):
+            for k in range(3, len(name) + 1):
+                of.setdefault(name[:k], set()).add(number)
+    full = {(name, n) for names in MONTHS.values() for n, name in enumerate(names.split(), 1)}
+    return {n: sorted(w for w, ns in of.items() if ns == {n} or (w, n) in full) for n in range(1, 13)}
+
+
+def _month_number(token: Column) -> Column:
+    out = F.lit(None).cast("int")
+    for number, words in _month_words().items():
+        out = F.when(token.isin(words), F.lit(number)).otherwise(out)
+    return out
+
+
+def _calendar_date(text: Column, as_of: Column | None) -> Column:
+    """First of the month that a date with a month name stands for: one month,
+    at most one day and one year in any order; without a year the year of ``as_of``."""
+    words = F.filter(F.split(F.regexp_replace(F.lower(text), r"[,.\s]+", " "), " "), lambda w: (w != "") & ~w.isin(DATE_FILLERS))
+
+    def read(w: Column) -> Column:
+        months = F.filter(F.transform(w, _month_number), lambda m: m.isNotNull())
+        years = F.filter(w, lambda x: x.rlike("^[12][0-9]{3}$"))
+        days = F.filter(w, lambda x: x.rlike("^(0?[1-9]|[12][0-9]|3[01])(st|nd|rd|th|er|º|ª)?$"))
+        whole = (F.size(months) == 1) & (F.size(years) <= 1) & (F.size(days) <= 1) & (
+            F.size(months) + F.size(years) + F.size(days) == F.size(w))
+        year = F.get(years, 0).try_cast("int")
+        if as_of is not None:
+            year = F.coalesce(year, F.when(F.size(days) == 1, F.year(as_of)))
+        return F.when(whole & year.isNotNull(), F.make_date(year, F.get(months, 0), F.lit(1)))
+
+    return let(words, read)
+
+
+def _numeric_date(text: Column) -> Column:
+    """First of the month of ``yyyy-MM``, ``yyyy-MM-dd``, ``MM/yyyy`` and ``MM/dd/yyyy``."""
+    def part(pattern: str, k: int) -> Column:
+        return F.regexp_extract(text, pattern, k).try_cast("int")
+
+    iso, us = r"^(\d{4})-(\d{2})(?:-(\d{2}))?$", r"^(\d{2})/(?:(\d{2})/)?(\d{4})$"
+    year, month = F.coalesce(part(iso, 1), part(us, 3)), F.coalesce(part(iso, 2), part(us, 1))
+    day = F.coalesce(part(iso, 3), part(us, 2), F.lit(1))
+    return F.when(month.between(1, 12) & day.between(1, 31) & year.isNotNull(), F.make_date(year, month, F.lit(1)))
+
+
+def _relative_date(text: Column, as_of: Column) -> Column:
+    """Day of a phrase like ``3 weeks ago`` seen from ``as_of``; hours count as the day itself."""
+    low = F.lower(F.trim(text))
+    number = F.coalesce(F.regexp_extract(low, r"(\d+)", 1).try_cast("int"),
+                        F.when(low.rlike(rf"(?:^|\s)({'|'.join(ONE)})\s"), F.lit(1)))
+    n = F.when(low.rlike(rf"(?:^|\s)({'|'.join(AGO)})(?:\s|$)"), number)
+    word = F.when(low.rlike(r"\d"), F.regexp_extract(low, r"\d+\s+(\S+)", 1)).otherwise(
+        F.regexp_extract(low, rf"(?:^|\s)(?:{'|'.join(ONE)})\s+(\S+)", 1))
+    of = lambda unit: word.isin(UNITS[unit].split())                          # noqa: E731
+    return (F.when(low.isin(NOW) | (n.isNotNull() & of("hour")), as_of).when(low.isin(YESTERDAY), F.date_sub(as_of, 1))
+            .when(of("day"), F.date_sub(as_of, n)).when(of("week"), F.date_sub(as_of, n * 7))
+            .when(of("month"), F.add_months(as_of, -n)).when(of("year"), F.add_months(as_of, n * -12)))
+
+
 def _month_from_text(text: Column, as_of: Column | None) -> Column:
-    """Parse a month from header text: one of ``DATE_FORMATS``, ``MMM d`` (year of
-    ``as_of``), ``today``/``yesterday``/``n days|weeks|months|years ago`` relative
-    to ``as_of`` (SURVEY D11: an explicit date, never the clock)."""
-    t = F.trim(text)
-    tl = F.lower(t)
-    absolute = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATE_FORMATS])
-    if as_of is None:
-        return absolute
-    n = F.regexp_extract(tl, r"^(\d+) (day|week|month|year)s? ago$", 1)
-    unit = F.regexp_extract(tl, r"^(\d+) (day|week|month|year)s? ago$", 2)
-    ni = n.try_cast("int")
-    relative = (
-        F.when(tl == "today", as_of)
-        .when(tl == "yesterday", F.date_sub(as_of, 1))
-        .when(unit == "day", F.date_sub(as_of, ni))
-        .when(unit == "week", F.date_sub(as_of, ni * 7))
-        .when(unit == "month", F.add_months(as_of, -ni))
-        .when(unit == "year", F.add_months(as_of, ni * -12))
-    )
-    with_year = F.concat(t, F.lit(" "), F.year(as_of).cast("string"))
-    month_day = F.coalesce(*[F.try_to_timestamp(with_year, F.lit(f)) for f in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy")])
-    return F.coalesce(absolute, relative.cast("timestamp"), month_day)
+    """Date in the month that a header text names: a calendar date with a month
+    name of ``MONTHS``, a numeric date, or with ``as_of`` a date without year
+    and a relative phrase (SURVEY D11: an explicit date, never the clock)."""
+    t = F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " "))
+    forms = [_calendar_date(t, as_of), _numeric_date(t)]
+    if as_of is not None:
+        forms.append(_relative_date(t, as_of))
+    return F.coalesce(*forms)
 
 
 def review_month(header_fragments: Column | str, stay_fragments: Column | str | None = None,

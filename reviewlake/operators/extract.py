@@ -2,9 +2,10 @@
 pagination links (X4).
 
 Selectors are data (``HOTEL_SELECTORS``, ``REVIEW_SELECTORS``): a class change
-on the site is a table edit. Every field is a JVM regex expression on the
-page or block text; blocks come from ``split`` + ``posexplode``, so a page
-never leaves its task and nothing is shuffled.
+on the site is a table edit. A page is read once into its node table
+(``functions.html``); one look at the nodes finds the candidates of all
+selectors, and each field is an expression on these. A page never leaves its
+task and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -60,14 +61,23 @@ NEXT_LINK = "a.ui_button.nav.next.primary"
 NEXT_DISABLED = "span.ui_button.nav.next.primary.disabled"
 
 
-def _select(html: Column, selector: str, mode: str) -> Column:
-    if mode in ("own_first", "desc_first"):
-        return H.first_text(html, selector, descendants=mode.startswith("desc"))
-    if mode in ("own_all", "desc_all"):
-        return H.texts(html, selector, descendants=mode.startswith("desc"))
-    if mode.startswith("attr:"):
-        return F.get(H.attr_values(html, selector, mode[5:]), 0)
-    raise ValueError(mode)
+def _select(nodes: Column, found: Column, selector: str, mode: str) -> Column:
+    """One field; ``found`` are the candidates among ``nodes``."""
+    def of(matches: Column) -> Column:
+        if mode.startswith("attr:"):
+            return H.first_attribute(matches, mode[5:])
+        kind, _, which = mode.partition("_")
+        texts = H.own_texts(nodes, matches) if kind == "own" else H.inner_texts(nodes, matches)
+        return F.get(texts, 0) if which == "first" else texts
+    return let(H.elements(found, selector), of)
+
+
+def _fields(nodes: Column, selectors: list[tuple[str, str, str]], *more: tuple[str, str]) -> Column:
+    """Struct of the fields of ``selectors``; ``more`` are (name, selector) of elements that are kept as they are."""
+    wanted = [s for _, s, _ in selectors] + [s for _, s in more]
+    return let(H.candidates(nodes, wanted), lambda found: F.struct(
+        *[_select(nodes, found, s, mode).alias(f) for f, s, mode in selectors],
+        *[H.elements(found, s).alias(f) for f, s in more]))
 
 
 def page_gate(html: Column | str) -> Column:
@@ -85,25 +95,18 @@ def _names(texts: Column, cat: str):
     return test
 
 
-_CLASS_ATTR = "(?s)<[a-zA-Z][^>]*?" + H.attribute_regex("class")
+def subratings(html: Column) -> Column:
+    """X3 of a page. Select the struct once and expand it (``s.*``)."""
+    return let(H.node_table(html), lambda nodes: subratings_of(nodes, H.elements(nodes, SUBRATING_SELECTOR)))
 
 
-def subratings(html: Column) -> Column:
+def subratings_of(nodes: Column, found: Column) -> Column:
     """Struct of one rating per category. For the i-th sub-rating text
     naming a category, the class at ``SUBRATING_CLASS_POS[i]``; a later text
-    wins; a text past the fourth has no position and is ignored (SURVEY D9).
-
-    Select the struct once and expand it (``s.*``): the regex work is bound
-    with :func:`let` and runs once per page."""
+    wins; a text past the fourth has no position and is ignored (SURVEY D9)."""
     pos = F.array(*[F.lit(p) for p in SUBRATING_CLASS_POS])
     n = len(SUBRATING_CLASS_POS)
 
-    def gather(inner: Column) -> Column:
-        return F.struct(
-            F.flatten(F.transform(inner, lambda x: F.transform(
-                F.regexp_extract_all(x, F.lit(_CLASS_ATTR), F.lit(1)), H.unquoted))).alias("classes"),
-            F.flatten(F.transform(inner, lambda x: H.texts_by_depth(x)["desc"])).alias("texts"))
-
     def pick(ct: Column) -> Column:
         cls, txt = ct["classes"], ct["texts"]
         idx = F.when(F.size(txt) > 0, F.sequence(F.lit(0), F.least(F.size(txt), F.lit(n)) - 1))
@@ -112,94 +115,118 @@ def subratings(html: Column) -> Column:
             .alias(f"{cat}_rating")
             for cat in SUBRATING_CATEGORIES])
 
-    return let(let(H.inner_html(html, SUBRATING_SELECTOR), gather), pick)
+    return let(F.struct(H.inner_attributes(nodes, found, "class").alias("classes"), H.inner_texts(nodes, found).alias("texts")), pick)
+
+
+def with_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` with the node table ``_nodes`` of each page instead of its HTML."""
+    return pages.select(*[c for c in pages.columns if c != html], H.node_table(F.col(html)).alias("_nodes"))
+
+
+def _hotel(nodes: Column) -> Column:
+    """Raw struct of the hotel's fields, its sub-ratings included."""
+    raw = _fields(nodes, HOTEL_SELECTORS, ("subratings", SUBRATING_SELECTOR))
+    return let(raw, lambda r: F.struct(*[r[f].alias(f) for f, _, _ in HOTEL_SELECTORS],
+                                       subratings_of(nodes, r["subratings"]).alias("sub")))
+
+
+def _hotel_columns(raw: str, url: Column) -> list[Column]:
+    f = lambda name: F.col(f"{raw}.{name}")                                   # noqa: E731
+    as_is = ("name_hotel", "address_hotel", "ranking_hotel", "number_of_reviews", "amenities", "total_rating")
+    return [E.hotel_id(url).alias("id_hotel"), *[f(c).alias(c) for c in as_is],
+            *[f(f"sub.{c}_rating").alias(f"{c}_rating") for c in SUBRATING_CATEGORIES],
+            f("good_to_know").alias("good_to_know"),
+            E.class_rating(f"{raw}.class_title").alias("class_rating"),
+            E.all_but_first(f"{raw}.mentions").alias("popular_mention_tags"),
+            E.join_fragments(f"{raw}.description", empty_as_null=True).alias("description"),
+            E.nth(f"{raw}.grades", 0).alias("location_grade"),
+            E.nth(f"{raw}.grades", 1).alias("surrounding_restaurants"),
+            E.nth(f"{raw}.grades", 2).alias("surrounding_attractions")]
 
 
 def extract_hotels(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """One HOTEL record per page (the caller keeps the first page, A3)."""
-    h = F.col(html)
-    raw = pages.select("*", *[_select(h, sel, mode).alias(f"_{f}") for f, sel, mode in HOTEL_SELECTORS],
-                       subratings(h).alias("_sub"))
-    return raw.select(
-        *[c for c in pages.columns if c != html],
-        E.hotel_id(F.col(url)).alias("id_hotel"),
-        "_name_hotel", "_address_hotel", "_ranking_hotel", "_number_of_reviews",
-        F.col("_amenities").alias("amenities"), "_total_rating",
-        *[F.col(f"_sub.{c}_rating").alias(f"{c}_rating") for c in SUBRATING_CATEGORIES],
-        F.col("_good_to_know").alias("good_to_know"),
-        E.class_rating("_class_title").alias("class_rating"),
-        E.all_but_first("_mentions").alias("popular_mention_tags"),
-        E.join_fragments("_description", empty_as_null=True).alias("description"),
-        E.nth("_grades", 0).alias("location_grade"),
-        E.nth("_grades", 1).alias("surrounding_restaurants"),
-        E.nth("_grades", 2).alias("surrounding_attractions"),
-    ).withColumnsRenamed({f"_{f}": f for f in ("name_hotel", "address_hotel", "ranking_hotel",
-                                                "number_of_reviews", "total_rating")})
+    kept = [c for c in pages.columns if c != html]
+    raw = with_nodes(pages, html).select(*kept, _hotel(F.col("_nodes")).alias("_hotel"))
+    return raw.select(*kept, *_hotel_columns("_hotel", F.col(url)))
 
 
 def count_blocks(html: Column | str) -> Column:
     """Number of review blocks on a page (no explode)."""
     h = F.col(html) if isinstance(html, str) else html
-    return F.greatest(F.size(F.split(h, H.open_tag_regex(REVIEW_BLOCK))) - 1, F.lit(0))
+    return F.size(H.elements(H.node_table(h), REVIEW_BLOCK))
 
 
 def review_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
-    """X2 split: one row per review block (``block_pos`` 0-based in the page).
+    """X2 split: one row per review block (``block_pos`` 0-based in the page) with
+    the block's own node table, so nothing between the blocks is read with them."""
+    kept = [c for c in pages.columns if c != html]
+    nodes = F.col("_nodes")
+    blocks = F.transform(H.elements(nodes, REVIEW_BLOCK), lambda b: H.subtree(nodes, b, with_self=True))
+    return with_nodes(pages, html).select(*kept, F.posexplode(blocks).alias("block_pos", "block"))
+
+
+def raw_reviews(nodes: Column) -> Column:
+    """array<struct>: the raw fields of each review block of a page."""
+    return F.transform(H.elements(nodes, REVIEW_BLOCK),
+                       lambda b: let(H.subtree(nodes, b, with_self=True), lambda own: _fields(own, REVIEW_SELECTORS)))
+
+
+def _review_columns(raw: str, as_of: Column | None, fallback_stay_date: bool) -> list[Column]:
+    f = lambda name: F.col(f"{raw}.{name}")                                   # noqa: E731
+    name, title = E.responder(f"{raw}.responder_raw")
+    text = E.join_fragments(f"{raw}.text_fragments", empty_as_null=False)
+    as_is = ("trip_type", "helpful_votes", "reviewer_location", "review_title")
+    return [E.user_id(f"{raw}.user_href").alias("id_user"), E.nth(f"{raw}.header", 0).alias("name_user"),
+            E.review_month(f"{raw}.header", f"{raw}.stay", as_of, fallback_stay_date).alias("review_date"),
+            E.bubble_rating(f"{raw}.bubble_class").alias("review_rating"),
+            language_tag(text).alias("review_language"), *[f(c).alias(c) for c in as_is], text.alias("review_text"),
+            E.empty_to_null(E.join_fragments(f"{raw}.response_fragments", empty_as_null=False)).alias("review_response"),
+            name.alias("responder"), title.alias("responder_title")]
 
-    The page is split at each block's opening tag; each piece is then cut at
-    the block's own closing tag (tag depth), so content between or after the
-    blocks (ads, pagination) never becomes part of a review."""
-    parts = F.split(F.col(html), H.open_tag_regex(REVIEW_BLOCK))
-    blocks = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
-    return pages.select(*[c for c in pages.columns if c != html],
-                        F.posexplode(F.when(F.size(parts) > 1, blocks)).alias("block_pos", "block")
-                        ).withColumn("block", H.inner_by_depth(F.col("block")))
+
+def reviews_of(raw: DataFrame, reviews: str = "reviews", as_of: Column | None = None, fallback_stay_date: bool = False) -> DataFrame:
+    """One REVIEW record per element of the array ``reviews`` (``raw_reviews``), with
+    its ``block_pos`` and the language tag of its text (X5)."""
+    kept = [c for c in raw.columns if c != reviews]
+    return raw.select(*kept, F.posexplode(reviews).alias("block_pos", "_review")).select(
+        *kept, "block_pos", *_review_columns("_review", as_of, fallback_stay_date))
 
 
 def extract_reviews(pages: DataFrame, html: str = "html", as_of: Column | None = None,
                     fallback_stay_date: bool = False) -> DataFrame:
-    """One REVIEW record per block, with the language tag of its text."""
-    b = review_blocks(pages, html)
-    blk = F.col("block")
-    raw = b.select("*", *[_select(blk, sel, mode).alias(f"_{f}") for f, sel, mode in REVIEW_SELECTORS])
-    name, title = E.responder("_responder_raw")
-    text = E.join_fragments("_text_fragments", empty_as_null=False)
-    return raw.select(
-        *[c for c in b.columns if c != "block"],
-        E.user_id("_user_href").alias("id_user"),
-        E.nth("_header", 0).alias("name_user"),
-        E.review_month("_header", "_stay", as_of, fallback_stay_date).alias("review_date"),
-        E.bubble_rating("_bubble_class").alias("review_rating"),
-        language_tag(text).alias("review_language"),
-        F.col("_trip_type").alias("trip_type"),
-        F.col("_helpful_votes").alias("helpful_votes"),
-        F.col("_reviewer_location").alias("reviewer_location"),
-        F.col("_review_title").alias("review_title"),
-        text.alias("review_text"),
-        E.empty_to_null(E.join_fragments("_response_fragments", empty_as_null=False)).alias("review_response"),
-        name.alias("responder"),
-        title.alias("responder_title"),
-    )
+    """One REVIEW record per block."""
+    kept = [c for c in pages.columns if c != html]
+    raw = with_nodes(pages, html).select(*kept, raw_reviews(F.col("_nodes")).alias("_reviews"))
+    return reviews_of(raw, "_reviews", as_of, fallback_stay_date)
+
+
+def _links(nodes: Column) -> Column:
+    found = _fields(nodes, [("next_href", NEXT_LINK, "attr:href")], ("off", NEXT_DISABLED))
+    return let(found, lambda r: F.struct(r["next_href"].alias("next_href"), (F.size(r["off"]) > 0).alias("next_disabled")))
+
+
+def _next_url(links: str) -> Column:
+    return F.when(~F.col(f"{links}.next_disabled"), E.next_page_url(F.col(f"{links}.next_href")))
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """Next href, disabled flag and the absolute next URL (NULL at the end)."""
-    h = F.col(html)
-    href = F.get(H.attr_values(h, NEXT_LINK, "href"), 0)
-    disabled = H.has_element(h, NEXT_DISABLED)
-    return pages.select(
-        *[c for c in pages.columns if c != html],
-        href.alias("next_href"), disabled.alias("next_disabled"),
-        F.when(~disabled, E.next_page_url(href)).alias("next_url"))
+    kept = [c for c in pages.columns if c != html]
+    raw = with_nodes(pages, html).select(*kept, _links(F.col("_nodes")).alias("_links"))
+    return raw.select(*kept, "_links.next_href", "_links.next_disabled", _next_url("_links").alias("next_url"))
 
 
 def page_facts(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """``(url, status, n_reviews, next_url, hotel)`` per page. ``hotel`` is the
-    HOTEL record; a failed or banned page has neither record nor link. Row-local."""
-    source = pages.select(F.col(url).alias("url"), F.col(html).alias("html"), F.col(html).alias("page"))
-    linked = extract_links(source).select("url", F.col("page").alias("html"), "page", "next_url")
-    ok = page_gate("page") == "ok"
-    return extract_hotels(linked).select(
-        "url", page_gate("page").alias("status"), F.when(ok, count_blocks("page")).otherwise(0).alias("n_reviews"),
-        F.when(ok, F.col("next_url")).alias("next_url"),
-        F.when(ok, F.struct(*S.HOTEL_FIELDS)).alias("hotel"))
+    """``(url, status, n_reviews, next_url, hotel, reviews)`` per page, from one
+    reading of it. ``hotel`` is the HOTEL record, ``reviews`` the raw reviews; a
+    failed or banned page has neither record, reviews nor link. Row-local."""
+    status = page_gate(html)
+    read = pages.select(F.col(url).alias("url"), status.alias("status"),
+                        F.when(status == "ok", H.node_table(F.col(html))).alias("_nodes"))
+    nodes, ok = F.col("_nodes"), F.col("status") == "ok"
+    raw = read.select("url", "status", F.when(ok, _hotel(nodes)).alias("_hotel"), F.when(ok, _links(nodes)).alias("_links"),
+                      F.when(ok, raw_reviews(nodes)).alias("reviews"))
+    flat = raw.select("url", "status", "reviews", _next_url("_links").alias("next_url"), *_hotel_columns("_hotel", F.col("url")))
+    return flat.select("url", "status", F.when(ok, F.size("reviews")).otherwise(0).alias("n_reviews"), "next_url",
+                       F.when(ok, F.struct(*S.HOTEL_FIELDS)).alias("hotel"), "reviews")

@@ -74,16 +74,24 @@ def merge_last_wins(gated: DataFrame, key: str = "object_key", pos: str = "objec
     return best.select("chunk_id", "is_bad", key, "w.*")
 
 
+def verdicts(objects: DataFrame, key: str = "object_key", pos: str = "object_pos") -> DataFrame:
+    """``(pos, key, verdict, detected_lang)`` of every object: the only pass that
+    reads the texts. Narrow rows, written once: range sampling, numbering, merge
+    and the dropped count read them."""
+    return written(with_verdict(objects, key).select(pos, key, "verdict", "detected_lang"), "verdicts")
+
+
 def rollup_winners(objects: DataFrame, chunk_size: int | None = None, key: str = "object_key",
                    pos: str = "object_pos") -> DataFrame:
-    """P3 body on narrow rows: gate (the only pass that reads the texts), chunk,
-    merge. ``chunk_size=None`` puts everything in chunk 0 (P4).
+    """P3 body on narrow rows: gate, chunk, merge. ``chunk_size=None`` puts
+    everything in chunk 0 (P4).
 
     Output ``chunk_id, is_bad, object_key, object_pos, verdict, detected_lang``:
-    one kept and/or one rejected object per key and chunk. The narrow verdict
-    rows are written once, so range sampling, numbering and merge read them and
-    never the texts."""
-    gated = written(with_verdict(objects, key).select(pos, key, "verdict", "detected_lang"), "verdicts")
+    one kept and/or one rejected object per key and chunk."""
+    return _winners(verdicts(objects, key, pos), chunk_size, key, pos)
+
+
+def _winners(gated: DataFrame, chunk_size: int | None, key: str, pos: str) -> DataFrame:
     if chunk_size is None:
         chunked = gated.withColumn("chunk_id", F.lit(0).cast("bigint"))
     else:
@@ -91,22 +99,24 @@ def rollup_winners(objects: DataFrame, chunk_size: int | None = None, key: str =
     return merge_last_wins(chunked, key, pos)
 
 
-def rollup(objects: DataFrame, chunk_size: int | None = None, key: str = "object_key",
-           pos: str = "object_pos") -> tuple[DataFrame, DataFrame, DataFrame]:
+def rollup(objects: DataFrame, chunk_size: int | None = None, key: str = "object_key", pos: str = "object_pos",
+           gated: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(winners, kept, rejects)``.
 
     ``kept`` = the whole objects that won as keeps, every column of ``objects``,
     with their ``chunk_id``: the one wide join of the job, on the key and the
     position, which are columns of the data and unique together. ``rejects`` =
-    ``chunk_id, object_key, reason``. ``winners`` is a narrow written table."""
-    winners = written(rollup_winners(objects, chunk_size, key, pos), "winners")
+    ``chunk_id, object_key, reason``. ``winners`` is a narrow written table;
+    ``gated`` are the objects' :func:`verdicts`, if there are any yet."""
+    gated = verdicts(objects, key, pos) if gated is None else gated
+    winners = written(_winners(gated, chunk_size, key, pos), "winners")
     keep = winners.where(~F.col("is_bad")).select(key, pos, "chunk_id", "detected_lang")
     kept = objects.join(keep, [key, pos])
     rejects = winners.where(F.col("is_bad")).select("chunk_id", key, F.col("verdict").alias("reason"))
     return winners, kept, rejects
 
 
-def dropped(objects: DataFrame, key: str = "object_key", text: str = "review_text") -> DataFrame:
+def dropped_count(gated: DataFrame) -> DataFrame:
     """One row ``(verdict, n)``: how many objects leave no record (rule (a))."""
-    out = objects.where(_no_review(F.col(key), F.col(text)))
-    return out.agg(F.count(F.lit(1)).alias("n")).select(F.lit(VERDICT_DROPPED).alias("verdict"), "n")
+    n = gated.agg(F.count_if(F.col("verdict") == VERDICT_DROPPED).alias("n"))
+    return n.select(F.lit(VERDICT_DROPPED).alias("verdict"), "n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.functions.html import encode_entities
+from reviewlake.functions.entities import encode_entities
 
 # Fixed values.
 INDEX_MARK = "CA_index"              # the sitemap index to read

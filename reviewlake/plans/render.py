@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.functions.html import encode_entities
+from reviewlake.functions.entities import encode_entities
 from reviewlake.plans import fixtures as FX
 from reviewlake.session import table
 
@@ -105,8 +105,8 @@ def _hotel_header(doc: Column) -> Column:
                         F.when(doc % 2 == 0, F.lit("<span>breakfast</span><span>staff</span>"))
                         .otherwise(F.lit("")), F.lit("</div>"))
     desc = F.when(doc % 4 == 3, F.lit("")).otherwise(F.concat(
-        F.lit('<div class="_2f_ruteS _1bona3Pu _2-hMril5"><p>Line one of '), _s(doc),
-        F.lit("</p><p>Line two</p></div>")))
+        F.lit('<div class="_2f_ruteS _1bona3Pu _2-hMril5"><div class="cPQsENeY"><p>Line one of '), _s(doc),
+        F.lit("</p><p>Line two</p></div></div>")))
     grades = F.when(doc % 5 == 4, F.lit("")).otherwise(F.concat(
         F.lit('<span class="oPMurIUj">'), _s(doc % 100), F.lit('</span><span class="oPMurIUj">'),
         _s(doc % 30), F.lit('</span><span class="oPMurIUj">'), _s(doc % 20), F.lit("</span>")))

@@ -43,11 +43,12 @@ def write_split_reviews(split: DataFrame, path: str) -> str:
 def write_rollup(kept: DataFrame, rejects: DataFrame, path: str) -> tuple[str, str]:
     """K3: kept objects to ``compiled/``, rejects (key, reason) to ``bad/``, by chunk.
 
-    Rows are range-partitioned by (chunk, key) first: a task writes few chunks,
-    and a chunk larger than a task's share is written by several."""
+    The ``rebalance`` hint brings a chunk's rows together and lets AQE split a
+    chunk larger than a task's share. It takes no sample, so the wide join that
+    gives ``kept`` runs once."""
     good, bad = f"{path}/compiled", f"{path}/bad"
     for rows, to in ((kept, good), (rejects, bad)):
-        (rows.repartitionByRange("chunk_id", "object_key").sortWithinPartitions("chunk_id", "object_key")
+        (rows.hint("rebalance", "chunk_id").sortWithinPartitions("chunk_id", "object_key")
          .write.mode("overwrite").partitionBy("chunk_id").json(to))
     return good, bad
 

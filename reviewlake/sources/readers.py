@@ -14,12 +14,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake import schemas as S
 from reviewlake.functions import expr as E
-from reviewlake.functions.html import decode_entities
+from reviewlake.functions.common import let
+from reviewlake.functions.entities import decode_entities
 from reviewlake.operators.documents import parse_documents, response_status as response_status_of
 
 SITEMAP_LINE = "Sitemap"          # fixed: robots lines naming a sitemap contain this
@@ -29,11 +30,30 @@ SITEMAP_PREFIX = "Sitemap: "      # fixed: removed from such a line
 def parse_sitemaps(docs: DataFrame, value: str = "value", file: str = "file") -> DataFrame:
     """S1 parse: one row per ``<loc>`` of each XML text, ``idx`` 0-based in order.
 
-    The trailing newline or blanks of a URL are trimmed; XML entities decoded.
+    The text is read as XML: the ``loc`` of each ``url`` of a sitemap or of each
+    ``sitemap`` of an index, under any namespace prefix, from text or CDATA,
+    with entities decoded and blanks around it gone; comments and other
+    elements' ``loc`` (images, videos) don't count. A text that isn't well-formed
+    XML (a bare ``&``, cut off) is read tag by tag instead, outside of comments.
     """
-    locs = F.regexp_extract_all(F.col(value), F.lit(r"<loc>\s*(.*?)\s*</loc>"), F.lit(1))
-    return docs.select(F.col(file), F.posexplode(locs).alias("idx", "url")).select(
-        file, F.col("idx").cast("bigint").alias("idx"), decode_entities(F.trim(F.col("url"))).alias("url"))
+    entry = "array<struct<loc: string>>"
+    text = F.regexp_replace(F.col(value), "^[\\ufeff\\s]+", "")
+    # one ``loc`` of a list, whatever its name; a broken text gives null
+    xml = F.from_xml(text, f"url {entry}, sitemap {entry}, _broken string",
+                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "ignoreNamespace": "true"})
+    bare = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
+    tags = F.transform(F.regexp_extract_all(bare, F.lit(r"(?s)<(?:\w+:)?loc\s*>\s*(.*?)\s*</(?:\w+:)?loc\s*>"), F.lit(1)),
+                       lambda u: F.when(u.startswith("<![CDATA["), F.regexp_replace(u, r"(?s)^<!\[CDATA\[\s*|\s*\]\]>$", ""))
+                       .otherwise(decode_entities(u)))
+
+    def locs(x: Column) -> Column:
+        well = x["_broken"].isNull() & (x["url"].isNotNull() | x["sitemap"].isNotNull())
+        empty = F.array().cast(entry)
+        both = F.concat(F.coalesce(x["sitemap"], empty), F.coalesce(x["url"], empty))
+        return F.when(well, F.filter(F.transform(both, lambda e: e["loc"]), lambda u: u.isNotNull())).otherwise(tags)
+
+    return docs.select(F.col(file), F.posexplode(let(xml, locs)).alias("idx", "url")).select(
+        file, F.col("idx").cast("bigint").alias("idx"), F.trim("url").alias("url"))
 
 
 def read_sitemaps(spark: SparkSession, path: str, num_partitions: int | None = None) -> DataFrame:

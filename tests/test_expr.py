@@ -103,3 +103,20 @@ def test_date_forms(spark):
     assert _one(spark, E.review_month(header), [(c,) for c, _ in cases]) == [w for _, w in cases]
     as_of = F.lit("2021-06-15").cast("date")
     assert _one(spark, E.review_month(header, as_of=as_of), [("Mar 5",), ("2 years ago",), ("1 month ago",)]) == ["03-2021", "06-2019", "05-2021"]
+
+
+def test_date_grammar(spark):
+    as_of = F.lit("2021-06-15").cast("date")
+    header = F.array(F.lit("Ann"), F.concat(F.lit(E.REVIEW_PREFIX), F.col("x")))
+    cases = [("Dec. 2020", "12-2020"), ("déc. 2020", "12-2020"), ("Dezember 2020", "12-2020"), ("décembre 2020", "12-2020"),
+             ("Sept. 2019", "09-2019"), ("5 de marzo de 2020", "03-2020"), ("1er août 2020", "08-2020"), ("12. März 2020", "03-2020"),
+             ("3rd of May 2020", "05-2020"), ("maggio 2018", "05-2018"), ("maart 2018", "03-2018"), ("MAY 2020", "05-2020"),
+             ("a week ago", "06-2021"), ("an hour ago", "06-2021"), ("3 hours ago", "06-2021"), ("20 days ago", "05-2021"), ("today", "06-2021"),
+             ("a month ago", "05-2021"), ("vor 2 Monaten", "04-2021"), ("il y a 3 semaines", "05-2021"), ("hace un año", "06-2020"),
+             ("3 mesi fa", "03-2021"), ("há 2 meses", "04-2021"), ("2 jaar geleden", "06-2019"), ("Yesterday", "06-2021"), ("Mar 5", "03-2021"),
+             ("juillet 2020", "07-2020"), ("jui 2020", "00-0000"), ("May May 2020", "00-0000"), ("2020", "00-0000"), ("13/2020", "00-0000"),
+             ("a nice month", "00-0000"), ("maybe 2020", "00-0000"), ("32 May 2020", "00-0000"), ("", "00-0000"), ("99999999999 days ago", "00-0000"),
+             ("x " * 5000, "00-0000"), ("May", "00-0000")]
+    assert list(zip([c for c, _ in cases], _one(spark, E.review_month(header, as_of=as_of), [(c,) for c, _ in cases]))) == cases
+    later = [c for c in cases if c[0] in ("a week ago", "Mar 5", "today")]
+    assert _one(spark, E.review_month(header), [(c,) for c, _ in later]) == ["00-0000"] * len(later)

@@ -136,3 +136,31 @@ def test_hotel_documents_reference_layout(spark, scratch):
     assert not any("ann" in k or "bob" in k for k in keys1)
     assert {r.review.id_user for r in p1.collect()} == {
         __import__("hashlib").sha256(b"ann").hexdigest(), __import__("hashlib").sha256(b"bob").hexdigest()}
+
+
+def test_sitemap_is_read_as_xml(spark):
+    ns = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
+    cases = {
+        "cdata": (f"<urlset {ns}><url><loc><![CDATA[https://s.example/a?x=1&y=<2>]]></loc></url></urlset>", ["https://s.example/a?x=1&y=<2>"]),
+        "prefix": ('<s:urlset xmlns:s="http://www.sitemaps.org/schemas/sitemap/0.9"><s:url><s:loc>https://s.example/b</s:loc></s:url>'
+                   "<s:url><s:loc> https://s.example/c&amp;d </s:loc><s:lastmod>2020</s:lastmod></s:url></s:urlset>", ["https://s.example/b", "https://s.example/c&d"]),
+        "comment": (f"<urlset {ns}><!-- <url><loc>https://s.example/old</loc></url> --><url><!-- x --><loc>https://s.example/e</loc></url></urlset>",
+                    ["https://s.example/e"]),
+        "image": (f'<urlset {ns} xmlns:image="http://x/i"><url><loc>https://s.example/f</loc><image:image><image:loc>https://s.example/f.jpg</image:loc>'
+                  "</image:image></url><url><loc>https://s.example/g</loc></url></urlset>", ["https://s.example/f", "https://s.example/g"]),
+        "index": (f'\ufeff<?xml version="1.0" encoding="UTF-8"?>\n<sitemapindex {ns}><sitemap><loc>https://s.example/1.xml</loc></sitemap>'
+                  "<sitemap><loc>https://s.example/2.xml</loc></sitemap></sitemapindex>", ["https://s.example/1.xml", "https://s.example/2.xml"]),
+        "bare-ampersand": (f"<urlset {ns}><url><loc>https://s.example/h?a=1&b=2</loc></url><!-- <loc>no</loc> --><url><loc>https://s.example/i</loc></url></urlset>",
+                           ["https://s.example/h?a=1&b=2", "https://s.example/i"]),
+        "cut-off": (f"<urlset {ns}><url><loc>https://s.example/j</loc></url><url><loc>https://s.ex", ["https://s.example/j"]),
+        "one": (f"<urlset {ns}><url><loc>https://s.example/k</loc></url></urlset>", ["https://s.example/k"]),
+        "none": (f"<urlset {ns}></urlset>", []), "empty": ("", []), "no-xml": ("not found", []), "null": (None, []),
+        "order": (f"<urlset {ns}>" + "".join(f"<url><loc>https://s.example/{i}</loc></url>" for i in range(3000)) + "</urlset>",
+                  [f"https://s.example/{i}" for i in range(3000)]),
+    }
+    docs = spark.createDataFrame([(k, v) for k, (v, _) in cases.items()], "file string, value string")
+    got = {k: [] for k in cases}
+    for r in R.parse_sitemaps(docs).orderBy("file", "idx").collect():
+        assert r.idx == len(got[r.file])
+        got[r.file].append(r.url)
+    assert got == {k: want for k, (_, want) in cases.items()}
