@@ -262,18 +262,15 @@ def language_tag_sql(source: str, id_col: str, text_col: str, id_alias: str = "i
     script = "".join(
         rf"""WHEN length(regexp_replace({letters}, '[^{_class(names)}]', '', 'g')) * {share} >= greatest(length({letters}), 1)
             THEN '{lang}' """ for lang, names, share in SCRIPTS)
-    langs = ", ".join(f"('{x}')" for x in LANGUAGES)
     ranked = lambda hits, rows: f"""
-        SELECT id, lang AS code, score AS best,
-               lead(score) OVER (PARTITION BY id ORDER BY score DESC, lang) AS second, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS rn
-        FROM (SELECT h.id, l.lang, coalesce(sum(p.weight), 0) AS score
-              FROM (SELECT DISTINCT id FROM {hits}) i CROSS JOIN (VALUES {langs}) AS l(lang) JOIN {hits} h USING (id)
-              LEFT JOIN {rows} ON p.item = h.item AND p.lang = l.lang GROUP BY h.id, l.lang)"""      # noqa: E731
+        SELECT id, lang AS code, score AS best, coalesce(lead(score) OVER (PARTITION BY id ORDER BY score DESC, lang), 0) AS second,
+               row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS rn
+        FROM (SELECT h.id, p.lang, sum(p.weight) AS score FROM {hits} h JOIN {rows} ON p.item = h.item GROUP BY h.id, p.lang)"""
     return f"""
         SELECT s.{id_col} AS {id_alias}, CASE {script} ELSE coalesce(bw.code, bg.code) END AS lang_detected
         FROM {source} s
         LEFT JOIN (
-            WITH t AS (SELECT {id_col} AS id, [x FOR x IN string_split(translate(lower({text_col}), '{between}', '{" " * len(BETWEEN)}'), ' ')
+            WITH t AS MATERIALIZED (SELECT {id_col} AS id, [x FOR x IN string_split(translate(lower({text_col}), '{between}', '{" " * len(BETWEEN)}'), ' ')
                                                IF x <> ''] AS w FROM {source}),
             h AS (SELECT id, unnest(list_distinct([x FOR x IN w IF x IN ({words})])) AS item FROM t
                   WHERE len(list_distinct([x FOR x IN w IF x IN ({words})])) * {MIN_SHARE} >= least(len(list_distinct(w)), {MOST_WORDS}))
@@ -282,7 +279,7 @@ def language_tag_sql(source: str, id_col: str, text_col: str, id_alias: str = "i
         LEFT JOIN (
             WITH t AS (SELECT {id_col} AS id, concat(' ', trim(regexp_replace(translate(lower({text_col}), '{between}', '{" " * len(BETWEEN)}'),
                               '[^\\p{{L}}\\p{{M}}]+', ' ', 'g')), ' ') AS s FROM {source} WHERE {text_col} IS NOT NULL),
-            g AS (SELECT id, list_distinct([x FOR x IN list_concat([s[i:i] FOR i IN range(1, len(s) + 1)],
+            g AS MATERIALIZED (SELECT id, list_distinct([x FOR x IN list_concat([s[i:i] FOR i IN range(1, len(s) + 1)],
                          [s[i:i + 1] FOR i IN range(1, len(s))], [s[i:i + 2] FOR i IN range(1, len(s) - 1)]) IF x <> ' ']) AS g FROM t),
             h AS (SELECT id, unnest(g) AS item FROM g)
             SELECT r.id, code FROM ({ranked("h", _values(gram_rows(), "p"))}) r JOIN g USING (id)
