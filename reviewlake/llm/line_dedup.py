@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake.functions.common import let
 from reviewlake.llm.common import col, packed, row_key, unpacked
 from reviewlake.session import table
 
@@ -65,8 +66,9 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", widt
     covered = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + width - 1)))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    # the lines are bound once: inside the lambda they would be cut from the text for every line
     clean = F.when(F.col("starts").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda p: lines[p]), "\n"))
+        let(lines, lambda own: F.array_join(F.transform(kept, lambda p: own[p]), "\n")))
     return found.select(
         "row", "key", n_lines.alias("n_lines"),
         F.when(F.col("starts").isNull(), 0).otherwise(n_lines - F.size(kept)).alias("n_removed"),
