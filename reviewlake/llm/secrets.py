@@ -3,7 +3,8 @@
 Candidates are, in every document,
 
 - runs of at least ``MIN_LENGTH`` characters A-Z a-z 0-9 + / = _ - with a
-  digit, and the like that follow after a "." (at least six characters);
+  digit, and the like that follow after a "." (at least six characters, up to
+  ``PARTS`` of them; what follows then is a run of its own);
 - runs that begin as a known kind of key does, with or without a digit (the
   parts of a JSON web token are one run);
 - what is assigned to a name with a word of ``SECRET_WORDS`` (=, : or =>):
@@ -45,6 +46,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake.functions.common import let
 from reviewlake.llm.common import crc_of, hash_fraction, written
 from reviewlake.session import table
 
@@ -55,18 +57,19 @@ TREES = 24
 DEPTH = 6
 CONTEXT = 48             # characters looked at on either side
 MIN_VALUE = 4            # characters of an assigned value
+PARTS = 32               # parts between dots of one run; Java's matcher recurses once for each
 SECRET_WORDS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential"
 _RUN = "[A-Za-z0-9+/=_-]"
 _VALUE = rf"[^\s\"'`<>,;&(){{}}\[\]]{{{MIN_VALUE - 1},}}[^\s\"'`<>,;&(){{}}\[\].!?:]"
 _NAME = rf"(?i:{SECRET_WORDS})[\w-]{{0,16}}"
 KNOWN = (rf"(?:AKIA|ASIA)[A-Z0-9]{{16}}(?!{_RUN})|(?:gh[oprsu]_|github_pat_|glpat-|xox[abeoprs]-|[prsw]k_live_|AIza|npm_|hf_){_RUN}{{16,}}"
-         rf"|(?:eyJ|SG\.){_RUN}{{8,}}(?:\.{_RUN}{{6,}})*")
+         rf"|(?:eyJ|SG\.){_RUN}{{8,}}(?:\.{_RUN}{{6,}}){{0,{PARTS}}}")
 CANDIDATE = (rf"(?<!{_RUN})(?:"
              rf"(?<=[:=>]\s{{0,2}}[\"'`]?)(?<={_NAME}[\"']?\s{{0,2}}[:=]{{1,2}}>?\s{{0,2}}[\"'`]?){_VALUE}"
              rf"|[\w-]++={{1,2}}(?<={_NAME}={{1,2}}){_VALUE}"
              rf"|{KNOWN}"
              rf"|(?<=(?i:bearer)\s){_RUN}{{{MIN_LENGTH},}}"
-             rf"|(?={_RUN}*[0-9]){_RUN}{{{MIN_LENGTH},}}(?:\.(?={_RUN}*[0-9]){_RUN}{{6,}})*)")
+             rf"|(?={_RUN}*[0-9]){_RUN}{{{MIN_LENGTH},}}(?:\.(?={_RUN}*[0-9]){_RUN}{{6,}}){{0,{PARTS}}})")
 NAMED = rf"(?i)^[\w-]*(?:{SECRET_WORDS})[\w-]{{0,16}}={{1,2}}"
 NUMBERS = ["length", "upper", "lower", "digit", "other", "distinct", "changes", "pairs", "coverage",
            "in_path", "in_url", "assigned", "quoted", "keyword"]
@@ -75,12 +78,16 @@ _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwx
 
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str = "source") -> DataFrame:
     """(doc_id, path, nth, found, left, right): every candidate with its surroundings."""
-    pieces = F.split(F.col(f"`{text}`"), CANDIDATE, -1)
-    hits = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(CANDIDATE), F.lit(0))
-    near = F.transform(hits, lambda c, i: F.struct(
-        i.alias("nth"), c.alias("found"), F.right(F.get(pieces, i), F.lit(CONTEXT)).alias("left"),
-        F.left(F.get(pieces, i + 1), F.lit(CONTEXT)).alias("right")))
-    return (docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{path}`").alias("path"), F.explode(near).alias("c"))
+    whole = F.col(f"`{text}`")
+
+    def near(hits: Column) -> Column:
+        # texts without a candidate aren't cut
+        return F.when(F.size(hits) > 0, let(F.split(whole, CANDIDATE, -1), lambda pieces: F.transform(hits, lambda c, i: F.struct(
+            i.alias("nth"), c.alias("found"), F.right(F.get(pieces, i), F.lit(CONTEXT)).alias("left"),
+            F.left(F.get(pieces, i + 1), F.lit(CONTEXT)).alias("right")))))
+
+    hits = F.regexp_extract_all(whole, F.lit(CANDIDATE), F.lit(0))
+    return (docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{path}`").alias("path"), F.explode(let(hits, near)).alias("c"))
             .select("doc_id", "path", "c.*"))
 
 
@@ -187,7 +194,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     text) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     words = written(corpus_words(docs), "words")
-    found = written(features(candidates(docs), words), "candidates")
+    found = written(features(written(candidates(docs), "candidates"), words), "features")
     model = train(weak_labels(found).where(crc_of(F.col("doc_id")) % 5 != 0))
     return scored(found, model).select(
         "doc_id", "nth", F.left("found", F.lit(4)).alias("begins"), F.length("found").alias("length"),
