@@ -7,13 +7,15 @@ beginnings and the probability s = 1 / (1 + exp(-z)); a bag has the noisy-or
 likelihood of their labels through the noisy-or, so it finds by itself which
 sentences make a document toxic, and the same s locates them.
 
-A plain noisy-or of a long text would add up what clean sentences score too.
-A document's score therefore is 1 - exp(-E), with E the larger of
-
-- the evidence -log(1 - s) of its strongest sentence;
-- the sum of its distinct sentences' evidence over that of a sentence without
-  telling words, less what as many clean sentences have (mean and ``SPREAD``
-  standard deviations, from the clean documents of the fit).
+A document's score is that noisy-or, 1 - exp(-E), where E sums the evidence
+-log(1 - s) of its distinct sentences (by their words) over that of a sentence
+without telling words. A long clean text would add up chance evidence, so E
+leaves out what the text's clean sentences have by chance: their number times
+the mean, and ``SPREAD`` standard deviations, of clean documents' sentences in
+the fit. Clean are all sentences but those strong ones that exceed what chance
+gives: a strong sentence has more evidence than mean and ``SPREAD`` deviations,
+and as large a share of them as in clean documents, and ``SPREAD`` deviations of
+that number, is chance. E is never below the evidence of the strongest sentence.
 
 The fit uses labelled rows chosen by hash, at most about ``TRAIN_ROWS`` rows
 and ``TRAIN_CHARS`` characters in all; a text's length doesn't decide whether
@@ -49,10 +51,12 @@ SPREAD = 2.0             # standard deviations that the evidence of clean senten
 MIN_Z = 3.0              # standard deviations between a feature's toxic documents and those expected by chance
 
 
-def _features(hasher: Hasher, chunk: Chunk) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Cells of each word (one array per kind), its sentence, each sentence's document."""
+def _features(hasher: Hasher, chunk: Chunk) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of each word (one array per kind), its sentence, each sentence's
+    document and the hash of its words in order."""
     running = hasher.running(chunk.data)
-    kinds = [cells(hasher.spans(running, chunk.starts, chunk.ends), 0)]
+    words = hasher.spans(running, chunk.starts, chunk.ends)
+    kinds = [cells(words, 0)]
     for n in BEGINNINGS:
         kinds.append(cells(hasher.spans(running, chunk.starts, np.minimum(chunk.starts + n, chunk.ends)), n))
     stops = np.cumsum(_STOP[chunk.raw], dtype=np.int32)[chunk.starts]
@@ -60,18 +64,31 @@ def _features(hasher: Hasher, chunk: Chunk) -> tuple[list[np.ndarray], np.ndarra
     new[1:] = stops[1:] != stops[:-1]
     sentence = np.cumsum(new) - 1
     doc = np.searchsorted(chunk.first, chunk.starts[new], side="right") - 1
-    return kinds, sentence, doc
+    place = np.arange(len(sentence)) - np.flatnonzero(new)[sentence] if len(sentence) else sentence
+    mixed = (words ^ (words >> np.uint64(31))) * (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD6E8FEB86659FD93) | np.uint64(1))
+    same = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), np.flatnonzero(new)) if len(sentence) else words
+    return kinds, sentence, doc, same
 
 
-def _evidence(z: np.ndarray, doc: np.ndarray, docs: int, bias: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each distinct sentence (document and z) its document and its evidence
-    over that of a sentence without telling words; the number of sentences of
-    each of the ``docs`` documents."""
-    order = np.lexsort((level := np.round(z, 6), doc))
+def _evidence(z: np.ndarray, doc: np.ndarray, same: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct sentence of a document (by its words) the document and
+    its evidence over that of a sentence without telling words."""
+    order = np.lexsort((same, doc))
     new = np.ones(len(z), bool)
-    new[1:] = (np.diff(level[order]) != 0) | (np.diff(doc[order]) != 0)
+    new[1:] = (same[order][1:] != same[order][:-1]) | (np.diff(doc[order]) != 0)
     some = order[new]
-    return doc[some], np.maximum(0, np.logaddexp(0, z[some]) - np.logaddexp(0, bias)), np.bincount(doc, minlength=docs)
+    return doc[some], np.maximum(0, np.logaddexp(0, z[some]) - np.logaddexp(0, bias))
+
+
+def _noisy_or(of: np.ndarray, over: np.ndarray, docs: int, clean: np.ndarray) -> np.ndarray:
+    """E of each of ``docs`` documents from their distinct sentences; ``clean``: mean,
+    deviation, limit of strong sentences and their share in clean documents."""
+    mean, deviation, limit, share = clean
+    n = np.bincount(of, minlength=docs)
+    strong = np.bincount(of, weights=over > limit, minlength=docs)
+    toxic = np.maximum(0, strong - share * n - SPREAD * np.sqrt(share * n))
+    by_chance = mean * (n - toxic) + SPREAD * deviation * np.sqrt(n - toxic)
+    return np.bincount(of, weights=over, minlength=docs) - by_chance
 
 
 def fit(rows: pd.DataFrame) -> bytes:
@@ -80,15 +97,16 @@ def fit(rows: pd.DataFrame) -> bytes:
     label = rows["toxic"].to_numpy(np.float64)
     if not 0 < label.sum() < len(label):
         return b""
-    hasher, feature, sentence, doc = Hasher(), [], [], []
+    hasher, feature, sentence, doc, same = Hasher(), [], [], [], []
     n_sentences = 0
     for chunk in hasher.chunks(rows["text"].tolist()):
-        kinds, of, in_doc = _features(hasher, chunk)
+        kinds, of, in_doc, words = _features(hasher, chunk)
+        same.append(words)
         feature.append(np.concatenate(kinds))
         sentence.append(np.tile(of + n_sentences, len(kinds)))
         doc.append(in_doc + chunk.docs.start)
         n_sentences += len(in_doc)
-    feature, sentence, doc = map(np.concatenate, (feature, sentence, doc))
+    feature, sentence, doc, same = map(np.concatenate, (feature, sentence, doc, same))
     both = np.unique(feature * len(label) + doc[sentence])              # a feature counts once per document
     cell, bag = both // len(label), both % len(label)
     toxic = np.bincount(cell, weights=label[bag], minlength=1 << BITS)
@@ -112,13 +130,15 @@ def fit(rows: pd.DataFrame) -> bytes:
         w -= rate * m / (np.sqrt(v) + 1e-5)
         bias -= rate * mb / (np.sqrt(vb) + 1e-5)
     z = bias + np.bincount(sentence, weights=w[feature], minlength=n_sentences)
-    of, over, n = _evidence(z, doc, len(label), bias)
-    over, n = over[label[of] == 0], max(1, n[label == 0].sum())
-    mean = over.sum() / n
+    of, over = _evidence(z, doc, same, bias)
+    over = over[label[of] == 0]
+    if not len(over):
+        over = np.zeros(1)
+    limit = over.mean() + SPREAD * over.std()
     weights = np.zeros(1 << BITS, np.float32)
     weights[used] = w
     out = io.BytesIO()
-    np.savez_compressed(out, weights=weights, bias=bias, clean=[mean, np.sqrt(max(0.0, (over ** 2).sum() / n - mean ** 2))])
+    np.savez_compressed(out, weights=weights, bias=bias, clean=[over.mean(), over.std(), limit, (over > limit).mean()])
     return out.getvalue()
 
 
@@ -148,14 +168,13 @@ def scored(text: Column, model: bytes, locate: float | None = None) -> Column:
             out = np.zeros(len(texts))
             found: list[list[dict]] = [[] for _ in range(len(texts))]
             for chunk in hasher.chunks(texts.tolist()) if model else ():
-                kinds, sentence, doc = _features(hasher, chunk)
+                kinds, sentence, doc, same = _features(hasher, chunk)
                 if not len(doc):
                     continue
                 z = bias + np.bincount(sentence, weights=sum(weights[k] for k in kinds))
-                of, over, n = _evidence(z, doc, len(chunk.docs), bias)
-                off = np.bincount(of, weights=over, minlength=len(n)) - clean[0] * n - SPREAD * clean[1] * np.sqrt(n)
+                off = _noisy_or(*_evidence(z, doc, same, bias), len(chunk.docs), clean)
                 np.maximum.at(off, doc, np.logaddexp(0, z))
-                out[chunk.docs.start:chunk.docs.stop] = -np.expm1(-np.where(n > 0, off, 0))
+                out[chunk.docs.start:chunk.docs.stop] = -np.expm1(-np.maximum(off, 0))
                 if locate is not None:
                     p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                     heads = np.flatnonzero(np.diff(sentence, prepend=-1))
