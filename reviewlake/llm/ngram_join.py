@@ -5,31 +5,35 @@ lower-cased; fewer words than n: the whole sequence as one). Two documents
 link when den * |x & y| >= num * |x | y|.
 
 1. Equal sets are one node (pre-aggregated, so thousands of copies cost one).
-2. One global order of the n-grams, rare ones first. It comes from a sketch of
-   fixed size (``CELLS`` counters over all documents); the order affects the
-   work only, any order gives the same links. The prefix of a set of n is its
-   first n - ceil(n num / den) + 1 n-grams: linked sets share one of them.
-3. Nodes with the same prefix and size are one group. Groups meet where they
-   share a prefix n-gram. Group pairs are filtered by size and by a bound: of
-   two linked sets x and y with the needed overlap o, the one whose prefix
-   ends first misses at most |x| - o of its prefix in the other's, so
-   the prefixes differ in at most 2 (|x| - o) + |P_y| - |P_x| n-grams. Parity
-   bitmaps of the prefixes differ in no more bits than the prefixes do.
-4. Round one takes for each group and n-gram the nearest group that passes,
-   pairs its members with that group's first member (and members of one group
-   with their own first) and verifies these pairs on their whole sets. Round two
-   expands every passing group pair to those member pairs that aren't connected
-   by then and filters them by parity bitmaps of their whole sets, which differ
-   in no more bits than the sets differ in n-grams. Of what passes, a tile hands
-   on a spanning forest between components: if its edges verify, as nearly all
-   do, every other pair of the tile joins documents that are connected already.
-   If any edge fails, round three verifies all pairs that still pass and aren't
-   connected. So components are exact, and the pairs of one large group are
-   never emitted.
-
-An n-gram in the prefixes of more than ``BLOCK`` groups is split into blocks
-that meet pairwise, so no task holds more than about 2 * ``BLOCK`` groups of
-one n-gram.
+2. One global order of the n-grams, rare ones first. It comes from a sketch whose
+   counters grow with the data (2^MIN_CELLS to 2^MAX_CELLS of them); the order
+   affects the work only, any order gives the same links. The prefix of a set
+   of n is its first n - ceil(n num / den) + 1 n-grams: linked sets share one.
+3. Nodes with the same prefix and size are one group. (On near copies nearly
+   every group has one member, as equal sets are collapsed before.) Groups meet
+   where they share a prefix n-gram: rows of three numbers, sorted by n-gram and
+   size and read as a stream; n-grams of one group end there. Group pairs are
+   filtered by size and by a bound: of two linked sets x and y with the needed
+   overlap o, the one whose prefix ends first misses at most |x| - o of its
+   prefix in the other's, so the prefixes differ in at most
+   2 (|x| - o) + |P_y| - |P_x| n-grams. Parity bitmaps of the prefixes differ in
+   no more bits than the prefixes do. Bitmaps are looked up once per pair.
+4. Round one pairs each group with the first of its size class in each stream,
+   keeps of these pairs the nearest that passes, expands it to the members (and
+   members to the first of their own group) and verifies them on their whole
+   sets, read beside the set that they are compared with.
+5. Round two takes the n-grams whose groups aren't all connected by then. Their
+   groups meet in tiles; of the group pairs that pass, a tile hands on a spanning
+   forest between components. Each is expanded to its members, which meet once
+   per group pair and are filtered by parity bitmaps of their whole sets; again
+   a spanning forest goes on. If that connects the group pairs of the first
+   forest, every other pair joins documents that are connected already. If not,
+   round three takes all pairs that still pass and aren't connected. So components
+   are exact, and the pairs of one large group are never emitted.
+
+A tile with more than ``BLOCK`` groups or members is split into blocks that meet
+pairwise, and a set that more than ``BLOCK`` others are compared with is copied
+to several blocks of them: no task holds more than about 2 * ``BLOCK`` rows.
 
 Defined results: null texts and texts without a word have an empty set and
 link with nothing; rows without a doc_id link with nothing and have no
@@ -53,7 +57,8 @@ from reviewlake.llm.embedding_dedup import Forest
 from reviewlake.llm.hashed_text import Hasher, cells
 from reviewlake.session import table
 
-CELL_BITS = 21            # counters of the sketch: 2^21
+MIN_CELLS, MAX_CELLS = 18, 22     # counters of the sketch: 2^18 to 2^22
+BYTES_PER_CELL = 32       # bytes of text for each counter, between these
 PARTS = 64                # the sketch travels in this many pieces
 BLOCK = 2048
 PAIRS = 1 << 16           # pairs looked at at once
@@ -98,21 +103,21 @@ def shingle_sets(hasher: Hasher, texts: list[str | None], n: int) -> Iterator[np
                 yield gram[:0]
 
 
-def _cell(grams: np.ndarray) -> np.ndarray:
-    return cells(grams, 7, CELL_BITS)
+def _cell(grams: np.ndarray, bits: int) -> np.ndarray:
+    return cells(grams, 7, bits)
 
 
-def _survey(n: int):
+def _survey(n: int, cell_bits: int):
     """Per row (id, h, size, signature); per partition its part of the sketch."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, counts = Hasher(), np.zeros(1 << CELL_BITS, np.uint32)
+        hasher, counts = Hasher(), np.zeros(1 << cell_bits, np.uint32)
         for rows in parts:
             sizes, one, two = [], [], []
             for s in shingle_sets(hasher, rows["text"].tolist(), n):
                 sizes.append(len(s))
                 one.append(int(_mixed(s).sum(dtype=np.uint64).astype(np.int64)))
                 two.append(int(np.bitwise_xor.reduce(_mixed(s * np.uint64(3) + np.uint64(1)), initial=np.uint64(0)).astype(np.int64)))
-                counts[_cell(s)] += 1
+                counts[_cell(s, cell_bits)] += 1
             yield pd.DataFrame({"part": -1, "id": rows["id"], "h": rows["h"], "n": sizes, "s1": one, "s2": two, "counts": None})
         if counts.any():
             yield pd.DataFrame([{"part": k, "id": None, "h": 0, "n": 0, "s1": 0, "s2": 0, "counts": zlib.compress(c.tobytes(), 1)}
@@ -139,38 +144,26 @@ def _bitmap(grams: np.ndarray, words: int) -> np.ndarray:
 
 
 def _prefixes(n: int, num: int, den: int, rarity: bytes):
-    """Per row its prefix, the prefix's hash and bitmaps."""
+    """Per row its prefix, the prefix's hash and bitmaps of prefix and set."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, level = Hasher(), np.frombuffer(rarity, np.uint8)
+        cell_bits = len(rarity).bit_length() - 1
         for rows in parts:
-            keep, sizes, prefix, ph, bits = [], [], [], [], []
+            keep, sizes, prefix, ph, bits, whole = [], [], [], [], [], []
             for k, s in enumerate(shingle_sets(hasher, rows["text"].tolist(), n)):
                 if not len(s):
                     continue
                 p = len(s) - -(-len(s) * num // den) + 1
-                first = s[np.lexsort((s, level[_cell(s)]))[:p]]
+                first = s[np.lexsort((s, level[_cell(s, cell_bits)]))[:p]]
                 keep.append(k)
                 sizes.append(len(s))
                 prefix.append(first.astype(np.int64))
                 ph.append(int(_mixed(first).sum(dtype=np.uint64).astype(np.int64)))
                 bits.append(_bitmap(first, WIDE if p > LONG_PREFIX else WORDS).tobytes())
+                whole.append(_bitmap(s, next((w for most, w in SET_WORDS if len(s) <= most), MAX_SET_WORDS)).tobytes())
             if keep:
                 yield pd.DataFrame({"id": rows["id"].to_numpy()[keep], "h": rows["h"].to_numpy()[keep],
-                                    "n": sizes, "prefix": prefix, "ph": ph, "bits": bits})
-    return run
-
-
-def _sets(n: int):
-    """Per row its whole set and the set's bitmap."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher()
-        for rows in parts:
-            if len(rows):
-                sets = list(shingle_sets(hasher, rows["text"].tolist(), n))
-                words = [next((w for most, w in SET_WORDS if len(s) <= most), MAX_SET_WORDS) for s in sets]
-                yield pd.DataFrame({"id": rows["id"], "h": rows["h"], "grams": [s.astype(np.int64) for s in sets],
-                                    "all": [_bitmap(s, w).tobytes() for s, w in zip(sets, words)],
-                                    "size": [len(s) for s in sets]})
+                                    "n": sizes, "prefix": prefix, "ph": ph, "bits": bits, "all": whole})
     return run
 
 
@@ -235,32 +228,104 @@ def _size_stop(tile: np.ndarray, n: np.ndarray, num: int, den: int) -> np.ndarra
     return np.searchsorted(tile * big + n, tile * big + n * den // num, side="right")
 
 
-def _nearest(num: int, den: int):
-    """Rows of groups, sorted by (gram, i, j, n): each group's nearest in its tile."""
+def _shared(num: int, den: int):
+    """Rows (gram, n, gid), sorted so: of n-grams that several groups have, the rows
+    (kind 0: gram, a = gid, b = n) and a pair for each group (kind 1: a, b) with
+    the first of its size class, of first ones with the group before. A stream:
+    of an n-gram's groups no more than two are held."""
+    growth = np.log(den / num) if num < den else 1.0
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None     # of the last n-gram: its only row, or the first of its last class and its last row, done
+        for rows in parts:
+            gram, gid, n = (rows[c].to_numpy(np.int64) for c in ("gram", "gid", "n"))
+            done = np.zeros(len(rows), bool)
+            if held is not None:
+                gram, gid, n, done = (np.concatenate(x) for x in zip(held, (gram, gid, n, done)))
+            once = np.ones(len(gram), bool)
+            once[1:] = (gram[1:] != gram[:-1]) | (gid[1:] != gid[:-1])
+            gram, gid, n, done = (x[once] for x in (gram, gid, n, done))
+            if not len(gram):
+                continue
+            new = np.ones(len(gram), bool)
+            new[1:] = gram[1:] != gram[:-1]
+            starts = np.flatnonzero(new)
+            several = np.repeat(np.diff(np.append(starts, len(gram))) > 1, np.diff(np.append(starts, len(gram))))
+            size_class = np.floor(np.log(n) / growth)
+            first = new.copy()
+            first[1:] |= size_class[1:] != size_class[:-1]
+            hub = np.maximum.accumulate(np.where(first, np.arange(len(gram)), 0))
+            to = np.where(first, np.arange(len(gram)) - 1, hub)
+            fresh = several & ~done
+            at = np.flatnonzero(fresh & ~new)
+            at = at[n[to[at]] * den >= n[at] * num]
+            pairs = np.unique(np.stack([gid[at], gid[to[at]]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+            kept = np.flatnonzero(fresh)
+            yield pd.DataFrame({"kind": np.repeat([0, 1], [len(kept), len(pairs)]).astype(np.int32),
+                                "gram": np.concatenate((gram[kept], np.zeros(len(pairs), np.int64))),
+                                "a": np.concatenate((gid[kept], pairs[:, 0])), "b": np.concatenate((n[kept], pairs[:, 1]))})
+            end = len(gram) - 1
+            last = [end] if not several[end] or hub[end] == end else [hub[end], end]
+            held = (gram[last], gid[last], n[last], np.full(len(last), bool(several[end])))
+    return run
+
+
+def _prefix_distance(num: int, den: int):
+    """In how many bits the prefixes of two groups differ; null if they can't link."""
+    @F.pandas_udf("int")
+    def run(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        off = _differing(x, y)
+        slack = _prefix_slack(n.to_numpy(np.int64), m.to_numpy(np.int64), num, den)
+        return pd.Series(np.where(off <= slack, off, -1)).astype("Int64").mask(off > slack)
+    return run
+
+
+def _differing(x: pd.Series, y: pd.Series) -> np.ndarray:
+    """Bits in which bitmaps differ, the wider of two folded."""
+    off = np.zeros(len(x), np.int64)
+    for k, (u, v) in enumerate(zip(x, y)):
+        u, v = np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64)
+        words = min(len(u), len(v))
+        off[k] = np.bitwise_count(np.bitwise_xor.reduce(u.reshape(-1, words), axis=0)
+                                  ^ np.bitwise_xor.reduce(v.reshape(-1, words), axis=0)).sum()
+    return off
+
+
+def _open_groups(num: int, den: int, every: bool):
+    """Rows of groups (low, high: the least and the greatest component of their
+    members), sorted by (gram, i, j, n, gid): group pairs that pass and whose
+    members aren't all connected; a spanning forest of them, or ``every`` one.
+    A group of several components is in every pair that passes and in one with itself."""
     def of(rows: pd.DataFrame) -> pd.DataFrame:
         n, block = rows["n"].to_numpy(np.int64), rows["block"].to_numpy()
         across = (rows["i"] != rows["j"]).to_numpy()
+        low, high, gid = (rows[c].to_numpy(np.int64) for c in ("low", "high", "gid"))
+        mixed = low != high
+        comp = np.unique(np.where(mixed, gid, low), return_inverse=True)[1]
         counts = np.maximum(0, _size_stop(_tiles_of(rows), n, num, den) - np.arange(len(rows)) - 1)
         bits = _folded(rows["bits"])
-        long = rows["bits"].str.len().to_numpy() > 8 * WORDS
-        wide = {k: np.frombuffer(rows["bits"].iat[k], np.uint64) for k in np.flatnonzero(long)}
-        none = np.iinfo(np.int64).max
-        best = np.full(len(rows), none)
+        wide = {k: np.frombuffer(rows["bits"].iat[k], np.uint64) for k in np.flatnonzero(rows["bits"].str.len().to_numpy() > 8 * WORDS)}
+        long = np.zeros(len(rows), bool)
+        long[list(wide)] = True
+        forest, out = Forest(len(rows)), [(gid[mixed], gid[mixed])]
         for at, to in _spans(counts):
             a, b = _paired(np.arange(at + 1, to + 1), counts[at:to], at)
-            ok = ~across[a] | (block[a] != block[b])
+            ok = (~across[a] | (block[a] != block[b])) & (mixed[a] | mixed[b] | (low[a] != low[b]))
             a, b = a[ok], b[ok]
             slack = _prefix_slack(n[a], n[b], num, den)
-            off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-            a, b, off, slack = (x[off <= slack] for x in (a, b, off, slack))
+            ok = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= slack
+            a, b, slack = a[ok], b[ok], slack[ok]
             for k in np.flatnonzero(long[a] & long[b]):
-                off[k] = int(np.bitwise_count(wide[a[k]] ^ wide[b[k]]).sum())
-            a, b, off = (x[off <= slack] for x in (a, b, off))
-            np.minimum.at(best, a, off * len(rows) + b)     # the nearest, then the first
-            np.minimum.at(best, b, off * len(rows) + a)
-        a = np.flatnonzero(best < none)
-        g = rows["gid"].to_numpy()
-        a, b = g[a], g[best[a] % len(rows)]
+                if int(np.bitwise_count(wide[a[k]] ^ wide[b[k]]).sum()) > slack[k]:
+                    b[k] = a[k]                             # not a pair
+            a, b = a[a != b], b[a != b]
+            if not every:
+                single = ~(mixed[a] | mixed[b])
+                x, y = a[single], b[single]
+                some = _forest(x, y, comp, forest)
+                a, b = np.concatenate((a[~single], x[some])), np.concatenate((b[~single], y[some]))
+            out.append((gid[a], gid[b]))
+        a, b = (np.concatenate([p[k] for p in out]) for k in (0, 1))
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
     return _by_tile(of)
@@ -293,8 +358,8 @@ def _unconnected(num: int, den: int, every: bool):
         forest = Forest(len(rows))
         heads = np.flatnonzero(np.concatenate(([True], (tile[1:] != tile[:-1]) | (gid[1:] != gid[:-1]))))
         many = np.diff(np.append(heads, len(rows)))
-        gn, block = n[heads], rows["block"].to_numpy()[heads]
-        across = (rows["i"] != rows["j"]).to_numpy()[heads]
+        gn, block = n[heads], rows["block"].to_numpy()
+        across = (rows["i"] != rows["j"]).to_numpy()
         bits = _folded(rows["bits"].iloc[heads])
         counts = np.maximum(1, _size_stop(tile[heads], gn, num, den) - np.arange(len(heads)))    # with itself
         narrow = _folded(rows["all"], SET_WORDS[0][1])
@@ -303,7 +368,7 @@ def _unconnected(num: int, den: int, every: bool):
         out = []
         for at, to in _spans(counts):
             a, b = _paired(np.arange(at, to), counts[at:to], at)
-            ok = np.where(across[a], block[a] != block[b], (a != b) | (many[a] > 1))
+            ok = (a != b) | (many[a] > 1)
             a, b = a[ok], b[ok]
             off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
             ok = off <= _prefix_slack(gn[a], gn[b], num, den)
@@ -313,7 +378,7 @@ def _unconnected(num: int, den: int, every: bool):
             for lo, hi in _spans(size):
                 x, y = _paired(right[lo:hi], size[lo:hi], 0)
                 x = left[lo:hi][x]
-                ok = (x != y) & (comp[x] != comp[y]) & ((gid[x] != gid[y]) | (x < y))
+                ok = (x != y) & (comp[x] != comp[y]) & ((gid[x] != gid[y]) | (x < y)) & (~across[x] | (block[x] != block[y]))
                 x, y = x[ok], y[ok]
                 slack = n[x] + n[y] - 2 * _needed(n[x], n[y], num, den)
                 ok = np.bitwise_count(narrow[x] ^ narrow[y]).sum(axis=1, dtype=np.int64) <= slack
@@ -335,63 +400,83 @@ def _unconnected(num: int, den: int, every: bool):
     return _by_tile(of)
 
 
-def _dealt(grams: DataFrame) -> DataFrame:
-    """(gram, gid) rows of n-grams that several groups share, dealt to tiles: one
-    tile per n-gram, or every pair (i, j) of its blocks."""
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    shared = grams.join(counts, "gram").withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
-    shared = shared.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("nb")).cast("int"))
-    return (shared.select("gram", "gid", "block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("k"))
-            .select("gram", "gid", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")))
+def _dealt(rows: DataFrame, item: str) -> DataFrame:
+    """``rows`` of (gram, item, ...), a row per tile and item: one tile per gram, or
+    every pair (i, j) of its blocks of about ``BLOCK`` items."""
+    counts = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("_m"))
+    dealt = rows.join(counts, "gram").withColumn("_nb", F.ceil(F.col("_m") / BLOCK).cast("int"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(item), F.col("_nb")).cast("int"))
+    return (dealt.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+            .withColumn("i", F.least("block", "_k")).withColumn("j", F.greatest("block", "_k")).drop("_m", "_nb", "_k"))
 
 
-def _may_link(num: int, den: int):
-    """Whether the bitmaps and sizes of two sets allow them to link."""
-    @F.pandas_udf("boolean")
-    def run(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-        n, m = n.to_numpy(np.int64), m.to_numpy(np.int64)
-        off = np.zeros(len(x), np.int64)
-        for k, (u, v) in enumerate(zip(x, y)):
-            u, v = np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64)
-            words = min(len(u), len(v))
-            off[k] = np.bitwise_count(np.bitwise_xor.reduce(u.reshape(-1, words), axis=0)
-                                      ^ np.bitwise_xor.reduce(v.reshape(-1, words), axis=0)).sum()
-        return pd.Series(off <= n + m - 2 * _needed(n, m, num, den))
+def _compared(n: int, num: int, den: int):
+    """Texts sorted by (hub, block, is_hub): the hub's first, then those compared with
+    it. The pairs (a, b = hub) that link; a stream that holds one hub's set."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher, now, other = Hasher(), None, None
+        for rows in parts:
+            hit = np.zeros(len(rows), bool)
+            key = list(zip(rows["hub"], rows["block"]))
+            is_hub = rows["is_hub"].to_numpy()
+            for k, own in enumerate(shingle_sets(hasher, rows["text"].tolist(), n)):
+                if is_hub[k]:
+                    now, other = key[k], own
+                elif key[k] == now:
+                    common = len(np.intersect1d(own, other, assume_unique=True))
+                    hit[k] = common * den >= (len(own) + len(other) - common) * num
+            yield rows.loc[hit, ["nid", "hub"]]
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs of nodes (a, b) that link: bitmaps first, then the sets of the
-    pairs that their bitmaps allow."""
-    def side(s: str, *values: str) -> DataFrame:
-        return sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in values])
-
-    narrow = pairs.join(side("a", "all", "size"), "a").join(side("b", "all", "size"), "b")
-    pairs = written(narrow.where(_may_link(num, den)("all_a", "all_b", "size_a", "size_b")).select("a", "b"), "allowed")
-    common = F.size(F.array_intersect("grams_a", "grams_b"))
-    both = pairs.join(side("a", "grams"), "a").join(side("b", "grams"), "b")
-    return both.where(common * F.lit(den) >= (F.size("grams_a") + F.size("grams_b") - common) * F.lit(num)).select("a", "b")
-
-
-def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: DataFrame, found: DataFrame,
-                num: int, den: int, every: bool) -> DataFrame:
-    """Pairs (a, b) of nodes that pass all filters and that ``found`` doesn't connect."""
-    now = touched.join(found, "node", "left").withColumn("comp", F.xxhash64(F.coalesce("component", "node")))
-    now = written(now.join(bits, "node").join(groups.select("gid", "n", "bits"), "gid")
-                  .select("gid", "node", F.xxhash64("node").alias("nid"), "comp", "n", "bits", "all"), "now")
-    span = now.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    near = written(grams.join(span, "gid").select("gram", "gid", "low", "high"), "open-grams")
-    several = near.groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high")
-    open_ = written(near.join(several.select("gram"), "gram", "left_semi"), "open")
-    # a group whose members differ meets itself: it counts as two
-    twice = F.explode(F.sequence(F.lit(1), F.when(F.col("low") != F.col("high"), 2).otherwise(1)))
-    tiles = _dealt(open_.select("gram", "gid", twice.alias("copy")).drop("copy")).distinct()
-    rows = tiles.join(now, "gid").repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "gid", "nid")
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The pairs of nodes (a, b) that link, by their whole sets. Each text of a
+    pair's a comes once beside the text of its b, the hub."""
+    counts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
+    dealt = pairs.join(counts, "b").withColumn("block", F.pmod(F.xxhash64("a"), F.col("nb")).cast("int"))
+    hubs = counts.select(F.col("b").alias("node"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"),
+                         F.lit(True).alias("is_hub"))
+    wanted = written(hubs.unionByName(dealt.select(F.col("a").alias("node"), F.col("b").alias("hub"), "block", F.lit(False).alias("is_hub"))), "wanted")
+    nodes = wanted.select(F.col("node.id").alias("id"), F.col("node.h").alias("h"), "node", "hub", "block", "is_hub")
+    rows = nodes.join(texts, ["id", "h"]).select(F.xxhash64("node").alias("nid"), F.xxhash64("hub").alias("hub"), "block", "is_hub", "text")
+    order = ["hub", "block", F.desc("is_hub")]
+    links = written(rows.repartition("hub", "block").sortWithinPartitions(*order).mapInPandas(
+        _compared(n, num, den), "nid long, hub long").distinct(), "linked")
+    named = pairs.withColumn("nid", F.xxhash64("a")).withColumn("hub", F.xxhash64("b"))
+    return named.join(links, ["nid", "hub"], "left_semi").select("a", "b")
+
+
+def _components_of(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their component ``comp``, and per group the least and the greatest."""
+    now = members.join(found, "node", "left").withColumn("comp", F.xxhash64(F.coalesce("component", "node"))).drop("component")
+    return now, now.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+
+
+def _open_pairs(met: DataFrame, members: DataFrame, groups: DataFrame, found: DataFrame, num: int, den: int,
+                every: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of groups that pass and that ``found`` doesn't connect, and the
+    pairs of their nodes that pass all filters."""
+    now, span = _components_of(members.select("node", "gid"), found)
+    near = written(met.where("kind = 0").select("gram", F.col("a").alias("gid"), F.col("b").alias("n")).join(span, "gid"), "near")
+    several = near.groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high").select("gram")
+    # a group whose members differ meets itself, also where no other group has its n-grams
+    alone = span.where("low != high").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
+    open_ = written(near.join(several, "gram", "left_semi"), "open")
+    rows = _dealt(open_, "gid").join(groups.select("gid", "bits"), "gid").repartition("gram", "i", "j") \
+        .sortWithinPartitions("gram", "i", "j", "n", "gid")
+    pairs = rows.select("gram", "i", "j", "n", "gid", "block", "bits", "low", "high").mapInPandas(_open_groups(num, den, every), "a long, b long")
+    pairs = written(pairs.union(alone).distinct(), "group-pairs")
+    # the members of each pair meet once: the pair is their tile
+    tile = F.xxhash64("a", "b").alias("gram")
+    sides = pairs.select(tile, F.col("a").alias("gid")).union(pairs.select(tile, F.col("b").alias("gid"))).distinct()
+    of = written(sides.join(now, "gid").select("gram", "gid", "node", "comp", F.xxhash64("node").alias("nid")), "met-members")
+    rows = _dealt(of.drop("node"), "nid").join(members.select(F.xxhash64("node").alias("nid"), "n", "bits", "all"), "nid")
+    rows = rows.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "gid", "nid")
     rest = written(rows.select("gram", "i", "j", "n", "gid", "nid", "block", "bits", "all", "comp").mapInPandas(
         _unconnected(num, den, every), "a long, b long").distinct(), "rest")
-    named = now.select("nid", "node")
-    return (rest.join(named.toDF("a", "na"), "a").join(named.toDF("b", "nb"), "b")
-            .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")))
+    named = of.select("nid", "node").distinct()
+    return pairs, (rest.join(named.toDF("a", "na"), "a").join(named.toDF("b", "nb"), "b")
+                   .select(F.greatest("na", "nb").alias("a"), F.least("na", "nb").alias("b")))
 
 
 def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text: str = "text",
@@ -403,64 +488,62 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     key = row_key(col(doc_id), col(text))
     texts = docs.select(key["id"].alias("id"), key["h"].alias("h"), col(text).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(col(text)).cast("long")), F.lit(0))).first()[0]
+    cell_bits = min(MAX_CELLS, max(MIN_CELLS, (size // BYTES_PER_CELL).bit_length()))
     survey = written(texts.mapInPandas(
-        _survey(n), f"part int, id {kind}, h long, n int, s1 long, s2 long, counts binary"), "survey")
+        _survey(n, cell_bits), f"part int, id {kind}, h long, n int, s1 long, s2 long, counts binary"), "survey")
     pieces = survey.where("part >= 0").select("part", "counts").repartition(PARTS, "part").mapInPandas(
-        _summed, "part int, counts binary").collect()       # PARTS rows, 2^CELL_BITS bytes in all
-    rarity = b"".join(bytes(r.counts) for r in sorted(pieces, key=lambda r: r.part)) or bytes(1 << CELL_BITS)
+        _summed, "part int, counts binary").collect()       # PARTS rows, 2^cell_bits bytes in all
+    rarity = b"".join(bytes(r.counts) for r in sorted(pieces, key=lambda r: r.part)) or bytes(1 << cell_bits)
 
     own = survey.where("part < 0").select(F.struct("id", "h").alias("key"), F.col("n").alias("n_shingles"), "s1", "s2").distinct()
     linkable = own.where("n_shingles > 0 AND key.id IS NOT NULL")
     nodes = written(linkable.groupBy("n_shingles", "s1", "s2").agg(F.min("key").alias("node")), "nodes")
 
     prefixed = texts.where("id IS NOT NULL").mapInPandas(
-        _prefixes(n, num, den, rarity), f"id {kind}, h long, n int, prefix array<long>, ph long, bits binary")
-    rows = prefixed.select(F.struct("id", "h").alias("node"), "n", "prefix", "ph", "bits")
-    rows = written(rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
-                   .withColumn("gid", F.xxhash64("ph", "n")), "prefixes")
-    members = rows.select("node", "gid")
-    groups = rows.groupBy("gid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("size"),
-                                     F.min("node").alias("head"))
-    groups = written(groups, "groups")
+        _prefixes(n, num, den, rarity), f"id {kind}, h long, n int, prefix array<long>, ph long, bits binary, all binary")
+    rows = prefixed.select(F.struct("id", "h").alias("node"), F.xxhash64("ph", "n").alias("gid"), "n", "prefix", "bits", "all")
+    rows = written(rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "prefixes")
+    members = rows.select("node", "gid", "n", "bits", "all")
+    groups = written(rows.groupBy("gid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("size"),
+                                             F.min("node").alias("head")), "groups")
+    grams = rows.select(F.explode("prefix").alias("gram"), "n", "gid")
+    met = written(grams.repartition("gram").sortWithinPartitions("gram", "n", "gid").mapInPandas(
+        _shared(num, den), "kind int, gram long, a long, b long"), "met")
+
+    # round one: each group's nearest of its first ones, against the first member; and each member against its own first
+    side = lambda s: groups.select(F.col("gid").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"bits{s}"))
+    near = met.where("kind = 1").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+    near = near.select("a", "b", _prefix_distance(num, den)("bitsa", "bitsb", "na", "nb").alias("off")).where("off >= 0")
+    near = written(near.groupBy("a").agg(F.min_by("b", F.struct("off", "b")).alias("b")), "nearest")
     heads = groups.select("gid", "head")
-    firsts = rows.join(heads, "gid").where("node = head")
-    grams = firsts.select("gid", F.explode("prefix").alias("gram"))
-
-    # round one: each group's nearest, against the first member; and each member against its own first
-    rows = _dealt(grams).join(groups.select("gid", "n", "bits"), "gid").repartition("gram", "i", "j") \
-        .sortWithinPartitions("gram", "i", "j", "n", "gid")
-    near = written(rows.select("gram", "i", "j", "n", "gid", "block", "bits").mapInPandas(
-        _nearest(num, den), "a long, b long").distinct(), "near")
-    inside = members.join(heads, "gid").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    pairs = (near.join(members.select(F.col("gid").alias("a"), "node"), "a")
-             .join(heads.select(F.col("gid").alias("b"), "head"), "b")
+    of_group = rows.select("node", "gid")
+    inside = of_group.join(groups.where("size > 1").select("gid", "head"), "gid").where("node != head").select(
+        F.col("node").alias("a"), F.col("head").alias("b"))
+    pairs = (near.join(of_group.select(F.col("gid").alias("a"), "node"), "a").join(heads.select(F.col("gid").alias("b"), "head"), "b")
              .select(F.col("node").alias("a"), F.col("head").alias("b")))
     pairs = written(pairs.unionByName(inside).distinct(), "pairs")
-    touched = near.select(F.col("a").alias("gid")).union(near.select("b")) \
-        .union(groups.where("size > 1").select("gid")).distinct()
-    touched = written(members.join(touched, "gid"), "touched")      # (gid, node): all that a pair can name from here on
-    sets = texts.join(touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
-    sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary, size int")
-                   .select(F.struct("id", "h").alias("node"), "grams", "all", "size"), "sets")
-    links = written(_verified(pairs, sets, num, den), "links")
+    tried = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    plain = texts.where("id IS NOT NULL")
+    links = written(_verified(pairs, plain, n, num, den), "links")
     found = written(components(links), "round-one")
 
     # round two: a spanning forest of what passes the filters and isn't connected
-    bits = sets.select("node", "all")
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    spanning = written(_open_pairs(grams, touched, groups, bits, found, num, den, every=False), "spanning")
-    more = written(_verified(spanning.join(tried, ["a", "b"], "left_anti"), sets, num, den), "links-two")
-    final = found
-    if not more.isEmpty():
-        final = written(extended(found, more), "round-two")
-    # round three, if the forest isn't connected now: everything that still passes
-    comp_of = lambda s: final.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
-    apart = spanning.join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left") \
-        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    group_pairs, spanning = _open_pairs(met, members, groups, found, num, den, every=False)
+    spanning = written(spanning, "spanning")
+    final, apart = found, spanning.join(tried, ["a", "b"], "left_anti")
+    if not apart.isEmpty():
+        more = written(_verified(apart, plain, n, num, den), "links-two")
+        if not more.isEmpty():
+            final = written(extended(found, more), "round-two")
+    # round three, if a group pair of the forest isn't connected now: everything that still passes
+    _, span = _components_of(members.select("node", "gid"), final)
+    apart = group_pairs.join(span.toDF("a", "la", "ha"), "a").join(span.toDF("b", "lb", "hb"), "b") \
+        .where("la != ha OR lb != hb OR la != lb")
     if not apart.isEmpty():
         tried = written(tried.unionByName(spanning).distinct(), "tried")
-        rest = _open_pairs(grams, touched, groups, bits, final, num, den, every=True).join(tried, ["a", "b"], "left_anti")
-        more = written(_verified(rest, sets, num, den), "links-three")
+        rest = _open_pairs(met, members, groups, final, num, den, every=True)[1].join(tried, ["a", "b"], "left_anti")
+        more = written(_verified(rest, plain, n, num, den), "links-three")
         if not more.isEmpty():
             final = written(extended(final, more), "round-three")
     by_set = nodes.join(final, "node", "left").select("n_shingles", "s1", "s2", "node", F.coalesce("component", "node").alias("component"))
