@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 
 BITS = 18                    # hashed features: 2^18
-CHUNK = 2 << 20              # bytes of text worked on at once; one text is never cut
+CHUNK = 1 << 19              # bytes of text worked on at once; one text is never cut
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 _FOLD = np.arange(256, dtype=np.uint8)

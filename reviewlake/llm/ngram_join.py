@@ -61,6 +61,8 @@ WORDS, WIDE = 8, 64       # 64-bit words of a prefix bitmap, and of a long prefi
 LONG_PREFIX = 128
 SET_WORDS = ((512, 64), (2048, 128))  # words of a set's bitmap up to so many n-grams; beyond them:
 MAX_SET_WORDS = 256
+SETTLED = 16              # verified pairs that a group remembers
+MARK_BITS = 23            # marks of the documents whose sets are read: 2^23 bits
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -174,6 +176,34 @@ def _sets(n: int):
     return run
 
 
+def _marks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per piece of the marks its bits, one set for each hash of a text in it."""
+    each: dict[int, np.ndarray] = {}
+    for rows in parts:
+        for k, own in rows.groupby("part")["h"]:
+            at = own.to_numpy().astype(np.uint64) & np.uint64((1 << MARK_BITS) - 1)
+            each.setdefault(k, np.zeros((1 << MARK_BITS) // PARTS, bool))[(at // np.uint64(PARTS)).astype(np.int64)] = True
+    yield pd.DataFrame({"part": list(each), "bits": [np.packbits(b, bitorder="little").tobytes() for b in each.values()]})
+
+
+def _marked(nodes: DataFrame):
+    """Whether the hash of a text may be one of the ``nodes``': a filter of fixed
+    size, so that a join with many nodes need not shuffle all texts."""
+    rows = nodes.select(F.col("node.h").alias("h")).distinct().withColumn("part", F.pmod("h", F.lit(PARTS)).cast("int"))
+    pieces = rows.repartition(PARTS, "part").mapInPandas(_marks, "part int, bits binary").collect()   # 2^MARK_BITS bits in all
+    empty = bytes((1 << MARK_BITS) // PARTS // 8)
+    held = {r.part: bytes(r.bits) for r in pieces}
+    bits = b"".join(held.get(k, empty) for k in range(PARTS))
+
+    @F.pandas_udf("boolean")
+    def run(h: pd.Series) -> pd.Series:
+        at = (h.to_numpy().astype(np.uint64) & np.uint64((1 << MARK_BITS) - 1)).astype(np.int64)
+        part, place = at % PARTS, at // PARTS
+        byte = np.frombuffer(bits, np.uint8)[part * len(empty) + (place >> 3)]
+        return pd.Series((byte >> (place & 7) & 1).astype(bool))
+    return run
+
+
 def _folded(bits: pd.Series, words: int = WORDS) -> np.ndarray:
     """All bitmaps at ``words`` words (a wide one is folded by parity)."""
     out = np.zeros((len(bits), words), np.uint64)
@@ -235,27 +265,33 @@ def _size_stop(tile: np.ndarray, n: np.ndarray, num: int, den: int) -> np.ndarra
     return np.searchsorted(tile * big + n, tile * big + n * den // num, side="right")
 
 
+def _passing(rows: pd.DataFrame, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, off): positions of the groups of each tile that pass the filters, and
+    in how many bits their prefixes differ at least."""
+    n, block = rows["n"].to_numpy(np.int64), rows["block"].to_numpy()
+    across = (rows["i"] != rows["j"]).to_numpy()
+    counts = np.maximum(0, _size_stop(_tiles_of(rows), n, num, den) - np.arange(len(rows)) - 1)
+    bits = _folded(rows["bits"])
+    long = rows["bits"].str.len().to_numpy() > 8 * WORDS
+    wide = {k: np.frombuffer(rows["bits"].iat[k], np.uint64) for k in np.flatnonzero(long)}
+    for at, to in _spans(counts):
+        a, b = _paired(np.arange(at + 1, to + 1), counts[at:to], at)
+        ok = ~across[a] | (block[a] != block[b])
+        a, b = a[ok], b[ok]
+        slack = _prefix_slack(n[a], n[b], num, den)
+        off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+        a, b, off, slack = (x[off <= slack] for x in (a, b, off, slack))
+        for k in np.flatnonzero(long[a] & long[b]):
+            off[k] = int(np.bitwise_count(wide[a[k]] ^ wide[b[k]]).sum())
+        yield tuple(x[off <= slack] for x in (a, b, off))
+
+
 def _nearest(num: int, den: int):
     """Rows of groups, sorted by (gram, i, j, n): each group's nearest in its tile."""
     def of(rows: pd.DataFrame) -> pd.DataFrame:
-        n, block = rows["n"].to_numpy(np.int64), rows["block"].to_numpy()
-        across = (rows["i"] != rows["j"]).to_numpy()
-        counts = np.maximum(0, _size_stop(_tiles_of(rows), n, num, den) - np.arange(len(rows)) - 1)
-        bits = _folded(rows["bits"])
-        long = rows["bits"].str.len().to_numpy() > 8 * WORDS
-        wide = {k: np.frombuffer(rows["bits"].iat[k], np.uint64) for k in np.flatnonzero(long)}
         none = np.iinfo(np.int64).max
         best = np.full(len(rows), none)
-        for at, to in _spans(counts):
-            a, b = _paired(np.arange(at + 1, to + 1), counts[at:to], at)
-            ok = ~across[a] | (block[a] != block[b])
-            a, b = a[ok], b[ok]
-            slack = _prefix_slack(n[a], n[b], num, den)
-            off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-            a, b, off, slack = (x[off <= slack] for x in (a, b, off, slack))
-            for k in np.flatnonzero(long[a] & long[b]):
-                off[k] = int(np.bitwise_count(wide[a[k]] ^ wide[b[k]]).sum())
-            a, b, off = (x[off <= slack] for x in (a, b, off))
+        for a, b, off in _passing(rows, num, den):
             np.minimum.at(best, a, off * len(rows) + b)     # the nearest, then the first
             np.minimum.at(best, b, off * len(rows) + a)
         a = np.flatnonzero(best < none)
@@ -266,6 +302,30 @@ def _nearest(num: int, den: int):
     return _by_tile(of)
 
 
+def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _mixed(np.minimum(a, b).astype(np.uint64)) + np.maximum(a, b).astype(np.uint64)
+
+
+def _meeting(num: int, den: int):
+    """Rows of groups, sorted by (gram, i, j, n), with the span of their members'
+    components: those that pass with another in their tile without being all of
+    one component or settled with it, and groups of several components themselves."""
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        low, high, gid = rows["low"].to_numpy(), rows["high"].to_numpy(), rows["gid"].to_numpy()
+        known = rows["settled"].dropna()
+        other = np.concatenate([np.zeros(0, np.int64), *known])
+        settled = np.unique(_pair_key(np.repeat(gid[known.index], known.str.len()), other.astype(np.int64)))
+        keep = (low != high) & (rows["i"] == rows["j"]).to_numpy()
+        for a, b, _ in _passing(rows, num, den):
+            apart = np.minimum(low[a], low[b]) != np.maximum(high[a], high[b])
+            a, b = a[apart], b[apart]
+            new = ~np.isin(_pair_key(gid[a], gid[b]), settled)
+            keep[a[new]] = keep[b[new]] = True
+        return rows.loc[keep, ["gram", "i", "j", "gid", "block"]]
+
+    return _by_tile(of)
+
+
 def _forest(x: np.ndarray, y: np.ndarray, comp: np.ndarray, forest: Forest) -> np.ndarray:
     """Positions of pairs that connect what all pairs (x, y) connect, beyond what
     ``forest`` over components has connected before."""
@@ -335,11 +395,23 @@ def _unconnected(num: int, den: int, every: bool):
     return _by_tile(of)
 
 
+def _shared(firsts: DataFrame) -> DataFrame:
+    """(gram, gid, m) rows of the n-grams of m groups that may make documents
+    meet: several groups share them, or a group of several members holds them."""
+    grams = firsts.select("gid", "size", F.explode("prefix").alias("gram"))
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.max("size").alias("most")).where("m > 1 OR most > 1")
+    return grams.join(counts, "gram").select("gram", "gid", "m")
+
+
+def _counted(grams: DataFrame) -> DataFrame:
+    """(gram, gid) rows with m, the number of rows of the n-gram."""
+    return grams.join(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("m")), "gram")
+
+
 def _dealt(grams: DataFrame) -> DataFrame:
-    """(gram, gid) rows of n-grams that several groups share, dealt to tiles: one
+    """(gram, gid, m) rows of n-grams that several groups share, dealt to tiles: one
     tile per n-gram, or every pair (i, j) of its blocks."""
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    shared = grams.join(counts, "gram").withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
+    shared = grams.where("m > 1").withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
     shared = shared.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("nb")).cast("int"))
     return (shared.select("gram", "gid", "block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("k"))
             .select("gram", "gid", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")))
@@ -362,30 +434,43 @@ def _may_link(num: int, den: int):
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs of nodes (a, b) that link: bitmaps first, then the sets of the
-    pairs that their bitmaps allow."""
-    def side(s: str, *values: str) -> DataFrame:
-        return sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in values])
-
-    narrow = pairs.join(side("a", "all", "size"), "a").join(side("b", "all", "size"), "b")
+    pairs that their bitmaps allow. Sets that no pair names aren't shuffled as
+    long as the pairs are few enough to be broadcast."""
+    def sides(pairs: DataFrame, *values: str) -> DataFrame:
+        names = pairs
+        for s in "ab":
+            named = names.select(F.col(s).alias("node")).distinct()
+            own = sets.select("node", *values).join(named, "node", "left_semi")
+            pairs = pairs.join(own.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in values]), s)
+        return pairs
+
+    narrow = sides(pairs, "all", "size")
     pairs = written(narrow.where(_may_link(num, den)("all_a", "all_b", "size_a", "size_b")).select("a", "b"), "allowed")
     common = F.size(F.array_intersect("grams_a", "grams_b"))
-    both = pairs.join(side("a", "grams"), "a").join(side("b", "grams"), "b")
+    both = sides(pairs, "grams")
     return both.where(common * F.lit(den) >= (F.size("grams_a") + F.size("grams_b") - common) * F.lit(num)).select("a", "b")
 
 
 def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: DataFrame, found: DataFrame,
-                num: int, den: int, every: bool) -> DataFrame:
-    """Pairs (a, b) of nodes that pass all filters and that ``found`` doesn't connect."""
+                settled: DataFrame, num: int, den: int, every: bool) -> DataFrame:
+    """Pairs (a, b) of nodes that pass all filters and that ``found`` doesn't connect,
+    but for groups that are ``settled`` with each other."""
     now = touched.join(found, "node", "left").withColumn("comp", F.xxhash64(F.coalesce("component", "node")))
     now = written(now.join(bits, "node").join(groups.select("gid", "n", "bits"), "gid")
                   .select("gid", "node", F.xxhash64("node").alias("nid"), "comp", "n", "bits", "all"), "now")
-    span = now.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    span = written(now.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "span")
     near = written(grams.join(span, "gid").select("gram", "gid", "low", "high"), "open-grams")
     several = near.groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high")
     open_ = written(near.join(several.select("gram"), "gram", "left_semi"), "open")
     # a group whose members differ meets itself: it counts as two
     twice = F.explode(F.sequence(F.lit(1), F.when(F.col("low") != F.col("high"), 2).otherwise(1)))
-    tiles = _dealt(open_.select("gram", "gid", twice.alias("copy")).drop("copy")).distinct()
+    tiles = _dealt(_counted(open_.select("gram", "gid", twice.alias("copy")).drop("copy"))).distinct()
+    # groups first, as narrow rows: the members' wide ones go to the tiles in which their group meets another
+    facts = span.join(groups.select("gid", "n", "bits"), "gid").join(settled, "gid", "left")
+    narrow = tiles.join(facts, "gid").repartition("gram", "i", "j") \
+        .sortWithinPartitions("gram", "i", "j", "n", "gid")
+    tiles = written(narrow.select("gram", "i", "j", "n", "gid", "block", "bits", "low", "high", "settled").mapInPandas(
+        _meeting(num, den), "gram long, i int, j int, gid long, block int"), "meeting")
     rows = tiles.join(now, "gid").repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "gid", "nid")
     rest = written(rows.select("gram", "i", "j", "n", "gid", "nid", "block", "bits", "all", "comp").mapInPandas(
         _unconnected(num, den, every), "a long, b long").distinct(), "rest")
@@ -423,8 +508,8 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
                                      F.min("node").alias("head"))
     groups = written(groups, "groups")
     heads = groups.select("gid", "head")
-    firsts = rows.join(heads, "gid").where("node = head")
-    grams = firsts.select("gid", F.explode("prefix").alias("gram"))
+    firsts = rows.join(groups.select("gid", "head", "size"), "gid").where("node = head")
+    grams = written(_shared(firsts), "shared")
 
     # round one: each group's nearest, against the first member; and each member against its own first
     rows = _dealt(grams).join(groups.select("gid", "n", "bits"), "gid").repartition("gram", "i", "j") \
@@ -439,27 +524,40 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     touched = near.select(F.col("a").alias("gid")).union(near.select("b")) \
         .union(groups.where("size > 1").select("gid")).distinct()
     touched = written(members.join(touched, "gid"), "touched")      # (gid, node): all that a pair can name from here on
-    sets = texts.join(touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
+    sets = texts.where(_marked(touched)("h")).join(
+        touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
     sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary, size int")
                    .select(F.struct("id", "h").alias("node"), "grams", "all", "size"), "sets")
     links = written(_verified(pairs, sets, num, den), "links")
     found = written(components(links), "round-one")
 
+    # groups of one member each whose pair was verified: a few per group are remembered, the others are looked at again
+    lone = groups.where("size = 1").select("gid")
+    done = near.join(lone.toDF("a"), "a", "left_semi").join(lone.toDF("b"), "b", "left_semi")
+    done = done.select(F.col("a").alias("gid"), F.col("b").alias("other")).union(done.select("b", "a"))
+    settled = written(done.groupBy("gid").agg(F.slice(F.collect_set("other"), 1, SETTLED).alias("settled")), "settled")
+
     # round two: a spanning forest of what passes the filters and isn't connected
     bits = sets.select("node", "all")
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    spanning = written(_open_pairs(grams, touched, groups, bits, found, num, den, every=False), "spanning")
-    more = written(_verified(spanning.join(tried, ["a", "b"], "left_anti"), sets, num, den), "links-two")
+    spanning = written(_open_pairs(grams, touched, groups, bits, found, settled, num, den, every=False), "spanning")
+    untried = written(spanning.join(tried, ["a", "b"], "left_anti"), "untried")
+    more = written(_verified(untried, sets, num, den), "links-two")
     final = found
     if not more.isEmpty():
         final = written(extended(found, more), "round-two")
-    # round three, if the forest isn't connected now: everything that still passes
+    # round three, if the forest isn't connected now: everything that still passes and may be cut by a failed edge.
+    # Pairs that pass join documents that the forest would connect, so only what it would connect over such an edge is open
     comp_of = lambda s: final.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
     apart = spanning.join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left") \
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
     if not apart.isEmpty():
         tried = written(tried.unionByName(spanning).distinct(), "tried")
-        rest = _open_pairs(grams, touched, groups, bits, final, num, den, every=True).join(tried, ["a", "b"], "left_anti")
+        forest = written(extended(found, spanning), "forest")
+        cut = forest.join(apart.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("component").distinct()
+        cut = written(forest.join(cut, "component", "left_semi").select("node"), "cut")
+        rest = _open_pairs(grams, touched.join(cut, "node", "left_semi"), groups, bits, final, settled, num, den, every=True)
+        rest = written(rest.join(tried, ["a", "b"], "left_anti"), "untried")
         more = written(_verified(rest, sets, num, den), "links-three")
         if not more.isEmpty():
             final = written(extended(final, more), "round-three")

@@ -164,6 +164,26 @@ def test_ngram_join(spark, monkeypatch, seed, block, n, num):
     assert got == brute_join(rows, n, num, 100)
 
 
+def test_ngram_join_settles_pairs_once(spark, monkeypatch):
+    """A pair that round one has verified brings no member rows to round two, and n-grams of one document go nowhere."""
+    counts = {}
+    written = ngram_join.written
+
+    def counted(df, name):
+        found = written(df, name)
+        counts.setdefault(name, found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    rows = [(1000 + k, " ".join(f"x{k // 2}y{j}" if j < 55 + k % 2 * 5 else f"z{k}y{j}" for j in range(64))) for k in range(80)]
+    rows += family(0, 40)
+    docs = odd.documents(spark, [(*r, "en", "a", 1) for r in rows])
+    got = sorted(((r.id, r.n_shingles, r.component.id) for r in ngram_join.ngram_join(docs, 3, 90, 100).collect()), key=str)
+    assert got == brute_join(rows, 3, 90, 100)
+    assert counts["shared"] < 0.7 * sum(len(shingles(t, 3)) for _, t in rows)
+    assert counts["near"] > 0 and counts["meeting"] < counts["open"]
+
+
 def test_ngram_join_odd_rows(spark):
     docs = odd.documents(spark)
     kept = ngram_join.first_of_each(docs, 5, 80, 100)
