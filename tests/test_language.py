@@ -60,3 +60,13 @@ def test_duckdb_form_agrees(spark):
     con.executemany("INSERT INTO s VALUES (?, ?)", list(enumerate(texts)))
     want = dict(con.execute(L.language_tag_sql("s", "i", "t", "i")).fetchall())
     assert _tagged(spark, texts) == want
+
+
+def test_script_test_spares_latin_text(spark):
+    """Texts below U+0370 are told apart by one comparison; every character is classed as by the scripts alone."""
+    assert L._ANY_SCRIPT.startswith(r"[\x{370}-\x{10FFFF}&&[")
+    plain = "[" + "".join(L._class(names, "Is") for _, names, _ in L.SCRIPTS) + "]"
+    chars = spark.range(1, 0x30000).where("id < 55296 OR id > 57343").select(F.decode(F.encode(F.expr(
+        "CASE WHEN id < 256 THEN char(id) ELSE decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32') END"), "UTF-8"), "UTF-8").alias("c"))
+    assert chars.where(F.col("c").rlike(L._ANY_SCRIPT) != F.col("c").rlike(plain)).count() == 0
+    assert chars.where(F.col("c").rlike(plain)).count() > 50_000
