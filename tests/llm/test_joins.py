@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from reviewlake.llm import embedding_dedup, ngram_join, vector_search
@@ -165,7 +166,7 @@ def test_ngram_join(spark, monkeypatch, seed, block, n, num):
 
 
 def test_ngram_join_settles_pairs_once(spark, monkeypatch):
-    """A pair that round one has verified brings no member rows to round two, and n-grams of one document go nowhere."""
+    """N-grams of one document go nowhere, and a pair that round one has verified brings no member rows to round two."""
     counts = {}
     written = ngram_join.written
 
@@ -181,7 +182,10 @@ def test_ngram_join_settles_pairs_once(spark, monkeypatch):
     got = sorted(((r.id, r.n_shingles, r.component.id) for r in ngram_join.ngram_join(docs, 3, 90, 100).collect()), key=str)
     assert got == brute_join(rows, 3, 90, 100)
     assert counts["shared"] < 0.7 * sum(len(shingles(t, 3)) for _, t in rows)
-    assert counts["near"] > 0 and counts["meeting"] < counts["open"]
+    for settled, comps, kept in (([None, None], [1, 2], [5, 9]), ([[9], [5]], [1, 2], []), ([None, None], [1, 1], [])):
+        rows = pd.DataFrame({"gram": 1, "i": 0, "j": 0, "n": 100, "gid": [5, 9], "block": 0, "bits": [bytes(64)] * 2,
+                             "low": comps, "high": comps, "settled": settled})
+        assert [g for out in ngram_join._meeting(90, 100)(iter([rows])) for g in out["gid"]] == kept
 
 
 def test_ngram_join_odd_rows(spark):
