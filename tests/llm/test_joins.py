@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 from reviewlake.llm import embedding_dedup, ngram_join, vector_search
+from reviewlake.llm import components as components_module
 from reviewlake.llm.components import components, extended
 from pyspark.sql import functions as F
 from tests.llm import odd
@@ -29,6 +30,23 @@ def smallest_reached(nodes, links):
     return {n: find(n) for n in nodes}
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "struct<id: string, h: long>"])
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch, kind):
+    """Few edges are written and solved once; more go through the rounds, with the same result."""
+    names = []
+    written = components_module.written
+    monkeypatch.setattr(components_module, "written", lambda df, name: (names.append(name), written(df, name))[1])
+    node = {"long": lambda k: k, "string": lambda k: f"n{k:03d}"}.get(kind, lambda k: (None if k < 3 else f"n{k // 3:03d}", k % 3))
+    pairs = [(k, k + 1) for k in range(40)] + [(60, k) for k in range(61, 70)] + [(80, 81), (81, 80), (90, 90)]
+    edges = spark.createDataFrame([(node(a), node(b)) for a, b in pairs], f"a {kind}, b {kind}")
+    want = {node(k): node(low) for k, low in smallest_reached({x for a, b in pairs if a != b for x in (a, b)}, pairs).items()}
+    assert {(r.node, r.component) for r in components(edges).collect()} == set(want.items())
+    assert names == ["edges", "few"]
+    monkeypatch.setattr(components_module, "FEW", 1)
+    assert {(r.node, r.component) for r in components(edges).collect()} == set(want.items())
+    assert "small-star" in names
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_components(spark, seed):
     rng = random.Random(seed)
