@@ -15,7 +15,8 @@ link when den * |x & y| >= num * |x | y|.
    ends first misses at most |x| - o of its prefix in the other's, so
    the prefixes differ in at most 2 (|x| - o) + |P_y| - |P_x| n-grams. Parity
    bitmaps of the prefixes differ in no more bits than the prefixes do.
-4. Round one takes for each group and n-gram the nearest group that passes,
+4. Round one takes for each group and n-gram the nearest group that passes (no
+   other n-gram is looked at again: where none passes, none ever will),
    pairs its members with that group's first member (and members of one group
    with their own first) and verifies these pairs on their whole sets. Round two
    expands every passing group pair to those member pairs that aren't connected
@@ -44,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.llm.common import col, packed, row_key, unpacked, written
@@ -177,7 +178,7 @@ def _sets(n: int):
 
 
 def _marks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per piece of the marks its bits, one set for each hash of a text in it."""
+    """Per piece of the marks its bits, one set for each hash of a node in it."""
     each: dict[int, np.ndarray] = {}
     for rows in parts:
         for k, own in rows.groupby("part")["h"]:
@@ -187,9 +188,9 @@ def _marks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _marked(nodes: DataFrame):
-    """Whether the hash of a text may be one of the ``nodes``': a filter of fixed
-    size, so that a join with many nodes need not shuffle all texts."""
-    rows = nodes.select(F.col("node.h").alias("h")).distinct().withColumn("part", F.pmod("h", F.lit(PARTS)).cast("int"))
+    """Whether the hash of an id and a text's hash may be one of the ``nodes``': a
+    filter of fixed size, so that a join with many nodes need not shuffle all texts."""
+    rows = nodes.select(F.xxhash64("node.id", "node.h").alias("h")).distinct().withColumn("part", F.pmod("h", F.lit(PARTS)).cast("int"))
     pieces = rows.repartition(PARTS, "part").mapInPandas(_marks, "part int, bits binary").collect()   # 2^MARK_BITS bits in all
     empty = bytes((1 << MARK_BITS) // PARTS // 8)
     held = {r.part: bytes(r.bits) for r in pieces}
@@ -271,23 +272,36 @@ def _passing(rows: pd.DataFrame, num: int, den: int) -> Iterator[tuple[np.ndarra
     n, block = rows["n"].to_numpy(np.int64), rows["block"].to_numpy()
     across = (rows["i"] != rows["j"]).to_numpy()
     counts = np.maximum(0, _size_stop(_tiles_of(rows), n, num, den) - np.arange(len(rows)) - 1)
-    bits = _folded(rows["bits"])
-    long = rows["bits"].str.len().to_numpy() > 8 * WORDS
+    known = rows["bits"].notna().to_numpy()                 # without a bitmap only the sizes count
+    bits = _folded(rows["bits"].where(known, bytes(8 * WORDS)))
+    long = known & (rows["bits"].str.len() > 8 * WORDS).to_numpy()
     wide = {k: np.frombuffer(rows["bits"].iat[k], np.uint64) for k in np.flatnonzero(long)}
     for at, to in _spans(counts):
         a, b = _paired(np.arange(at + 1, to + 1), counts[at:to], at)
         ok = ~across[a] | (block[a] != block[b])
         a, b = a[ok], b[ok]
         slack = _prefix_slack(n[a], n[b], num, den)
-        off = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+        off = np.where(known[a] & known[b], np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64), 0)
         a, b, off, slack = (x[off <= slack] for x in (a, b, off, slack))
         for k in np.flatnonzero(long[a] & long[b]):
             off[k] = int(np.bitwise_count(wide[a[k]] ^ wide[b[k]]).sum())
         yield tuple(x[off <= slack] for x in (a, b, off))
 
 
+def _possible(num: int, den: int):
+    """Rows of groups, sorted by (gram, i, j, n): those that pass with another in their tile."""
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        keep = np.zeros(len(rows), bool)
+        for a, b, _ in _passing(rows, num, den):
+            keep[a] = keep[b] = True
+        return rows.loc[keep, ["gram", "i", "j", "gid", "block"]]
+
+    return _by_tile(of)
+
+
 def _nearest(num: int, den: int):
-    """Rows of groups, sorted by (gram, i, j, n): each group's nearest in its tile."""
+    """Rows of groups, sorted by (gram, i, j, n): each group's nearest (b) in its
+    tile and the n-gram, at which both are looked at again."""
     def of(rows: pd.DataFrame) -> pd.DataFrame:
         none = np.iinfo(np.int64).max
         best = np.full(len(rows), none)
@@ -296,8 +310,7 @@ def _nearest(num: int, den: int):
             np.minimum.at(best, b, off * len(rows) + a)
         a = np.flatnonzero(best < none)
         g = rows["gid"].to_numpy()
-        a, b = g[a], g[best[a] % len(rows)]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        return pd.DataFrame({"gram": rows["gram"].to_numpy()[a], "a": g[a], "b": g[best[a] % len(rows)]}).drop_duplicates()
 
     return _by_tile(of)
 
@@ -456,8 +469,7 @@ def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: D
     """Pairs (a, b) of nodes that pass all filters and that ``found`` doesn't connect,
     but for groups that are ``settled`` with each other."""
     now = touched.join(found, "node", "left").withColumn("comp", F.xxhash64(F.coalesce("component", "node")))
-    now = written(now.join(bits, "node").join(groups.select("gid", "n", "bits"), "gid")
-                  .select("gid", "node", F.xxhash64("node").alias("nid"), "comp", "n", "bits", "all"), "now")
+    now = written(now.select("gid", "node", F.xxhash64("node").alias("nid"), "comp"), "now")
     span = written(now.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "span")
     near = written(grams.join(span, "gid").select("gram", "gid", "low", "high"), "open-grams")
     several = near.groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high")
@@ -471,7 +483,8 @@ def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: D
         .sortWithinPartitions("gram", "i", "j", "n", "gid")
     tiles = written(narrow.select("gram", "i", "j", "n", "gid", "block", "bits", "low", "high", "settled").mapInPandas(
         _meeting(num, den), "gram long, i int, j int, gid long, block int"), "meeting")
-    rows = tiles.join(now, "gid").repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "gid", "nid")
+    members = now.join(tiles.select("gid").distinct(), "gid", "left_semi").join(groups.select("gid", "n", "bits"), "gid")
+    rows = tiles.join(members.join(bits, "node").drop("node"), "gid").repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "n", "gid", "nid")
     rest = written(rows.select("gram", "i", "j", "n", "gid", "nid", "block", "bits", "all", "comp").mapInPandas(
         _unconnected(num, den, every), "a long, b long").distinct(), "rest")
     named = now.select("nid", "node")
@@ -512,10 +525,19 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     grams = written(_shared(firsts), "shared")
 
     # round one: each group's nearest, against the first member; and each member against its own first
-    rows = _dealt(grams).join(groups.select("gid", "n", "bits"), "gid").repartition("gram", "i", "j") \
-        .sortWithinPartitions("gram", "i", "j", "n", "gid")
-    near = written(rows.select("gram", "i", "j", "n", "gid", "block", "bits").mapInPandas(
-        _nearest(num, den), "a long, b long").distinct(), "near")
+    # (first without the wide bitmaps of long prefixes, which few rows need)
+    def tiled(tiles: DataFrame, bits: Column) -> DataFrame:
+        return tiles.join(groups.select("gid", "n", bits.alias("bits")), "gid").repartition("gram", "i", "j") \
+            .sortWithinPartitions("gram", "i", "j", "n", "gid").select("gram", "i", "j", "n", "gid", "block", "bits")
+
+    thin = F.when(F.octet_length("bits") <= 8 * WORDS, F.col("bits"))
+    tiles = written(tiled(_dealt(grams), thin).mapInPandas(
+        _possible(num, den), "gram long, i int, j int, gid long, block int"), "possible")
+    nearest = written(tiled(tiles, F.col("bits")).mapInPandas(_nearest(num, den), "gram long, a long, b long"), "nearest")
+    near = written(nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
+    # a group meets others at no n-gram but those at which one of them is its nearest, and itself where it has members
+    grams = written(nearest.select("gram", F.col("a").alias("gid")).union(
+        grams.join(groups.where("size > 1").select("gid"), "gid", "left_semi").select("gram", "gid")).distinct(), "passing")
     inside = members.join(heads, "gid").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     pairs = (near.join(members.select(F.col("gid").alias("a"), "node"), "a")
              .join(heads.select(F.col("gid").alias("b"), "head"), "b")
@@ -524,7 +546,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     touched = near.select(F.col("a").alias("gid")).union(near.select("b")) \
         .union(groups.where("size > 1").select("gid")).distinct()
     touched = written(members.join(touched, "gid"), "touched")      # (gid, node): all that a pair can name from here on
-    sets = texts.where(_marked(touched)("h")).join(
+    sets = texts.where(_marked(touched)(F.xxhash64("id", "h"))).join(
         touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
     sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary, size int")
                    .select(F.struct("id", "h").alias("node"), "grams", "all", "size"), "sets")
