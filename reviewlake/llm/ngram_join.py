@@ -42,6 +42,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -63,6 +64,7 @@ LONG_PREFIX = 128
 SET_WORDS = ((512, 64), (2048, 128))  # words of a set's bitmap up to so many n-grams; beyond them:
 MAX_SET_WORDS = 256
 SETTLED = 16              # verified pairs that a group remembers
+TEXTS = 1000              # texts that a task's Python gets at once
 MARK_BITS = 23            # marks of the documents whose sets are read: 2^23 bits
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -492,6 +494,18 @@ def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: D
             .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")))
 
 
+@contextmanager
+def _few_at_once(spark: SparkSession):
+    """Whole texts and sets pass to and from Python ``TEXTS`` at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), TEXTS) if int(before) > 0 else TEXTS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text: str = "text",
                doc_id: str = "doc_id") -> DataFrame:
     """(id, h, n_shingles, node, component) of every distinct (doc_id, text);
@@ -501,8 +515,9 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     key = row_key(col(doc_id), col(text))
     texts = docs.select(key["id"].alias("id"), key["h"].alias("h"), col(text).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    survey = written(texts.mapInPandas(
-        _survey(n), f"part int, id {kind}, h long, n int, s1 long, s2 long, counts binary"), "survey")
+    with _few_at_once(spark):
+        survey = written(texts.mapInPandas(
+            _survey(n), f"part int, id {kind}, h long, n int, s1 long, s2 long, counts binary"), "survey")
     pieces = survey.where("part >= 0").select("part", "counts").repartition(PARTS, "part").mapInPandas(
         _summed, "part int, counts binary").collect()       # PARTS rows, 2^CELL_BITS bytes in all
     rarity = b"".join(bytes(r.counts) for r in sorted(pieces, key=lambda r: r.part)) or bytes(1 << CELL_BITS)
@@ -514,8 +529,9 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     prefixed = texts.where("id IS NOT NULL").mapInPandas(
         _prefixes(n, num, den, rarity), f"id {kind}, h long, n int, prefix array<long>, ph long, bits binary")
     rows = prefixed.select(F.struct("id", "h").alias("node"), "n", "prefix", "ph", "bits")
-    rows = written(rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
-                   .withColumn("gid", F.xxhash64("ph", "n")), "prefixes")
+    with _few_at_once(spark):
+        rows = written(rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+                       .withColumn("gid", F.xxhash64("ph", "n")), "prefixes")
     members = rows.select("node", "gid")
     groups = rows.groupBy("gid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("size"),
                                      F.min("node").alias("head"))
@@ -548,8 +564,9 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     touched = written(members.join(touched, "gid"), "touched")      # (gid, node): all that a pair can name from here on
     sets = texts.where(_marked(touched)(F.xxhash64("id", "h"))).join(
         touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
-    sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary, size int")
-                   .select(F.struct("id", "h").alias("node"), "grams", "all", "size"), "sets")
+    with _few_at_once(spark):
+        sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary, size int")
+                       .select(F.struct("id", "h").alias("node"), "grams", "all", "size"), "sets")
     links = written(_verified(pairs, sets, num, den), "links")
     found = written(components(links), "round-one")
 

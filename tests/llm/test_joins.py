@@ -9,8 +9,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from reviewlake.llm import embedding_dedup, ngram_join, vector_search
 from reviewlake.llm import components as components_module
+from reviewlake.llm import embedding_dedup, ngram_join, vector_search
 from reviewlake.llm.components import components, extended
 from pyspark.sql import functions as F
 from tests.llm import odd
@@ -39,7 +39,8 @@ def test_components_of_few_edges_take_no_rounds(spark, monkeypatch, kind):
     node = {"long": lambda k: k, "string": lambda k: f"n{k:03d}"}.get(kind, lambda k: (None if k < 3 else f"n{k // 3:03d}", k % 3))
     pairs = [(k, k + 1) for k in range(40)] + [(60, k) for k in range(61, 70)] + [(80, 81), (81, 80), (90, 90)]
     edges = spark.createDataFrame([(node(a), node(b)) for a, b in pairs], f"a {kind}, b {kind}")
-    want = {node(k): node(low) for k, low in smallest_reached({x for a, b in pairs if a != b for x in (a, b)}, pairs).items()}
+    links = [p for p in pairs if p[0] != p[1]]
+    want = {node(k): node(low) for k, low in smallest_reached({x for p in links for x in p}, links).items()}
     assert {(r.node, r.component) for r in components(edges).collect()} == set(want.items())
     assert names == ["edges", "few"]
     monkeypatch.setattr(components_module, "FEW", 1)
@@ -206,6 +207,24 @@ def test_ngram_join_settles_pairs_once(spark, monkeypatch):
         assert [g for out in ngram_join._meeting(90, 100)(iter([rows])) for g in out["gid"]] == kept
 
 
+def test_ngram_join_reads_few_texts_at_once(spark, monkeypatch):
+    """No batch of texts in Python holds more than TEXTS, and the session's setting stays as it was."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    seen = []
+    written = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: (seen.append((name, int(spark.conf.get(key)))), written(df, name))[1])
+    rows = family(0, 30)
+    docs = odd.documents(spark, [(*r, "en", "a", 1) for r in rows])
+    got = sorted(((r.id, r.n_shingles, r.component.id) for r in ngram_join.ngram_join(docs, 3, 90, 100).collect()), key=str)
+    assert got == brute_join(rows, 3, 90, 100)
+    assert {name for name, most in seen if most <= ngram_join.TEXTS} >= {"survey", "prefixes", "sets"}
+    assert spark.conf.get(key) == before
+    # rows whose bitmap is left out pass by their sizes; those that no other row suits aren't looked at again
+    tile = pd.DataFrame({"gram": 1, "i": 0, "j": 0, "n": [100, 101, 300], "gid": [5, 9, 7], "block": 0, "bits": [bytes(64), None, None]})
+    assert [g for out in ngram_join._possible(90, 100)(iter([tile])) for g in out["gid"]] == [5, 9]
+
+
 def test_ngram_join_odd_rows(spark):
     docs = odd.documents(spark)
     kept = ngram_join.first_of_each(docs, 5, 80, 100)
