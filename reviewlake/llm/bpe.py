@@ -37,6 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake.llm.common import slices
 from reviewlake.session import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -256,7 +257,7 @@ def encoded(text: Column, rank_file: bytes, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(rank_file, pattern)
-        for texts in parts:
+        for texts in slices(parts):
             yield pd.Series(own.encode(texts.fillna("").tolist()), dtype=object)
 
     return encode(text)
@@ -268,21 +269,25 @@ def decoded(ids: Column, rank_file: bytes, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(rank_file, pattern)
-        for rows in parts:
+        for rows in slices(parts):
             yield pd.Series([own.decode(x or b"") for x in rows], dtype=object)
 
     return decode(ids)
 
 
+def _coded(parts: Iterator[pd.Series], rank_file: bytes, pattern: str) -> Iterator[pd.DataFrame]:
+    own = codec(rank_file, pattern)
+    for texts in slices(parts):
+        ids = own.encode(texts.fillna("").tolist())
+        yield pd.DataFrame({"ids": ids, "decoded": [own.decode(x) for x in ids]}, dtype=object)
+
+
 def round_trip(text: Column, rank_file: bytes, pattern: str) -> Column:
     """struct<ids, decoded>: the ids of ``text`` and the bytes they decode to, in one pass."""
 
     @F.pandas_udf("ids binary, decoded binary")
     def both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = codec(rank_file, pattern)
-        for texts in parts:
-            ids = own.encode(texts.fillna("").tolist())
-            yield pd.DataFrame({"ids": ids, "decoded": [own.decode(x) for x in ids]}, dtype=object)
+        yield from _coded(parts, rank_file, pattern)
 
     return both.asNondeterministic()(text)
 

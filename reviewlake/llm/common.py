@@ -13,6 +13,7 @@ functions that keep the caller's columns carry them in one struct
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 from reviewlake.session import scratch_path
 
+TEXTS = 1000              # whole texts that a task's Python works on at once
+
 #: Words of the contracts: runs of anything but space and U+0009 to U+000D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -51,6 +54,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def few_at_once(spark: SparkSession):
+    """What is written here passes whole texts and sets to and from Python ``TEXTS`` at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), TEXTS) if int(before) > 0 else TEXTS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def slices(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The same rows, at most ``TEXTS`` at a time."""
+    for rows in parts:
+        for at in range(0, len(rows), TEXTS):
+            yield rows.iloc[at:at + TEXTS]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

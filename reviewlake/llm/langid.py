@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import col, crc_of, fitted, hash_fraction, packed, unpacked, written
+from reviewlake.llm.common import col, crc_of, few_at_once, fitted, hash_fraction, packed, row_key, slices, unpacked, written
 from reviewlake.session import table
 
 MAX_N = 3
@@ -142,7 +142,34 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", lang: str
     chosen = (known.join(counts, "lang").withColumn("order", order)
               .where(F.col("order") * F.col("n") < F.lit(each)).select("lang", "order", "text", "h")
               .dropDuplicates(["lang", "h"]))
-    return fitted(chosen.mapInPandas(_spectra, "lang string, order double, cells binary"), fit)
+    with few_at_once(docs.sparkSession):
+        return fitted(chosen.mapInPandas(_spectra, "lang string, order double, cells binary"), fit)
+
+
+def _found(parts: Iterator[pd.Series], model: bytes) -> Iterator[pd.DataFrame]:
+    """(lang, score, claimed) of each text; a slice's spectra are held at a time."""
+    spectrum = Spectrum()
+    if model:
+        got = np.load(io.BytesIO(model), allow_pickle=False)
+        langs, weights, bias, seen, limits = (got[k] for k in ("langs", "weights", "bias", "seen", "limits"))
+    for texts in slices(parts):
+        lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+        claimed = np.zeros(len(texts), bool)
+        cells = [spectrum.of(t) if model else np.zeros(0, np.int64) for t in texts]
+        sizes = np.array(list(map(len, cells)), dtype=np.int64)
+        full = np.flatnonzero(sizes)
+        for some in np.array_split(full, max(1, int(sizes.sum()) >> 18)):
+            if len(some):
+                starts = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
+                all_cells = np.concatenate([cells[i] for i in some])
+                f = np.add.reduceat(weights[all_cells], starts, axis=0)
+                f = f / np.sqrt(sizes[some])[:, None] + bias
+                best = f.argmax(1)
+                lang[some] = langs[best]
+                score[some] = np.clip((f[np.arange(len(some)), best] + 1) / 2, 0, 1)
+                shared = np.add.reduceat(seen[all_cells], starts, dtype=np.int64)
+                claimed[some] = _familiarity(shared, sizes[some]) >= limits[best]
+        yield pd.DataFrame({"lang": lang, "score": score, "claimed": claimed})
 
 
 def predicted(text: Column, model: bytes) -> Column:
@@ -150,28 +177,7 @@ def predicted(text: Column, model: bytes) -> Column:
 
     @F.pandas_udf("lang string, score double, claimed boolean")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        spectrum = Spectrum()
-        if model:
-            got = np.load(io.BytesIO(model), allow_pickle=False)
-            langs, weights, bias, seen, limits = (got[k] for k in ("langs", "weights", "bias", "seen", "limits"))
-        for texts in parts:
-            lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-            claimed = np.zeros(len(texts), bool)
-            cells = [spectrum.of(t) if model else np.zeros(0, np.int64) for t in texts]
-            sizes = np.array(list(map(len, cells)), dtype=np.int64)
-            full = np.flatnonzero(sizes)
-            for some in np.array_split(full, max(1, int(sizes.sum()) >> 20)):
-                if len(some):
-                    starts = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
-                    all_cells = np.concatenate([cells[i] for i in some])
-                    f = np.add.reduceat(weights[all_cells], starts, axis=0)
-                    f = f / np.sqrt(sizes[some])[:, None] + bias
-                    best = f.argmax(1)
-                    lang[some] = langs[best]
-                    score[some] = np.clip((f[np.arange(len(some)), best] + 1) / 2, 0, 1)
-                    shared = np.add.reduceat(seen[all_cells], starts, dtype=np.int64)
-                    claimed[some] = _familiarity(shared, sizes[some]) >= limits[best]
-            yield pd.DataFrame({"lang": lang, "score": score, "claimed": claimed})
+        yield from _found(parts, model)
 
     return predict.asNondeterministic()(text)  # so that no filter repeats it
 
@@ -182,10 +188,14 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that no learned language claims."""
+    """``docs`` without those that no learned language claims. Only the keys of
+    those that go are written, and texts pass to Python few at a time meanwhile."""
     model = train(learnable(docs))
-    rows = packed(docs, found=predicted(col("text"), model))
-    return rows.where("found.claimed").select(*unpacked(docs.columns))
+    key = row_key(col("doc_id"), col("text"))
+    with few_at_once(docs.sparkSession):
+        found = docs.select(key.alias("key"), predicted(col("text"), model).alias("found"))
+        gone = written(found.where(~F.col("found.claimed")).select("key").distinct(), "unclaimed")
+    return packed(docs, key=key).join(gone, "key", "left_anti").select(*unpacked(docs.columns))
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
