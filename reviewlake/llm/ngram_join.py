@@ -18,7 +18,8 @@ link when den * |x & y| >= num * |x | y|.
 4. Round one takes for each group and n-gram the nearest group that passes (no
    other n-gram is looked at again: where none passes, none ever will),
    pairs its members with that group's first member (and members of one group
-   with their own first) and verifies these pairs on their whole sets. Round two
+   with their own first) and verifies these pairs: by parity bitmaps of their whole
+   sets, then, where these allow a link, on the whole sets. Round two
    expands every passing group pair to those member pairs that aren't connected
    by then and filters them by parity bitmaps of their whole sets, which differ
    in no more bits than the sets differ in n-grams. Of what passes, a tile hands
@@ -42,14 +43,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import col, packed, row_key, unpacked, written
+from reviewlake.llm.common import TEXTS, col, few_at_once, packed, row_key, unpacked, written  # noqa: F401
 from reviewlake.llm.components import components, extended
 from reviewlake.llm.embedding_dedup import Forest
 from reviewlake.llm.hashed_text import Hasher, cells
@@ -64,8 +64,7 @@ LONG_PREFIX = 128
 SET_WORDS = ((512, 64), (2048, 128))  # words of a set's bitmap up to so many n-grams; beyond them:
 MAX_SET_WORDS = 256
 SETTLED = 16              # verified pairs that a group remembers
-TEXTS = 1000              # texts that a task's Python gets at once
-MARK_BITS = 23            # marks of the documents whose sets are read: 2^23 bits
+MARK_BITS = 23            # marks of the documents whose bitmaps or sets are made: 2^23 bits
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -165,17 +164,28 @@ def _prefixes(n: int, num: int, den: int, rarity: bytes):
     return run
 
 
+def _whole_bitmaps(n: int):
+    """Per row its whole set's bitmap and size."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = Hasher()
+        for rows in parts:
+            if len(rows):
+                sizes, bits = [], []
+                for s in shingle_sets(hasher, rows["text"].tolist(), n):
+                    sizes.append(len(s))
+                    bits.append(_bitmap(s, next((w for most, w in SET_WORDS if len(s) <= most), MAX_SET_WORDS)).tobytes())
+                yield pd.DataFrame({"id": rows["id"], "h": rows["h"], "all": bits, "size": sizes})
+    return run
+
+
 def _sets(n: int):
-    """Per row its whole set and the set's bitmap."""
+    """Per row its whole set."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for rows in parts:
             if len(rows):
-                sets = list(shingle_sets(hasher, rows["text"].tolist(), n))
-                words = [next((w for most, w in SET_WORDS if len(s) <= most), MAX_SET_WORDS) for s in sets]
-                yield pd.DataFrame({"id": rows["id"], "h": rows["h"], "grams": [s.astype(np.int64) for s in sets],
-                                    "all": [_bitmap(s, w).tobytes() for s, w in zip(sets, words)],
-                                    "size": [len(s) for s in sets]})
+                yield pd.DataFrame({"id": rows["id"], "h": rows["h"],
+                                    "grams": [s.astype(np.int64) for s in shingle_sets(hasher, rows["text"].tolist(), n)]})
     return run
 
 
@@ -447,22 +457,37 @@ def _may_link(num: int, den: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _named(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One row for each (id, h) of ``rows`` that is one of the ``nodes``."""
+    own = nodes.select(F.col("node.id").alias("id"), F.col("node.h").alias("h"))
+    return rows.join(own, ["id", "h"], "left_semi").dropDuplicates(["id", "h"])
+
+
+def _verified(pairs: DataFrame, bits: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs of nodes (a, b) that link: bitmaps first, then the sets of the
-    pairs that their bitmaps allow. Sets that no pair names aren't shuffled as
-    long as the pairs are few enough to be broadcast."""
-    def sides(pairs: DataFrame, *values: str) -> DataFrame:
+    pairs that their bitmaps allow; no other set is made, written or shuffled.
+    Bitmaps that no pair names aren't shuffled as long as the pairs are few
+    enough to be broadcast."""
+    def sides(pairs: DataFrame, of: DataFrame, *values: str) -> DataFrame:
         names = pairs
         for s in "ab":
             named = names.select(F.col(s).alias("node")).distinct()
-            own = sets.select("node", *values).join(named, "node", "left_semi")
+            own = of.select("node", *values).join(named, "node", "left_semi")
             pairs = pairs.join(own.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in values]), s)
         return pairs
 
-    narrow = sides(pairs, "all", "size")
+    narrow = sides(pairs, bits, "all", "size")
     pairs = written(narrow.where(_may_link(num, den)("all_a", "all_b", "size_a", "size_b")).select("a", "b"), "allowed")
+    if pairs.isEmpty():
+        return pairs
+    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "named")
+    some = _named(texts.where(_marked(nodes)(F.xxhash64("id", "h"))), nodes)
+    kind = texts.schema["id"].dataType.simpleString()
+    with few_at_once(texts.sparkSession):
+        sets = written(some.mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>")
+                       .select(F.struct("id", "h").alias("node"), "grams"), "sets")
     common = F.size(F.array_intersect("grams_a", "grams_b"))
-    both = sides(pairs, "grams")
+    both = sides(pairs, sets, "grams")
     return both.where(common * F.lit(den) >= (F.size("grams_a") + F.size("grams_b") - common) * F.lit(num)).select("a", "b")
 
 
@@ -494,18 +519,6 @@ def _open_pairs(grams: DataFrame, touched: DataFrame, groups: DataFrame, bits: D
             .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")))
 
 
-@contextmanager
-def _few_at_once(spark: SparkSession):
-    """Whole texts and sets pass to and from Python ``TEXTS`` at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), TEXTS) if int(before) > 0 else TEXTS))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text: str = "text",
                doc_id: str = "doc_id") -> DataFrame:
     """(id, h, n_shingles, node, component) of every distinct (doc_id, text);
@@ -515,7 +528,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     key = row_key(col(doc_id), col(text))
     texts = docs.select(key["id"].alias("id"), key["h"].alias("h"), col(text).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    with _few_at_once(spark):
+    with few_at_once(spark):
         survey = written(texts.mapInPandas(
             _survey(n), f"part int, id {kind}, h long, n int, s1 long, s2 long, counts binary"), "survey")
     pieces = survey.where("part >= 0").select("part", "counts").repartition(PARTS, "part").mapInPandas(
@@ -529,7 +542,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     prefixed = texts.where("id IS NOT NULL").mapInPandas(
         _prefixes(n, num, den, rarity), f"id {kind}, h long, n int, prefix array<long>, ph long, bits binary")
     rows = prefixed.select(F.struct("id", "h").alias("node"), "n", "prefix", "ph", "bits")
-    with _few_at_once(spark):
+    with few_at_once(spark):
         rows = written(rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
                        .withColumn("gid", F.xxhash64("ph", "n")), "prefixes")
     members = rows.select("node", "gid")
@@ -562,12 +575,12 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     touched = near.select(F.col("a").alias("gid")).union(near.select("b")) \
         .union(groups.where("size > 1").select("gid")).distinct()
     touched = written(members.join(touched, "gid"), "touched")      # (gid, node): all that a pair can name from here on
-    sets = texts.where(_marked(touched)(F.xxhash64("id", "h"))).join(
-        touched.select(F.col("node.id").alias("id"), F.col("node.h").alias("h")), ["id", "h"], "left_semi")
-    with _few_at_once(spark):
-        sets = written(sets.dropDuplicates(["id", "h"]).mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>, all binary, size int")
-                       .select(F.struct("id", "h").alias("node"), "grams", "all", "size"), "sets")
-    links = written(_verified(pairs, sets, num, den), "links")
+    # bitmaps before the shuffle, so that no text passes it; whole sets are made for the pairs only that bitmaps allow
+    with few_at_once(spark):
+        own_bits = texts.where(_marked(touched)(F.xxhash64("id", "h"))).mapInPandas(
+            _whole_bitmaps(n), f"id {kind}, h long, all binary, size int")
+        bits = written(_named(own_bits, touched).select(F.struct("id", "h").alias("node"), "all", "size"), "bitmaps")
+    links = written(_verified(pairs, bits, texts, n, num, den), "links")
     found = written(components(links), "round-one")
 
     # groups of one member each whose pair was verified: a few per group are remembered, the others are looked at again
@@ -577,11 +590,10 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     settled = written(done.groupBy("gid").agg(F.slice(F.collect_set("other"), 1, SETTLED).alias("settled")), "settled")
 
     # round two: a spanning forest of what passes the filters and isn't connected
-    bits = sets.select("node", "all")
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    spanning = written(_open_pairs(grams, touched, groups, bits, found, settled, num, den, every=False), "spanning")
+    spanning = written(_open_pairs(grams, touched, groups, bits.select("node", "all"), found, settled, num, den, every=False), "spanning")
     untried = written(spanning.join(tried, ["a", "b"], "left_anti"), "untried")
-    more = written(_verified(untried, sets, num, den), "links-two")
+    more = written(_verified(untried, bits, texts, n, num, den), "links-two")
     final = found
     if not more.isEmpty():
         final = written(extended(found, more), "round-two")
@@ -595,9 +607,9 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
         forest = written(extended(found, spanning), "forest")
         cut = forest.join(apart.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("component").distinct()
         cut = written(forest.join(cut, "component", "left_semi").select("node"), "cut")
-        rest = _open_pairs(grams, touched.join(cut, "node", "left_semi"), groups, bits, final, settled, num, den, every=True)
+        rest = _open_pairs(grams, touched.join(cut, "node", "left_semi"), groups, bits.select("node", "all"), final, settled, num, den, every=True)
         rest = written(rest.join(tried, ["a", "b"], "left_anti"), "untried")
-        more = written(_verified(rest, sets, num, den), "links-three")
+        more = written(_verified(rest, bits, texts, n, num, den), "links-three")
         if not more.isEmpty():
             final = written(extended(final, more), "round-three")
     by_set = nodes.join(final, "node", "left").select("n_shingles", "s1", "s2", "node", F.coalesce("component", "node").alias("component"))

@@ -232,3 +232,25 @@ def test_ngram_join_odd_rows(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(x for x in ids if x) == list(range(1, 12)) and ids.count(None) == 2   # 12 holds all of 1 and a word more
     assert ngram_join.ngram_join(odd.empty(spark)).count() == 0
+
+
+def test_ngram_join_makes_sets_of_allowed_pairs_only(spark, monkeypatch):
+    """Whole sets are made of the texts only whose bitmaps allow them to link, and of each once."""
+    counts = {}
+    written = ngram_join.written
+
+    def counted(df, name):
+        found = written(df, name)
+        counts[name] = counts.get(name, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    bodies = [" ".join(f"b{k}y{j}" for j in range(88)) for k in range(2)]
+    passage = [" ".join(f"p{k}y{j}" for j in range(13)) for k in range(30)]
+    rows = [(2 * k + s, f"{passage[k]} {bodies[s]}") for k in range(30) for s in range(2)]     # near by prefix only
+    rows += [(100 + k, " ".join(f"c{j}" for j in range(100)) + f" end{k}") for k in range(2)]
+    rows += rows[-1:] + rows[:2]                                                               # rows that come twice
+    docs = odd.documents(spark, [(*r, "en", "a", 1) for r in rows])
+    got = {(r.id, r.component.id) for r in ngram_join.ngram_join(docs, 3, 90, 100).collect()}
+    assert got == {(i, 100 if i > 99 else i) for i, _ in rows}
+    assert counts["touched"] >= 40 and counts["bitmaps"] == counts["touched"] and counts["sets"] == 2
