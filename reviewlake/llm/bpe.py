@@ -14,7 +14,8 @@ from one pre-token to the next:
   place per pre-token at a time, leftmost first, and returns to its bucket.
 
 So one pre-token of megabytes costs about as much per byte as many short ones.
-Encoded pre-tokens are kept in a bounded cache per Python worker.
+Encoded pre-tokens are kept in a bounded cache per Python worker, and in
+``round_trip`` until the task ends.
 
 Ids are stored as binary: little-endian unsigned 32-bit integers.
 
@@ -37,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import slices
+from reviewlake.llm.common import slices, tidied
 from reviewlake.session import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -277,9 +278,12 @@ def decoded(ids: Column, rank_file: bytes, pattern: str) -> Column:
 
 def _coded(parts: Iterator[pd.Series], rank_file: bytes, pattern: str) -> Iterator[pd.DataFrame]:
     own = codec(rank_file, pattern)
-    for texts in slices(parts):
-        ids = own.encode(texts.fillna("").tolist())
-        yield pd.DataFrame({"ids": ids, "decoded": [own.decode(x) for x in ids]}, dtype=object)
+    try:
+        for texts in slices(parts):
+            ids = own.encode(texts.fillna("").tolist())
+            yield pd.DataFrame({"ids": ids, "decoded": [own.decode(x) for x in ids]}, dtype=object)
+    finally:
+        own.kept.clear()  # the worker stays
 
 
 def round_trip(text: Column, rank_file: bytes, pattern: str) -> Column:
@@ -287,7 +291,7 @@ def round_trip(text: Column, rank_file: bytes, pattern: str) -> Column:
 
     @F.pandas_udf("ids binary, decoded binary")
     def both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        yield from _coded(parts, rank_file, pattern)
+        yield from tidied(_coded(parts, rank_file, pattern))
 
     return both.asNondeterministic()(text)
 

@@ -12,10 +12,12 @@ functions that keep the caller's columns carry them in one struct
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +75,18 @@ def slices(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             yield rows.iloc[at:at + TEXTS]
 
 
+def tidied(out: Iterator) -> Iterator:
+    """The same, after which the free memory of a Python worker, which Spark keeps
+    for other tasks, goes back to the system (as far as its C library can)."""
+    try:
+        yield from out
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import col, crc_of, few_at_once, fitted, hash_fraction, packed, row_key, slices, unpacked, written
+from reviewlake.llm.common import col, crc_of, few_at_once, fitted, hash_fraction, packed, row_key, slices, tidied, unpacked, written
 from reviewlake.session import table
 
 MAX_N = 3
@@ -143,7 +143,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", lang: str
               .where(F.col("order") * F.col("n") < F.lit(each)).select("lang", "order", "text", "h")
               .dropDuplicates(["lang", "h"]))
     with few_at_once(docs.sparkSession):
-        return fitted(chosen.mapInPandas(_spectra, "lang string, order double, cells binary"), fit)
+        return fitted(chosen.mapInPandas(lambda parts: tidied(_spectra(parts)), "lang string, order double, cells binary"), fit)
 
 
 def _found(parts: Iterator[pd.Series], model: bytes) -> Iterator[pd.DataFrame]:
@@ -177,7 +177,7 @@ def predicted(text: Column, model: bytes) -> Column:
 
     @F.pandas_udf("lang string, score double, claimed boolean")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        yield from _found(parts, model)
+        yield from tidied(_found(parts, model))
 
     return predict.asNondeterministic()(text)  # so that no filter repeats it
 

@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import TEXTS, col, few_at_once, packed, row_key, unpacked, written  # noqa: F401
+from reviewlake.llm.common import TEXTS, col, few_at_once, packed, row_key, tidied, unpacked, written  # noqa: F401
 from reviewlake.llm.components import components, extended
 from reviewlake.llm.embedding_dedup import Forest
 from reviewlake.llm.hashed_text import Hasher, cells
@@ -484,7 +484,7 @@ def _verified(pairs: DataFrame, bits: DataFrame, texts: DataFrame, n: int, num:
     some = _named(texts.where(_marked(nodes)(F.xxhash64("id", "h"))), nodes)
     kind = texts.schema["id"].dataType.simpleString()
     with few_at_once(texts.sparkSession):
-        sets = written(some.mapInPandas(_sets(n), f"id {kind}, h long, grams array<long>")
+        sets = written(some.mapInPandas(lambda parts: tidied(_sets(n)(parts)), f"id {kind}, h long, grams array<long>")
                        .select(F.struct("id", "h").alias("node"), "grams"), "sets")
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     both = sides(pairs, sets, "grams")
@@ -530,7 +530,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     kind = texts.schema["id"].dataType.simpleString()
     with few_at_once(spark):
         survey = written(texts.mapInPandas(
-            _survey(n), f"part int, id {kind}, h long, n int, s1 long, s2 long, counts binary"), "survey")
+            lambda parts: tidied(_survey(n)(parts)), f"part int, id {kind}, h long, n int, s1 long, s2 long, counts binary"), "survey")
     pieces = survey.where("part >= 0").select("part", "counts").repartition(PARTS, "part").mapInPandas(
         _summed, "part int, counts binary").collect()       # PARTS rows, 2^CELL_BITS bytes in all
     rarity = b"".join(bytes(r.counts) for r in sorted(pieces, key=lambda r: r.part)) or bytes(1 << CELL_BITS)
@@ -540,7 +540,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     nodes = written(linkable.groupBy("n_shingles", "s1", "s2").agg(F.min("key").alias("node")), "nodes")
 
     prefixed = texts.where("id IS NOT NULL").mapInPandas(
-        _prefixes(n, num, den, rarity), f"id {kind}, h long, n int, prefix array<long>, ph long, bits binary")
+        lambda parts: tidied(_prefixes(n, num, den, rarity)(parts)), f"id {kind}, h long, n int, prefix array<long>, ph long, bits binary")
     rows = prefixed.select(F.struct("id", "h").alias("node"), "n", "prefix", "ph", "bits")
     with few_at_once(spark):
         rows = written(rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
@@ -578,7 +578,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, text:
     # bitmaps before the shuffle, so that no text passes it; whole sets are made for the pairs only that bitmaps allow
     with few_at_once(spark):
         own_bits = texts.where(_marked(touched)(F.xxhash64("id", "h"))).mapInPandas(
-            _whole_bitmaps(n), f"id {kind}, h long, all binary, size int")
+            lambda parts: tidied(_whole_bitmaps(n)(parts)), f"id {kind}, h long, all binary, size int")
         bits = written(_named(own_bits, touched).select(F.struct("id", "h").alias("node"), "all", "size"), "bitmaps")
     links = written(_verified(pairs, bits, texts, n, num, den), "links")
     found = written(components(links), "round-one")

@@ -50,3 +50,24 @@ def test_known_language_reads_few_texts_at_once(spark, monkeypatch):
     kept = langid.known_language(odd.documents(spark, rows))
     assert sorted(kept.toPandas()["text"]) == sorted(t for _, t, *_ in rows if t not in (None, "..."))
     assert seen["unclaimed"] <= common.TEXTS and spark.conf.get(KEY) == before
+
+
+def test_memory_goes_back_after_a_task():
+    """What a worker that stays has left of a task: no cache of pre-tokens, and no heap that could go back."""
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    ranks, pattern = bpe.public_vocabulary()
+    list(bpe._coded(iter([pd.Series(["some words and more"])]), ranks, pattern))
+    assert not bpe.codec(ranks, pattern).kept
+
+    def work():
+        before = held()
+        some = [bytes(50_000) + b"x" for _ in range(4000)]      # below what malloc maps on its own
+        some[:-1] = []
+        yield before, len(some)
+        del some
+
+    (before, _), = common.tidied(work())
+    assert held() - before < 100e6
